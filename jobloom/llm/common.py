@@ -54,16 +54,13 @@ def written(df: DataFrame, label: str, partition_by: str | None = None) -> DataF
     there, and an executor lost later takes nothing with it."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    before = spark.conf.get(_CLEANUP, None)
+    before = spark.conf.get(_CLEANUP)
     spark.conf.set(_CLEANUP, "true")
     try:
         writer = df.write.partitionBy(partition_by) if partition_by else df.write
         writer.parquet(path)
     finally:
-        if before is None:
-            spark.conf.unset(_CLEANUP)
-        else:
-            spark.conf.set(_CLEANUP, before)
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -110,3 +107,11 @@ def unplanes(blob: bytes, dtype) -> np.ndarray:
     width = np.dtype(dtype).itemsize
     raw = np.frombuffer(blob, np.uint8).reshape(width, -1)
     return np.ascontiguousarray(raw.T).reshape(-1).view(dtype)
+
+
+def frugal(spark: SparkSession) -> None:
+    """Arrow batches to Python of at most some MB, whatever the length of texts."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", 2000), ("spark.sql.execution.arrow.maxBytesPerBatch", 16 << 20)):
+        with contextlib.suppress(Exception):
+            if not 0 < int(spark.conf.get(key).rstrip("b")) <= most:
+                spark.conf.set(key, most)

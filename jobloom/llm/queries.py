@@ -6,13 +6,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobloom.llm import exact, lines, mixing
+import public_tokenizers
+from pyspark.sql import Window
+
+from jobloom.llm import exact, lines, mixing, packing, tokenfile
+from jobloom.llm.common import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    pieces = packing.token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    digests = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(digests)
+
+
+def op2_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    tokens = tokenfile.write(docs, public_tokenizers.path("word_bpe_49k.json"), scratch_path(spark, "tokenfile"))
+    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.lit(0))) - 1
+    keys = docs.select("doc_id", nth.cast("long").alias("nth"))
+    back = tokenfile.read(spark, tokens, keys)
+    return back.select("doc_id", "start", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(_table(spark, sf_dir, "documents"))
 
@@ -27,7 +47,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op8_mix_sources, op9_line_dedup, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_token_file, op8_mix_sources, op9_line_dedup, op10_exact_dedup)}
 
 ORACLE_SQL = {
     "op9_line_dedup": r"""
