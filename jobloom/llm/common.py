@@ -87,13 +87,14 @@ def empty_text(column: str = "text"):
 
 
 def dealt(docs: DataFrame, group_bytes: int, also: tuple[str, ...] = ()) -> tuple[DataFrame, int]:
-    """(doc_id, text, pid): documents dealt by hash into groups of about
-    group_bytes of text. A null text is empty. Row identity is doc_id and text,
+    """(doc_id, no_id, text, pid): documents dealt by hash into groups of about
+    group_bytes of text. A null text is empty, a null doc_id is 0 with no_id. Row identity is doc_id and text,
     so rows that share a doc_id needn't share a group."""
     size = docs.agg(F.sum(F.octet_length(F.col("text"))).alias("b"), F.count(F.lit(1)).alias("n")).first()
     groups = max(1, math.ceil(((size["b"] or 0) + 64 * size["n"]) / group_bytes))
     pid = F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)).cast("int")
-    return docs.select("doc_id", empty_text().alias("text"), *also, pid.alias("pid")), groups
+    no_id = F.col("doc_id").isNull()  # pandas would turn integers beside nulls into floats
+    return docs.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), no_id.alias("no_id"), empty_text().alias("text"), *also, pid.alias("pid")), groups
 
 
 def planes(values: np.ndarray) -> bytes:

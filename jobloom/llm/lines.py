@@ -109,5 +109,6 @@ def dedup_lines(docs: DataFrame, least: int = LEAST, batches: int = BATCHES) ->
     lost = shared_lines(docs, least, batches)
     dead = lost.distinct().groupBy(F.col("doc_id").alias("_id"), F.col("body").alias("_body")).agg(F.collect_list("place").alias("gone"))
     rows = docs.select("doc_id", empty_text().alias("text"))
-    rows = rows.join(dead, (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_body")), "left").select("doc_id", "text", "gone")
-    return rows.mapInPandas(_strip, "doc_id long, text string, n_lines long, n_dropped long")
+    rows = rows.join(dead, (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_body")), "left").select(F.col("doc_id").cast("string"), "text", "gone")
+    # as a string, for pandas would turn integers beside nulls into floats
+    return rows.mapInPandas(_strip, "doc_id string, text string, n_lines long, n_dropped long").withColumn("doc_id", F.col("doc_id").cast("long"))

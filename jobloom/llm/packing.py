@@ -95,7 +95,11 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """pieces with sequence_id and offset: each piece whole in one sequence of at
     most `capacity`, gapless from 0. `length` must be from 1 to capacity in every
     row. Other columns pass unchanged, nulls and repeated rows too. No rows give none."""
-    pieces = pieces.withColumn("length", F.col("length").cast("long"))
+    given = pieces.withColumn("length", F.col("length").cast("long"))
+    # whole numbers as strings in between, for pandas would turn them into floats beside nulls
+    numbers = {k: t for k, t in given.dtypes if t in ("bigint", "int", "smallint", "tinyint") and k != "length"}
+    back = lambda rows: rows.withColumns({k: F.col(k).cast(t) for k, t in numbers.items()})
+    pieces = given.withColumns({k: F.col(k).cast("string") for k in numbers})
     kinds = T.StructType([*pieces.schema.fields, T.StructField("_task", T.IntegerType()), T.StructField("_nth", T.LongType())])
     rows = written(pieces.mapInPandas(_numbered, kinds), "pieces")
     counts = written(rows.groupBy("_task", "length").agg(F.count(F.lit(1)).alias("n")), "lengths")
@@ -114,7 +118,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             yield part.assign(sequence_id=places["bin"][i] + copy, offset=places["offset"][i] + slot * length)
 
     kinds = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
-    return ranked.mapInPandas(put, kinds)
+    return back(ranked.mapInPandas(put, kinds))
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
@@ -132,13 +136,15 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
             for at in range(0, len(part), 256):
                 own = part.iloc[at : at + 256]
                 rows = []
-                for doc_id, raw in zip(own["doc_id"].astype(object), encode(own["text"].tolist()), strict=True):
+                for doc_id, raw in zip(own["doc_id"], encode(own["text"].tolist()), strict=True):
                     raw += end
                     total = len(raw) // 4
                     first = total % capacity or capacity
                     for piece, stop in enumerate(range(first, total + 1, capacity)):
                         start = max(0, stop - capacity) if piece else 0
-                        rows.append((None if pd.isna(doc_id) else doc_id, piece, start, stop - start, raw[4 * start : 4 * stop]))
-                yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids"]).astype({"doc_id": "Int64", "piece": "int32"})
+                        rows.append((doc_id, piece, start, stop - start, raw[4 * start : 4 * stop]))
+                yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids"]).astype({"piece": "int32"})
 
-    return docs.select("doc_id", empty_text().alias("text")).mapInPandas(cut, "doc_id long, piece int, start long, length long, ids binary")
+    # doc_id as a string, for pandas would turn integers beside nulls into floats
+    rows = docs.select(F.col("doc_id").cast("string"), empty_text().alias("text"))
+    return rows.mapInPandas(cut, "doc_id string, piece int, start long, length long, ids binary").withColumn("doc_id", F.col("doc_id").cast("long"))

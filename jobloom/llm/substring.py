@@ -53,7 +53,7 @@ def member(hashes: np.ndarray, table: np.ndarray) -> np.ndarray:
 
 
 def _documents(part: pd.DataFrame) -> pd.DataFrame:
-    return part[part["doc_id"].notna()]
+    return part[~part["no_id"]]
 
 
 def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -154,7 +154,7 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             if len(spans):
                 own = [w for w, x in zip(own, dead[i:j].tolist(), strict=True) if not x]
             found.append((doc_id, b" ".join(own).decode("utf-8", "surrogatepass"), j - i, int(np.diff(spans).sum()), [{"begin": int(a), "end": int(b)} for a, b in spans]))
-        for text in part[part["doc_id"].isna()]["text"]:
+        for text in part[part["no_id"]]["text"]:
             own = text.encode("utf-8", "surrogatepass").split()
             found.append((None, b" ".join(own).decode("utf-8", "surrogatepass"), len(own), 0, []))
         return pd.DataFrame(found, columns=["doc_id", "text", "n_words", "n_removed", "spans"]).astype({"doc_id": "Int64"})

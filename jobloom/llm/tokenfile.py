@@ -113,10 +113,12 @@ def _keys(rows: DataFrame, buckets: int) -> DataFrame:
     def hashed(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             null = part["doc_id"].isna().to_numpy()
-            h = key_hash(part["doc_id"].fillna(0).to_numpy(np.int64), null, part["nth"].to_numpy(np.int64))
+            h = key_hash(np.array([0 if x is None else int(x) for x in part["doc_id"]], np.int64), null, part["nth"].to_numpy(np.int64))
             bucket = ((h >> U(32)) % U(buckets)).astype(np.int64)
             yield part.assign(hash=h.view(np.int64), bucket=bucket, file=bucket // BUCKETS_IN_FILE)
 
+    # doc_id as a string, for pandas would turn integers beside nulls into floats
+    rows = rows.withColumn("doc_id", F.col("doc_id").cast("string"))
     kinds = ", ".join(f"{k} {t}" for k, t in rows.dtypes)
     return rows.mapInPandas(hashed, f"{kinds}, hash long, bucket long, file long")
 
@@ -133,7 +135,7 @@ def write(docs: DataFrame, tokenizer: str, root: str, end_id: int = END_ID, widt
     rows = docs.select("doc_id", empty_text().alias("text"))
     size = rows.agg(F.sum(F.octet_length("text")).alias("b"), F.count(F.lit(1)).alias("n")).first()
     parts = max(1, math.ceil((size["b"] or 0) / shard_bytes))
-    ordered = rows.repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    ordered = rows.repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text").withColumn("doc_id", F.col("doc_id").cast("string"))
     end, kind = int(end_id).to_bytes(4, "little"), np.dtype(f"<u{width}")
 
     def shard(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -149,8 +151,7 @@ def write(docs: DataFrame, tokenizer: str, root: str, end_id: int = END_ID, widt
                 if out is None:
                     out = store.open_output_stream(f"{path}/{name}")
                     out.write(struct.pack(_HEADER, MAGIC, width, 0, number))
-                for doc_id, raw in zip(own["doc_id"].astype(object), encode(own["text"].tolist()), strict=True):
-                    doc_id = None if pd.isna(doc_id) else int(doc_id)
+                for doc_id, raw in zip(own["doc_id"], encode(own["text"].tolist()), strict=True):
                     nth = nth + 1 if doc_id == last else 0
                     last, ids = doc_id, np.frombuffer(raw + end, "<u4")
                     if len(ids) and ids.max() > np.iinfo(kind).max:
@@ -158,11 +159,11 @@ def write(docs: DataFrame, tokenizer: str, root: str, end_id: int = END_ID, widt
                     out.write(ids.astype(kind).tobytes())
                     found.append((doc_id, nth, number, name, at, len(ids)))
                     at += len(ids)
-                yield pd.DataFrame(found, columns=["doc_id", "nth", "shard", "name", "at", "n"]).astype({"doc_id": "Int64"})
+                yield pd.DataFrame(found, columns=["doc_id", "nth", "shard", "name", "at", "n"])
         if out is not None:
             out.close()
 
-    placed = written(ordered.mapInPandas(shard, "doc_id long, nth long, shard long, name string, at long, n long"), "placed")
+    placed = written(ordered.mapInPandas(shard, "doc_id string, nth long, shard long, name string, at long, n long"), "placed")
     shards = placed.groupBy("shard", "name").agg(F.sum("n").alias("ids"))
     base = F.coalesce(F.sum("ids").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     shards = written(shards.select("shard", "name", base.alias("base"), F.lit(width).alias("width")), "shards")  # one row a shard
@@ -207,7 +208,7 @@ def lookup(tokens: TokenFile, keys: DataFrame) -> DataFrame:
         out = pd.DataFrame({"doc_id": part["doc_id"], "nth": part["nth"], "shard": entries["shard"].astype(np.int64), "at": entries["at"].astype(np.int64), "n": entries["n"].astype(np.int64)})
         return out[found]
 
-    return keyed.groupBy("bucket").applyInPandas(probe, "doc_id long, nth long, shard long, at long, n long")
+    return keyed.groupBy("bucket").applyInPandas(probe, "doc_id string, nth long, shard long, at long, n long")
 
 
 def read(spark: SparkSession, tokens: TokenFile, keys: DataFrame) -> DataFrame:
@@ -235,4 +236,4 @@ def read(spark: SparkSession, tokens: TokenFile, keys: DataFrame) -> DataFrame:
                         raw = [ids[a : a + k].tobytes() for a, k in zip(at - low, n, strict=True)]
                         yield pd.DataFrame({"doc_id": rows["doc_id"], "nth": rows["nth"], "start": rows["base"] + rows["at"], "ids": raw})
 
-    return found.mapInPandas(payload, "doc_id long, nth long, start long, ids binary")
+    return found.mapInPandas(payload, "doc_id string, nth long, start long, ids binary").withColumn("doc_id", F.col("doc_id").cast("long"))
