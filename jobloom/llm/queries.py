@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 from pyspark.sql import Window
 
-from jobloom.llm import exact, lines, mixing, packing, substring, tokenfile
+from jobloom.llm import exact, lines, mixing, neardup, packing, substring, tokenfile
 from jobloom.llm.common import scratch_path
 
 
@@ -33,6 +33,10 @@ def op2_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "start", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_groups(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring.repeated_spans(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
@@ -52,7 +56,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_token_file, op7_substring_dedup, op8_mix_sources, op9_line_dedup, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_token_file, op3_minhash_near_dedup, op7_substring_dedup, op8_mix_sources, op9_line_dedup, op10_exact_dedup)}
 
 ORACLE_SQL = {
     "op9_line_dedup": r"""
