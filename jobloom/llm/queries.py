@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 from pyspark.sql import Window
 
-from jobloom.llm import exact, lines, mixing, neardup, packing, substring, tokenfile
+from jobloom.llm import exact, kneser_ney, lines, mixing, neardup, packing, substring, tokenfile
 from jobloom.llm.common import scratch_path
 
 
@@ -37,6 +37,13 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_groups(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", (kneser_ney.fold() == 2).alias("held_out"))
+    model = kneser_ney.train(docs.filter("not held_out"))
+    scored = kneser_ney.score(docs, model, ("held_out",))
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring.repeated_spans(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
@@ -56,7 +63,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_token_file, op3_minhash_near_dedup, op7_substring_dedup, op8_mix_sources, op9_line_dedup, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_token_file, op3_minhash_near_dedup, op6_lm_scoring, op7_substring_dedup, op8_mix_sources, op9_line_dedup, op10_exact_dedup)}
 
 ORACLE_SQL = {
     "op9_line_dedup": r"""
