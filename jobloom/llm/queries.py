@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 from pyspark.sql import Window
 
-from jobloom.llm import exact, kneser_ney, lines, mixing, neardup, packing, substring, tokenfile
+from jobloom.llm import exact, kneser_ney, lines, mixing, neardup, packing, substring, tokenfile, vector_search
 from jobloom.llm.common import scratch_path
 
 
@@ -37,6 +37,13 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_groups(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings").filter(vector_search.usable())
+    vectors = rows.select("vec_id", vector_search.quantised().alias("v"))
+    queries = vectors.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
+    return vector_search.top_k(vectors, queries, 5)
+
+
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", (kneser_ney.fold() == 2).alias("held_out"))
     model = kneser_ney.train(docs.filter("not held_out"))
@@ -63,9 +70,18 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_token_file, op3_minhash_near_dedup, op6_lm_scoring, op7_substring_dedup, op8_mix_sources, op9_line_dedup, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_token_file, op3_minhash_near_dedup, op5_exact_top_k, op6_lm_scoring, op7_substring_dedup, op8_mix_sources, op9_line_dedup, op10_exact_dedup)}
 
 ORACLE_SQL = {
+    "op5_exact_top_k": r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+""",
     "op9_line_dedup": r"""
 WITH l AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
