@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 from pyspark.sql import Window
 
-from jobloom.llm import exact, kneser_ney, lines, mixing, neardup, packing, substring, tokenfile, vector_search
+from jobloom.llm import exact, kneser_ney, lines, mixing, neardup, packing, quality, substring, tokenfile, vector_search
 from jobloom.llm.common import scratch_path
 
 
@@ -37,6 +37,11 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_groups(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.judged(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "lang", "symbols", "mean_log10", "perplexity", "threshold", "kept")
+
+
 def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "embeddings").filter(vector_search.usable())
     vectors = rows.select("vec_id", vector_search.quantised().alias("v"))
@@ -70,7 +75,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_token_file, op3_minhash_near_dedup, op5_exact_top_k, op6_lm_scoring, op7_substring_dedup, op8_mix_sources, op9_line_dedup, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_token_file, op3_minhash_near_dedup, op4_quality_classifier, op5_exact_top_k, op6_lm_scoring, op7_substring_dedup, op8_mix_sources, op9_line_dedup, op10_exact_dedup)}
 
 ORACLE_SQL = {
     "op5_exact_top_k": r"""
