@@ -1,31 +1,55 @@
 """Token ids of whole texts by a public tokenizer file, as little-endian bytes.
 
-A text is cut at places where no token can span, its units are looked up in a
-memo of bounded size, and only units not met before go to the tokenizer, many at
-a time. Ids are those of encode(text, add_special_tokens=False) with strings of
-special tokens read as ordinary text (encode_special_tokens).
+A text is cut at places where no token can span and its units are looked up in a
+memo of bounded size. A unit not met before is a word, perhaps with marks behind
+it: both are pieces that the file's pattern would cut, and go to the file's BPE
+model; any other unit goes through the whole tokenizer. Ids are those of
+encode(text, add_special_tokens=False) with strings of special tokens read as
+ordinary text (encode_special_tokens).
 """
 
 from __future__ import annotations
 
+import json
 import re
+import unicodedata
 from functools import lru_cache
 
-import numpy as np
-
 #: Units that a worker's memo holds before it is put aside for a new one; what is
 #: met again comes over from the older one.
-MEMO = 250_000
-_RUN = re.compile(r"\s\s")
+MEMO = 300_000
+#: ASCII marks, the apostrophe apart: it may begin a piece of its own.
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _SINGLE = re.compile(r"(?<=\S) (?=\S)")
+#: White space besides the space and the line end.
+_BLANKS = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
+
+
+class _Memo(dict):
+    """Bytes of units; a unit that is missing is looked up by `find` and kept."""
+
+    def __init__(self, find) -> None:
+        super().__init__()
+        self.find = find
+
+    def __missing__(self, unit: str) -> bytes:
+        raw = self[unit] = self.find(unit)
+        return raw
+
+
+def _byte_letters() -> dict[int, str]:
+    """The printable letter that byte-level files have for each byte."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
 class Encoder:
     """Bytes of the ids of texts, 4 a token.
 
-    byte-level files keep white space: a text is cut before a single space
+    Byte-level files keep white space: a text is cut before a single space
     between two other characters, which always begins a token. Files that drop
-    white space are cut at every space and line end.
+    white space and fold case are cut at every space and line end.
     """
 
     def __init__(self, path: str, memo: int = MEMO) -> None:
@@ -34,43 +58,67 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.tokenizer.no_truncation()
+        self.model = self.tokenizer.model
         self.drops = not self._ids(" ")
-        self.memo, self.older, self.size = {}, {}, memo
+        self.letters = _byte_letters()
+        with open(path, encoding="utf-8") as f:
+            top = max(json.load(f)["model"]["vocab"].values())
+        self.four = [i.to_bytes(4, "little") for i in range(top + 1)]
+        self.memo, self.older, self.pieces, self.size = _Memo(self._find), {}, _Memo(self._bpe), memo
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def units(self, text: str) -> list[str]:
+        """Of a file that keeps white space, every unit but the first has a space
+        before it, unless it begins with a line end."""
         if self.drops:
             return text.replace("\n", " ").split(" ")
-        if _RUN.search(text) or text[:1].isspace():
-            first, *rest = _SINGLE.split(text)
-            return [first, *(" " + x for x in rest)]
+        if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[:1] in " \n" or text[-1:] in " \n" or any(c in text for c in _BLANKS):
+            return _SINGLE.split(text)
         # a line end between two other characters is a token of its own
-        first, *rest = text.replace("\n", " \n").split(" ")
-        return [first, *(x if x[:1] == "\n" else " " + x for x in rest)]
+        return text.replace("\n", " \n").split(" ")
+
+    def _bpe(self, piece: str) -> bytes:
+        """Of one piece of the file's pattern."""
+        mapped = piece.encode().decode("latin-1").translate(self.letters)
+        return b"".join([self.four[t.id] for t in self.model.tokenize(mapped)])
+
+    def _find(self, unit: str) -> bytes:
+        if (known := self.older.get(unit)) is not None:
+            return known
+        if self.drops:
+            return self._raw(unit, "")
+        if unit[:1] == "\n" and unit[1:2].strip():
+            return self.pieces["\n"] + self._raw(unit[1:], "")
+        return self._raw(unit, " ")
+
+    def _raw(self, unit: str, space: str) -> bytes:
+        """A word and marks behind it by the model, else the whole tokenizer."""
+        if self.drops:
+            if not unit.isascii() and (max(unit) >= "\u0250" or "\u0130" in unit or not unicodedata.is_normalized("NFC", unit)):
+                return b"".join([self.four[i] for i in self._ids(unit)])
+            unit = unit.lower()
+        if unit.isalpha():
+            return self._bpe(space + unit)
+        word = unit.rstrip(_MARKS)
+        if word.isalpha():
+            return self._bpe(space + word) + self.pieces[unit[len(word) :]]
+        return b"".join([self.four[i] for i in self._ids(space + unit)])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self.units(x) for x in texts]
-        new = set().union(*cut).difference(self.memo)
-        if len(self.memo) + len(new) > self.size:
-            self.older, self.memo = self.memo, {}
-            new = set().union(*cut)
-        memo, older = self.memo, self.older
-        if older:
-            known = new.intersection(older)
-            memo.update((u, older[u]) for u in known)
-            new -= known
-        new = list(new)
-        for i in range(0, len(new), 8192):
-            part = new[i : i + 8192]
-            got = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
-            raw = np.array(got.ids, "<u4").tobytes()
-            ends = np.searchsorted(np.array(got.word_ids, np.int64), np.arange(len(part) + 1))
-            at = (ends * 4).tolist()
-            memo.update((u, raw[a:b]) for u, a, b in zip(part, at, at[1:], strict=False))
-        look = memo.__getitem__
-        return [b"".join(map(look, units)) for units in cut]
+        if len(self.memo) > self.size:
+            self.older, self.memo = self.memo, _Memo(self._find)
+        if len(self.pieces) > self.size:
+            self.pieces.clear()
+        look, found = self.memo.__getitem__, []
+        for text in texts:
+            units = self.units(text)
+            if self.drops:
+                found.append(b"".join(map(look, units)))
+            else:
+                found.append(self._raw(units[0], "") + b"".join(map(look, units[1:])))
+        return found
 
 
 @lru_cache(maxsize=2)
