@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from jobloom.llm.common import empty_text, frugal, written
+from jobloom.llm.common import empty_text, forget, frugal, written
 from jobloom.llm.tokens import encoder
 
 CAPACITY = 2048
@@ -95,13 +95,15 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """pieces with sequence_id and offset: each piece whole in one sequence of at
     most `capacity`, gapless from 0. `length` must be from 1 to capacity in every
     row. Other columns pass unchanged, nulls and repeated rows too. No rows give none."""
-    given = pieces.withColumn("length", F.col("length").cast("long"))
+    pieces = pieces.withColumn("length", F.col("length").cast("long"))
     # whole numbers as strings in between, for pandas would turn them into floats beside nulls
-    numbers = {k: t for k, t in given.dtypes if t in ("bigint", "int", "smallint", "tinyint") and k != "length"}
+    numbers = {k: t for k, t in pieces.dtypes if t in ("bigint", "int", "smallint", "tinyint") and k != "length"}
     back = lambda rows: rows.withColumns({k: F.col(k).cast(t) for k, t in numbers.items()})
-    pieces = given.withColumns({k: F.col(k).cast("string") for k in numbers})
+    pieces = pieces.withColumns({k: F.col(k).cast("string") for k in numbers})
     kinds = T.StructType([*pieces.schema.fields, T.StructField("_task", T.IntegerType()), T.StructField("_nth", T.LongType())])
-    rows = written(pieces.mapInPandas(_numbered, kinds), "pieces")
+    given = written(pieces, "pieces")  # so that no task needs two Python workers, one with a tokenizer
+    rows = written(given.mapInPandas(_numbered, kinds), "pieces")
+    forget(given)
     counts = written(rows.groupBy("_task", "length").agg(F.count(F.lit(1)).alias("n")), "lengths")
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most capacity rows
     places = _places(plan_bins(histogram, capacity))
