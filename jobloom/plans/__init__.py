@@ -1 +1 @@
-"""plans of the engine."""
+"""Whole runs: the stages in their order, and the tables that queries are run on."""
