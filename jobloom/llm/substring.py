@@ -28,6 +28,9 @@ GROUP_BYTES = 4 << 20
 #: Groups whose hashes meet in a bucket.
 GROUPS_A_BUCKET = 6
 U = np.uint64
+#: Probes travel with 48 of their 64 bits. A chance hit costs a comparison of full
+#: windows, which have all bits.
+PROBE = U(0xFFFFFFFFFFFF0000)
 
 
 def sorted_runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -78,7 +81,7 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         doc = np.repeat(np.arange(len(part)), np.diff(first))[ok]
         aligned = (ok - first[doc]) % block == 0
         ids = part["doc_id"].to_numpy(np.int64)[doc]
-        probe = windows(hashes, block)[ok]
+        probe = windows(hashes, block)[ok] & PROBE
         order, at = sorted_runs(probe)
         flags = np.empty(0, np.uint8)
         if len(at):
@@ -102,7 +105,7 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         """(first, places, ids, hashes) of the windows that hold a block met again."""
         hashes, first = words(part["text"].tolist(), False)
         hits = np.sort(np.concatenate([np.empty(0, U), *(unplanes(x, U) for x in told["hits"])]))
-        hit = member(windows(hashes, block), hits) >= 0
+        hit = member(windows(hashes, block) & PROBE, hits) >= 0
         count = np.concatenate(([0], np.cumsum(hit)))
         ok = inside(first, width)
         n = len(ok)
