@@ -12,7 +12,8 @@ posted and the frequent rest is skipped. A value that only one class has needs
 no posting, and a class with fewer than MATCHES shared values leaves at once.
 
 Merging goes in two turns, so that a large group of near copies never becomes
-all its pairs. First each list links its members to its smallest one; pairs that
+all its pairs. First each list links its members to its hub, the one whose values
+are the most frequent, which in a group of near copies is like the original; pairs that
 agree in MATCHES coordinates are confirmed on the full shingle sets, and
 components formed. Then only lists that still hold several components are
 merged, in blocks of members, and only members of different components are
@@ -43,9 +44,14 @@ MATCHES = 32
 CLASSES, GROUPS_A_BUCKET = 4096, 16
 #: Members of a block of a long list.
 BLOCK = 512
+#: Before two sets are compared in full, they must agree in AGREE of SKETCH further
+#: coordinates, of which a byte each is kept: 4.5 standard deviations below what a
+#: similarity of 0.75 gives.
+SKETCH = 768
+AGREE = 522
 U, U4 = np.uint64, np.uint32
-_SEEDS = mix(np.arange(1, 2 * COORDINATES + 1, dtype=U))
-_FLIP, _TIMES = (_SEEDS[:COORDINATES] >> U(32)).astype(U4), (_SEEDS[COORDINATES:] >> U(32)).astype(U4) | U4(1)
+_SEEDS = mix(np.arange(1, 2 * (COORDINATES + SKETCH) + 1, dtype=U))
+_FLIP, _TIMES = (_SEEDS[::2] >> U(32)).astype(U4), (_SEEDS[1::2] >> U(32)).astype(U4) | U4(1)
 
 
 def shingle_sets(texts: list[str], width: int = SHINGLE) -> list[np.ndarray]:
@@ -70,16 +76,22 @@ def _class_key(own: np.ndarray) -> tuple[int, int]:
     return int(a.view(np.int64)), int(b.view(np.int64))
 
 
-def _signatures(sets: list[np.ndarray]) -> np.ndarray:
+def _signatures(sets: list[np.ndarray], first: int = 0, last: int = COORDINATES) -> np.ndarray:
+    """The coordinates from first to last of each set; no set may be empty."""
     full = np.concatenate(sets)
     starts = np.cumsum([0, *map(len, sets)])[:-1]
     low = (full >> U(32)).astype(U4)
-    out = np.empty((len(sets), COORDINATES), U4)
-    for k in range(COORDINATES):
-        out[:, k] = np.minimum.reduceat((low ^ _FLIP[k]) * _TIMES[k], starts)
+    out = np.empty((len(sets), last - first), U4)
+    for k in range(first, last):
+        out[:, k - first] = np.minimum.reduceat((low ^ _FLIP[k]) * _TIMES[k], starts)
     return out
 
 
+def _sketch(own: np.ndarray) -> bytes:
+    marks = _signatures([own], COORDINATES, COORDINATES + SKETCH)[0]
+    return ((marks >> U4(24)) ^ (marks >> U4(7))).astype(np.uint8).tobytes()
+
+
 def _signed(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for part in parts:
         for at in range(0, len(part), 256):
@@ -98,8 +110,10 @@ def _posted(raw: bytes) -> np.ndarray:
 
 
 def _survivors(classes: DataFrame, n_classes: int) -> DataFrame:
-    """(node, k1, k2, n, doc_id, mark, keys): classes that share MATCHES values or
-    more with others; keys: their prefix of posted keys; mark: signature bytes."""
+    """(node, k1, k2, n, doc_id, weight, slots, keys): classes that share MATCHES values or
+    more with others; keys: their prefix of posted keys; slots: 32 bits of the
+    posted key of each coordinate, 0 where none is posted; weight: postings of all
+    its values."""
     groups = max(1, -(-n_classes // CLASSES))
     buckets = max(1, -(-groups // GROUPS_A_BUCKET))
     rows = classes.withColumn("pid", F.pmod(F.xxhash64("k1", "k2"), F.lit(groups)).cast("int")).groupBy("pid")
@@ -136,26 +150,27 @@ def _survivors(classes: DataFrame, n_classes: int) -> DataFrame:
                 continue
             first = np.lexsort((keys, count))[: COORDINATES - MATCHES + 1]
             first = first[count[first] > 1]
-            mark = (np.frombuffer(row.signature, U4) >> U4(24)).astype(np.uint8) ^ np.frombuffer(row.signature, U4).astype(np.uint8)
-            found.append((row.k1, row.k2, row.n, row.doc_id, mark.tobytes(), keys[first].view(np.int64)))
-        return pd.DataFrame(found, columns=["k1", "k2", "n", "doc_id", "mark", "keys"])
+            slots = np.zeros(COORDINATES, U4)
+            slots[first] = keys[first].astype(U4) | U4(1)
+            found.append((row.k1, row.k2, row.n, row.doc_id, int(count.sum()), slots.tobytes(), [{"key": k, "slot": s} for k, s in zip(keys[first].view(np.int64).tolist(), first.tolist(), strict=True)]))
+        return pd.DataFrame(found, columns=["k1", "k2", "n", "doc_id", "weight", "slots", "keys"])
 
     asked = rows.applyInPandas(ask, "bucket int, pid int, keys binary, counts binary")
     told = asked.groupBy("bucket").applyInPandas(answer, "pid int, keys binary, counts binary")
-    found = rows.cogroup(told.groupBy("pid")).applyInPandas(prefix, "k1 long, k2 long, n long, doc_id long, mark binary, keys array<long>")
+    found = rows.cogroup(told.groupBy("pid")).applyInPandas(prefix, "k1 long, k2 long, n long, doc_id long, weight long, slots binary, keys array<struct<key:long,slot:int>>")
     return written(found.withColumn("node", F.monotonically_increasing_id()), "survivors")
 
 
-def _agreeing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs (a, b) that agree in MATCHES coordinates and could be similar by size."""
-    side = lambda s: nodes.select(F.col("node").alias(s), F.col("mark").alias(f"m{s}"), F.col("n").alias(f"n{s}"))
+def _agreeing(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) that agree in the sketch and could be similar by size."""
+    side = lambda s: sets.select(F.col("node").alias(s), F.col("sketch").alias(f"m{s}"), F.col("n").alias(f"n{s}"))
     rows = pairs.join(side("a"), "a").join(side("b"), "b").filter(f"100 * least(na, nb) >= {PERCENT} * greatest(na, nb)")
 
     def agree(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             if len(part):
-                x, y = (np.frombuffer(b"".join(part[c]), np.uint8).reshape(-1, COORDINATES) for c in ("ma", "mb"))
-                yield part.loc[(x == y).sum(axis=1) >= MATCHES, ["a", "b"]]
+                x, y = (np.frombuffer(b"".join(part[c]), np.uint8).reshape(-1, SKETCH) for c in ("ma", "mb"))
+                yield part.loc[(x == y).sum(axis=1) >= AGREE, ["a", "b"]]
 
     return rows.mapInPandas(agree, "a long, b long")
 
@@ -177,7 +192,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, set) of the survivors, from their whole texts."""
+    """(node, n, set, sketch) of the survivors, from their whole texts."""
     rows = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", empty_text().alias("text")).join(nodes.select("doc_id", "node", "k1", "k2"), "doc_id")
 
     def own(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -186,14 +201,16 @@ def _full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                 some = part.iloc[at : at + 256]
                 sets = shingle_sets(some["text"].tolist())
                 same = [_class_key(x) == (a, b) for x, a, b in zip(sets, some["k1"], some["k2"], strict=True)]
-                yield pd.DataFrame({"node": some["node"], "set": [x.tobytes() for x in sets]})[same]
+                found = [(node, len(x), x.tobytes(), _sketch(x)) for node, x, ok in zip(some["node"], sets, same, strict=True) if ok]
+                yield pd.DataFrame(found, columns=["node", "n", "set", "sketch"])
 
-    return written(rows.mapInPandas(own, "node long, set binary").dropDuplicates(["node"]), "sets")
+    return written(rows.mapInPandas(own, "node long, n long, set binary, sketch binary").dropDuplicates(["node"]), "sets")
 
 
-def _cross_pairs(posts: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(a, b): members of one list, of different components, that agree in MATCHES
-    coordinates. Long lists are compared block by block."""
+def _cross_pairs(posts: DataFrame, labels: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): members of one list, of different components, that agree in the
+    sketch. Long lists are compared block by block, and a pair only in the list of
+    the first coordinate that both have posted alike."""
     rows = posts.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     mixed = rows.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("g")).filter("lo <> hi").select("key", "g")
     rows = written(rows.join(mixed, "key"), "mixed")
@@ -201,15 +218,16 @@ def _cross_pairs(posts: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataF
     blocks = F.ceil(F.col("g") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node"), F.col("c")).cast("int")
     rows = rows.withColumn("c", blocks).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("c") - 1)))
-    rows = rows.select("node", "label", "key", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    rows = rows.join(nodes.select("node", "n", "mark"), "node")
+    rows = rows.select("node", "label", "key", "slot", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    rows = rows.join(nodes.select("node", "slots"), "node").join(sets.select("node", "n", "sketch"), "node")
     rows = rows.withColumn("task", F.pmod(F.xxhash64("key", "i", "j"), F.lit(max(1, total // (4 * BLOCK)))))
 
     def pairs(part: pd.DataFrame) -> pd.DataFrame:
         found = []
         for (_, i, j), own in part.groupby(["key", "i", "j"], sort=False):
             node, label, n = (own[c].to_numpy(np.int64) for c in ("node", "label", "n"))
-            mark = np.frombuffer(b"".join(own["mark"]), np.uint8).reshape(-1, COORDINATES)
+            mark = np.frombuffer(b"".join(own["sketch"]), np.uint8).reshape(-1, SKETCH)
+            slots, slot = np.frombuffer(b"".join(own["slots"]), U4).reshape(-1, COORDINATES), int(own["slot"].iloc[0])
             block = own["own"].to_numpy()
             left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
             for at in range(0, len(left), 64):
@@ -219,15 +237,17 @@ def _cross_pairs(posts: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataF
                     ok &= node[x] < node[right]
                 p, q = np.nonzero(ok)
                 p, q = left[at + p], right[q]
-                for k in range(0, len(p), 65536):
-                    a, b = p[k : k + 65536], q[k : k + 65536]
-                    same = (mark[a] == mark[b]).sum(axis=1) >= MATCHES
+                for k in range(0, len(p), 8192):
+                    a, b = p[k : k + 8192], q[k : k + 8192]
+                    here = ((slots[a] == slots[b]) & (slots[a] > 0)).argmax(axis=1) == slot
+                    a, b = a[here], b[here]
+                    same = (mark[a] == mark[b]).sum(axis=1) >= AGREE
                     a, b = node[a[same]], node[b[same]]
                     found.append(np.stack((np.minimum(a, b), np.maximum(a, b)), axis=1))
-        every = np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), np.int64)
+        every = np.concatenate(found) if found else np.empty((0, 2), np.int64)
         return pd.DataFrame(every, columns=["a", "b"])
 
-    return rows.groupBy("task").applyInPandas(pairs, "a long, b long").distinct()
+    return rows.groupBy("task").applyInPandas(pairs, "a long, b long")
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
@@ -249,12 +269,12 @@ def near_groups(docs: DataFrame) -> DataFrame:
     standing = signed.join(classes, ["k1", "k2", "doc_id"], "left_semi")
     nodes = _survivors(standing, classes.count())
     sets = _full_sets(docs, nodes)
-    posts = nodes.select("node", F.explode("keys").alias("key"))
-    centre = posts.groupBy("key").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("g")).filter("g > 1").select("key", "a")
+    posts = nodes.select("node", "weight", F.explode("keys").alias("_key")).select("node", "weight", "_key.key", "_key.slot")
+    centre = posts.groupBy("key").agg(F.max_by("node", "weight").alias("a"), F.count(F.lit(1)).alias("g")).filter("g > 1").select("key", "a")
     stars = posts.join(centre, "key").filter("node <> a").select("a", F.col("node").alias("b")).distinct()
-    links = written(_confirmed(_agreeing(stars, nodes), sets), "links")
+    links = written(_confirmed(_agreeing(stars, sets), sets), "links")
     labels = components(links)
-    cross = _cross_pairs(posts, labels, nodes)
+    cross = _cross_pairs(posts, labels, nodes, sets)
     more = written(_confirmed(cross, sets), "links")
     if not more.isEmpty():
         labels = components(links.unionByName(more))
