@@ -97,6 +97,13 @@ def dealt(docs: DataFrame, group_bytes: int, also: tuple[str, ...] = ()) -> tupl
     return docs.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), no_id.alias("no_id"), empty_text().alias("text"), *also, pid.alias("pid")), groups
 
 
+def whole_ids(values, null) -> "pd.arrays.IntegerArray":
+    """Integers with nulls where null is true, never by way of floats."""
+    import pandas as pd
+
+    return pd.arrays.IntegerArray(np.array(values, np.int64), np.array(null, bool))
+
+
 def planes(values: np.ndarray) -> bytes:
     """Bytes of an array, plane by plane: the high bytes of sorted values then
     compress to almost nothing in the shuffle."""

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobloom.llm.common import dealt, frugal, planes, unplanes
+from jobloom.llm.common import dealt, frugal, planes, unplanes, whole_ids
 from jobloom.llm.textvec import inside, windows, words
 
 WIDTH = 13
@@ -160,7 +160,9 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         for text in part[part["no_id"]]["text"]:
             own = text.encode("utf-8", "surrogatepass").split()
             found.append((None, b" ".join(own).decode("utf-8", "surrogatepass"), len(own), 0, []))
-        return pd.DataFrame(found, columns=["doc_id", "text", "n_words", "n_removed", "spans"]).astype({"doc_id": "Int64"})
+        out = pd.DataFrame([x[1:] for x in found], columns=["text", "n_words", "n_removed", "spans"])
+        out.insert(0, "doc_id", whole_ids([x[0] or 0 for x in found], [x[0] is None for x in found]))
+        return out
 
     dealt_rows = rows.groupBy("pid")
     blobs = dealt_rows.applyInPandas(anchors, "bucket int, pid int, hashes binary, flags binary")
