@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobloom.llm.common import dealt, empty_text, frugal, planes, scratch_path, unplanes, written
+from jobloom.llm.common import dealt, empty_text, forget, frugal, planes, scratch_path, unplanes, whole_ids, written
 from jobloom.llm.substring import sorted_runs
 from jobloom.llm.textvec import mix, words
 
@@ -45,7 +45,7 @@ _Q = U(0xC2B2AE3D27D4EB4F)
 
 
 class Model(NamedTuple):
-    """root: folder of the shards; bigrams, words: (bucket, name) tables; the rest
+    """root: folder of the shards; bigrams, words: tables (bucket, name, n); the rest
     are numbers: tokens N, distinct tokens V, distinct bigrams, discounts."""
 
     root: str
@@ -77,7 +77,7 @@ def tokens_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def pair_key(before: np.ndarray, token: np.ndarray) -> np.ndarray:
-    return mix(before * _Q + token)
+    return mix(before * _Q + token) & _ASKED
 
 
 def pair_bucket(before: np.ndarray, token: np.ndarray, hot: np.ndarray, buckets: int) -> np.ndarray:
@@ -125,6 +125,7 @@ def discounts(n: list[int]) -> tuple[float, float, float]:
 
 
 def discounted(count: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
+    """What the discount leaves of each count."""
     return count - np.array([0.0, *d])[np.minimum(count, 3)]
 
 
@@ -163,8 +164,22 @@ def _mapped(root: str, name: str, n: int, kinds: dict[str, str]):
             os.unlink(copy)
 
 
-_PAIR = {"key": "<u8", "count": "<u4"}
-_WORD = {"key": "<u8", "count": "<i8", "total": "<i8", "one": "<i4", "two": "<i4", "more": "<i4", "contexts": "<i4"}
+#: Counts of 255 and more stand beside the shard's name.
+_PAIR = {"high": "<u4", "low": "<u2", "count": "u1"}
+#: Questions have 48 bits of the key; its bucket is known besides.
+_ASKED = U(0xFFFFFFFFFFFF0000)
+#: A word is as often a context as it is met; the beginning counts as often as the end.
+_WORD = {"key": "<u8", "count": "<i8", "one": "<u4", "two": "<u4", "more": "<u4", "contexts": "<u4"}
+
+
+def _find(table: dict, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place, whether it is there) of each key in a shard of bigrams."""
+    high, low = (keys >> U(32)).astype("<u4"), (keys >> U(16)).astype("<u2")
+    last = len(table["high"]) - 1
+    at = np.minimum(np.searchsorted(table["high"], high), last)
+    while (step := (table["high"][at] == high) & (table["low"][at] < low) & (at < last)).any():
+        at += step
+    return at, (table["high"][at] == high) & (table["low"][at] == low)
 
 
 def train(docs: DataFrame, root: str | None = None) -> Model:
@@ -225,7 +240,8 @@ def train(docs: DataFrame, root: str | None = None) -> Model:
         keys = pair_key(before[order][at], token[order][at])
         before, token, count = before[order][at], token[order][at], np.add.reduceat(count[order], at)
         name = f"pairs-{key[0]:06d}-{uuid.uuid4().hex}.bin"
-        _write(root, name, key=keys, count=count.astype("<u4"))
+        _write(root, name, high=(keys >> U(32)).astype("<u4"), low=(keys >> U(16)).astype("<u2"), count=np.minimum(count, 255).astype("u1"))
+        big = np.flatnonzero(count >= 255)
         found = []
         order, at = sorted_runs(before)
         own, c = before[order][at], count[order]
@@ -235,14 +251,14 @@ def train(docs: DataFrame, root: str | None = None) -> Model:
             bucket = (mix(word) % U(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             word, values = word[order], values[:, order]
-            found += [(kind, b, planes(word[i:j]), planes(np.ascontiguousarray(values[:, i:j]).reshape(-1)), None, 0, None) for b, i, j in _sliced(bucket[order])]
+            found += [(kind, b, planes(word[i:j]), planes(np.ascontiguousarray(values[:, i:j]).reshape(-1)), None, 0, None, None, None) for b, i, j in _sliced(bucket[order])]
         of = [int((count == k).sum()) for k in (1, 2, 3, 4)]
-        found.append(("s", int(key[0]), None, None, name, len(keys), of))
-        return pd.DataFrame(found, columns=["kind", "bucket", "keys", "values", "name", "n", "of"])
+        found.append(("s", int(key[0]), None, None, name, len(keys), of, big, count[big]))
+        return pd.DataFrame(found, columns=["kind", "bucket", "keys", "values", "name", "n", "of", "big", "big_n"])
 
     pairs = texts.mapInPandas(bigrams, "bucket long, contexts binary, runs binary, tokens binary, counts binary")
-    told = written(pairs.groupBy("bucket").applyInPandas(pair_shard, "kind string, bucket long, keys binary, values binary, name string, n long, of array<long>"), "bigrams")
-    shards = told.filter("kind = 's'")
+    told = written(pairs.groupBy("bucket").applyInPandas(pair_shard, "kind string, bucket long, keys binary, values binary, name string, n long, of array<long>, big array<long>, big_n array<long>"), "bigrams")
+    shards = written(told.filter("kind = 's'").select("bucket", "name", "n", "of", "big", "big_n"), "shards")
     of = shards.select(F.sum("n"), *[F.sum(F.col("of")[k]) for k in range(4)]).first()
     distinct_pairs = of[0] or 0
 
@@ -257,7 +273,8 @@ def train(docs: DataFrame, root: str | None = None) -> Model:
                 at = np.searchsorted(word, unplanes(keys, U))
                 table[rows, at] += unplanes(values, np.int64).reshape(-1, len(at))
         name = f"words-{key[0]:06d}-{uuid.uuid4().hex}.bin"
-        columns = dict(zip(list(_WORD)[1:], table, strict=True))
+        table[1] = np.maximum(table[0], table[1])
+        columns = dict(zip(list(_WORD)[1:], table[1:], strict=True))
         _write(root, name, key=word, **{k: x.astype(_WORD[k]) for k, x in columns.items()})
         contexts = columns["contexts"]
         of = [int((contexts == k).sum()) for k in (1, 2, 3, 4)] + [int((contexts >= 3).sum())]
@@ -266,10 +283,11 @@ def train(docs: DataFrame, root: str | None = None) -> Model:
     by_word = told.filter("kind <> 's'").select("kind", "bucket", "keys", "values")
     by_word = by_word.unionByName(counted.select(F.lit("u").alias("kind"), "bucket", "keys", F.col("counts").alias("values")))
     named = written(by_word.groupBy("bucket").applyInPandas(word_shard, "bucket long, name string, n long, of array<long>"), "words")
+    forget(told, counted)
     low = [x or 0 for x in named.select(*[F.sum(F.col("of")[k]) for k in range(5)]).first()]
     d, d1 = discounts([x or 0 for x in of[1:]]), discounts(low[:4])
     rest = (d1[0] * low[0] + d1[1] * low[1] + d1[2] * low[4]) / distinct_pairs if distinct_pairs else 1.0
-    return Model(root, shards.select("bucket", "name", "n"), named.select("bucket", "name", "n"), buckets, hot, total, vocabulary, distinct_pairs, d, d1, rest)
+    return Model(root, shards.drop("of"), named.drop("of"), buckets, hot, total, vocabulary, distinct_pairs, d, d1, rest)
 
 
 def score(docs: DataFrame, model: Model, also: tuple[str, ...] = ()) -> DataFrame:
@@ -321,17 +339,20 @@ def score(docs: DataFrame, model: Model, also: tuple[str, ...] = ()) -> DataFram
                 if table is None:
                     at, ok = np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
                 else:
-                    at = np.minimum(np.searchsorted(table["key"], keys), n - 1)
-                    ok = table["key"][at] == keys
+                    at, ok = _find(table, keys) if kind == "p" else (np.minimum(np.searchsorted(table["key"], keys), n - 1), None)
+                    ok = table["key"][at] == keys if ok is None else ok
                 get = lambda k: np.where(ok, table[k][at], 0) if table is not None else np.zeros(len(keys), np.int64)  # noqa: B023, E731
                 if kind == "p":
-                    values = planes(get("count").astype("<u4"))
+                    count = get("count").astype("<u4")
+                    big = np.flatnonzero(count == 255)
+                    if len(big):
+                        count[big] = shard["big_n"].iloc[0][np.searchsorted(shard["big"].iloc[0], at[big])]
+                    values = planes(count)
                 else:
-                    low = discounted(get("contexts").astype(np.int64), d1) / pairs + rest * uniform
-                    total = get("total").astype(np.float64)
+                    count = get("count")
                     left = d[0] * get("one") + d[1] * get("two") + d[2] * get("more")
-                    back = np.where(total > 0, left / np.maximum(total, 1), 1.0)
-                    values = planes(get("count").astype("<i8")) + planes(total.astype("<i8")) + planes(low) + planes(back)
+                    back = np.where(count > 0, left / np.maximum(count, 1), 1.0)
+                    values = planes(count.astype("<i8")) + planes(get("contexts").astype("<u4")) + planes(back.astype("<f4"))
                 found.append((kind, int(key[1]), pid, values))
         return pd.DataFrame(found, columns=["kind", "bucket", "pid", "values"])
 
@@ -342,24 +363,24 @@ def score(docs: DataFrame, model: Model, also: tuple[str, ...] = ()) -> DataFram
         told = told.sort_values("bucket")
         blobs = {k: told[told["kind"] == k]["values"] for k in ("w", "p")}
         pair_count = np.concatenate([unplanes(x, "<u4") for x in blobs["p"]]).astype(np.int64)
-        cut = [[x[i * len(x) // 4 : (i + 1) * len(x) // 4] for x in blobs["w"]] for i in range(4)]
-        count, total = (np.concatenate([unplanes(x, "<i8") for x in cut[i]]) for i in (0, 1))
-        low, back = (np.concatenate([unplanes(x, "<f8") for x in cut[i]]) for i in (2, 3))
+        cut = lambda i, j, kind: np.concatenate([unplanes(x[i * len(x) // 4 : j * len(x) // 4], kind) for x in blobs["w"]])
+        count, back = cut(0, 2, "<i8"), cut(3, 4, "<f4").astype(np.float64)
+        low = discounted(cut(2, 3, "<u4").astype(np.int64), d1) / pairs + rest * uniform
         words_asked, _, at = asked["w"]
         order = np.argsort(words_asked)
         place = lambda x: order[np.searchsorted(words_asked[order], x)]
         h, w = (place(x) for x in asked["pair_of"])
-        p = np.where(total[h] > 0, discounted(pair_count, d) / np.maximum(total[h], 1), 0.0) + back[h] * low[w]
+        p = np.where(count[h] > 0, discounted(pair_count, d) / np.maximum(count[h], 1), 0.0) + back[h] * low[w]
         begin = asked["begin"]
         per_token = np.log10(p)[asked["p"][2]]
         n = count[at[: begin[-1]]]
         sums = [np.add.reduceat(x, begin[:-1]) for x in ((n > 0).astype(np.int64), np.log10((n + 1) / floor), per_token)]
-        out = {"doc_id": part["doc_id"].where(~part["no_id"]).astype("Int64"), **{c: part[c] for c in also}, "n_tokens": np.diff(begin)}
+        out = {"doc_id": whole_ids(part["doc_id"], part["no_id"]), **{c: part[c] for c in also}, "n_tokens": np.diff(begin)}
         return pd.DataFrame(out | dict(zip(names[-3:], sums, strict=True)))[names]
 
     groups = rows.groupBy("pid")
     asked = groups.applyInPandas(ask, "kind string, bucket long, pid int, keys binary")
-    stored = model.bigrams.withColumn("kind", F.lit("p")).unionByName(model.words.withColumn("kind", F.lit("w")))
+    stored = model.bigrams.withColumn("kind", F.lit("p")).unionByName(model.words.withColumn("kind", F.lit("w")), allowMissingColumns=True)
     answers = asked.groupBy("kind", "bucket").cogroup(stored.groupBy("kind", "bucket")).applyInPandas(_only_asked(answer), "kind string, bucket long, pid int, values binary")
     kinds = dict(rows.dtypes)
     schema = ", ".join(["doc_id long", *(f"{c} {kinds[c]}" for c in also), "n_tokens long, n_known long, base_score double, score double"])
@@ -370,7 +391,7 @@ def _only_asked(answer):
     """Shards that nobody asks for need no answer."""
 
     def maybe(key: tuple, part: pd.DataFrame, shard: pd.DataFrame) -> pd.DataFrame:
-        return answer(key, part, shard) if len(part) else pd.DataFrame({"kind": [], "bucket": [], "pid": [], "values": []})
+        return answer(key, part, shard) if len(part) else part.assign(values=part["keys"])[["kind", "bucket", "pid", "values"]]
 
     return maybe
 
