@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from jobloom.functions.lineage import cut_lineage
 from jobloom.functions.similarity import name_similarity
-from jobloom.functions.text import extract_address, normalize_company_name, normalize_region, preprocess_text, text_of, title_and_detail
+from jobloom.functions.text import BLANK, extract_address, normalize_company_name, normalize_region, preprocess_text, text_of, title_and_detail
 from jobloom.operators import lexical
 from jobloom.sources.tables import first_wins
 
@@ -91,6 +91,10 @@ def _company_side(companies: DataFrame) -> DataFrame:
     return companies.select(*[F.col(c).alias(f"c_{c}") for c in names])
 
 
+def _java(pattern: str) -> str:
+    return pattern.replace(r"\S", "[^" + BLANK[1:]).replace(r"\s", BLANK)
+
+
 def _blocked(name: Column) -> Column:
     return F.lower(name).isin(BLOCKED)
 
@@ -171,7 +175,7 @@ def potential_names(text: Column, marked: float = MARKED_CONFIDENCE) -> Column:
     first = F.when((F.length(head) >= 2) & ~_blocked(head), head)
     several = [F.when((F.size(word) >= n) & (F.length(F.array_join(F.slice(word, 1, n), " ")) > n), F.array_join(F.slice(word, 1, n), " ")) for n in (2, 3)]
     plain = F.transform(F.array_compact(F.array(first, *several)), lambda n: entry(n, PLAIN_CONFIDENCE))
-    beside = F.flatten(F.array(*[F.regexp_extract_all(text, F.lit(p), F.lit(1)) for p in MARKED_NAMES]))
+    beside = F.flatten(F.array(*[F.regexp_extract_all(text, F.lit(_java(p)), F.lit(1)) for p in MARKED_NAMES]))
     beside = F.filter(beside, lambda n: (F.length(n) >= 2) & ~_blocked(n))
     return F.concat(plain, F.transform(beside, lambda n: entry(n, marked)))
 
@@ -255,6 +259,7 @@ def match_progressively(postings: DataFrame, companies: DataFrame, policies: tup
     """Policies in turn, each over what is left; with matching_attempt, from 0."""
     left, found = postings, []
     for attempt, policy in enumerate(policies):
+        left = cut_lineage(left) if attempt else left
         got = match(left, companies, policy) if by_text else match_by_name(left, companies, policy)
         got = cut_lineage(got.withColumn("matching_attempt", F.lit(attempt)))
         found.append(got)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobloom import schemas
+from jobloom.functions.lineage import cut_lineage
 from jobloom.operators import classify, dedup, match, merge, skills
 from jobloom.sources import tables
 
@@ -31,19 +32,22 @@ def merged(inputs: Inputs) -> DataFrame:
 
 
 def deduplicated(rows: DataFrame, fuzzy: bool = False) -> DataFrame:
-    rows = dedup.exact_dedup(rows)
-    return dedup.fuzzy_dedup_source(dedup.fuzzy_dedup_month(rows)) if fuzzy else rows
+    """Each stage reads its input several times, so lineage is cut between them."""
+    rows = cut_lineage(dedup.exact_dedup_source(cut_lineage(dedup.exact_dedup_month(cut_lineage(rows)))))
+    return cut_lineage(dedup.fuzzy_dedup_source(cut_lineage(dedup.fuzzy_dedup_month(rows)))) if fuzzy else rows
 
 
 def run(inputs: Inputs) -> DataFrame:
     """Merge, deduplicate, match companies, attach occupations, tag skills, expand.
     Stage outputs are joined by pst_id."""
     rows = deduplicated(merged(inputs), inputs.fuzzy)
-    matched = match.match_progressively(match.prepare_postings(rows), match.prepare_companies(inputs.companies))
+    companies = cut_lineage(match.prepare_companies(inputs.companies))
+    matched = match.match_progressively(cut_lineage(match.prepare_postings(rows)), companies)
     rows = rows.join(matched.select("pst_id", "matched_company_name", "bzno", "ksic", "ksic9"), "pst_id", "left")
     if inputs.predictions is not None and inputs.occupations is not None:
         codes = classify.with_codes(inputs.predictions, inputs.occupations).select("pst_id", "keco_4", "keco_t")
         rows = rows.join(codes, "pst_id", "left")
+    rows = cut_lineage(rows)
     tagged = skills.joined_columns(skills.match_skills(rows, inputs.skills), inputs.skills)
     rows = tables.update_by_key(rows, tagged.select("pst_id", "skill_code"), "pst_id", ["skill_code"])
     return skills.expand(rows, inputs.skills)

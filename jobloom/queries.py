@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from jobloom import schemas
 from jobloom.functions import text
+from jobloom.functions.lineage import cut_lineage
 from jobloom.functions.similarity import name_similarity, partial_ratio
 from jobloom.operators import classify, dedup, lexical, match, merge, skills
 from jobloom.plans import fixtures as fx
@@ -183,7 +184,7 @@ def fuzzy_pairs_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def fuzzy_dedup_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.fuzzy_dedup_month(dedup.exact_dedup(fx.postings(spark, sf_dir))).select("pst_id", "source", "month")
+    return dedup.fuzzy_dedup_month(cut_lineage(dedup.exact_dedup(fx.postings(spark, sf_dir)))).select("pst_id", "source", "month")
 
 
 @query(
