@@ -15,32 +15,40 @@ PREFIX_FACTOR, SHORT_PREFIX_FACTOR, SHORT_PREFIX = 0.8, 0.5, 3
 
 
 def _grams(text: Column, n: int) -> Column:
-    """Distinct n-grams of characters; none of a text that is shorter. text is a
-    bound variable or a column."""
+    """Distinct n-grams of characters; none of a text that is shorter."""
     at = F.when(F.length(text) >= n, F.sequence(F.lit(1), F.length(text) - (n - 1))).otherwise(F.array().cast("array<int>"))
     return F.array_distinct(F.transform(at, lambda i: F.substring(text, i, F.lit(n))))
 
 
-def _jaccard(a: Column, b: Column) -> Column:
-    sizes = F.struct(F.size(F.array_union(a, b)).alias("union"), F.size(F.array_intersect(a, b)).alias("both"))
-    return let(sizes, lambda s: F.when(s["union"] == 0, 0.0).otherwise(s["both"] / s["union"]))
+def name_parts(column: Column | str) -> Column:
+    """What name_similarity compares of a name, to be computed once for each name:
+    (t: lower case, g1: characters, g2: bigrams)."""
+    text = F.lower(F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit("")))
+    return let(text, lambda t: F.struct(t.alias("t"), _grams(t, 1).alias("g1"), _grams(t, 2).alias("g2")))
 
 
-def name_similarity(a: Column | str, b: Column | str) -> Column:
-    """From 0 to 1: equal names 1, a name that begins with the other by their
-    lengths, else by common characters, bigrams and lengths."""
-    a, b = (F.lower(F.coalesce(F.col(x) if isinstance(x, str) else x, F.lit(""))) for x in (a, b))
-    return let(F.struct(a.alias("a"), b.alias("b")), lambda x: _name_similarity(x["a"], x["b"]))
+def parts_similarity(x: Column, y: Column) -> Column:
+    """name_similarity of two columns of name_parts."""
+    a, b = x["t"], y["t"]
+    short, long = F.least(F.length(a), F.length(b)), F.greatest(F.length(a), F.length(b))
 
+    def jaccard(k: str) -> Column:
+        both = F.size(F.array_intersect(x[k], y[k]))
+        union = F.size(x[k]) + F.size(y[k]) - both
+        return F.when(union == 0, 0.0).otherwise(both / union)
 
-def _name_similarity(a: Column, b: Column) -> Column:
-    short, long = F.least(F.length(a), F.length(b)), F.greatest(F.length(a), F.length(b))
-    prefix = F.startswith(a, b) | F.startswith(b, a)
     by_prefix = short / long * F.when(short < SHORT_PREFIX, SHORT_PREFIX_FACTOR).otherwise(PREFIX_FACTOR)
-    mixed = CHAR_WEIGHT * _jaccard(_grams(a, 1), _grams(b, 1)) + BIGRAM_WEIGHT * _jaccard(_grams(a, 2), _grams(b, 2)) + LENGTH_WEIGHT * (short / long)
+    mixed = CHAR_WEIGHT * jaccard("g1") + BIGRAM_WEIGHT * jaccard("g2") + LENGTH_WEIGHT * (short / long)
+    prefix = F.startswith(a, b) | F.startswith(b, a)
     return F.when((a == "") | (b == ""), 0.0).when(a == b, 1.0).when(prefix, by_prefix).otherwise(mixed)
 
 
+def name_similarity(a: Column | str, b: Column | str) -> Column:
+    """From 0 to 1: equal names 1, a name that begins with the other by their
+    lengths, else by common characters, bigrams and lengths."""
+    return let(F.struct(name_parts(a).alias("x"), name_parts(b).alias("y")), lambda p: parts_similarity(p["x"], p["y"]))
+
+
 def _common(short: str, window: str) -> int:
     """Length of the longest common subsequence, a bit for each character of short."""
     at = {}

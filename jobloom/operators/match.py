@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobloom.functions.lineage import cut_lineage
-from jobloom.functions.similarity import name_similarity
+from jobloom.functions.similarity import name_parts, parts_similarity
 from jobloom.functions.text import BLANK, extract_address, normalize_company_name, normalize_region, preprocess_text, text_of, title_and_detail
 from jobloom.operators import lexical
 from jobloom.sources.tables import first_wins
@@ -110,15 +110,19 @@ def name_candidates(postings: DataFrame, companies: DataFrame, policy: Policy) -
     similarity threshold; the NAME_CANDIDATES most similar, ties to smaller bzno."""
     names = postings.select("processed_co_nm").filter("processed_co_nm <> ''").distinct()
     side = _company_side(companies)
+    titles = side.select("c_bzno", "c_processed_title")
     short = F.length("processed_co_nm") <= policy.short
     long_names = names.filter(~short)
     found = [
-        lexical.phrase_matches(names, side, "processed_co_nm", "c_processed_title"),
-        lexical.prefix_matches(long_names, side, "processed_co_nm", "c_processed_title"),
-        lexical.fuzzy_matches(long_names, side, "processed_co_nm", "c_processed_title", policy.fuzziness, policy.prefix),
+        lexical.phrase_matches(names, titles, "processed_co_nm", "c_processed_title"),
+        lexical.prefix_matches(long_names, titles, "processed_co_nm", "c_processed_title"),
+        lexical.fuzzy_matches(long_names, titles, "processed_co_nm", "c_processed_title", policy.fuzziness, policy.prefix),
     ]
-    every = reduce(DataFrame.unionByName, found).distinct()
-    every = every.withColumn("similarity", name_similarity("processed_co_nm", "c_processed_title"))
+    # pairs by their keys, then the parts of each name and title, computed once
+    pairs = reduce(DataFrame.unionByName, [d.select("processed_co_nm", "c_bzno") for d in found]).distinct()
+    parted = cut_lineage(side.withColumn("_y", name_parts("c_processed_title")))
+    every = pairs.join(cut_lineage(names.withColumn("_x", name_parts("processed_co_nm"))), "processed_co_nm").join(parted, "c_bzno")
+    every = every.withColumn("similarity", parts_similarity(F.col("_x"), F.col("_y"))).drop("_x", "_y")
     every = every.filter(F.col("similarity") >= F.when(short, policy.similarity_short).otherwise(policy.similarity))
     return _best(every, ["processed_co_nm"], "similarity", NAME_CANDIDATES)
 

@@ -33,20 +33,48 @@ def unwrap_pattern(key: object) -> re.Pattern | None:
         return None
 
 
-def compiled(skills: DataFrame) -> list[tuple[str, str, re.Pattern]]:
+#: Characters beside ASCII that a case-insensitive pattern takes for ASCII letters.
+_ALIKE = "ſKıİ"
+
+
+class Literal:
+    """A pattern of plain ASCII characters: a substring test does for its search."""
+
+    def __init__(self, pattern: re.Pattern) -> None:
+        self.pattern, self.fold = pattern, bool(pattern.flags & re.IGNORECASE)
+        self.word = pattern.pattern.lower() if self.fold else pattern.pattern
+
+    def found(self, text: str, lower: str, plain: bool) -> bool:
+        if not self.fold:
+            return self.word in text
+        return self.word in lower if plain else bool(self.pattern.search(text))
+
+
+class Pattern(Literal):
+    def found(self, text: str, lower: str, plain: bool) -> bool:
+        return bool(self.pattern.search(text))
+
+
+def searcher(pattern: re.Pattern) -> Literal:
+    simple = pattern.pattern.isascii() and re.fullmatch(r"[\w ]+", pattern.pattern)
+    return Literal(pattern) if simple else Pattern(pattern)
+
+
+def compiled(skills: DataFrame) -> list[tuple[str, str, Literal]]:
     """(code, name in lower case, pattern) by code. The dictionary is a dimension of
     bounded size, held by each worker."""
     rows = skills.filter("ext_key is not null and skill_name is not null").select("skill_code", "skill_name", "ext_key").limit(MOST_SKILLS + 1).collect()
     if len(rows) > MOST_SKILLS:
         raise ValueError(f"a dictionary of more than {MOST_SKILLS} skills is to be split and tagged in parts")
-    return [(r[0], r[1].lower(), p) for r in sorted(rows) if (p := unwrap_pattern(r[2]))]
+    return [(r[0], r[1].lower(), searcher(p)) for r in sorted(rows) if (p := unwrap_pattern(r[2]))]
 
 
-def tag(text: str, skills: list[tuple[str, str, re.Pattern]], top: int = TOP, least: float = LEAST) -> list[tuple[str, float]]:
+def tag(text: str, skills: list[tuple[str, str, Literal]], top: int = TOP, least: float = LEAST) -> list[tuple[str, float]]:
     """The `top` most similar skills whose pattern is in the text, ties by code."""
     lower, found = text.lower(), []
+    plain = not any(c in text for c in _ALIKE)
     for code, name, pattern in skills:
-        if pattern.search(text) and (ratio := best_window_ratio(name, lower)) >= least:
+        if pattern.found(text, lower, plain) and (ratio := best_window_ratio(name, lower)) >= least:
             found.append((-ratio, code))
     return [(code, -ratio) for ratio, code in sorted(found)[:top]]
 
