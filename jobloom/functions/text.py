@@ -136,12 +136,17 @@ def title_and_detail(title: Column | str, detail: Column | str) -> Column:
 def preprocess_description(column: Column | str) -> Column:
     """Without boilerplate, up to the first section heading; a heading at the very
     start leaves one character."""
-    text = text_of(column)
-    for pattern in DESCRIPTION_BOILERPLATE:
-        text = F.regexp_replace(text, "(?iu)" + _java(pattern), "")
+
+    def cleaned(text: Column) -> Column:
+        for pattern in DESCRIPTION_BOILERPLATE:
+            text = F.regexp_replace(text, "(?iu)" + _java(pattern), "")
+        return text
+
     heading = F.lit("(?iu)(" + "|".join(map(_java, DESCRIPTION_HEADINGS)) + ")")
     cut = lambda x: F.when(x["p"] > 0, F.substring(x["t"], F.lit(1), F.greatest(x["p"] - 1, F.lit(1)))).otherwise(x["t"])
-    return squeeze(let(text, lambda t: let(F.struct(t.alias("t"), F.regexp_instr(t, heading).alias("p")), cut)))
+    shorter = lambda text: let(cleaned(text), lambda t: let(F.struct(t.alias("t"), F.regexp_instr(t, heading).alias("p")), cut))
+    # every pattern holds a Hangul syllable, so a text without any stays as it is
+    return squeeze(let(text_of(column), lambda t: F.when(t.rlike("[가-힣]"), shorter(t)).otherwise(t)))
 
 
 def posting_time(column: Column | str) -> Column:
