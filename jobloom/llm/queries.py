@@ -86,6 +86,30 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS
       FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+""",
+    "op3_minhash_near_dedup": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS l FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(l) >= 5 THEN list_transform(range(1, len(l) - 3), lambda i: array_to_string(list_slice(l, i, i + 4), ' '))
+                                        WHEN len(l) > 0 THEN [array_to_string(l, ' ')] ELSE [] END) AS k FROM w),
+u AS (SELECT doc_id, len(k) AS n, unnest(k) AS g FROM s),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM u a JOIN u b ON a.g = b.g AND a.doc_id < b.doc_id
+      GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 75 * (any_value(a.n) + any_value(b.n) - count(*))),
+e AS (SELECT a, b FROM c UNION ALL SELECT b, a FROM c),
+r AS (SELECT doc_id AS id, doc_id AS reach FROM w UNION SELECT r.id, e.b FROM r JOIN e ON e.a = r.reach)
+SELECT s.doc_id, len(k) AS n_shingles, min(reach) AS component_id, s.doc_id = min(reach) AS kept
+FROM s JOIN r ON r.id = s.doc_id GROUP BY s.doc_id, len(k)
+""",
+    "op7_substring_dedup": r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS l FROM documents),
+s AS (SELECT doc_id, unnest(i) AS pos, unnest(list_transform(i, lambda k: array_to_string(list_slice(l, k, k + 12), ' '))) AS g
+      FROM (SELECT doc_id, l, range(1, len(l) - 11) AS i FROM w WHERE len(l) >= 13)),
+f AS (SELECT *, min(doc_id) OVER (PARTITION BY g) AS first FROM s),
+d AS (SELECT DISTINCT doc_id, pos + k AS pos FROM (SELECT doc_id, pos, unnest(range(0, 13)) AS k FROM f WHERE doc_id > first)),
+a AS (SELECT doc_id, unnest(l) AS word, generate_subscripts(l, 1) AS pos FROM w)
+SELECT w.doc_id, len(l) AS n_words, count(d.pos) AS n_removed,
+       sha256(coalesce(string_agg(word, ' ' ORDER BY a.pos) FILTER (d.pos IS NULL), '')) AS kept_sha256
+FROM w LEFT JOIN a ON a.doc_id = w.doc_id LEFT JOIN d ON d.doc_id = a.doc_id AND d.pos = a.pos GROUP BY w.doc_id, len(l)
 """,
     "op9_line_dedup": r"""
 WITH l AS (
