@@ -9,7 +9,7 @@ than one row holds. Rows that the filter rejects stay unseen by any lookup; the
 texts of the others, and only they, are compared byte by byte.
 
 A group of copies of any size is one row per task wherever rows are grouped,
-and the lookup is a join whose hot keys Spark splits.
+and the lookup is a join with salted keys.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ FANOUT = 4
 #: Bits of the filter: 8 MB, whatever the input. Once it is crowded, more rows
 #: are verified than need be, and the result is the same.
 FILTER_BITS = 1 << 26
+#: Parts of a digest's rows at the look-up.
+SALTS = 16
 
 
 def normalised(column: str = "text"):
@@ -93,8 +95,10 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     clash = written(checked.filter("not same").select("digest"), "clash")
     looked = probed(digests, bitmap)
     single = looked.filter("not hit").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "digest")
-    entry = index.filter("n > 1").select("digest", "keep_id", F.col("tag").alias("first"), "n")
-    found = looked.filter("hit").join(entry, "digest", "left")
+    # salted by row, so that a group of copies of any size looks up in SALTS tasks
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    entry = index.filter("n > 1").select("digest", "keep_id", F.col("tag").alias("first"), "n", salts.alias("salt"))
+    found = looked.filter("hit").withColumn("salt", F.pmod("tag", F.lit(SALTS)).cast("int")).join(entry, ["digest", "salt"], "left")
     several = found.select(
         "doc_id",
         F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
