@@ -34,6 +34,7 @@ from jobloom.llm.common import empty_text, frugal, planes, unplanes, written
 from jobloom.llm.graph import components
 from jobloom.llm.substring import by_bucket, member, sorted_runs
 from jobloom.llm.textvec import mix, windows, words
+from jobloom.llm.tokens import release
 
 SHINGLE = 5
 #: Similar: 100 * intersection >= PERCENT * union.
@@ -57,6 +58,7 @@ _FLIP, _TIMES = (_SEEDS[::2] >> U(32)).astype(U4), (_SEEDS[1::2] >> U(32)).astyp
 def shingle_sets(texts: list[str], width: int = SHINGLE) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text; of one with fewer words than
     width, the hash of all of them; of one without words, none."""
+    release()
     hashes, first = words(texts, True)
     every, found = windows(hashes, width), []
     for i, j in zip(first.tolist(), first[1:].tolist(), strict=False):

@@ -125,3 +125,8 @@ class Encoder:
 def encoder(path: str) -> Encoder:
     """One for each file and worker process."""
     return Encoder(path)
+
+
+def release() -> None:
+    """Lets go of a worker's memos: Spark uses it for other work now."""
+    encoder.cache_clear()
