@@ -36,9 +36,7 @@ def stage_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def stage_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows as often as the mix takes them, shard by shard, in random order there."""
-    mixed = mixing.mix(docs)
-    shuffled = mixed.repartition("_shard", "_place").sortWithinPartitions("_shard", "_place")
-    return shuffled.drop("_shard", "_place")
+    return mixing.shuffled(mixing.mix(docs)).drop("_shard", "_place")
 
 
 def stage_pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

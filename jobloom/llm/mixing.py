@@ -143,7 +143,11 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, see
     taken together. The same rows and seed give the same mix, in any partitioning.
     A table without rows gives none.
     """
-    drawn = written(draws(docs, weights, cap, seed).filter("copies > 0"), "draws")
+    return _mix(docs, written(draws(docs, weights, cap, seed).filter("copies > 0"), "draws"), seed, shards)
+
+
+def _mix(docs: DataFrame, drawn: DataFrame, seed: int, shards: int) -> DataFrame:
+    """mix() of units already drawn."""
     passes = drawn.select("source", "block", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
     blocks = passes.distinct()
     ranked = blocks.withColumn("rank", F.row_number().over(Window.partitionBy("source").orderBy("copy", F.xxhash64(F.lit(seed), "block", "copy"), "block")))
@@ -161,8 +165,23 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, see
     return rows.withColumn("_place", place).select(*docs.columns, "_shard", "_place")
 
 
+def shuffled(mixed: DataFrame, shards: int = SHARDS) -> DataFrame:
+    """The rows of mix(), each shard a partition of its own and in order of _place."""
+    return mixed.repartitionById(shards, F.col("_shard").cast("int")).sortWithinPartitions("_place")
+
+
 def mix_report(docs: DataFrame) -> DataFrame:
-    """One row per row of docs: doc_id, size, source_size, target, taken."""
+    """One row per row of docs: doc_id, size, source_size, target, taken.
+
+    taken is counted in the rows of the mix, written shard by shard; documents
+    that it doesn't hold are taken 0 times."""
     drawn = draws(docs)
-    each = drawn.withColumn("_row", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
-    return each.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+    emitted = written(_mix(docs, drawn.filter("copies > 0"), SEED, SHARDS), "emitted")  # frees the join's shuffle before the next
+    mixed = written(shuffled(emitted), "mixed")
+    forget(emitted)
+    out = mixed.groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), n_words().alias("_size")).agg(F.count(F.lit(1)).alias("emitted"))
+    on = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("size") == F.col("_size"))
+    counted = drawn.join(out, on, "left")
+    taken = F.col("size") * F.coalesce("emitted", F.lit(0)) / F.col("rows")
+    each = counted.withColumn("taken", taken.cast("long")).withColumn("_row", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
+    return each.select("doc_id", "size", "source_size", "target", "taken")

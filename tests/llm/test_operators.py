@@ -333,6 +333,22 @@ def test_mixing(spark, docs, rows, none):
     assert mixing.mix_report(none).count() == 0 and mixing.mix(none).count() == 0
 
 
+def test_mix_report_counts_the_mix(docs, monkeypatch):
+    whole, mix = mixing.mix_report(docs).collect(), mixing._mix
+    assert sum(r.taken for r in whole) > 0
+    monkeypatch.setattr(mixing, "_mix", lambda *a: mix(*a).filter("_shard % 2 = 0"))
+    half = mixing.mix_report(docs).collect()
+    assert len(half) == len(whole) and 0 < sum(r.taken for r in half) < sum(r.taken for r in whole)
+
+
+def test_mixed_shards_stay_whole(docs):
+    at = mixing.shuffled(mixing.mix(docs)).select(F.spark_partition_id().alias("part"), "_shard", "_place").collect()
+    assert all(r.part == r["_shard"] for r in at) and len({r.part for r in at}) > 1
+    for shard in {r["_shard"] for r in at}:
+        own = [r["_place"] for r in at if r["_shard"] == shard]
+        assert own == sorted(own)
+
+
 def test_mix_comes_near_targets(spark):
     rng = random.Random(9)
     rows = [(i, " ".join(["w"] * rng.choice([1, 5, 50, 400, 3000 if i % 97 == 0 else 20])), f"s{i % 7}") for i in range(1500)]
