@@ -486,8 +486,7 @@ def classify_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 def partial_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = F.broadcast(fx.skills(spark, sf_dir).select("skill_code", F.col("skill_name").alias("name")))  # 40 rows
     items = fx.table(spark, sf_dir, "benchmark").select("item_id", "text")
-    pairs = items.join(known, F.substring(F.lower("text"), 1, 1) == F.substring("name", 1, 1))
-    return pairs.select("item_id", "skill_code", F.round(partial_ratio("name", "text"), 6).alias("ratio"))
+    return items.crossJoin(known).select("item_id", "skill_code", F.round(partial_ratio("name", "text"), 6).alias("ratio"))
 
 
 @query("SELECT CASE WHEN length(c) >= 2 THEN substring(c, 1, 2) ELSE '00' END AS category, count(*) AS n FROM (SELECT substring(p_brand, 1, CAST(p_partkey % 4 AS INT)) AS c FROM part) GROUP BY 1")

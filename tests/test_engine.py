@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from jobloom import schemas
 from jobloom.operators import classify, dedup, lexical, match, merge, skills
-from jobloom.plans import run
+from jobloom.plans import fixtures, run
+from jobloom.queries import QUERIES
 from jobloom.sources import tables
 from jobloom.streaming import ingest
 
@@ -221,3 +222,12 @@ def test_whole_run(spark):
     occupations = spark.createDataFrame([(7, "k4", "kt")], "target int, keco_4 string, keco_t string")
     out = run.run(run.Inputs({"jk": jk}, firms, dictionary, occupations, predictions, fuzzy=True))
     assert sorted((r.pst_id, r.skill_code, r.bzno, r.keco_4) for r in out.collect()) == [("1", "A1", "1", "k4"), ("1", "A2", "1", "k4"), ("2", "A2", None, None)]
+
+
+def test_partial_ratios_of_every_pair(spark, small_dir):
+    names = {r.skill_code: r.skill_name for r in fixtures.skills(spark, small_dir).collect()}
+    texts = {r.item_id: r.text.lower() for r in spark.read.parquet(f"{small_dir}/benchmark.parquet").collect()}
+    got = {(r.item_id, r.skill_code): r.ratio for r in QUERIES["partial_ratios"](spark, small_dir).collect()}
+    assert got.keys() == {(i, c) for i in texts for c in names}
+    held = [(i, c) for i in texts for c in names if names[c] in texts[i]]
+    assert held and all(got[x] == 100 for x in held)
