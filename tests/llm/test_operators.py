@@ -430,6 +430,19 @@ def test_quality(spark, none):
     assert quality.judged(docs.limit(0), marks).count() == 0
 
 
+def test_quality_keeps_a_language_without_labels(spark):
+    rng = random.Random(2)
+    make = lambda letters: " ".join("".join(rng.choice(letters) for _ in range(4)) for _ in range(60))
+    rows = [(i, make("taeiolrs") if i < 300 else make("가나다라마바사아"), "en" if i < 300 else "ko") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    marks = spark.createDataFrame([(i, 1, 0) for i in range(300)] + [(i, 1, 0) for i in range(300, 303)], "doc_id long, quality int, toxic int")
+    for labels in (marks, marks.filter("doc_id < 300")):
+        got = quality.judged(docs, labels).collect()
+        assert all(r.kept and r.threshold is None for r in got if r.lang == "ko")
+        assert all(r.threshold is not None for r in got if r.lang == "en")
+        assert quality.keep_good(docs, labels).filter("lang = 'ko'").count() == 100
+
+
 def test_quality_model_is_a_distribution(spark):
     texts = spark.createDataFrame([("tari onta ri men taon",), ("ri ri mena",), (None,)], "text string")
     table = {r.key: (r.alpha, r.gamma) for r in quality.train(texts).collect()}
