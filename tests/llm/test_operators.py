@@ -443,6 +443,14 @@ def test_quality_keeps_a_language_without_labels(spark):
         assert quality.keep_good(docs, labels).filter("lang = 'ko'").count() == 100
 
 
+def test_quality_holds_all_good_documents_beside_the_training_half(spark):
+    docs = spark.createDataFrame([(i, "en") for i in range(2000)], "doc_id long, lang string")
+    marks = spark.createDataFrame([(i, int(i % 2 == 0), 0) for i in range(2000)], "doc_id long, quality int, toxic int")
+    got = quality.trusted_sample(docs, marks, 100).collect()
+    assert sorted(r.doc_id for r in got) == list(range(0, 2000, 2))
+    assert 20 <= sum(not r.held for r in got) <= 80
+
+
 def test_quality_model_is_a_distribution(spark):
     texts = spark.createDataFrame([("tari onta ri men taon",), ("ri ri mena",), (None,)], "text string")
     table = {r.key: (r.alpha, r.gamma) for r in quality.train(texts).collect()}
