@@ -5,7 +5,7 @@ one of them stands for it. Of every class, each of the COORDINATES coordinates
 of its signature is posted under the pair of coordinate and value.
 
 A pair of similarity 0.75 agrees in MATCHES coordinates or more (it misses that
-with a probability of some 1e-6). Each class orders its coordinates by their
+with a probability of some 5e-6). Each class orders its coordinates by their
 number of postings, the rarest first; two classes that agree in MATCHES of them
 share one of the first COORDINATES - MATCHES + 1 of both, so only that prefix is
 posted and the frequent rest is skipped. A value that only one class has needs
@@ -14,11 +14,15 @@ no posting, and a class with fewer than MATCHES shared values leaves at once.
 Merging goes in two turns, so that a large group of near copies never becomes
 all its pairs. First each list links its members to its hub, the one whose values
 are the most frequent, which in a group of near copies is like the original; pairs that
-agree in MATCHES coordinates are confirmed on the full shingle sets, and
-components formed. Then only lists that still hold several components are
+agree in the sketch and could be similar by size are confirmed on the full shingle
+sets, and components formed. Then only lists that still hold several components are
 merged, in blocks of members, and only members of different components are
-compared: pairs within a component could add nothing. Every other pair with
-MATCHES agreeing coordinates is confirmed too, so no link is lost.
+compared: pairs within a component could add nothing.
+
+The posted coordinates that a pair shares are not counted: MATCHES sets the length
+of the prefix and what a class needs to stay. The sketch, of further coordinates,
+takes the place of that count; it misses a similarity of exactly 0.75 with a
+probability of some 4e-6, beside the prefix's some 5e-6.
 """
 
 from __future__ import annotations
