@@ -3,9 +3,11 @@
 A text is cut at places where no token can span and its units are looked up in a
 memo of bounded size. A unit not met before is a word, perhaps with marks behind
 it: both are pieces that the file's pattern would cut, and go to the file's BPE
-model; any other unit goes through the whole tokenizer. Ids are those of
-encode(text, add_special_tokens=False) with strings of special tokens read as
-ordinary text (encode_special_tokens).
+model; any other unit goes through the whole tokenizer. A word with marks behind
+it takes the word from the memo, so a word needs one place there however it is
+punctuated. Ids are those of encode(text, add_special_tokens=False): a string of an
+added token, such as <|endoftext|>, in a text is that token, and what stands beside
+it is encoded by itself. With special=False such strings are ordinary text.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from functools import lru_cache
 
 #: Units that a worker's memo holds before it is put aside for a new one; what is
 #: met again comes over from the older one.
-MEMO = 300_000
+MEMO = 500_000
 #: ASCII marks, the apostrophe apart: it may begin a piece of its own.
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _SINGLE = re.compile(r"(?<=\S) (?=\S)")
@@ -52,11 +54,15 @@ class Encoder:
     white space and fold case are cut at every space and line end.
     """
 
-    def __init__(self, path: str, memo: int = MEMO) -> None:
+    def __init__(self, path: str, memo: int = MEMO, special: bool = True) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()} if special else {}
+        self.added = {k: i.to_bytes(4, "little") for k, i in added.items()}
+        longest = sorted(self.added, key=len, reverse=True)
+        self.cuts = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest else None
+        self.tokenizer.encode_special_tokens = True  # the parts beside added tokens hold none
         self.tokenizer.no_truncation()
         self.model = self.tokenizer.model
         self.drops = not self._ids(" ")
@@ -81,50 +87,64 @@ class Encoder:
 
     def _bpe(self, piece: str) -> bytes:
         """Of one piece of the file's pattern."""
-        mapped = piece.encode().decode("latin-1").translate(self.letters)
-        return b"".join([self.four[t.id] for t in self.model.tokenize(mapped)])
+        return self._ranked(piece.encode().decode("latin-1").translate(self.letters))
+
+    def _ranked(self, mapped: str) -> bytes:
+        four = self.four
+        return b"".join([four[t.id] for t in self.model.tokenize(mapped)])
+
+    def _word(self, word: str, space: str) -> bytes:
+        """Of a word, of letters only: in ASCII those are their own byte letters."""
+        return self._ranked(("\u0120" if space else "") + word) if word.isascii() else self._bpe(space + word)
 
     def _find(self, unit: str) -> bytes:
         if (known := self.older.get(unit)) is not None:
             return known
         if self.drops:
-            return self._raw(unit, "")
+            return self._raw(unit, "", self.memo)
         if unit[:1] == "\n" and unit[1:2].strip():
             return self.pieces["\n"] + self._raw(unit[1:], "")
-        return self._raw(unit, " ")
+        return self._raw(unit, " ", self.memo)
 
-    def _raw(self, unit: str, space: str) -> bytes:
-        """A word and marks behind it by the model, else the whole tokenizer."""
+    def _raw(self, unit: str, space: str, known: _Memo | None = None) -> bytes:
+        """A word and marks behind it by the model, else the whole tokenizer. known:
+        where the word is looked up if there are marks."""
         if self.drops:
             if not unit.isascii() and (max(unit) >= "\u0250" or "\u0130" in unit or not unicodedata.is_normalized("NFC", unit)):
                 return b"".join([self.four[i] for i in self._ids(unit)])
             unit = unit.lower()
         if unit.isalpha():
-            return self._bpe(space + unit)
+            return self._word(unit, space)
         word = unit.rstrip(_MARKS)
         if word.isalpha():
-            return self._bpe(space + word) + self.pieces[unit[len(word) :]]
+            return (self._word(word, space) if known is None else known[word]) + self.pieces[unit[len(word) :]]
         return b"".join([self.four[i] for i in self._ids(space + unit)])
 
+    def _one(self, text: str) -> bytes:
+        units = self.units(text)
+        if self.drops:
+            return b"".join(map(self.memo.__getitem__, units))
+        return self._raw(units[0], "") + b"".join(map(self.memo.__getitem__, units[1:]))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.memo) > self.size:
             self.older, self.memo = self.memo, _Memo(self._find)
         if len(self.pieces) > self.size:
             self.pieces.clear()
-        look, found = self.memo.__getitem__, []
+        found = []
         for text in texts:
-            units = self.units(text)
-            if self.drops:
-                found.append(b"".join(map(look, units)))
+            if self.cuts is None or not self.cuts.search(text):
+                found.append(self._one(text))
             else:
-                found.append(self._raw(units[0], "") + b"".join(map(look, units[1:])))
+                parts = self.cuts.split(text)
+                found.append(b"".join([self.added[x] if k % 2 else self._one(x) for k, x in enumerate(parts)]))
         return found
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, special: bool = True) -> Encoder:
     """One for each file and worker process."""
-    return Encoder(path)
+    return Encoder(path, special=special)
 
 
 def release() -> None:
