@@ -10,7 +10,8 @@ documents, and consecutive ones that repeat make up the maximal repeats.
 Documents are dealt into groups of bounded size. A group sends each distinct hash
 once to the hash's bucket, with flags or its smallest and largest document, and
 the bucket answers it; so a passage of any frequency is one row per group, and
-text crosses the network once.
+text crosses the network once. Windows are compared by 96 bits of two hashes that
+share nothing: of 10^13 different windows some 6e-4 pairs would be taken for equal.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobloom.llm.common import dealt, frugal, planes, unplanes, whole_ids
-from jobloom.llm.textvec import inside, windows, words
+from jobloom.llm.textvec import inside, wide_words, windows, words
 
 WIDTH = 13
 GROUP_BYTES = 4 << 20
@@ -40,6 +41,17 @@ def sorted_runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1]))) if len(keys) else np.empty(0, np.int64)
 
 
+def _distinct(hashes: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """sorted_runs() of the pairs of both."""
+    order, at = sorted_runs(hashes)
+    ranked, other = hashes[order], check[order]
+    if ((ranked[1:] == ranked[:-1]) & (other[1:] != other[:-1])).any():  # a collision of 64 bits
+        order = np.lexsort((check, hashes))
+        ranked, other = hashes[order], check[order]
+        at = np.flatnonzero(np.concatenate(([True], (ranked[1:] != ranked[:-1]) | (other[1:] != other[:-1]))))
+    return order, at
+
+
 def by_bucket(hashes: np.ndarray, buckets: int) -> list[tuple[int, int, int]]:
     """(bucket, from, to) of sorted hashes: a bucket is a range of them."""
     edges = np.searchsorted(hashes >> U(32), (np.arange(buckets + 1, dtype=object) * (1 << 32) // buckets).astype(np.int64).astype(U))
@@ -101,9 +113,9 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         back = [x[member(x, hits) >= 0] for x in each]
         return pd.DataFrame({"pid": part["pid"], "hits": [planes(x) for x in back]})
 
-    def extended(part: pd.DataFrame, told: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(first, places, ids, hashes) of the windows that hold a block met again."""
-        hashes, first = words(part["text"].tolist(), False)
+    def extended(part: pd.DataFrame, told: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(first, places, ids, hashes, check) of the windows that hold a block met again."""
+        (hashes, second), first = wide_words(part["text"].tolist(), False)
         hits = np.sort(np.concatenate([np.empty(0, U), *(unplanes(x, U) for x in told["hits"])]))
         hit = member(windows(hashes, block) & PROBE, hits) >= 0
         count = np.concatenate(([0], np.cumsum(hit)))
@@ -112,40 +124,50 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         near = count[block : block + n] > count[:n] if n else ok
         places = np.flatnonzero(ok & near)
         ids = np.repeat(part["doc_id"].to_numpy(np.int64), np.diff(first))[places]
-        return first, places, ids, windows(hashes, width)[places]
+        return first, places, ids, windows(hashes, width)[places], (windows(second, width)[places] >> U(32)).astype("<u4")
 
     def ask(key: tuple, part: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
-        _, _, ids, hashes = extended(_documents(part), told)
-        order, at = sorted_runs(hashes)
+        _, _, ids, hashes, check = extended(_documents(part), told)
+        order, at = _distinct(hashes, check)
         low = high = ids
         if len(at):
             low, high = np.minimum.reduceat(ids[order], at), np.maximum.reduceat(ids[order], at)
-        hashes = hashes[order][at]
-        found = [(b, int(key[0]), planes(hashes[i:j]), planes(low[i:j]), planes(high[i:j])) for b, i, j in by_bucket(hashes, buckets)]
-        return pd.DataFrame(found, columns=["bucket", "pid", "hashes", "low", "high"])
+        hashes, check = hashes[order][at], check[order][at]
+        found = [(b, int(key[0]), planes(hashes[i:j]), check[i:j].tobytes(), planes(low[i:j]), planes(high[i:j])) for b, i, j in by_bucket(hashes, buckets)]
+        return pd.DataFrame(found, columns=["bucket", "pid", "hashes", "check", "low", "high"])
 
     def smallest(part: pd.DataFrame) -> pd.DataFrame:
+        """For each question which of its windows start in a smaller document, a bit
+        each in the question's order, and of those the smallest document."""
         each = [unplanes(x, U) for x in part["hashes"]]
+        hashes, check = np.concatenate(each), np.frombuffer(b"".join(part["check"]), "<u4")
         low = np.concatenate([unplanes(x, np.int64) for x in part["low"]])
-        order, at = sorted_runs(np.concatenate(each))
-        table, least = np.concatenate(each)[order][at], np.minimum.reduceat(low[order], at)
+        order, at = _distinct(hashes, check)
+        table, other, least = hashes[order][at], check[order][at], np.minimum.reduceat(low[order], at)
         found = []
-        for pid, x, high in zip(part["pid"], each, part["high"], strict=True):
-            own = least[np.searchsorted(table, x)]
+        for bucket, pid, x, raw, high in zip(part["bucket"], part["pid"], each, part["check"], part["high"], strict=True):
+            place, mark = np.searchsorted(table, x), np.frombuffer(raw, "<u4")
+            while (step := other[place] != mark).any():
+                place += step
+            own = least[place]
             later = own < unplanes(high, np.int64)
-            found.append((pid, planes(x[later]), planes(own[later])))
-        return pd.DataFrame(found, columns=["pid", "later", "least"])
+            if later.any():
+                found.append((bucket, pid, np.packbits(later).tobytes(), planes(own[later])))
+        return pd.DataFrame(found, columns=["bucket", "pid", "later", "least"])
 
     def cut(key: tuple, part: pd.DataFrame, hits: pd.DataFrame) -> pd.DataFrame:
         known = _documents(part)
         told, answer = hits[hits["hits"].notna()], hits[hits["later"].notna()]
-        later = np.concatenate([np.empty(0, U), *(unplanes(x, U) for x in answer["later"])])
-        least = np.concatenate([np.empty(0, np.int64), *(unplanes(x, np.int64) for x in answer["least"])])
-        order = np.argsort(later)
-        later, least = later[order], least[order]
-        first, places, ids, hashes = extended(known, told)
-        at = member(hashes, later)
-        gone = places[(at >= 0) & (ids > least[at])] if len(least) else places[:0]
+        first, places, ids, hashes, check = extended(known, told)
+        order, at = _distinct(hashes, check)
+        asked = {b: (i, j) for b, i, j in by_bucket(hashes[order][at], buckets)}
+        least = np.full(len(at), np.iinfo(np.int64).max)
+        for bucket, later, own in zip(answer["bucket"], answer["later"], answer["least"], strict=True):
+            i, j = asked[int(bucket)]
+            least[i + np.flatnonzero(np.unpackbits(np.frombuffer(later, np.uint8), count=j - i))] = unplanes(own, np.int64)
+        of = np.empty(len(places), np.int64)
+        of[order] = np.repeat(least, np.diff(np.concatenate((at, [len(places)]))))
+        gone = places[ids > of]
         turn = np.zeros(int(first[-1]) + 1, np.int64)
         np.add.at(turn, gone, 1)
         np.add.at(turn, gone + width, -1)
@@ -167,7 +189,7 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     dealt_rows = rows.groupBy("pid")
     blobs = dealt_rows.applyInPandas(anchors, "bucket int, pid int, hashes binary, flags binary")
     hits = blobs.groupBy("bucket").applyInPandas(met, "pid int, hits binary")
-    asked = dealt_rows.cogroup(hits.groupBy("pid")).applyInPandas(ask, "bucket int, pid int, hashes binary, low binary, high binary")
-    answers = asked.groupBy("bucket").applyInPandas(smallest, "pid int, later binary, least binary")
-    both = hits.select("pid", "hits", F.lit(None).cast("binary").alias("later"), F.lit(None).cast("binary").alias("least")).unionByName(answers.select("pid", F.lit(None).cast("binary").alias("hits"), "later", "least"))
+    asked = dealt_rows.cogroup(hits.groupBy("pid")).applyInPandas(ask, "bucket int, pid int, hashes binary, check binary, low binary, high binary")
+    answers = asked.groupBy("bucket").applyInPandas(smallest, "bucket int, pid int, later binary, least binary")
+    both = hits.select("pid", "hits").unionByName(answers.select("pid", "bucket", "later", "least"), allowMissingColumns=True)
     return dealt_rows.cogroup(both.groupBy("pid")).applyInPandas(cut, "doc_id long, text string, n_words long, n_removed long, spans array<struct<begin:long,end:long>>")
