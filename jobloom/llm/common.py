@@ -82,6 +82,18 @@ def small(table: DataFrame, rows: int = 200_000) -> DataFrame:
     return F.broadcast(table) if table.count() <= rows else table
 
 
+def free_names(columns: list[str], *wanted: str) -> list[str]:
+    """The wanted names, with underscores in front until no column has them: what an
+    operator adds to rows of unknown columns never meets one of theirs."""
+    taken, found = {c.lower() for c in columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def empty_text(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
 

@@ -23,11 +23,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from jobloom.llm.common import empty_text, forget, frugal, written
+from jobloom.llm.common import empty_text, forget, free_names, frugal, small, written
 from jobloom.llm.tokens import encoder
 
 CAPACITY = 2048
 END_ID = 0
+NUMBERS = ("task", "nth")
 
 
 def plan_bins(histogram: dict[int, int], capacity: int) -> list[tuple[int, list[tuple[int, int]]]]:
@@ -80,60 +81,81 @@ def _places(plan: list) -> dict[str, np.ndarray]:
     return {"key": (table[:, 0] << 44) + table[:, 1], "first": table[:, 1], "k": table[:, 2], "bin": table[:, 3], "offset": table[:, 4]}
 
 
-def _numbered(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    seen, task = np.zeros(0, np.int64), TaskContext.get().partitionId()
-    for part in parts:
-        length = part["length"].to_numpy(np.int64)
-        if len(length) and length.max() >= len(seen):
-            seen = np.concatenate((seen, np.zeros(length.max() + 1 - len(seen), np.int64)))
-        nth = part.groupby("length").cumcount().to_numpy(np.int64) + seen[length]
-        seen += np.bincount(length, minlength=len(seen))
-        yield part.assign(_task=np.int32(task), _nth=nth)
+class _Counter:
+    """Numbers pieces within a task, by length."""
 
+    def __init__(self) -> None:
+        self.seen, self.task = np.zeros(0, np.int64), np.int32(TaskContext.get().partitionId())
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    def next(self, lengths: pd.Series) -> np.ndarray:
+        length = lengths.to_numpy(np.int64)
+        if len(length) and length.max() >= len(self.seen):
+            self.seen = np.concatenate((self.seen, np.zeros(length.max() + 1 - len(self.seen), np.int64)))
+        nth = lengths.groupby(length).cumcount().to_numpy(np.int64) + self.seen[length]
+        self.seen += np.bincount(length, minlength=len(self.seen))
+        return nth
+
+
+def pack(pieces: DataFrame, capacity: int = CAPACITY, numbers: tuple[str, str] | None = None) -> DataFrame:
     """pieces with sequence_id and offset: each piece whole in one sequence of at
     most `capacity`, gapless from 0. `length` must be from 1 to capacity in every
-    row. Other columns pass unchanged, nulls and repeated rows too. No rows give none."""
-    pieces = pieces.withColumn("length", F.col("length").cast("long"))
+    row. Other columns, ids too, pass unchanged, nulls and repeated rows as well,
+    whatever their names; only a sequence_id and offset that are there already are
+    replaced. No rows give none. numbers: the columns (task, nth) by which
+    token_pieces has numbered its pieces; they are dropped. Without them the pieces
+    are numbered here, in a pass of their own."""
+    pieces = pieces.drop("sequence_id", "offset").withColumn("length", F.col("length").cast("long"))
+    task_, nth_ = numbers or free_names(pieces.columns, "_task", "_nth")
+    before_, rank_ = free_names([*pieces.columns, task_, nth_], "_before", "_rank")
     # whole numbers as strings in between, for pandas would turn them into floats beside nulls
-    numbers = {k: t for k, t in pieces.dtypes if t in ("bigint", "int", "smallint", "tinyint") and k != "length"}
-    back = lambda rows: rows.withColumns({k: F.col(k).cast(t) for k, t in numbers.items()})
-    pieces = pieces.withColumns({k: F.col(k).cast("string") for k in numbers})
-    kinds = T.StructType([*pieces.schema.fields, T.StructField("_task", T.IntegerType()), T.StructField("_nth", T.LongType())])
-    given = written(pieces, "pieces")  # so that no task needs two Python workers, one with a tokenizer
-    rows = written(given.mapInPandas(_numbered, kinds), "pieces")
-    forget(given)
-    counts = written(rows.groupBy("_task", "length").agg(F.count(F.lit(1)).alias("n")), "lengths")
+    whole = {k: t for k, t in pieces.dtypes if t in ("bigint", "int", "smallint", "tinyint") and k not in ("length", task_, nth_)}
+    back = lambda rows: rows.withColumns({k: F.col(k).cast(t) for k, t in whole.items()})
+    given = written(pieces.withColumns({k: F.col(k).cast("string") for k in whole}), "pieces")  # so that no task needs two Python workers, one with a tokenizer
+    fields = [f for f in given.schema.fields if f.name not in (task_, nth_)]
+
+    def numbered(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counter = _Counter()
+        for part in parts:
+            yield part.assign(**{task_: counter.task, nth_: counter.next(part["length"])})
+
+    if numbers:
+        rows = given
+    else:
+        rows = written(given.mapInPandas(numbered, T.StructType([*fields, T.StructField(task_, T.IntegerType()), T.StructField(nth_, T.LongType())])), "pieces")
+        forget(given)
+    counts = written(rows.groupBy(F.col(task_).alias("task"), "length").agg(F.count(F.lit(1)).alias("n")), "lengths")
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most capacity rows
     places = _places(plan_bins(histogram, capacity))
-    line = Window.partitionBy("length").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
-    before = counts.select("_task", "length", F.coalesce(F.sum("n").over(line), F.lit(0)).alias("_before"))
-    ranked = rows.join(before, ["_task", "length"]).withColumn("_rank", F.col("_nth") + F.col("_before"))
-    ranked = ranked.select(*pieces.columns, "_rank")
+    line = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(F.col("task").alias(task_), "length", F.coalesce(F.sum("n").over(line), F.lit(0)).alias(before_))
+    ranked = rows.join(small(written(before, "before")), [task_, "length"]).withColumn(rank_, F.col(nth_) + F.col(before_))
+    ranked = ranked.select(*[f.name for f in fields], rank_)
 
     def put(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            length, rank = part["length"].to_numpy(np.int64), part.pop("_rank").to_numpy(np.int64)
+            length, rank = part["length"].to_numpy(np.int64), part.pop(rank_).to_numpy(np.int64)
             i = np.searchsorted(places["key"], (length << 44) + rank, "right") - 1
             copy, slot = np.divmod(rank - places["first"][i], places["k"][i])
             yield part.assign(sequence_id=places["bin"][i] + copy, offset=places["offset"][i] + slot * length)
 
-    kinds = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+    kinds = T.StructType([*fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
     return back(ranked.mapInPandas(put, kinds))
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """(doc_id, piece, start, length, ids) of whole texts and an end id each.
+def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, special: bool = True) -> DataFrame:
+    """(doc_id, piece, start, length, ids, task, nth) of whole texts and an end id each.
 
-    ids: little-endian 32-bit. A null text is empty and gives the end id alone.
-    Only documents of more than `capacity` ids are cut, into pieces of that many;
-    the first piece is what is over. A null doc_id stays null; other columns are ignored."""
+    ids: little-endian 32-bit. task and nth: the NUMBERS by which pack() tells pieces
+    of one length apart. A null text is empty and gives the end id alone. Only
+    documents of more than `capacity` ids are cut, into pieces of that many; the
+    first piece is what is over. Strings of the tokenizer's added tokens are those
+    tokens; with special=False they are ordinary text. A null doc_id stays null; other
+    columns are ignored."""
     frugal(docs.sparkSession)
     end = int(end_id).to_bytes(4, "little")
 
     def cut(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(tokenizer).encode
+        encode, counter = encoder(tokenizer, special).encode, _Counter()
         for part in parts:
             for at in range(0, len(part), 256):
                 own = part.iloc[at : at + 256]
@@ -145,8 +167,10 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
                     for piece, stop in enumerate(range(first, total + 1, capacity)):
                         start = max(0, stop - capacity) if piece else 0
                         rows.append((doc_id, piece, start, stop - start, raw[4 * start : 4 * stop]))
-                yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids"]).astype({"piece": "int32"})
+                found = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids"]).astype({"piece": "int32"})
+                yield found.assign(task=counter.task, nth=counter.next(found["length"]))
 
     # doc_id as a string, for pandas would turn integers beside nulls into floats
     rows = docs.select(F.col("doc_id").cast("string"), empty_text().alias("text"))
-    return rows.mapInPandas(cut, "doc_id string, piece int, start long, length long, ids binary").withColumn("doc_id", F.col("doc_id").cast("long"))
+    kinds = "doc_id string, piece int, start long, length long, ids binary, task int, nth long"
+    return rows.mapInPandas(cut, kinds).withColumn("doc_id", F.col("doc_id").cast("long"))

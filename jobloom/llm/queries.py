@@ -7,8 +7,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from pyspark.sql import Window
-
 from jobloom.llm import exact, kneser_ney, lines, mixing, neardup, packing, quality, substring, tokenfile, vector_search
 from jobloom.llm.common import scratch_path
 
@@ -20,16 +18,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     pieces = packing.token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"))
-    digests = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
-    return packing.pack(digests)
+    packed = packing.pack(pieces, numbers=packing.NUMBERS)
+    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 
 
 def op2_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     tokens = tokenfile.write(docs, public_tokenizers.path("word_bpe_49k.json"), scratch_path(spark, "tokenfile"))
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.lit(0))) - 1
-    keys = docs.select("doc_id", nth.cast("long").alias("nth"))
-    back = tokenfile.read(spark, tokens, keys)
+    back = tokenfile.read(spark, tokens, tokens.keys)
     return back.select("doc_id", "start", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 

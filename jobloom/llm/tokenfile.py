@@ -6,7 +6,9 @@ and the place among rows that repeat it) to shard, offset and length: keys fall
 into buckets of about BUCKET keys by hash; in a bucket, levels of bit arrays
 give each key a slot of its own, without gaps (a key takes the first level where
 no other key has its bit); a slot holds a 32-bit fingerprint, so keys that were
-never stored are told apart. A lookup reads one bucket: constant time.
+never stored are told apart. Keys whose hashes are equal, and those that LEVELS
+levels leave over, stand in a list with the keys themselves. A lookup reads one
+bucket: constant time.
 
 Files are written under a name of the attempt and become visible by the table
 that lists them, so a task that runs again leaves nothing wrong behind.
@@ -38,16 +40,20 @@ MAGIC = b"TOKS\x01"
 _HEADER = "<5sBHQ"
 _HEADER_SIZE = struct.calcsize(_HEADER)
 _ENTRY = np.dtype([("print", "<u4"), ("shard", "<u4"), ("at", "<u8"), ("n", "<u8")])
+_KEY = np.dtype([("doc_id", "<i8"), ("nth", "<i8"), ("null", "<i8")])
+LEVELS = 64
 U = np.uint64
 
 
 class TokenFile(NamedTuple):
-    """root: folder; shards: (shard, name, base, width); index: (file, name)."""
+    """root: folder; shards: (shard, name, base, width); index: (file, name); keys:
+    (doc_id, nth) of all documents."""
 
     root: str
     shards: DataFrame
     index: DataFrame
     buckets: int
+    keys: DataFrame
 
 
 def _store(root: str):
@@ -64,14 +70,27 @@ def _put(root: str, name: str, *parts: bytes) -> None:
             out.write(part)
 
 
-def key_hash(doc_id: np.ndarray, null: np.ndarray, nth: np.ndarray) -> np.ndarray:
-    return mix(mix(doc_id.astype(np.int64).view(U) ^ (null.astype(U) << U(63))) + nth.astype(U) * U(0x9E3779B97F4A7C15))
+def key_hash(keys: np.ndarray) -> np.ndarray:
+    own = mix(keys["doc_id"].view(U) + keys["null"].view(U) * U(0xD6E8FEB86659FD93))
+    return mix(own ^ mix(keys["nth"].view(U) * U(0x9E3779B97F4A7C15) + keys["null"].view(U)))
 
 
-def build_bucket(hashes: np.ndarray, entries: np.ndarray) -> bytes:
-    """Levels, then entries by slot. Hashes must differ."""
-    levels, rest, slots, used = [], np.arange(len(hashes)), np.empty(len(hashes), np.int64), 0
-    while len(rest):
+def _key_array(part: pd.DataFrame) -> np.ndarray:
+    """Of columns doc_id (text or null) and nth."""
+    keys = np.zeros(len(part), _KEY)
+    keys["null"] = part["doc_id"].isna()
+    keys["doc_id"] = [0 if x is None else int(x) for x in part["doc_id"]]
+    keys["nth"] = part["nth"]
+    return keys
+
+
+def build_bucket(hashes: np.ndarray, entries: np.ndarray, keys: np.ndarray) -> bytes:
+    """Numbers of levels, entries and listed keys, sizes of the levels; the levels,
+    the entries by slot, the listed keys and their entries."""
+    _, back, times = np.unique(hashes, return_inverse=True, return_counts=True)
+    alike = times[back] > 1
+    levels, rest, slots, used = [], np.flatnonzero(~alike), np.empty(len(hashes), np.int64), 0
+    while len(rest) and len(levels) < LEVELS:
         bits = max(64, -(-2 * len(rest) // 64) * 64)
         place = (mix(hashes[rest] + U(len(levels) + 1)) % U(bits)).astype(np.int64)
         alone = np.bincount(place, minlength=bits) == 1
@@ -81,17 +100,20 @@ def build_bucket(hashes: np.ndarray, entries: np.ndarray) -> bytes:
         used += int(alone.sum())
         levels.append(np.packbits(alone, bitorder="little").tobytes())
         rest = rest[~ok]
-    table = np.empty(len(hashes), _ENTRY)
-    table[slots] = entries
-    sizes = np.array([len(levels), len(hashes), *map(len, levels)], "<u4").tobytes()
-    return sizes + b"".join(levels) + table.tobytes()
-
-
-def find_in_bucket(region: bytes, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(entries, found) for each hash."""
-    depth, n = np.frombuffer(region, "<u4", 2).tolist()
-    sizes = np.frombuffer(region, "<u4", depth, 8).tolist()
-    at, used = 8 + 4 * depth, 0
+    listed = np.concatenate((np.flatnonzero(alike), rest))
+    slotted = np.ones(len(hashes), bool)
+    slotted[listed] = False
+    table = np.empty(used, _ENTRY)
+    table[slots[slotted]] = entries[slotted]
+    sizes = np.array([len(levels), used, len(listed), *map(len, levels)], "<u4").tobytes()
+    return sizes + b"".join(levels) + table.tobytes() + keys[listed].tobytes() + entries[listed].tobytes()
+
+
+def find_in_bucket(region: bytes, hashes: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(entries, found) for each hash and key."""
+    depth, n, listed = np.frombuffer(region, "<u4", 3).tolist()
+    sizes = np.frombuffer(region, "<u4", depth, 12).tolist()
+    at, used = 12 + 4 * depth, 0
     slots, rest = np.full(len(hashes), -1, np.int64), np.arange(len(hashes))
     for level, size in enumerate(sizes):
         bits = np.unpackbits(np.frombuffer(region, np.uint8, size, at), bitorder="little")
@@ -104,7 +126,16 @@ def find_in_bucket(region: bytes, hashes: np.ndarray) -> tuple[np.ndarray, np.nd
     table = np.frombuffer(region, _ENTRY, n, at)
     found = slots >= 0
     entries = table[np.where(found, slots, 0)] if n else np.zeros(len(hashes), _ENTRY)
-    return entries, found & (entries["print"] == (hashes & U(0xFFFFFFFF)).astype("<u4"))
+    found &= entries["print"] == (hashes & U(0xFFFFFFFF)).astype("<u4")
+    if listed:
+        at += n * _ENTRY.itemsize
+        names = np.frombuffer(region, _KEY, listed, at).tolist()
+        more = np.frombuffer(region, _ENTRY, listed, at + listed * _KEY.itemsize)
+        where = {k: i for i, k in enumerate(names)}
+        for i, key in enumerate(keys.tolist()):
+            if (j := where.get(key)) is not None:
+                entries[i], found[i] = more[j], True
+    return entries, found
 
 
 def _keys(rows: DataFrame, buckets: int) -> DataFrame:
@@ -112,8 +143,7 @@ def _keys(rows: DataFrame, buckets: int) -> DataFrame:
 
     def hashed(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            null = part["doc_id"].isna().to_numpy()
-            h = key_hash(np.array([0 if x is None else int(x) for x in part["doc_id"]], np.int64), null, part["nth"].to_numpy(np.int64))
+            h = key_hash(_key_array(part))
             bucket = ((h >> U(32)) % U(buckets)).astype(np.int64)
             yield part.assign(hash=h.view(np.int64), bucket=bucket, file=bucket // BUCKETS_IN_FILE)
 
@@ -123,25 +153,28 @@ def _keys(rows: DataFrame, buckets: int) -> DataFrame:
     return rows.mapInPandas(hashed, f"{kinds}, hash long, bucket long, file long")
 
 
-def write(docs: DataFrame, tokenizer: str, root: str, end_id: int = END_ID, width: int = 2, shard_bytes: int = SHARD_BYTES) -> TokenFile:
+def write(docs: DataFrame, tokenizer: str, root: str, end_id: int = END_ID, width: int = 2, shard_bytes: int = SHARD_BYTES, special: bool = True) -> TokenFile:
     """Writes the ids of every whole text of docs and an end id, in ascending
     doc_id order, to files under root.
 
     A null text is empty and has the end id alone. Null doc_ids come first. Rows
-    that repeat a doc_id are kept, ordered by text. Other columns are ignored. A
-    table without rows has no shards. width: bytes an id takes, 2 or 4."""
+    that repeat a doc_id are kept, ordered by a hash of the text and by the text; as
+    many as they are, they fill several shards. Other columns are ignored. A table
+    without rows has no shards. width: bytes an id takes, 2 or 4. Strings of the
+    tokenizer's added tokens are those tokens, with special=False ordinary text."""
     spark = docs.sparkSession
     frugal(spark)
     rows = docs.select("doc_id", empty_text().alias("text"))
     size = rows.agg(F.sum(F.octet_length("text")).alias("b"), F.count(F.lit(1)).alias("n")).first()
     parts = max(1, math.ceil((size["b"] or 0) / shard_bytes))
-    ordered = rows.repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text").withColumn("doc_id", F.col("doc_id").cast("string"))
+    by = (F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
+    ordered = rows.repartitionByRange(parts, *by).sortWithinPartitions(*by, "text").withColumn("doc_id", F.col("doc_id").cast("string"))
     end, kind = int(end_id).to_bytes(4, "little"), np.dtype(f"<u{width}")
 
     def shard(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         number = TaskContext.get().partitionId()
         name, at, last, nth = f"shard-{number:06d}-{uuid.uuid4().hex}.bin", 0, object(), 0
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer, special).encode
         store, path = _store(root)
         store.create_dir(path, recursive=True)
         out = None
@@ -164,6 +197,7 @@ def write(docs: DataFrame, tokenizer: str, root: str, end_id: int = END_ID, widt
             out.close()
 
     placed = written(ordered.mapInPandas(shard, "doc_id string, nth long, shard long, name string, at long, n long"), "placed")
+    placed = _counted_on(placed)
     shards = placed.groupBy("shard", "name").agg(F.sum("n").alias("ids"))
     base = F.coalesce(F.sum("ids").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     shards = written(shards.select("shard", "name", base.alias("base"), F.lit(width).alias("width")), "shards")  # one row a shard
@@ -173,7 +207,7 @@ def write(docs: DataFrame, tokenizer: str, root: str, end_id: int = END_ID, widt
         h = part["hash"].to_numpy(np.int64).view(U)
         entries = np.empty(len(h), _ENTRY)
         entries["print"], entries["shard"], entries["at"], entries["n"] = h & U(0xFFFFFFFF), part["shard"], part["at"], part["n"]
-        return pd.DataFrame({"bucket": [key[0]], "file": [key[0] // BUCKETS_IN_FILE], "region": [build_bucket(h, entries)]})
+        return pd.DataFrame({"bucket": [key[0]], "file": [key[0] // BUCKETS_IN_FILE], "region": [build_bucket(h, entries, _key_array(part))]})
 
     def file(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("bucket")
@@ -186,7 +220,23 @@ def write(docs: DataFrame, tokenizer: str, root: str, end_id: int = END_ID, widt
 
     regions = _keys(placed.select("doc_id", "nth", "shard", "at", "n"), buckets).groupBy("bucket").applyInPandas(bucket, "bucket long, file long, region binary")
     index = written(regions.groupBy("file").applyInPandas(file, "file long, index string"), "index")
-    return TokenFile(root, shards, index, buckets)
+    return TokenFile(root, shards, index, buckets, placed.select(F.col("doc_id").cast("long").alias("doc_id"), "nth"))
+
+
+def _counted_on(placed: DataFrame) -> DataFrame:
+    """placed with nth counted on where rows of one doc_id fill several shards."""
+    ends = written(placed.groupBy("shard").agg(F.min_by("doc_id", "at").alias("first"), F.max_by("doc_id", "at").alias("last")), "ends")
+    before = F.lag(F.struct("last")).over(Window.orderBy("shard"))  # one row a shard
+    split = ends.withColumn("_before", before).filter(F.col("_before").isNotNull() & F.col("first").eqNullSafe(F.col("_before.last"))).select(F.col("first").alias("_id")).distinct()
+    split = written(split, "split")
+    if split.isEmpty():
+        return placed
+    counts = placed.join(small(split), F.col("doc_id").eqNullSafe(F.col("_id"))).groupBy("_id", F.col("shard").alias("_shard")).agg(F.count(F.lit(1)).alias("n"))  # fewer ids than shards
+    line = Window.partitionBy("_id").orderBy("_shard").rowsBetween(Window.unboundedPreceding, -1)
+    more = written(counts.select("_id", "_shard", F.coalesce(F.sum("n").over(line), F.lit(0)).alias("_more")), "before")
+    on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("shard") == F.col("_shard"))
+    joined = placed.join(small(more), on, "left").withColumn("nth", F.col("nth") + F.coalesce("_more", F.lit(0)))
+    return written(joined.select(placed.columns), "placed")
 
 
 def lookup(tokens: TokenFile, keys: DataFrame) -> DataFrame:
@@ -204,7 +254,7 @@ def lookup(tokens: TokenFile, keys: DataFrame) -> DataFrame:
         if not region:
             entries, found = np.zeros(len(h), _ENTRY), np.zeros(len(h), bool)
         else:
-            entries, found = find_in_bucket(region, h)
+            entries, found = find_in_bucket(region, h, _key_array(part))
         out = pd.DataFrame({"doc_id": part["doc_id"], "nth": part["nth"], "shard": entries["shard"].astype(np.int64), "at": entries["at"].astype(np.int64), "n": entries["n"].astype(np.int64)})
         return out[found]
 
