@@ -1,26 +1,29 @@
 """Line deduplication over levelled sorted runs of line hashes.
 
-Documents come in BATCHES batches of ascending doc_id. The keys of a batch's
-lines are merge-anti-joined with the runs so far, which are sorted by hash: a
-key that is there has its smallest document already, any other is added by a
-new run of level 0. FANOUT runs of one level are compacted into one of the
-next. A hash has 128 bits; runs hold 24 bytes a key, never text.
+Documents come in BATCHES batches of ascending doc_id, of like numbers of rows. The
+keys of a batch's lines are merge-anti-joined with the runs so far, which are sorted
+by hash: a key that is there has its smallest document already, any other is added
+by a new run of level 0. FANOUT runs of one level are compacted into one of the
+next. A hash has 128 bits; runs hold 24 bytes a key, never text. A store with a root
+of its own outlives the call, and documents that come later are held against it.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobloom.llm.common import LOWER, UPPER, empty_text, forget, written
+from jobloom.llm.common import LOWER, UPPER, empty_text, forget, scratch_path, written
 
 BATCHES = 4
 FANOUT = 3
 LEAST = 10
+RUN = "h1 long, h2 long, first long"
 _ENDS = " \t\n\x0b\x0c\r"
 
 
@@ -38,50 +41,96 @@ def _lines(docs: DataFrame, least: int) -> DataFrame:
 
 
 class RunStore:
-    """Sorted runs of (h1, h2, first) by level."""
-
-    def __init__(self, fanout: int = FANOUT) -> None:
-        self.fanout, self.levels = fanout, []
-
-    def runs(self) -> list[DataFrame]:
-        return [run for level in self.levels for run in level]
-
-    def add(self, keys: DataFrame, level: int = 0) -> None:
-        """A new sorted run; a level that is full goes to the next as one run."""
-        self.levels += [[] for _ in range(level + 1 - len(self.levels))]
-        self.levels[level].append(written(keys.sortWithinPartitions("h1", "h2"), f"run{level}"))
-        if len(self.levels[level]) >= self.fanout:
-            full, self.levels[level] = self.levels[level], []
-            self.add(reduce(DataFrame.unionByName, full).repartition("h1", "h2"), level + 1)
-            forget(*full)
+    """Sorted runs of (h1, h2, first) by level, a folder each under root. A run counts
+    once it is written whole, so a store that was left in the middle of an addition
+    is as it was before, and may be opened again: by its root, with what it holds."""
+
+    def __init__(self, spark: SparkSession, root: str | None = None, fanout: int = FANOUT) -> None:
+        self.spark, self.fanout = spark, fanout
+        self.root = root or scratch_path(spark, "runs")
+
+    def _folder(self, path: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def levels(self) -> list[list[str]]:
+        """The runs of each level: their folders."""
+        store, root = self._folder(self.root)
+        names = sorted(f.getPath().getName() for f in store.listStatus(root)) if store.exists(root) else []
+        whole = [n for n in names if store.exists(self._folder(f"{self.root}/{n}/_SUCCESS")[1])]
+        found = [[] for _ in range(1 + max((int(n.split("-")[1]) for n in whole), default=-1))]
+        for name in whole:
+            found[int(name.split("-")[1])].append(f"{self.root}/{name}")
+        return found
 
     def union(self) -> DataFrame | None:
-        return reduce(DataFrame.unionByName, self.runs()) if self.runs() else None
-
-
-def shared_lines(docs: DataFrame, least: int = LEAST, batches: int = BATCHES) -> DataFrame:
-    """(doc_id, body, place) of the lines that go: their key is in a smaller doc_id."""
-    ends = docs.agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).first()
-    low, span = ends["lo"] or 0, (ends["hi"] or 0) - (ends["lo"] or 0) + 1
-    batch = F.least(F.floor((F.col("doc_id") - low) * batches / F.lit(span)), F.lit(batches - 1)).cast("int")
+        """The keys of all runs; a key may be there twice."""
+        paths = [p for level in self.levels() for p in level]
+        return self.spark.read.schema(RUN).parquet(*paths) if paths else None
+
+    def add(self, keys: DataFrame) -> None:
+        """A new run of level 0; the runs of a level that is full become one of the next."""
+        self._write(keys, 0)
+        level = 0
+        while level < len(levels := self.levels()):
+            full = levels[level]
+            if len(full) >= self.fanout:
+                self._write(self.spark.read.schema(RUN).parquet(*full).repartition("h1", "h2"), level + 1)
+                self._delete(full)
+            level += 1
+
+    def _write(self, keys: DataFrame, level: int) -> None:
+        keys.select("h1", "h2", "first").sortWithinPartitions("h1", "h2").write.parquet(f"{self.root}/run-{level}-{uuid.uuid4().hex}")
+
+    def _delete(self, paths: list[str]) -> None:
+        for path in paths:
+            store, folder = self._folder(path)
+            store.delete(folder, True)
+
+    def drop(self) -> None:
+        self._delete([self.root])
+
+
+def _joined(rows: DataFrame, hits: DataFrame, total: int) -> DataFrame:
+    """rows with the first of their key. Keys of more than a thousandth of the rows,
+    fewer than a thousand, are sent to the rows; the others meet by key."""
+    hits = written(hits, "hits")
+    hot = hits.filter(F.col("n") * 1000 > total).select("h1", "h2", F.col("first").alias("_first"))
+    cold = hits.filter(F.col("n") * 1000 <= total).select("h1", "h2", "first")
+    if hot.isEmpty():
+        return rows.join(cold, ["h1", "h2"])
+    marked = rows.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), ["h1", "h2"], "left")
+    met = marked.filter("_hot").select(*rows.columns, F.col("_first").alias("first"))
+    return met.unionByName(marked.filter("_hot is null").select(rows.columns).join(cold, ["h1", "h2"]).select(*rows.columns, "first"))
+
+
+def shared_lines(docs: DataFrame, least: int = LEAST, batches: int = BATCHES, store: RunStore | None = None) -> DataFrame:
+    """(doc_id, body, place) of the lines that go: their key is in a smaller doc_id,
+    or in the store, where there is one; it then holds the keys of docs as well."""
+    shares = F.array(*[F.lit(k / batches) for k in range(1, batches)]) if batches > 1 else None
+    edges = docs.agg(F.percentile_approx(F.col("doc_id").cast("long"), shares, F.lit(1000)).alias("q")).first()["q"] if shares is not None else None
+    batch = sum(((F.col("doc_id") > F.lit(q)).cast("int") for q in edges or ()), F.lit(0))
     lines = written(_lines(docs, least).withColumn("batch", batch), "lines", "batch")
-    store, gone = RunStore(), []
+    own_store, gone = store or RunStore(docs.sparkSession), []
     for b in range(batches):
         rows = lines.filter(F.col("batch") == b).drop("batch")
-        own = written(rows.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")), "batchkeys")
-        older = store.union()
+        own = written(rows.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("n")), "batchkeys")
+        older = own_store.union()
         if older is None:
             fresh, known = own, None
         else:
             fresh, known = own.join(older, ["h1", "h2"], "left_anti"), own.join(older, ["h1", "h2"], "left_semi")
         # a document of the batch loses the line if an older batch or, in this one, a smaller document holds it
-        inner = fresh.filter("last > first").select("h1", "h2", "first")
-        hits = inner if known is None else inner.unionByName(known.select("h1", "h2", F.lit(None).cast("long").alias("first")))
-        lost = rows.join(hits, ["h1", "h2"]).filter("first is null or doc_id > first").select("doc_id", "body", "place")
+        hits = fresh.filter("last > first").select("h1", "h2", "n", "first")
+        if known is not None:
+            hits = hits.unionByName(known.select("h1", "h2", "n", F.lit(None).cast("long").alias("first")))
+        lost = _joined(rows, hits, own.agg(F.sum("n")).first()[0] or 0).filter("first is null or doc_id > first").select("doc_id", "body", "place")
         gone.append(written(lost, "lost"))
-        store.add(fresh.select("h1", "h2", "first"))
+        own_store.add(fresh)
         forget(own)
-    forget(lines, *store.runs())
+    forget(lines)
+    if store is None:
+        own_store.drop()
     return reduce(DataFrame.unionByName, gone)
 
 
@@ -98,15 +147,16 @@ def _strip(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"doc_id": part["doc_id"], "text": kept, "n_lines": before, "n_dropped": dropped})
 
 
-def dedup_lines(docs: DataFrame, least: int = LEAST, batches: int = BATCHES) -> DataFrame:
+def dedup_lines(docs: DataFrame, least: int = LEAST, batches: int = BATCHES, store: RunStore | None = None) -> DataFrame:
     """(doc_id, text, n_lines, n_dropped) with the lines that stay, joined by \\n.
 
     Keys of at least `least` code points lose all their lines but those of the
     smallest doc_id that holds the key. A null or empty text is one empty line.
     Rows that repeat a doc_id count as one document. A null doc_id takes no part:
     its text stays whole. Tables without rows give none; other columns are ignored.
+    With a store, lines that it holds go from all documents, and it is added to.
     """
-    lost = shared_lines(docs, least, batches)
+    lost = shared_lines(docs, least, batches, store)
     dead = lost.distinct().groupBy(F.col("doc_id").alias("_id"), F.col("body").alias("_body")).agg(F.collect_list("place").alias("gone"))
     rows = docs.select("doc_id", empty_text().alias("text"))
     rows = rows.join(dead, (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_body")), "left").select(F.col("doc_id").cast("string"), "text", "gone")
