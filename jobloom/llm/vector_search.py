@@ -10,7 +10,8 @@ expand: by the triangle inequality only blocks with d(q, p) - r <= d(v, p)
 <= d(q, p) + r can hold anything better, and the search stops with them.
 
 Pivots are PIVOTS vectors of smallest hash. All scores are integers and exact;
-bounds are widened by a rounding slack, so they exclude nothing by error.
+bounds are widened by a rounding slack, so they exclude nothing by error. Queries
+that ask for one block are answered QUERIES at a time, in tasks of their own.
 """
 
 from __future__ import annotations
@@ -27,8 +28,12 @@ from jobloom.llm.common import frugal, small, written
 PIVOTS = 32
 #: Vectors in a block.
 BLOCK = 1024
-#: Bound of the rounding error of distances, in units of the integer vectors.
-SLACK = 1e-3
+#: Bounds of the rounding error of distances: absolute, in units of the integer
+#: vectors, and in proportion to the greatest of them (more than the root of 2^-53,
+#: for distances are roots of differences).
+SLACK, SLACK_SHARE = 1e-3, 1e-7
+#: Queries that one task holds against a block.
+QUERIES = 4096
 
 
 def quantised(column: str = "embedding", scale: int = 256):
@@ -96,12 +101,18 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, pivots: int = PIVO
     (vec_id, v) of the largest inner product but the one with its own id, ties to
     the smaller vec_id; all of them, if there are fewer.
 
-    v and q are arrays of long, all of one length; use quantised() and usable().
+    v and q are arrays of long whose squares sum to less than 2^62; use quantised()
+    and usable(). Where lengths differ, the shorter ones go on with zeros.
     Rows that repeat a vec_id are vectors of their own, equal in all; of queries
     that repeat one is answered. Null ids take no part. No vectors: no rows."""
     frugal(vectors.sparkSession)
     vectors = vectors.filter("vec_id is not null").select(F.col("vec_id").cast("string"), "v")
     queries = queries.filter("query_id is not null").select(F.col("query_id").cast("string"), "q").dropDuplicates(["query_id"])
+    sizes = vectors.agg(F.min(F.size("v")), F.max(F.size("v"))).first(), queries.agg(F.min(F.size("q")), F.max(F.size("q"))).first()
+    width = max((s[1] or 0 for s in sizes), default=0)
+    if any(s[0] is not None and s[0] < width for s in sizes):
+        longer = lambda c: F.concat(c, F.array_repeat(F.lit(0).cast("long"), F.lit(width) - F.size(c)))
+        vectors, queries = vectors.withColumn("v", longer("v")), queries.withColumn("q", longer("q"))
     index, centres, most = build_index(vectors, pivots, block)
     if not len(centres):
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
@@ -126,9 +137,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, pivots: int = PIVO
     kth = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id").cast("long"))
     worst = begun.withColumn("r", F.row_number().over(kth)).filter(F.col("r") == k).select("query_id", "score")
     radius = F.sqrt(F.greatest(F.lit(0.0), F.col("norm") + F.lit(float(most)) - 2.0 * F.col("score")))
-    radius = asked.select("query_id", "norm").join(worst, "query_id", "left").select("query_id", F.coalesce(radius, F.lit(float("inf"))).alias("radius"))
+    radius = asked.select("query_id", "norm").join(worst, "query_id", "left").select("query_id", "norm", F.coalesce(radius, F.lit(float("inf"))).alias("radius"))
     done = near.select("query_id", "block")
-    more = bound.join(radius, "query_id").filter(F.col("gap") <= F.col("radius") + SLACK).join(done, ["query_id", "block"], "left_anti")
+    more = bound.join(radius, "query_id").filter(F.col("gap") <= F.col("radius") + SLACK + SLACK_SHARE * F.sqrt(F.col("norm") + F.lit(float(most)))).join(done, ["query_id", "block"], "left_anti")
     every = begun.unionByName(_scored(index, asked, more, k))
     out = every.withColumn("rank", F.row_number().over(kth)).filter(F.col("rank") <= k)
     return out.select(F.col("query_id").cast("long"), F.col("rank").cast("int"), F.col("vec_id").cast("long"), "score")
@@ -136,13 +147,16 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, pivots: int = PIVO
 
 def _scored(index: DataFrame, asked: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """The k best of each wanted (query_id, block)."""
-    side = wanted.select("query_id", "block").join(asked.select("query_id", "q"), "query_id")
+    parts = max(1, -(-asked.count() // QUERIES))
+    turn = F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int")
+    side = wanted.select("query_id", "block").join(asked.select("query_id", "q", turn.alias("turn")), "query_id")
+    rows = index.select("block", "vec_id", "v", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("turn"))
 
     def best(key: tuple, part: pd.DataFrame, some: pd.DataFrame) -> pd.DataFrame:
         found = _best(part, some, k) if len(part) and len(some) else []
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype({"score": np.int64})
 
-    return index.select("block", "vec_id", "v").groupBy("block").cogroup(side.groupBy("block")).applyInPandas(best, "query_id string, vec_id string, score long")
+    return rows.groupBy("block", "turn").cogroup(side.groupBy("block", "turn")).applyInPandas(best, "query_id string, vec_id string, score long")
 
 
 __all__ = ["build_index", "quantised", "top_k", "usable"]
