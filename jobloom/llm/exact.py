@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobloom.llm.common import BLANK, empty_text, forget, scratch_dir, written
+from jobloom.llm.common import BLANK, empty_text, forget, free_names, scratch_dir, written
 
 MEMTABLES = 16
 FANOUT = 4
@@ -121,20 +121,22 @@ def _by_text(docs: DataFrame, clash: DataFrame) -> DataFrame:
 
 
 def drop_exact(docs: DataFrame) -> DataFrame:
-    """The rows of docs that exact_groups keeps, all their columns unchanged.
+    """The rows of docs that exact_groups keeps, all their columns unchanged,
+    whatever their names.
 
     The rows that are dropped, and they alone, leave by an anti-join on doc_id
     and digest. Of rows that repeat a doc_id and its text, one stays."""
-    groups = exact_groups(docs)
-    gone = groups.filter(~F.col("kept") & ~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(F.col("doc_id").alias("_gone_id"), F.col("digest").alias("_gone"))
-    twice = groups.filter(~F.col("kept") & F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(F.col("doc_id").alias("_gone_id"), F.col("digest").alias("_gone")).distinct()
-    marked = docs.withColumn("_digest", F.sha2(normalised(), 256))
-    on = (F.col("_digest") == F.col("_gone")) & F.col("doc_id").eqNullSafe(F.col("_gone_id"))
+    digest, gone_id, gone_digest = free_names(docs.columns, "_digest", "_gone_id", "_gone")
+    groups = exact_groups(docs).filter(~F.col("kept"))
+    named = groups.select(F.col("doc_id").alias(gone_id), F.col("digest").alias(gone_digest), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("_same"))
+    gone, twice = named.filter("not _same").drop("_same"), named.filter("_same").drop("_same").distinct()
+    marked = docs.withColumn(digest, F.sha2(normalised(), 256))
+    on = (F.col(digest) == F.col(gone_digest)) & F.col("doc_id").eqNullSafe(F.col(gone_id))
     left = marked.join(gone, on, "left_anti")
     if (twice := written(twice, "twice")).isEmpty():
-        return left.drop("_digest")
-    again = left.join(twice, on, "left_semi").dropDuplicates(["_digest", "doc_id"])
-    return left.join(twice, on, "left_anti").unionByName(again).drop("_digest")
+        return left.drop(digest)
+    again = left.join(twice, on, "left_semi").dropDuplicates([digest, "doc_id"])
+    return left.join(twice, on, "left_anti").unionByName(again).drop(digest)
 
 
 __all__ = ["build_index", "drop_exact", "exact_groups", "hit_filter", "normalised", "probed", "scratch_dir"]

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from jobloom.llm.common import WORD, empty_text, forget, small, written
+from jobloom.llm.common import WORD, empty_text, forget, free_names, small, written
 
 WEIGHTS = (5, 2, 1)
 CAP = 3
@@ -133,8 +133,9 @@ def shard_quotas(blocks: DataFrame, shards: int = SHARDS, seed: int = SEED) -> D
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: int = SEED, shards: int = SHARDS) -> DataFrame:
-    """The rows of docs, each as often as the mix takes it, with two more columns:
-    _shard, and _place, by which the rows of a shard are in random order.
+    """The rows of docs, each as often as the mix takes it, with two more columns at
+    the end: _shard, and _place, by which the rows of a shard are in random order.
+    Where docs has a column of such a name, the new one has another underscore.
 
     A null source is a source of its own, after the others. Texts without words
     (null or empty ones too) have no size, bring nothing to their source's target
@@ -158,16 +159,17 @@ def _mix(docs: DataFrame, drawn: DataFrame, seed: int, shards: int) -> DataFrame
     placed = written(placed.select(F.col("source").alias("_src"), F.col("block").alias("_block"), F.col("copy").alias("_copy"), F.col("shard").alias("_shard")), "placed")
     units = drawn.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "block", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
     where = units.join(small(placed), F.col("_source").eqNullSafe(F.col("_src")) & (F.col("block") == F.col("_block")) & (F.col("copy") == F.col("_copy")))
-    where = where.select("_id", "_source", "_size", "_shard", "_copy")
-    on = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (n_words() == F.col("_size"))
+    shard, place, id_, source, size, copy = free_names(docs.columns, "_shard", "_place", "_id", "_source", "_size", "_copy")
+    where = where.select(*[F.col(a).alias(b) for a, b in (("_id", id_), ("_source", source), ("_size", size), ("_shard", shard), ("_copy", copy))])
+    on = F.col("doc_id").eqNullSafe(F.col(id_)) & F.col("source").eqNullSafe(F.col(source)) & (n_words() == F.col(size))
     rows = docs.join(where, on)
-    place = F.xxhash64(F.lit(seed), "_shard", "doc_id", "_copy")
-    return rows.withColumn("_place", place).select(*docs.columns, "_shard", "_place")
+    return rows.withColumn(place, F.xxhash64(F.lit(seed), shard, "doc_id", copy)).select(*docs.columns, shard, place)
 
 
 def shuffled(mixed: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """The rows of mix(), each shard a partition of its own and in order of _place."""
-    return mixed.repartitionById(shards, F.col("_shard").cast("int")).sortWithinPartitions("_place")
+    """The rows of mix(), each shard a partition of its own and in order of place."""
+    shard, place = mixed.columns[-2:]
+    return mixed.repartitionById(shards, F.col(shard).cast("int")).sortWithinPartitions(place)
 
 
 def mix_report(docs: DataFrame) -> DataFrame:

@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobloom.llm.common import empty_text, frugal, planes, unplanes, written
+from jobloom.llm.common import empty_text, free_names, frugal, planes, unplanes, written
 from jobloom.llm.graph import components
 from jobloom.llm.substring import by_bucket, member, sorted_runs
 from jobloom.llm.textvec import mix, windows, words
@@ -47,6 +47,8 @@ COORDINATES = 64
 MATCHES = 32
 #: Classes in a group that asks for counts, groups whose questions meet in a bucket.
 CLASSES, GROUPS_A_BUCKET = 4096, 16
+#: Parts of the pairs of a node that is in very many.
+SALTS = 16
 #: Members of a block of a long list.
 BLOCK = 512
 #: Before two sets are compared in full, they must agree in AGREE of SKETCH further
@@ -167,10 +169,33 @@ def _survivors(classes: DataFrame, n_classes: int) -> DataFrame:
     return written(found.withColumn("node", F.monotonically_increasing_id()), "survivors")
 
 
+def _salted(rows: DataFrame, key: str, by: str, hot: DataFrame) -> DataFrame:
+    """rows with a salt of `by` where key is hot."""
+    marked = rows.join(F.broadcast(hot.select(F.col(key).alias("_hot"))), F.col(key) == F.col("_hot"), "left")
+    return marked.withColumn("salt", F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64(by), F.lit(SALTS))).otherwise(0).cast("int")).drop("_hot")
+
+
+def _met(pairs: DataFrame, sets: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """The pairs (a, b) with columns of sets of both: {"m": "sketch"} gives ma and mb.
+    Nodes in more than a thousandth of the pairs, so fewer than a thousand on either
+    side, have a copy of theirs for each of SALTS parts of their pairs."""
+    pairs = written(pairs.select("a", "b"), "pairs")
+    total = pairs.count()
+    for key, by in (("a", "b"), ("b", "a")):
+        side = sets.select(F.col("node").alias(key), *[F.col(c).alias(k + key) for k, c in columns.items()])
+        hot = written(pairs.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") * 1000 > total) & (F.col("n") > SALTS)).select(key), "hot")
+        if hot.isEmpty():
+            pairs = pairs.join(side, key)
+            continue
+        copies = F.explode(F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))).alias("salt")
+        side = side.join(F.broadcast(hot.select(F.col(key).alias("_hot"))), F.col(key) == F.col("_hot"), "left").select(*side.columns, copies)
+        pairs = _salted(pairs, key, by, hot).join(side, [key, "salt"]).drop("salt")
+    return pairs
+
+
 def _agreeing(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) that agree in the sketch and could be similar by size."""
-    side = lambda s: sets.select(F.col("node").alias(s), F.col("sketch").alias(f"m{s}"), F.col("n").alias(f"n{s}"))
-    rows = pairs.join(side("a"), "a").join(side("b"), "b").filter(f"100 * least(na, nb) >= {PERCENT} * greatest(na, nb)")
+    rows = _met(pairs, sets, {"m": "sketch", "n": "n"}).filter(f"100 * least(na, nb) >= {PERCENT} * greatest(na, nb)")
 
     def agree(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
@@ -182,8 +207,9 @@ def _agreeing(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose full shingle sets are similar. sets: (node, set)."""
-    side = lambda s: sets.select(F.col("node").alias(s), F.col("set").alias(f"s{s}"))
+    """The pairs whose full shingle sets are similar. sets: (node, set). Shingles are
+    64-bit hashes; two unlike sets of 10,000 share one by chance once in 10^11 pairs,
+    and one shared shingle decides nothing but at the very threshold."""
 
     def confirm(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
@@ -194,7 +220,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 ok.append(100 * both >= PERCENT * (len(x) + len(y) - both))
             yield part.loc[np.array(ok, bool), ["a", "b"]]
 
-    return pairs.join(side("a"), "a").join(side("b"), "b").mapInPandas(confirm, "a long, b long")
+    return _met(pairs, sets, {"s": "set"}).mapInPandas(confirm, "a long, b long")
 
 
 def _full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -297,6 +323,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
 def drop_near(docs: DataFrame) -> DataFrame:
     """The rows of docs that near_groups keeps, all their columns unchanged: those
     whose doc_id is not among the dropped ones'. Rows that repeat a doc_id go
-    together."""
-    gone = near_groups(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
+    together. Columns may have any names."""
+    (name,) = free_names(docs.columns, "_gone")
+    gone = near_groups(docs).filter(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col(name), "left_anti")

@@ -67,22 +67,51 @@ def test_words_as_hashes():
     assert textvec.inside(first, 2).sum() == sum(max(0, len(words(t)) - 1) for t in texts)
 
 
+def thue_morse(n, flip):
+    return "".join("ab"[(k.bit_count() + flip) % 2] for k in range(n))
+
+
+def test_words_without_arithmetic_structure():
+    """Polynomial hashes modulo 2^64 can't tell such words apart."""
+    rng = random.Random(6)
+    texts = [thue_morse(n, f) for n in (8, 60, 64, 65, 1024, 4096) for f in (0, 1)] + ["x" * n for n in range(1, 140)]
+    texts += ["".join(rng.choice("ab\x00é") for _ in range(rng.randrange(1, 30))) for _ in range(3000)]
+    hashes, first = textvec.wide_words(texts, False)
+    of = {}
+    for i, t in enumerate(texts):
+        assert first[i + 1] - first[i] == 1
+        of.setdefault(t, set()).add(tuple(hashes[:, first[i]].tolist()))
+    assert all(len(x) == 1 for x in of.values())
+    for lane in (0, 1):
+        assert len({next(iter(x))[lane] for x in of.values()}) == len(of)
+
+
+def test_unlike_long_words_are_no_copies(spark):
+    rows = [(k, " ".join([thue_morse(4096, k)] * 13)) for k in (0, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert all(r.n_removed == 0 for r in substring.repeated_spans(docs).collect())
+    assert all(r.kept for r in neardup.near_groups(docs).collect())
+
+
+@pytest.mark.parametrize("special", [True, False])
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
-def test_encoder_is_the_tokenizer(name, rows):
+def test_encoder_is_the_tokenizer(name, special, rows):
     path, rng = public_tokenizers.path(name), random.Random(2)
-    alphabet = " \n\t ab'sSé̈漢한1.!|\x1c　\xa0\x85İıßẞ²ǅΣς_"
-    texts = [t for _, t in rows] + ["".join(rng.choice(alphabet) for _ in range(rng.randrange(40))) for _ in range(4000)]
     plain = Tokenizer.from_file(path)
-    plain.encode_special_tokens = True
+    alphabet = [*" \n\t ab'sSé̈漢한1.!|\x1c　\xa0\x85İıßẞ²ǅΣς_<>", *(t.content for t in plain.get_added_tokens_decoder().values()), "<|endof"]
+    texts = [t for _, t in rows] + ["".join(rng.choice(alphabet) for _ in range(rng.randrange(40))) for _ in range(4000)] + ["a <|endoftext|> b"]
+    if not special:
+        plain.encode_special_tokens = True
     want = [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
-    own = Encoder(path, memo=50)
+    own = Encoder(path, memo=50, special=special)
     got = [np.frombuffer(x, "<u4").tolist() for i in range(0, len(texts), 100) for x in own.encode(texts[i : i + 100])]
     assert got == want
 
 
 def test_packing(docs, rows, none):
     path = public_tokenizers.path("byte_bpe_50k.json")
-    out = packing.pack(packing.token_pieces(docs, path, 64), 64).collect()
+    cut = packing.token_pieces(docs, path, 64)
+    out = packing.pack(cut, 64, packing.NUMBERS).collect()
     own, bins, pieces = Encoder(path), collections.defaultdict(list), collections.defaultdict(list)
     for r in out:
         bins[r.sequence_id].append((r.offset, r.length))
@@ -96,13 +125,17 @@ def test_packing(docs, rows, none):
     want = collections.defaultdict(list)
     for i, t in rows:
         raw = own.encode([t])[0] + bytes(4)
-        cut = [k for k in range(len(raw) // 4 % 64, len(raw) // 4, 64) if k] if len(raw) // 4 > 64 else []
-        for k, (a, b) in enumerate(zip([0, *cut], [*cut, len(raw) // 4])):
+        ends = [k for k in range(len(raw) // 4 % 64, len(raw) // 4, 64) if k] if len(raw) // 4 > 64 else []
+        for k, (a, b) in enumerate(zip([0, *ends], [*ends, len(raw) // 4])):
             want[i].append((k, a, b - a, raw[4 * a : 4 * b]))
     assert {k: sorted(v) for k, v in pieces.items()} == {k: sorted(v) for k, v in want.items()}
     total = sum(r.length for r in out)
     assert len(bins) <= math.ceil(total / 64) + 1
-    assert packing.pack(packing.token_pieces(none, path)).count() == 0
+    again = packing.pack(cut.drop("task", "nth").withColumns({"_task": F.lit("x"), "_RANK": F.lit(None).cast("long"), "offset": F.lit("old")}), 64)
+    assert again.columns == ["doc_id", "piece", "start", "length", "ids", "_task", "_RANK", "sequence_id", "offset"]
+    got = again.collect()
+    assert len({r.sequence_id for r in got}) == len(bins) and all(r["_task"] == "x" and r["_RANK"] is None for r in got)
+    assert packing.pack(packing.token_pieces(none, path), numbers=packing.NUMBERS).count() == 0 and packing.pack(packing.token_pieces(none, path)).count() == 0
 
 
 def first_fit(histogram, capacity):
@@ -146,11 +179,15 @@ def test_token_file_round_trip(spark, docs, rows, none):
     absent = [(77_000 + i, 0) for i in range(500)] + [(3, 9), (None, 99)]
     got = tokenfile.read(spark, tokens, spark.createDataFrame(keys + absent, "doc_id long, nth long")).collect()
     own, at, want = Encoder(path), 0, []
-    for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode())):
-        raw = own.encode([t])[0] + (1).to_bytes(4, "little")
-        want.append((i, at, raw))
+    for i, _ in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
+        want.append(i)
+    found = sorted((r.start, r.doc_id, bytes(r.ids)) for r in got)
+    assert [i for _, i, _ in found] == want
+    for start, _, raw in found:
+        assert start == at
         at += len(raw) // 4
-    assert sorted(((r.doc_id, r.start, bytes(r.ids)) for r in got), key=lambda r: r[1]) == want
+    assert collections.Counter((i, x) for _, i, x in found) == collections.Counter((i, own.encode([t])[0] + (1).to_bytes(4, "little")) for i, t in rows)
+    assert collections.Counter((r.doc_id, r.nth) for r in tokens.keys.collect()) == collections.Counter(keys)
     empty = tokenfile.write(none, path, scratch_path(spark, "t"))
     assert tokenfile.read(spark, empty, spark.createDataFrame([(1, 0)], "doc_id long, nth long")).count() == 0
 
@@ -159,13 +196,41 @@ def test_perfect_hash_is_minimal():
     keys = textvec.mix(np.arange(5000, dtype=np.uint64))
     entries = np.zeros(5000, tokenfile._ENTRY)
     entries["print"], entries["at"] = keys & np.uint64(0xFFFFFFFF), np.arange(5000)
-    region = tokenfile.build_bucket(keys, entries)
-    found, ok = tokenfile.find_in_bucket(region, keys)
+    names = np.zeros(5000, tokenfile._KEY)
+    names["doc_id"] = np.arange(5000)
+    region = tokenfile.build_bucket(keys, entries, names)
+    found, ok = tokenfile.find_in_bucket(region, keys, names)
     assert ok.all() and (found["at"] == np.arange(5000)).all()
-    _, ok = tokenfile.find_in_bucket(region, textvec.mix(np.arange(10_000, 30_000, dtype=np.uint64)))
+    absent = np.zeros(20_000, tokenfile._KEY)
+    _, ok = tokenfile.find_in_bucket(region, textvec.mix(np.arange(10_000, 30_000, dtype=np.uint64)), absent)
     assert ok.sum() <= 1
 
 
+def test_perfect_hash_of_equal_hashes():
+    keys = textvec.mix(np.arange(300, dtype=np.uint64) // 3 * 2)  # three keys to a hash
+    entries, names = np.zeros(300, tokenfile._ENTRY), np.zeros(300, tokenfile._KEY)
+    entries["print"], entries["at"], names["nth"] = keys & np.uint64(0xFFFFFFFF), np.arange(300), np.arange(300)
+    region = tokenfile.build_bucket(keys[:299], entries[:299], names[:299])
+    found, ok = tokenfile.find_in_bucket(region, keys, names)
+    assert ok[:299].all() and (found["at"][:299] == np.arange(299)).all() and not ok[299]
+    ids = np.zeros(3, tokenfile._KEY)
+    ids["doc_id"], ids["null"] = (0, -(2**63), 2**63 - 1), (1, 0, 0)
+    assert len(set(tokenfile.key_hash(ids).tolist())) == 3
+
+
+def test_token_file_of_one_hot_doc_id(spark):
+    """Rows that repeat one doc_id fill several shards and have numbers of their own."""
+    rows = [(None if i % 2 else -(2**63), f"text {i} " * 30) for i in range(200)] + [(2**63 - 1, "end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    tokens = tokenfile.write(docs, public_tokenizers.path("word_bpe_49k.json"), scratch_path(spark, "t"), shard_bytes=4000)
+    shards = tokens.shards.count()
+    got = tokenfile.read(spark, tokens, tokens.keys).collect()
+    assert shards > 5 and sorted(((r.doc_id is not None, r.doc_id or 0, r.nth) for r in got)) == sorted([(False, 0, k) for k in range(100)] + [(True, -(2**63), k) for k in range(100)] + [(True, 2**63 - 1, 0)])
+    starts = sorted((r.start, len(r.ids) // 4, r.doc_id) for r in got)
+    assert all(a + n == b for (a, n, _), (b, _, _) in zip(starts, starts[1:]))
+    assert [d for _, _, d in starts] == [None] * 100 + [-(2**63)] * 100 + [2**63 - 1]
+
+
 def shingles(text):
     w = words(text, True)
     return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
@@ -268,10 +333,29 @@ def test_lines(docs, rows, none):
 
 
 def test_line_runs_are_compacted(spark):
-    store = lines.RunStore(2)
+    root = scratch_path(spark, "store")
     for k in range(5):
+        store = lines.RunStore(spark, root, 2)  # opened again each time
         store.add(spark.range(k * 10, k * 10 + 10).select(F.col("id").alias("h1"), F.col("id").alias("h2"), F.col("id").alias("first")))
-    assert [len(x) for x in store.levels] == [1, 0, 1] and store.union().count() == 50
+    assert [len(x) for x in store.levels()] == [1, 0, 1] and store.union().count() == 50
+    store.drop()
+    assert store.union() is None
+
+
+def test_lines_of_later_documents(spark):
+    root, line = scratch_path(spark, "store"), "a line that is long enough"
+    first = spark.createDataFrame([(5, line)], "doc_id long, text string")
+    assert lines.dedup_lines(first, store=lines.RunStore(spark, root)).first().n_dropped == 0
+    later = spark.createDataFrame([(1, line + "\nanother long line"), (2, "another long line")], "doc_id long, text string")
+    got = lines.dedup_lines(later, store=lines.RunStore(spark, root)).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == [(1, "another long line"), (2, "")]
+
+
+def test_lines_with_ids_of_the_whole_range_and_a_hot_line(spark):
+    ids = [-(2**63), -5, 0, 7, 2**62, 2**63 - 1, *range(100, 400)]
+    docs = spark.createDataFrame([(i, f"the same line everywhere\nonly in {i} itself") for i in ids], "doc_id long, text string")
+    got = {r.doc_id: (r.text, r.n_dropped) for r in lines.dedup_lines(docs).collect()}
+    assert got == {i: (f"only in {i} itself", 1) if i != -(2**63) else (f"the same line everywhere\nonly in {i} itself", 0) for i in ids}
 
 
 def brute_removed(rows, width=13):
@@ -488,8 +572,35 @@ def test_top_k(spark):
     assert vector_search.top_k(frame.limit(0), queries, 5).count() == 0 and vector_search.top_k(frame, queries.limit(0), 5).count() == 0
 
 
+def test_top_k_of_ragged_and_large_vectors(spark):
+    rng = random.Random(8)
+    rows = [(i, [rng.randrange(-(2**28), 2**28) for _ in range(rng.choice([0, 2, 5, 5, 5]))]) for i in range(300)]
+    frame = spark.createDataFrame(rows, "vec_id long, v array<long>")
+    queries = frame.filter("vec_id % 10 = 0").select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in vector_search.top_k(frame, queries, 3, pivots=6, block=20).collect()}
+    for q in range(0, 300, 10):
+        scores = sorted((-sum(a * b for a, b in zip(v, rows[q][1])), i) for i, v in rows if i != q)[:3]
+        assert [got[q, k + 1] for k in range(3)] == [(i, -s) for s, i in scores]
+
+
 def test_unusable_vectors(spark):
     rows = [(1, [0.5, 1.0]), (2, None), (3, [float("nan"), 1.0]), (4, [None, 1.0]), (5, [float("inf"), 1.0]), (6, [-0.001, 2.0])]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     got = frame.filter(vector_search.usable()).select("vec_id", vector_search.quantised().alias("v")).orderBy("vec_id").collect()
     assert [(r.vec_id, r.v) for r in got] == [(1, [128, 256]), (6, [-1, 512])]
+
+
+def test_columns_of_clashing_names(spark, docs):
+    """What the stages add inside never meets a column of the documents."""
+    own = ["_digest", "_Gone", "_gone_id", "_body", "_shard", "_place", "_id", "_Source", "_size", "_copy", "_task", "_nth", "pid", "no_id", "hit", "label", "component_id", "kept"]
+    base = docs.select("doc_id", "text", "lang", "source")
+    wide = base.withColumns({c: F.concat(F.lit(c), F.coalesce("source", F.lit(""))) for c in own})
+    marks = spark.createDataFrame([(i, 1, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    stages = (exact.drop_exact, neardup.drop_near, lambda d: quality.keep_good(d, marks), lambda d: mixing.mix(d).select(d.columns))
+    for stage in stages:
+        out = stage(wide)
+        assert out.columns == wide.columns
+        plain = collections.Counter(map(tuple, stage(base).collect()))
+        got = out.collect()
+        assert collections.Counter(tuple(r)[:4] for r in got) == plain
+        assert all(r[c] == c + (r.source or "") for r in got for c in own)
