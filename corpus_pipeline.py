@@ -20,29 +20,48 @@ from jobloom.llm.common import written
 
 
 def stage_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the classifier keeps."""
+    """The documents that the classifier keeps, with all their columns.
+
+    Texts without words, null ones too, stay; a null language is one of its own; a
+    null doc_id is judged by its text. Labels that are null, repeated or of unknown
+    documents do no harm: see quality.judged. Without labels all documents stay."""
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def stage_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the smallest doc_id."""
+    """Of equal texts the row with the smallest doc_id, with all its columns.
+
+    Null and empty texts are equal to one another. Null doc_ids come after all
+    others; of rows that repeat a doc_id and its text, one stays. No rows give none."""
     return exact.drop_exact(docs)
 
 
 def stage_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near duplicates the smallest doc_id."""
+    """Of near duplicates the smallest doc_id, with all its columns.
+
+    Texts without words and rows without doc_id stay; rows that repeat a doc_id go or
+    stay together. No rows give none."""
     return neardup.drop_near(docs)
 
 
 def stage_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows as often as the mix takes them, shard by shard, in random order there."""
-    return mixing.shuffled(mixing.mix(docs)).drop("_shard", "_place")
+    """Rows as often as the mix takes them, shard by shard, in random order there,
+    with the columns of docs.
+
+    A null source is a source of its own. Texts without words come with whole passes
+    over their source only. Rows that agree in doc_id, source and number of words are
+    taken together. No rows give none."""
+    return mixing.shuffled(mixing.mix(docs)).select(docs.columns)
 
 
 def stage_pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, piece, start, length, sequence_id, offset) of each row's pieces."""
+    """(doc_id, piece, start, length, ids, sequence_id, offset) of each row's pieces.
+
+    A null text is the end id alone, a null doc_id stays null, repeated rows are
+    packed each for itself, and columns beside doc_id and text are left out. No rows
+    give none. ids: little-endian 32-bit."""
     pieces = packing.token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"))
-    return packing.pack(pieces.drop("ids"))
+    return packing.pack(pieces, numbers=packing.NUMBERS)
 
 
 STAGES = [("quality", stage_quality), ("exact", stage_exact), ("near", stage_near), ("mix", stage_mix), ("pack", stage_pack)]
