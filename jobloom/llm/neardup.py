@@ -47,8 +47,8 @@ COORDINATES = 64
 MATCHES = 32
 #: Classes in a group that asks for counts, groups whose questions meet in a bucket.
 CLASSES, GROUPS_A_BUCKET = 4096, 16
-#: Parts of the pairs of a node that is in very many.
-SALTS = 16
+#: Parts of the pairs of a node that is in very many, and how many are few.
+SALTS, LEAST_HOT = 16, 256
 #: Members of a block of a long list.
 BLOCK = 512
 #: Before two sets are compared in full, they must agree in AGREE of SKETCH further
@@ -169,12 +169,6 @@ def _survivors(classes: DataFrame, n_classes: int) -> DataFrame:
     return written(found.withColumn("node", F.monotonically_increasing_id()), "survivors")
 
 
-def _salted(rows: DataFrame, key: str, by: str, hot: DataFrame) -> DataFrame:
-    """rows with a salt of `by` where key is hot."""
-    marked = rows.join(F.broadcast(hot.select(F.col(key).alias("_hot"))), F.col(key) == F.col("_hot"), "left")
-    return marked.withColumn("salt", F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64(by), F.lit(SALTS))).otherwise(0).cast("int")).drop("_hot")
-
-
 def _met(pairs: DataFrame, sets: DataFrame, columns: dict[str, str]) -> DataFrame:
     """The pairs (a, b) with columns of sets of both: {"m": "sketch"} gives ma and mb.
     Nodes in more than a thousandth of the pairs, so fewer than a thousand on either
@@ -183,13 +177,15 @@ def _met(pairs: DataFrame, sets: DataFrame, columns: dict[str, str]) -> DataFram
     total = pairs.count()
     for key, by in (("a", "b"), ("b", "a")):
         side = sets.select(F.col("node").alias(key), *[F.col(c).alias(k + key) for k, c in columns.items()])
-        hot = written(pairs.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") * 1000 > total) & (F.col("n") > SALTS)).select(key), "hot")
-        if hot.isEmpty():
+        counts = pairs.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") * 1000 > total) & (F.col("n") > LEAST_HOT))
+        hot = [r[0] for r in counts.select(key).collect()]  # fewer than a thousand
+        if not hot:
             pairs = pairs.join(side, key)
             continue
-        copies = F.explode(F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))).alias("salt")
-        side = side.join(F.broadcast(hot.select(F.col(key).alias("_hot"))), F.col(key) == F.col("_hot"), "left").select(*side.columns, copies)
-        pairs = _salted(pairs, key, by, hot).join(side, [key, "salt"]).drop("salt")
+        every = F.sequence(F.lit(0), F.lit(SALTS - 1))
+        side = side.withColumn("salt", F.explode(F.when(F.col(key).isin(hot), every).otherwise(F.array(F.lit(0)))))
+        salt = F.when(F.col(key).isin(hot), F.pmod(F.xxhash64(by), F.lit(SALTS))).otherwise(0).cast("int")
+        pairs = pairs.withColumn("salt", salt).join(side, [key, "salt"]).drop("salt")
     return pairs
 
 
