@@ -293,9 +293,13 @@ def near_groups(docs: DataFrame) -> DataFrame:
     signed = docs.select(F.col("doc_id").cast("string"), empty_text().alias("text")).mapInPandas(_signed, "doc_id string, n long, k1 long, k2 long, signature binary")
     signed = written(signed.withColumn("doc_id", F.col("doc_id").cast("long")), "signed")
     rows = signed.drop("signature")
-    classes = written(rows.filter("n > 0 and doc_id is not null").groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id")), "classes")
+    classes = written(rows.filter("n > 0 and doc_id is not null").groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies")), "classes")
+    sizes = classes.agg(F.count(F.lit(1)).alias("classes"), F.sum("copies").alias("rows")).first()
+    large = classes.filter((F.col("copies") * 1000 > (sizes["rows"] or 0)) & (F.col("copies") > LEAST_HOT))
+    hot = F.col("k1").isin([r["k1"] for r in large.select("k1").collect()])  # fewer than a thousand
+    classes = classes.drop("copies")
     standing = signed.join(classes, ["k1", "k2", "doc_id"], "left_semi")
-    nodes = _survivors(standing, classes.count())
+    nodes = _survivors(standing, sizes["classes"])
     sets = _full_sets(docs, nodes)
     posts = nodes.select("node", "weight", F.explode("keys").alias("_key")).select("node", "weight", "_key.key", "_key.slot")
     centre = posts.groupBy("key").agg(F.max_by("node", "weight").alias("a"), F.count(F.lit(1)).alias("g")).filter("g > 1").select("key", "a")
@@ -310,7 +314,11 @@ def near_groups(docs: DataFrame) -> DataFrame:
     least = named.groupBy("label").agg(F.min("least").alias("component_id"))
     found = named.join(least, "label").select("k1", "k2", "component_id")
     every = classes.join(found, ["k1", "k2"], "left").select("k1", "k2", F.coalesce("component_id", "doc_id").alias("_component"))
-    joined = rows.filter("n > 0 and doc_id is not null").join(every, ["k1", "k2"])
+    # a class of very many copies has a row for each of SALTS parts of them
+    parts = F.when(hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    salt = F.when(hot, F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))).otherwise(0).cast("int")
+    every = every.withColumn("salt", F.explode(parts))
+    joined = rows.filter("n > 0 and doc_id is not null").withColumn("salt", salt).join(every, ["k1", "k2", "salt"])
     alone = rows.filter("n = 0 or doc_id is null").withColumn("_component", F.col("doc_id"))
     both = joined.select(alone.columns).unionByName(alone)
     return both.select("doc_id", F.col("n").alias("n_shingles"), F.col("_component").alias("component_id"), F.coalesce(F.col("doc_id") == F.col("_component"), F.lit(True)).alias("kept"), "k1", "k2")
