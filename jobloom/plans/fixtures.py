@@ -63,27 +63,27 @@ v2 AS (SELECT CAST(c_custkey AS VARCHAR) AS bzno, nm,
 
 
 def mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(pst_id, co_nm, loc, corp_addr, true_bzno): company names as postings spell them."""
-    orders = table(spark, sf_dir, "orders").filter("o_orderkey % 20 = 0").select("o_orderkey", F.col("o_custkey").cast("string").alias("bzno"), F.floor(F.col("o_orderkey") / 20).cast("int").alias("k"))
+    """(pst_id, co_nm, loc, corp_addr, true_bzno) of all orders: company names as
+    postings spell them."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("bzno"))
     rows = orders.join(companies(spark, sf_dir), "bzno")
-    form = F.col("k") % 5
+    form = F.col("o_orderkey") % 5
     shorter = F.substring(F.col("nm"), F.lit(1), F.length("nm") - 1)
     return rows.select(
         F.lpad(F.col("o_orderkey").cast("string"), 10, "0").alias("pst_id"),
         F.when(form == 0, F.col("title")).when(form == 1, F.col("nm")).when(form == 2, F.concat("nm", F.lit("지점"))).when(form == 3, shorter).alias("co_nm"),
-        F.when(F.col("k") % 2 == 0, F.col("address")).otherwise("제주도 서귀포시").alias("loc"),
-        F.when(F.col("k") % 3 == 0, F.col("address")).otherwise("").alias("corp_addr"),
+        F.when(F.col("o_orderkey") % 2 == 0, F.col("address")).otherwise("제주도 서귀포시").alias("loc"),
+        F.when(F.col("o_orderkey") % 3 == 0, F.col("address")).otherwise("").alias("corp_addr"),
         F.col("bzno").alias("true_bzno"),
     )
 
 
 MENTIONS = """
 v3 AS (SELECT lpad(CAST(o_orderkey AS VARCHAR), 10, '0') AS pst_id,
- CASE k % 5 WHEN 0 THEN title WHEN 1 THEN nm WHEN 2 THEN concat(nm, '지점') WHEN 3 THEN substring(nm, 1, length(nm) - 1) END AS co_nm,
- CASE WHEN k % 2 = 0 THEN address ELSE '제주도 서귀포시' END AS loc,
- CASE WHEN k % 3 = 0 THEN address ELSE '' END AS corp_addr, bzno AS true_bzno
- FROM (SELECT o_orderkey, o_custkey, CAST(floor(o_orderkey / 20) AS INT) AS k FROM orders WHERE o_orderkey % 20 = 0) o
- JOIN v2 ON v2.bzno = CAST(o.o_custkey AS VARCHAR))"""
+ CASE o_orderkey % 5 WHEN 0 THEN title WHEN 1 THEN nm WHEN 2 THEN concat(nm, '지점') WHEN 3 THEN substring(nm, 1, length(nm) - 1) END AS co_nm,
+ CASE WHEN o_orderkey % 2 = 0 THEN address ELSE '제주도 서귀포시' END AS loc,
+ CASE WHEN o_orderkey % 3 = 0 THEN address ELSE '' END AS corp_addr, bzno AS true_bzno
+ FROM orders JOIN v2 ON v2.bzno = CAST(o_custkey AS VARCHAR))"""
 
 
 def skills(spark: SparkSession, sf_dir: str) -> DataFrame:
