@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut_lineage(rows: DataFrame) -> DataFrame:
-    """rows as checkpointed in the folder that spark.checkpoint.dir names, which all
-    executors share; in local mode without one, in a temporary folder."""
-    context = rows.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names, which all executors share; in
+    local mode without one, a temporary folder."""
+    context = spark.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
         folder = context.getConf().get("spark.checkpoint.dir")
         if not folder:
@@ -18,4 +18,10 @@ def cut_lineage(rows: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
             folder = tempfile.mkdtemp(prefix="jobloom-")
         context.setCheckpointDir(folder)
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def cut_lineage(rows: DataFrame) -> DataFrame:
+    """rows as checkpointed in the shared folder."""
+    shared_folder(rows.sparkSession)
     return rows.checkpoint()

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # English stop words of the standard analyser, and BM25's parameters.
 STOP_WORDS = (
@@ -12,6 +15,10 @@ STOP_WORDS = (
 K1, B = 1.2, 0.75
 #: Characters of a posting's text that are indexed.
 INDEXED = 32_000
+#: Longer tokens have no deletion neighbourhood, whose size grows with their length's square.
+LONG_TOKEN = 24
+#: Folders of a stored index, by hash of the token.
+BUCKETS = 64
 
 
 def prepared(rows: DataFrame) -> DataFrame:
@@ -40,17 +47,59 @@ def postings(docs: DataFrame, key: str, text: str) -> DataFrame:
     return words.groupBy(key, "token").agg(F.count(F.lit(1)).alias("tf"), F.min("dl").alias("dl"))
 
 
+class TokenIndex(NamedTuple):
+    """postings: (key, token, tf, dl); sizes: one row (n, avg_dl)."""
+
+    postings: DataFrame
+    sizes: DataFrame
+
+
+def token_index(docs: DataFrame, key: str, text: str) -> TokenIndex:
+    sizes = docs.select(F.size(tokens(text)).alias("dl"))
+    return TokenIndex(postings(docs, key, text), sizes.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avg_dl")))
+
+
+def write_index(docs: DataFrame, path: str, key: str, text: str, replace: bool = False) -> bool:
+    """Stores the index of docs in folders by hash of the token, sorted by token. An
+    index that is there stays as it is, unless it is to be replaced. Whether it was
+    written. The sizes come last: without them there is no index."""
+    spark = docs.sparkSession
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/sizes/_SUCCESS")
+    if done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done) and not replace:
+        return False
+    index = token_index(docs, key, text)
+    rows = index.postings.withColumn("bucket", F.pmod(F.xxhash64("token"), F.lit(BUCKETS)).cast("int"))
+    parts = F.pmod(F.xxhash64(key), F.lit(8))  # of a bucket, so that no task has one alone
+    rows.repartition("bucket", parts).sortWithinPartitions("bucket", "token").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
+    like = F.lit(None).cast(docs.schema[key].dataType).alias(key)  # the key's name and type, for an index without tokens
+    index.sizes.select("n", "avg_dl", like).write.mode("overwrite").parquet(f"{path}/sizes")
+    return True
+
+
+def read_index(spark: SparkSession, path: str) -> TokenIndex:
+    sizes = spark.read.parquet(f"{path}/sizes")
+    rows = T.StructType([sizes.schema.fields[-1], T.StructField("token", T.StringType()), T.StructField("tf", T.LongType()), T.StructField("dl", T.IntegerType()), T.StructField("bucket", T.IntegerType())])
+    return TokenIndex(spark.read.schema(rows).parquet(f"{path}/postings"), sizes.select("n", "avg_dl"))
+
+
 def bm25_top(docs: DataFrame, queries: DataFrame, key: str, text: str, query_key: str, query_text: str, k: int = 10) -> DataFrame:
+    return index_top(token_index(docs, key, text), queries, key, query_key, query_text, k)
+
+
+def index_top(index: TokenIndex, queries: DataFrame, key: str, query_key: str, query_text: str, k: int = 10) -> DataFrame:
     """(query_key, key, score, rank): the k best of each query, ties to the smaller
-    key. Any common token is a match. Only the tokens of queries meet the index."""
+    key. Any common token is a match. Only the tokens of queries meet the index, and
+    of a stored one only their folders are read."""
     asked = queries.select(query_key, F.explode(F.array_distinct(tokens(query_text))).alias("token"))
-    sizes = docs.select(F.size(tokens(text)).alias("dl"))
-    stats = sizes.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avg_dl"))
-    index = postings(docs, key, text).join(asked.select("token").distinct(), "token", "left_semi")
-    df = index.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    known, rows = asked.select("token").distinct(), index.postings
+    if "bucket" in rows.columns:
+        wanted = known.select(F.pmod(F.xxhash64("token"), F.lit(BUCKETS)).cast("int").alias("b")).distinct().collect()  # BUCKETS rows at most
+        rows = rows.filter(F.col("bucket").isin([r.b for r in wanted])).drop("bucket")
+    rows = rows.join(known, "token", "left_semi")
+    df = rows.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weight = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("avg_dl")))
-    weighed = index.join(df, "token").crossJoin(F.broadcast(stats)).select(key, "token", weight.alias("w"))  # one row
+    weighed = rows.join(df, "token").crossJoin(F.broadcast(index.sizes)).select(key, "token", weight.alias("w"))  # one row
     scores = asked.join(weighed, "token").groupBy(query_key, key).agg(F.round(F.sum("w"), 6).alias("score"))
     order = Window.partitionBy(query_key).orderBy(F.col("score").desc(), key)
     return scores.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
@@ -82,14 +131,42 @@ def allowed_edits(token: Column, fuzziness: int | str) -> Column:
     return F.when(F.length(token) < low, 0).when(F.length(token) < high, 1).otherwise(2)
 
 
+def _shorter(texts: Column, empty: Column) -> Column:
+    """Every text with one character left out."""
+    cut = lambda t: F.transform(F.sequence(F.lit(1), F.length(t)), lambda i: F.concat(F.substring(t, F.lit(1), i - 1), F.substring(t, i + 1, F.length(t))))
+    return F.flatten(F.transform(texts, lambda t: F.when(F.length(t) > 0, cut(t)).otherwise(empty)))
+
+
+def _neighbours(token: Column, edits: Column, most: int, prefix: int) -> Column:
+    """Keys by which tokens a few edits apart meet: their first characters with what
+    is left when up to `edits` characters are left out. Very long tokens meet by
+    their first characters alone."""
+    empty = F.array().cast("array<string>")
+    start = F.substring(token, 1, prefix)
+    found, last = F.array(token), F.array(token)
+    for k in range(1, most + 1):
+        last = _shorter(last, empty)
+        found = F.concat(found, F.when(edits >= k, last).otherwise(empty))
+    short = F.transform(F.array_distinct(found), lambda t: F.concat(start, F.lit("/"), t))
+    size = F.length(token)
+    return F.concat(F.when(size <= LONG_TOKEN, short).otherwise(empty), F.when(size > LONG_TOKEN - most, F.array(start)).otherwise(empty))
+
+
 def fuzzy_matches(names: DataFrame, titles: DataFrame, name: str, title: str, fuzziness: int | str, prefix: int) -> DataFrame:
     """names x titles with tokens that are a few edits apart and agree in their first
-    `prefix` characters, by which they meet. Any token of the name will do."""
-    left = names.withColumn("_token", F.explode(F.array_distinct(tokens(name)))).withColumn("_start", F.substring("_token", 1, prefix))
-    right = titles.withColumn("_word", F.explode(F.array_distinct(tokens(title)))).withColumn("_key", F.substring("_word", 1, prefix))
+    `prefix` characters. Any token of the name will do. Distinct tokens meet first, by
+    deletion neighbourhoods."""
+    most = 2 if isinstance(fuzziness, str) else int(fuzziness)
+    left = names.withColumn("_token", F.explode(F.array_distinct(tokens(name))))
+    right = titles.withColumn("_word", F.explode(F.array_distinct(tokens(title))))
     edits = allowed_edits(F.col("_token"), fuzziness)
-    near = (F.col("_start") == F.col("_key")) & (F.abs(F.length("_token") - F.length("_word")) <= edits) & (F.levenshtein("_token", "_word") <= edits)
-    return left.join(right, near).drop("_token", "_start", "_word", "_key").distinct()
+    asked = left.select("_token").distinct().withColumn("_key", F.explode(_neighbours(F.col("_token"), edits, most, prefix)))
+    known = right.select("_word").distinct().withColumn("_at", F.explode(_neighbours(F.col("_word"), F.lit(most), most, prefix)))
+    near = (F.col("_key") == F.col("_at")) & (F.abs(F.length("_token") - F.length("_word")) <= edits) & (F.levenshtein("_token", "_word") <= edits)
+    near &= F.substring("_token", 1, prefix) == F.substring("_word", 1, prefix)
+    pairs = asked.join(known, near).select(F.col("_token").alias("_t"), F.col("_word").alias("_w")).distinct()
+    found = left.join(pairs, F.col("_token") == F.col("_t")).join(right, F.col("_w") == F.col("_word"))
+    return found.drop("_token", "_word", "_t", "_w").distinct()
 
 
 def search(rows: DataFrame, must: list[Column] = (), must_not: list[Column] = (), should: list[Column] = (), least: int = 0) -> DataFrame:

@@ -39,20 +39,32 @@ class Policy:
 
 
 # Thresholds and weights of the policies.
-STRICT = Policy("strict", 3, 4, 0.8, 0.7, 0.85, 0.75, 1, 2, 0.6, 0.3, 0.2, 0.35, 0.35, 0.25, 0.0)
-MODERATE = Policy("moderate", 2, 3, 0.7, 0.6, 0.7, 0.65, 2, 1, 0.65, 0.2, 0.15, 0.3, 0.3, 0.2)
-RELAXED = Policy("relaxed", 2, 2, 0.55, 0.45, 0.6, 0.5, "AUTO", 1, 0.7, 0.2, 0.1, 0.25, 0.15, 0.1)
-VERY_RELAXED = Policy("very_relaxed", 2, 2, 0.4, 0.3, 0.5, 0.4, "AUTO:4,7", 1, 0.8, 0.15, 0.05, 0.2, 0.2, 0.1)
+STRICT = Policy(
+    "strict", short=3, very_short=4, similarity_short=0.8, similarity=0.7, score_short=0.85, score=0.75, fuzziness=1, prefix=2,
+    name_weight=0.6, region_weight=0.3, address_weight=0.2, detail_least=0.35, detail_region=0.35, detail_address=0.25, discount=0.0,
+)
+MODERATE = Policy(
+    "moderate", short=2, very_short=3, similarity_short=0.7, similarity=0.6, score_short=0.7, score=0.65, fuzziness=2, prefix=1,
+    name_weight=0.65, region_weight=0.2, address_weight=0.15, detail_least=0.3, detail_region=0.3, detail_address=0.2,
+)
+RELAXED = Policy(
+    "relaxed", short=2, very_short=2, similarity_short=0.55, similarity=0.45, score_short=0.6, score=0.5, fuzziness="AUTO", prefix=1,
+    name_weight=0.7, region_weight=0.2, address_weight=0.1, detail_least=0.25, detail_region=0.15, detail_address=0.1,
+)
+VERY_RELAXED = Policy(
+    "very_relaxed", short=2, very_short=2, similarity_short=0.4, similarity=0.3, score_short=0.5, score=0.4, fuzziness="AUTO:4,7", prefix=1,
+    name_weight=0.8, region_weight=0.15, address_weight=0.05, detail_least=0.2, detail_region=0.2, detail_address=0.1,
+)
 POLICIES = (STRICT, MODERATE, RELAXED)
 
 # Words that are no company's name.
 BLOCKED = (
-    "개인 주 담당 가능 접수 채용 모집 인턴 지원 임금 법정 준수 기간 입사 경력 신입 정규직 계약직 파견 아르바이트 공고 채용공고 지원서 이력서 지원자 모집요강 급여 복지 "
-    "사원 대리 과장 차장 부장 팀장 매니저 사무직 영업직 기술직 포지션 직무 직책 직위 담당자 전문가 바리스타 디자이너 개발자 "
-    "상사 기업 업체 회사 주식회사 법인 그룹 컴퍼니 유한회사 합자회사 주식회사의 인재 비전 안내 문의 설명회 상세 "
-    "한남 서현 여수 구로 강남 강서 송파 마포 용산 종로 성동 동작 영등포 금천 관악 동대문 서대문 성북 강북 도봉 노원 중랑 광진 "
-    "인천 부산 대구 광주 대전 울산 세종 경기 강원 충북 충남 전북 전남 준수(주) 부동산 25퍼센트 이미지 구내식당"
-).split()
+    "개인", "주", "담당", "가능", "접수", "채용", "모집", "인턴", "지원", "임금", "법정", "준수", "기간", "입사", "경력", "신입", "정규직", "계약직", "파견", "아르바이트", "공고", "채용공고", "지원서",
+    "이력서", "지원자", "모집요강", "급여", "복지", "사원", "대리", "과장", "차장", "부장", "팀장", "매니저", "사무직", "영업직", "기술직", "포지션", "직무", "직책", "직위", "담당자", "전문가", "바리스타",
+    "디자이너", "개발자", "상사", "기업", "업체", "회사", "주식회사", "법인", "그룹", "컴퍼니", "유한회사", "합자회사", "주식회사의", "인재", "비전", "안내", "문의", "설명회", "상세", "한남", "서현", "여수",
+    "구로", "강남", "강서", "송파", "마포", "용산", "종로", "성동", "동작", "영등포", "금천", "관악", "동대문", "서대문", "성북", "강북", "도봉", "노원", "중랑", "광진", "인천", "부산", "대구",
+    "광주", "대전", "울산", "세종", "경기", "강원", "충북", "충남", "전북", "전남", "준수(주)", "부동산", "25퍼센트", "이미지", "구내식당",
+)
 EXCLUDED_TITLES = ("준수(주)", "주", "주식회사의", "포지션", "회사", "부동산", "25퍼센트", "이미지", "바리스타", "인천", "구내식당")
 SHORT_IN_TEXT = ("sk", "lg", "cj", "kt", "gs", "ds", "hp", "nc", "db", "kb", "sc", "sj", "gm")
 SHORT_NAMES = ("sk", "lg", "cj", "kt", "gs", "db", "sc")
@@ -79,15 +91,17 @@ def prepare_postings(rows: DataFrame) -> DataFrame:
 
 
 def prepare_companies(rows: DataFrame, order: str | None = None) -> DataFrame:
-    """One row a bzno, the last loaded, with processed_title, region_m, address_m."""
+    """One row a bzno, the last loaded, with processed_title, region_m, address_m and
+    the parts of the title that names are compared by."""
     rows = rows if order else rows.withColumn("_order", F.monotonically_increasing_id())
     rows = first_wins(rows, ["bzno"], F.col(order or "_order").desc())
     rows = rows.drop("_order") if not order else rows
-    return rows.withColumns({"processed_title": normalize_company_name("title"), "region_m": normalize_region("address"), "address_m": extract_address("address")})
+    rows = rows.withColumns({"processed_title": normalize_company_name("title"), "region_m": normalize_region("address"), "address_m": extract_address("address")})
+    return rows.withColumn("parts", name_parts("processed_title"))
 
 
 def _company_side(companies: DataFrame) -> DataFrame:
-    names = ["bzno", "title", "processed_title", "region_m", "address_m", "ksic", "ksic9"]
+    names = ["bzno", "title", "processed_title", "region_m", "address_m", "ksic", "ksic9", "parts"]
     return companies.select(*[F.col(c).alias(f"c_{c}") for c in names])
 
 
@@ -96,7 +110,7 @@ def _java(pattern: str) -> str:
 
 
 def _blocked(name: Column) -> Column:
-    return F.lower(name).isin(BLOCKED)
+    return F.lower(name).isin(*BLOCKED)
 
 
 def _best(rows: DataFrame, by: list[str], score: str, k: int) -> DataFrame:
@@ -118,11 +132,10 @@ def name_candidates(postings: DataFrame, companies: DataFrame, policy: Policy) -
         lexical.prefix_matches(long_names, titles, "processed_co_nm", "c_processed_title"),
         lexical.fuzzy_matches(long_names, titles, "processed_co_nm", "c_processed_title", policy.fuzziness, policy.prefix),
     ]
-    # pairs by their keys, then the parts of each name and title, computed once
+    # pairs by their keys, then the parts of each name, computed once
     pairs = reduce(DataFrame.unionByName, [d.select("processed_co_nm", "c_bzno") for d in found]).distinct()
-    parted = cut_lineage(side.withColumn("_y", name_parts("c_processed_title")))
-    every = pairs.join(cut_lineage(names.withColumn("_x", name_parts("processed_co_nm"))), "processed_co_nm").join(parted, "c_bzno")
-    every = every.withColumn("similarity", parts_similarity(F.col("_x"), F.col("_y"))).drop("_x", "_y")
+    every = pairs.join(cut_lineage(names.withColumn("_x", name_parts("processed_co_nm"))), "processed_co_nm").join(side, "c_bzno")
+    every = every.withColumn("similarity", parts_similarity(F.col("_x"), F.col("c_parts"))).drop("_x", "c_parts")
     every = every.filter(F.col("similarity") >= F.when(short, policy.similarity_short).otherwise(policy.similarity))
     return _best(every, ["processed_co_nm"], "similarity", NAME_CANDIDATES)
 
@@ -198,6 +211,7 @@ def match_by_detail(postings: DataFrame, companies: DataFrame, policy: Policy) -
     phrases = [lexical.phrase_matches(keys, side, "name", c).withColumn("_title", F.col(c)) for c in ("c_title", "c_processed_title")]
     hits = reduce(DataFrame.unionByName, phrases)
     hits = _relevance(hits, companies).groupBy("name", "c_bzno").agg(F.max("relevance").alias("relevance"))
+    side = side.drop("c_parts")
     top = Window.partitionBy("name").orderBy(F.col("relevance").desc(), "c_bzno")
     hits = hits.withColumn("_n", F.row_number().over(top)).filter("_n <= 5").drop("_n").join(side, "c_bzno")
     by_name = _agreements(named.join(hits, "name"))
@@ -231,7 +245,7 @@ def _relevance(hits: DataFrame, companies: DataFrame) -> DataFrame:
 def search_in_detail(rows: DataFrame, companies: DataFrame) -> DataFrame:
     """Companies whose title holds the posting's whole text as a phrase, with points
     for how the title is met in the text; the TEXT_CANDIDATES best of each posting."""
-    side = _company_side(companies).filter("coalesce(c_title, '') <> '' and c_processed_title <> ''")
+    side = _company_side(companies).drop("c_parts").filter("coalesce(c_title, '') <> '' and c_processed_title <> ''")
     texts = rows.select("pst_id", "region_m", "address_m", "text")
     keys = texts.select(F.col("text").alias("name")).distinct()
     hits = reduce(DataFrame.unionByName, [lexical.phrase_matches(keys, side, "name", c).withColumn("_title", F.col(c)) for c in ("c_title", "c_processed_title")])
@@ -254,14 +268,17 @@ def search_in_detail(rows: DataFrame, companies: DataFrame) -> DataFrame:
 
 def match(postings: DataFrame, companies: DataFrame, policy: Policy) -> DataFrame:
     """By name first; what has no name or no match, by text."""
+    companies = cut_lineage(companies)
     by_name = cut_lineage(match_by_name(postings, companies, policy))
     rest = postings.join(by_name.select("pst_id"), "pst_id", "left_anti")
     return by_name.unionByName(match_by_detail(rest, companies, policy))
 
 
 def match_progressively(postings: DataFrame, companies: DataFrame, policies: tuple[Policy, ...] = POLICIES, by_text: bool = True) -> DataFrame:
-    """Policies in turn, each over what is left; with matching_attempt, from 0."""
+    """Policies in turn, each over what is left; with matching_attempt, from 0. The
+    register is prepared once for all of them."""
     left, found = postings, []
+    companies = cut_lineage(companies)
     for attempt, policy in enumerate(policies):
         left = cut_lineage(left) if attempt else left
         got = match(left, companies, policy) if by_text else match_by_name(left, companies, policy)
