@@ -18,6 +18,8 @@ from jobloom.functions.lineage import cut_lineage
 PRIORITY = "srm"
 SIMILAR = 0.95
 SHINGLE = 5
+#: Shingles that come last in every text, and texts that a shingle not among them may begin.
+FREQUENT, RARE = 1000, 50
 
 
 def _keep_first(rows: DataFrame, group: list[str], rank: Column, eligible: Column) -> DataFrame:
@@ -44,7 +46,7 @@ def exact_dedup_source(rows: DataFrame) -> DataFrame:
     the earliest month, null last, then by id."""
     sources = rows.groupBy("source").agg(F.min("month").alias("lo"), F.max("month").alias("hi"))
     facts = sources.filter("lo <> hi").select("source", F.lit(True).alias("_several"))
-    wide = rows.join(F.broadcast(facts), "source", "left")  # one row a source
+    wide = rows.join(facts, "source", "left")
     rank = F.struct(F.col("month").isNull().cast("int"), F.coalesce("month", F.lit(0)), F.col("pst_id"))
     return _keep_first(wide, ["source"], rank, F.col("_several")).select(rows.columns)
 
@@ -96,13 +98,20 @@ def similar_texts(rows: DataFrame, scope: str, least: float = SIMILAR) -> DataFr
     """(scope, a, b, similarity): pairs a < b of different texts (by MD5) of one scope
     whose shingle sets have a Jaccard similarity of at least `least`.
 
-    A prefix filter proposes pairs: with shingles sorted by hash, two such sets of
-    n and m share one of the first n - ceil(least * n) + 1 and m - ceil(...) + 1.
+    A prefix filter proposes pairs: with shingles in one order, two such sets of
+    n and m share one of the first n - ceil(least * n) + 1 and m - ceil(...) + 1. Any
+    order will do; this one has the FREQUENT shingles that most texts begin with by
+    hash, as boilerplate has them, behind all others, so that they propose no pairs.
     Copies of a text are one member of their scope, so no group of copies pairs up."""
     texts = rows.filter(F.col(scope).isNotNull() & F.col("pst_detail").isNotNull()).withColumn("id", F.md5("pst_detail"))
     heads = texts.groupBy(scope, "id").agg(F.min("pst_detail").alias("pst_detail"))
-    sets = heads.select(scope, "id", F.array_sort(shingles("pst_detail")).alias("s")).withColumn("n", F.size("s"))
     prefix = (F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1).cast("int")
+    sets = cut_lineage(heads.select(scope, "id", F.array_sort(shingles("pst_detail")).alias("s")).withColumn("n", F.size("s")))
+    first = sets.select(F.explode(F.slice("s", F.lit(1), prefix)).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("c"))
+    often = [r.h for r in first.filter(F.col("c") > RARE).orderBy(F.col("c").desc(), "h").limit(FREQUENT).collect()]
+    if often:
+        late = lambda x: x.isin(often)
+        sets = sets.withColumn("s", F.concat(F.filter("s", lambda x: ~late(x)), F.filter("s", late)))
     posted = sets.select(scope, "id", "n", F.explode(F.slice("s", F.lit(1), prefix)).alias("h"))
     other = posted.select(F.col(scope).alias("_scope"), F.col("id").alias("b"), F.col("n").alias("m"), F.col("h").alias("_h"))
     near = (F.col(scope) == F.col("_scope")) & (F.col("h") == F.col("_h")) & (F.col("id") < F.col("b"))

@@ -9,6 +9,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+try:
+    import ahocorasick
+except ImportError:
+    ahocorasick = None
+
 from jobloom import schemas
 from jobloom.functions.similarity import best_window_ratio
 from jobloom.functions.text import preprocess_description
@@ -60,6 +65,42 @@ def searcher(pattern: re.Pattern) -> Literal:
     return Literal(pattern) if simple else Pattern(pattern)
 
 
+class Dictionary:
+    """Patterns by code. Literals are found in one pass over a text by an automaton,
+    where the library for it is there; the others are searched one by one."""
+
+    def __init__(self, skills: list[tuple[str, str, Literal]]) -> None:
+        self.skills, self.others, words = skills, [], {False: {}, True: {}}
+        for entry in skills:
+            pattern = entry[2]
+            if type(pattern) is Literal and ahocorasick:
+                words[pattern.fold].setdefault(pattern.word, []).append(entry)
+            else:
+                self.others.append(entry)
+        self.folded, self.exact = (self._automaton(words[fold]) for fold in (True, False))
+
+    @staticmethod
+    def _automaton(words: dict):
+        if not words:
+            return None
+        out = ahocorasick.Automaton()
+        for word, entries in words.items():
+            out.add_word(word, entries)
+        out.make_automaton()
+        return out
+
+    def found(self, text: str, lower: str) -> list[tuple[str, str, Literal]]:
+        plain = not any(c in text for c in _ALIKE)
+        if not plain:  # there folding changes more than ASCII letters
+            return [e for e in self.skills if e[2].found(text, lower, plain)]
+        hits = {}
+        for automaton, own in ((self.folded, lower), (self.exact, text)):
+            if automaton is not None:
+                for _, entries in automaton.iter(own):
+                    hits.setdefault(id(entries), entries)
+        return [e for entries in hits.values() for e in entries] + [e for e in self.others if e[2].found(text, lower, plain)]
+
+
 def compiled(skills: DataFrame) -> list[tuple[str, str, Literal]]:
     """(code, name in lower case, pattern) by code. The dictionary is a dimension of
     bounded size, held by each worker."""
@@ -69,12 +110,11 @@ def compiled(skills: DataFrame) -> list[tuple[str, str, Literal]]:
     return [(r[0], r[1].lower(), searcher(p)) for r in sorted(rows) if (p := unwrap_pattern(r[2]))]
 
 
-def tag(text: str, skills: list[tuple[str, str, Literal]], top: int = TOP, least: float = LEAST) -> list[tuple[str, float]]:
+def tag(text: str, skills: Dictionary, top: int = TOP, least: float = LEAST) -> list[tuple[str, float]]:
     """The `top` most similar skills whose pattern is in the text, ties by code."""
     lower, found = text.lower(), []
-    plain = not any(c in text for c in _ALIKE)
-    for code, name, pattern in skills:
-        if pattern.found(text, lower, plain) and (ratio := best_window_ratio(name, lower)) >= least:
+    for code, name, _ in skills.found(text, lower):
+        if (ratio := best_window_ratio(name, lower)) >= least:
             found.append((-ratio, code))
     return [(code, -ratio) for ratio, code in sorted(found)[:top]]
 
@@ -85,8 +125,9 @@ def match_skills(postings: DataFrame, skills: DataFrame, top: int = TOP, least:
     known = compiled(skills)
 
     def matched(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = Dictionary(known)
         for part in parts:
-            rows = [(i, [{"skill_code": c, "similarity": r} for c, r in tag(t, known, top, least)]) for i, t in zip(part["pst_id"], part["text"], strict=True)]
+            rows = [(i, [{"skill_code": c, "similarity": r} for c, r in tag(t, own, top, least)]) for i, t in zip(part["pst_id"], part["text"], strict=True)]
             yield pd.DataFrame([r for r in rows if r[1]], columns=["pst_id", "skills"])
 
     texts = postings.select("pst_id", preprocess_description("pst_detail").alias("text")).filter("text <> ''")

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobloom import schemas
 from jobloom.functions import text
-from jobloom.functions.lineage import cut_lineage
+from jobloom.functions.lineage import cut_lineage, shared_folder
 from jobloom.functions.similarity import name_similarity, partial_ratio
 from jobloom.operators import classify, dedup, lexical, match, merge, skills
 from jobloom.plans import fixtures as fx
@@ -182,6 +185,23 @@ def fuzzy_pairs_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.similar_texts(fx.postings(spark, sf_dir), "source").withColumn("similarity", F.round("similarity", 6))
 
 
+_NEAR_COPIES = """
+v1 AS (SELECT pst_id, pst_detail, source, month FROM v0 UNION ALL
+ SELECT pst_id || 'b', pst_detail || ' fin', CASE source WHEN 'jk' THEN 'srm' ELSE 'jk' END, month FROM v0)"""
+
+
+def _near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Postings and of each a copy with another word at its end, of another source."""
+    rows = fx.postings(spark, sf_dir).select("pst_id", "pst_detail", "source", "month")
+    other = F.when(F.col("source") == "jk", "srm").otherwise("jk")
+    return rows.unionByName(rows.select(F.concat("pst_id", F.lit("b")).alias("pst_id"), F.concat("pst_detail", F.lit(" fin")).alias("pst_detail"), other.alias("source"), "month"))
+
+
+@query(_pairs_sql("month").replace(fx.POSTINGS, fx.POSTINGS.replace("v1 AS", "v0 AS", 1) + "," + _NEAR_COPIES))
+def fuzzy_pairs_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.similar_texts(_near_copies(spark, sf_dir), "month").withColumn("similarity", F.round("similarity", 6))
+
+
 @query()
 def fuzzy_dedup_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.fuzzy_dedup_month(cut_lineage(dedup.exact_dedup(fx.postings(spark, sf_dir)))).select("pst_id", "source", "month")
@@ -314,6 +334,17 @@ def bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("item_id", "doc_id", F.round("score", 4).alias("score"), "rank")
 
 
+@query(ORACLE_SQL["bm25_topk"])
+def stored_index_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """bm25_topk from an index that is written, found to be there, and read."""
+    path = f"{shared_folder(spark)}/index-{uuid.uuid4().hex}"
+    docs = fx.table(spark, sf_dir, "documents").select("doc_id", "text")
+    if not lexical.write_index(docs, path, "doc_id", "text") or lexical.write_index(docs.limit(0), path, "doc_id", "text"):
+        raise RuntimeError("an index is written once")
+    found = lexical.index_top(lexical.read_index(spark, path), fx.table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("q")), "doc_id", "item_id", "q", 10)
+    return found.select("item_id", "doc_id", F.round("score", 4).alias("score"), "rank")
+
+
 @query(
     fx.with_(fx.POSTINGS)
     + """ SELECT pst_id FROM v1 WHERE month IN (1, 2, 3) AND source <> 'jk' AND (CASE WHEN length(pst_detail) > 500 THEN 1 ELSE 0 END + CASE WHEN contains(pst_detail, 'the') THEN 1 ELSE 0 END) >= 1"""
@@ -439,8 +470,8 @@ _TAGGED = """ hit AS (SELECT pst_id, skill_code, skill_name FROM (SELECT pst_id,
  top AS (SELECT *, row_number() OVER (PARTITION BY pst_id ORDER BY skill_code) AS pos FROM hit QUALIFY pos <= 20)"""
 
 
-def _tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return skills.match_skills(fx.postings(spark, sf_dir), fx.skills(spark, sf_dir))
+def _tagged(spark: SparkSession, sf_dir: str, known: DataFrame) -> DataFrame:
+    return skills.match_skills(fx.postings(spark, sf_dir), known)
 
 
 @query(
@@ -448,7 +479,8 @@ def _tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     + " SELECT pst_id, string_agg(skill_code, ',' ORDER BY pos) AS skill_code, string_agg(skill_name, ',' ORDER BY pos) AS skill_name FROM top GROUP BY pst_id"
 )
 def skill_match_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return skills.joined_columns(_tagged(spark, sf_dir), fx.skills(spark, sf_dir))
+    known = cut_lineage(fx.skills(spark, sf_dir))
+    return skills.joined_columns(_tagged(spark, sf_dir, known), known)
 
 
 @query(
@@ -456,8 +488,8 @@ def skill_match_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     + """ SELECT v1.pst_id, source, CAST(month AS VARCHAR) AS month, skill_code, skill_name, CAST(softskill AS VARCHAR) AS softskill FROM top JOIN v1 USING (pst_id) JOIN v4 USING (skill_code, skill_name)"""
 )
 def skill_explode_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    known = fx.skills(spark, sf_dir).withColumns({c: F.lit(None).cast("string") for c in schemas.SKILL if c not in ("skill_code", "skill_name", "ext_key", "softskill")})
-    tagged = skills.joined_columns(_tagged(spark, sf_dir), known)
+    known = cut_lineage(fx.skills(spark, sf_dir)).withColumns({c: F.lit(None).cast("string") for c in schemas.SKILL if c not in ("skill_code", "skill_name", "ext_key", "softskill")})
+    tagged = skills.joined_columns(_tagged(spark, sf_dir, known), known)
     rows = fx.postings(spark, sf_dir).join(tagged.select("pst_id", "skill_code"), "pst_id")
     return skills.expand(rows, known).select("pst_id", "source", "month", "skill_code", "skill_name", "softskill")
 
@@ -497,5 +529,5 @@ def skill_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def hash_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = fx.postings(spark, sf_dir)
-    return rows.select("pst_id", F.pmod(F.xxhash64("pst_id"), F.lit(8)).alias("shard"))
+    rows = fx.postings(spark, sf_dir).select("pst_id")
+    return reduce(DataFrame.unionByName, [skills.shard(rows, 8, k).withColumn("shard", F.lit(k)) for k in range(8)])

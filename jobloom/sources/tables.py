@@ -106,6 +106,18 @@ def record(ledger: DataFrame, files: DataFrame, table: str, status: str, at: dat
     return latest_wins(ledger, news, ["file_path"])
 
 
+def forget_files(ledger: DataFrame, files: DataFrame) -> DataFrame:
+    """The ledger without the files (file_path): a forced reload begins with that."""
+    return delete_by_id(ledger, files, "file_path")
+
+
+def pending_rows(rows: DataFrame, column: str, attempt: int | None = None) -> DataFrame:
+    """Rows that a stage has still to work on: column is null or empty and, if attempt
+    is given, matching_attempt is that."""
+    left = rows.filter(F.coalesce(F.col(column).cast("string"), F.lit("")) == "")
+    return left if attempt is None else left.filter(F.col("matching_attempt") == attempt)
+
+
 def first_wins(rows: DataFrame, key: list[str], *order) -> DataFrame:
     """One row of each key, the first by order: an insert that skips what is there."""
     window = Window.partitionBy(*key).orderBy(*order)

@@ -1,4 +1,5 @@
 import datetime
+import hashlib
 import random
 
 import pytest
@@ -231,3 +232,125 @@ def test_partial_ratios_of_every_pair(spark, small_dir):
     assert got.keys() == {(i, c) for i in texts for c in names}
     held = [(i, c) for i in texts for c in names if names[c] in texts[i]]
     assert held and all(got[x] == 100 for x in held)
+
+
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, c in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, d in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (c != d))
+    return row[-1]
+
+
+@pytest.mark.parametrize(("fuzziness", "prefix"), [(1, 2), (2, 1), ("AUTO", 0)])
+def test_fuzzy_tokens_against_all_pairs(spark, fuzziness, prefix):
+    rng = random.Random(prefix)
+    make = lambda: "".join(rng.choice("가나b") for _ in range(rng.choice([1, 2, 4, 6])))
+    words = sorted({make() for _ in range(90)})
+    long = "".join(rng.choice("가나b") for _ in range(lexical.LONG_TOKEN))
+    words += [long[:k] + x + long[k:] for k, x in ((9, ""), (9, "a"), (9, "aa"), (20, "b"), (24, "bb"))] + [long[:-1], long[:-2]]
+    frame = spark.createDataFrame([(w,) for w in words], "name string")
+    got = lexical.fuzzy_matches(frame, frame.select(F.col("name").alias("title")), "name", "title", fuzziness, prefix)
+    most = lambda t: fuzziness if fuzziness != "AUTO" else 0 if len(t) < 3 else 1 if len(t) < 6 else 2
+    want = {(a, b) for a in words for b in words if a[:prefix] == b[:prefix] and edits(a, b) <= most(a)}
+    assert {(r.name, r.title) for r in got.collect()} == want
+
+
+def test_stored_index(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "한빛 소프트 개발"), (2, "한빛 한빛"), (3, None)], "id int, t string")
+    path, asked = str(tmp_path / "index"), spark.createDataFrame([("q", "한빛 개발 nowhere")], "q string, t string")
+    assert lexical.write_index(rows, path, "id", "t") and not lexical.write_index(rows.limit(0), path, "id", "t")
+    plain = lexical.bm25_top(rows, asked, "id", "t", "q", "t").collect()
+    stored = lexical.index_top(lexical.read_index(spark, path), asked, "id", "q", "t").collect()
+    assert sorted(map(tuple, stored)) == sorted(map(tuple, plain)) and [r.id for r in sorted(stored, key=lambda r: r["rank"])] == [1, 2]
+    assert lexical.write_index(rows.limit(0), path, "id", "t", replace=True)
+    assert lexical.index_top(lexical.read_index(spark, path), asked, "id", "q", "t").count() == 0
+    cut = lexical.prepared(spark.createDataFrame([(None, None, "x" * 40_000), ("t", 3, None)], "co_nm string, month int, pst_detail string")).collect()
+    assert sorted((r.co_nm, r.month, len(r.pst_detail)) for r in cut) == [("", 0, lexical.INDEXED), ("t", 3, 0)]
+
+
+def test_fuzzy_month_against_a_plain_walk(spark):
+    rng, base = random.Random(11), [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(60):
+        own = list(base)
+        for _ in range(rng.randrange(4)):
+            own[rng.randrange(150)] = f"x{rng.randrange(40)}"
+        rows.append((f"{i:02}", rng.choice(["jk", "srm", "jkhd"]), rng.randrange(2), " ".join(own)))
+    want = set()
+    for month in (0, 1):
+        own = [r for r in rows if r[2] == month]
+        top = "srm" if any(r[1] == "srm" for r in own) else min(r[1] for r in own)
+        kept = []
+        for r in sorted(own, key=lambda r: (r[1] != top, r[1], r[0])):
+            w = r[3].split()
+            grams = {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
+            if not any(len(grams & g) / len(grams | g) >= 0.95 for g in kept):
+                kept.append(grams)
+                want.add(r[0])
+    assert 2 < len(want) < 60
+    assert set(ids(dedup.fuzzy_dedup_month(postings(spark, rows)))) == want
+
+
+def test_frequent_shingles_come_last(spark, monkeypatch):
+    """Boilerplate that all texts share proposes no pairs, and none is lost."""
+    monkeypatch.setattr(dedup, "RARE", 3)
+    shared = " ".join(f"b{i}" for i in range(60))
+    rows = [(str(i), "jk", 1, f"{shared} " + " ".join(f"t{i // 2}x{j}" for j in range(60)) + (" end" if i % 2 else "")) for i in range(40)]
+    got = {(r.a, r.b) for r in dedup.similar_texts(postings(spark, rows), "month").collect()}
+    name = lambda i: hashlib.md5(rows[i][3].encode()).hexdigest()
+    assert got == {tuple(sorted((name(i), name(i + 1)))) for i in range(0, 40, 2)}
+
+
+def test_skill_dictionary_in_one_pass(spark, monkeypatch):
+    rng = random.Random(3)
+    keys = ["java", "(?i)Java", "script", "(?i)sk", "a.c", "(?i)c\\+\\+", "r'(?i)spring boot'", "SPARK"]
+    known = [(f"A{k}", re_name, key) for k, (key, re_name) in enumerate((x, x.replace("(?i)", "").strip("r'").lower()) for x in keys)]
+    own = [(c, n, skills.searcher(skills.unwrap_pattern(k))) for c, n, k in known]
+    both = skills.Dictionary(own)
+    monkeypatch.setattr(skills, "ahocorasick", None)
+    plain = skills.Dictionary(own)
+    for _ in range(300):
+        text = " ".join(rng.choice(["Java", "javascript", "abc", "C++", "SPARK", "spark", "Spring Boot", "ſk", "ß"]) for _ in range(6))
+        assert skills.tag(text, both, least=0) == skills.tag(text, plain, least=0)
+    assert not plain.folded and both.folded and skills.tag("nothing", both) == []
+
+
+def test_skill_dictionary_file(spark, tmp_path):
+    path = tmp_path / "skills.csv"
+    names = [c for c in schemas.SKILL if c != "softskill"]
+    line = lambda code, name: ",".join({"skill_code": code, "skill_name": name, "ext_key": '"r\'(?i)a,b\'"'}.get(c, "x") for c in names)
+    path.write_text(",".join(names) + "\n" + line("A1", "first") + "\n" + line("A1", "second") + "\n" + line("B2", "other") + "\n")
+    got = tables.read_skills(spark, str(path)).orderBy("skill_code").collect()
+    assert [(r.skill_code, r.skill_name, r.softskill, r.ext_key) for r in got] == [("A1", "first", None, "r'(?i)a,b'"), ("B2", "other", None, "r'(?i)a,b'")]
+    path.write_text("skill_code\nA1\n")
+    with pytest.raises(ValueError):
+        tables.read_skills(spark, str(path))
+    assert [r.category for r in tables.with_category(spark.createDataFrame([("A101",), ("A",)], "skill_code string")).collect()] == ["A1", "00"]
+
+
+def test_sample_reload_and_pending(spark, tmp_path):
+    rows = spark.createDataFrame([(f, i) for f in "ab" for i in range(5)], "file string, load_order long")
+    assert sorted(map(tuple, tables.sample_per_file(rows, 2).collect())) == [("a", 0), ("a", 1), ("b", 0), ("b", 1)]
+    files = spark.createDataFrame([("a",), ("b",)], "file_path string")
+    ledger = tables.record(spark.createDataFrame([], schemas.LEDGER), files, "jk", schemas.COMPLETED)
+    left = tables.forget_files(ledger, files.limit(1))
+    assert [r.file_path for r in tables.pending_files(files, left).collect()] == ["a"]
+    work = spark.createDataFrame([("1", None, 0), ("2", "", 1), ("3", "x", 1)], "pst_id string, skill_code string, matching_attempt int")
+    assert ids(tables.pending_rows(work, "skill_code")) == ["1", "2"] and ids(tables.pending_rows(work, "skill_code", 1)) == ["2"]
+    matched = work.withColumn("matched_company_name", F.col("skill_code")).withColumn("matching_attempt", F.lit(2))
+    assert sorted((r.pst_id, r.matching_attempt) for r in match.reset_attempts(matched).collect()) == [("1", 0), ("2", 2), ("3", 2)]
+    assert all(r.matching_attempt == 0 for r in match.reset_attempts(matched, every=True).collect())
+    assert [match.policy_of_attempt(k).name for k in range(5)] == ["strict", "moderate", "relaxed", "relaxed", "relaxed"]
+    path = str(tmp_path / "copy")
+    tables.backup(work, path)
+    tables.backup(work.limit(0), path)
+    assert spark.read.parquet(path).count() == 3 and tables.has_rows(work, "pst_id") and not tables.has_rows(work, "none") and not tables.table_ready(spark, "no_such_table")
+    assert work.select(dedup.text_preview("skill_code", 1).alias("p")).filter("p = 'x'").count() == 1
+    assert classify.same_shaped({"a": random, "b": 1}, {"a": random, "c": 2}) == {"a": random}
+
+
+def test_names_are_matched_in_all_postings(spark, small_dir):
+    orders = spark.read.parquet(f"{small_dir}/orders.parquet").count()
+    assert fixtures.mentions(spark, small_dir).count() == orders
