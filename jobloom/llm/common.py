@@ -5,8 +5,10 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
 import math
 import tempfile
+import time
 import uuid
 
 import numpy as np
@@ -49,15 +51,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def written(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
+def written(df: DataFrame, label: str, partition_by: str | None = None, group_bytes: int | None = None) -> DataFrame:
     """Writes df as Parquet in the shared folder and reads it back: lineage ends
-    there, and an executor lost later takes nothing with it."""
+    there, and an executor lost later takes nothing with it. group_bytes: what a
+    writer holds of its file at most, for rows with large values."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
     before = spark.conf.get(_CLEANUP)
     spark.conf.set(_CLEANUP, "true")
     try:
         writer = df.write.partitionBy(partition_by) if partition_by else df.write
+        writer = writer.option("parquet.block.size", group_bytes) if group_bytes else writer
         writer.parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
@@ -109,6 +113,36 @@ def dealt(docs: DataFrame, group_bytes: int, also: tuple[str, ...] = ()) -> tupl
     return docs.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), no_id.alias("no_id"), empty_text().alias("text"), *also, pid.alias("pid")), groups
 
 
+_last_trim = 0.0
+
+
+def trim() -> None:
+    """Gives memory that a worker no longer uses back to the system, at most once a
+    second: idle workers of earlier stages stay beside those of the next."""
+    global _last_trim
+    if time.monotonic() - _last_trim < 1:
+        return
+    _last_trim = time.monotonic()
+    with contextlib.suppress(Exception):  # where the allocator can't do it
+        import pyarrow
+
+        pyarrow.default_memory_pool().release_unused()
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def trimmed(work):
+    """A function of groups that trims behind itself. It has as many parameters, by
+    which Spark tells whether it wants the key."""
+
+    def run(*args):
+        try:
+            return work(*args)
+        finally:
+            trim()
+
+    return {1: lambda a: run(a), 2: lambda a, b: run(a, b), 3: lambda a, b, c: run(a, b, c)}[work.__code__.co_argcount]
+
+
 def whole_ids(values, null) -> "pd.arrays.IntegerArray":
     """Integers with nulls where null is true, never by way of floats."""
     import pandas as pd

@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobloom.llm.common import empty_text, free_names, frugal, planes, unplanes, written
+from jobloom.llm.common import empty_text, free_names, frugal, planes, trim, trimmed, unplanes, written
 from jobloom.llm.graph import components
 from jobloom.llm.substring import by_bucket, member, sorted_runs
 from jobloom.llm.textvec import mix, windows, words
@@ -109,6 +109,7 @@ def _signed(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             marks = iter(_signatures(full)) if full else iter(())
             keys = [_class_key(x) for x in sets]
             yield pd.DataFrame({"doc_id": own["doc_id"], "n": [len(x) for x in sets], "k1": [k for k, _ in keys], "k2": [k for _, k in keys], "signature": [next(marks).tobytes() if len(x) else None for x in sets]})
+        trim()
 
 
 def _posted(raw: bytes) -> np.ndarray:
@@ -126,6 +127,7 @@ def _survivors(classes: DataFrame, n_classes: int) -> DataFrame:
     buckets = max(1, -(-groups // GROUPS_A_BUCKET))
     rows = classes.withColumn("pid", F.pmod(F.xxhash64("k1", "k2"), F.lit(groups)).cast("int")).groupBy("pid")
 
+    @trimmed
     def ask(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         keys = np.sort(_posted(b"".join(part["signature"])).reshape(-1))
         at = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
@@ -133,6 +135,7 @@ def _survivors(classes: DataFrame, n_classes: int) -> DataFrame:
         keys = keys[at]
         return pd.DataFrame([(b, int(key[0]), planes(keys[i:j]), planes(count[i:j])) for b, i, j in by_bucket(keys, buckets)], columns=["bucket", "pid", "keys", "counts"])
 
+    @trimmed
     def answer(part: pd.DataFrame) -> pd.DataFrame:
         each = [unplanes(x, U) for x in part["keys"]]
         keys, count = np.concatenate(each), np.concatenate([unplanes(x, "<u4") for x in part["counts"]]).astype(np.int64)
@@ -145,6 +148,7 @@ def _survivors(classes: DataFrame, n_classes: int) -> DataFrame:
             found.append((pid, planes(own[place >= 0]), planes(total[place[place >= 0]])))
         return pd.DataFrame(found, columns=["pid", "keys", "counts"])
 
+    @trimmed
     def prefix(key: tuple, part: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         table = np.concatenate([np.empty(0, U), *(unplanes(x, U) for x in told["keys"])])
         total = np.concatenate([np.empty(0, np.int64), *(unplanes(x, np.int64) for x in told["counts"])])
@@ -215,6 +219,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 both = int((member(x, y) >= 0).sum())
                 ok.append(100 * both >= PERCENT * (len(x) + len(y) - both))
             yield part.loc[np.array(ok, bool), ["a", "b"]]
+            trim()
 
     return _met(pairs, sets, {"s": "set"}).mapInPandas(confirm, "a long, b long")
 
@@ -231,6 +236,7 @@ def _full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                 same = [_class_key(x) == (a, b) for x, a, b in zip(sets, some["k1"], some["k2"], strict=True)]
                 found = [(node, len(x), x.tobytes(), _sketch(x)) for node, x, ok in zip(some["node"], sets, same, strict=True) if ok]
                 yield pd.DataFrame(found, columns=["node", "n", "set", "sketch"])
+            trim()
 
     return written(rows.mapInPandas(own, "node long, n long, set binary, sketch binary").dropDuplicates(["node"]), "sets")
 
@@ -250,6 +256,7 @@ def _cross_pairs(posts: DataFrame, labels: DataFrame, nodes: DataFrame, sets: Da
     rows = rows.join(nodes.select("node", "slots"), "node").join(sets.select("node", "n", "sketch"), "node")
     rows = rows.withColumn("task", F.pmod(F.xxhash64("key", "i", "j"), F.lit(max(1, total // (4 * BLOCK)))))
 
+    @trimmed
     def pairs(part: pd.DataFrame) -> pd.DataFrame:
         found = []
         for (_, i, j), own in part.groupby(["key", "i", "j"], sort=False):

@@ -23,12 +23,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from jobloom.llm.common import empty_text, forget, free_names, frugal, small, written
+from jobloom.llm.common import empty_text, forget, free_names, frugal, small, trim, written
 from jobloom.llm.tokens import encoder
 
 CAPACITY = 2048
 END_ID = 0
 NUMBERS = ("task", "nth")
+GROUP_BYTES = 16 << 20
 
 
 def plan_bins(histogram: dict[int, int], capacity: int) -> list[tuple[int, list[tuple[int, int]]]]:
@@ -110,7 +111,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, numbers: tuple[str, str] |
     # whole numbers as strings in between, for pandas would turn them into floats beside nulls
     whole = {k: t for k, t in pieces.dtypes if t in ("bigint", "int", "smallint", "tinyint") and k not in ("length", task_, nth_)}
     back = lambda rows: rows.withColumns({k: F.col(k).cast(t) for k, t in whole.items()})
-    given = written(pieces.withColumns({k: F.col(k).cast("string") for k in whole}), "pieces")  # so that no task needs two Python workers, one with a tokenizer
+    given = written(pieces.withColumns({k: F.col(k).cast("string") for k in whole}), "pieces", group_bytes=GROUP_BYTES)  # so that no task needs two Python workers, one with a tokenizer
     fields = [f for f in given.schema.fields if f.name not in (task_, nth_)]
 
     def numbered(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -169,6 +170,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
                         rows.append((doc_id, piece, start, stop - start, raw[4 * start : 4 * stop]))
                 found = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids"]).astype({"piece": "int32"})
                 yield found.assign(task=counter.task, nth=counter.next(found["length"]))
+            trim()
 
     # doc_id as a string, for pandas would turn integers beside nulls into floats
     rows = docs.select(F.col("doc_id").cast("string"), empty_text().alias("text"))

@@ -19,7 +19,7 @@ from functools import lru_cache
 
 #: Units that a worker's memo holds before it is put aside for a new one; what is
 #: met again comes over from the older one.
-MEMO = 500_000
+MEMO = 300_000
 #: ASCII marks, the apostrophe apart: it may begin a piece of its own.
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _SINGLE = re.compile(r"(?<=\S) (?=\S)")
