@@ -77,7 +77,7 @@ def tokens_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def pair_key(before: np.ndarray, token: np.ndarray) -> np.ndarray:
-    return mix(before * _Q + token) & _ASKED
+    return mix(before * _Q + token)
 
 
 def pair_bucket(before: np.ndarray, token: np.ndarray, hot: np.ndarray, buckets: int) -> np.ndarray:
@@ -166,7 +166,8 @@ def _mapped(root: str, name: str, n: int, kinds: dict[str, str]):
 
 #: Counts of 255 and more stand beside the shard's name.
 _PAIR = {"high": "<u4", "low": "<u2", "count": "u1"}
-#: Questions have 48 bits of the key; its bucket is known besides.
+#: Bigrams are told apart by 64 bits wherever they are counted. What is stored and
+#: asked has 48 of them; the bucket is known besides.
 _ASKED = U(0xFFFFFFFFFFFF0000)
 #: A word is as often a context as it is met; the beginning counts as often as the end.
 _WORD = {"key": "<u8", "count": "<i8", "one": "<u4", "two": "<u4", "more": "<u4", "contexts": "<u4"}
@@ -327,6 +328,7 @@ def score(docs: DataFrame, model: Model, also: tuple[str, ...] = ()) -> DataFram
         asked, found = questions(part["text"].tolist()), []
         for kind in ("w", "p"):
             keys, bucket, _ = asked[kind]
+            keys = keys & _ASKED if kind == "p" else keys
             found += [(kind, b, int(key[0]), planes(keys[i:j])) for b, i, j in _sliced(bucket)]
         return pd.DataFrame(found, columns=["kind", "bucket", "pid", "keys"])
 
