@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from jobloom.llm import exact, kneser_ney, lines, mixing, neardup, packing, quality, substring, tokenfile, vector_search
+from jobloom.llm import bpe, exact, kneser_ney, lines, mixing, neardup, packing, quality, substring, tokenfile, vector_search, whitening
 from jobloom.llm.common import scratch_path
 
 
@@ -71,7 +71,18 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_token_file, op3_minhash_near_dedup, op4_quality_classifier, op5_exact_top_k, op6_lm_scoring, op7_substring_dedup, op8_mix_sources, op9_line_dedup, op10_exact_dedup)}
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.report(*whitening.whiten(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")))
+
+
+def op12_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    out = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), path), path)
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_token_file, op3_minhash_near_dedup, op4_quality_classifier, op5_exact_top_k, op6_lm_scoring, op7_substring_dedup, op8_mix_sources, op9_line_dedup, op10_exact_dedup, op11_embedding_whitening, op12_bpe_round_trip)}
 
 ORACLE_SQL = {
     "op5_exact_top_k": r"""

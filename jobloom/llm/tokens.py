@@ -39,7 +39,7 @@ class _Memo(dict):
         return raw
 
 
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[int, str]:
     """The printable letter that byte-level files have for each byte."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in plain]
@@ -66,7 +66,7 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.model = self.tokenizer.model
         self.drops = not self._ids(" ")
-        self.letters = _byte_letters()
+        self.letters = byte_letters()
         with open(path, encoding="utf-8") as f:
             top = max(json.load(f)["model"]["vocab"].values())
         self.four = [i.to_bytes(4, "little") for i in range(top + 1)]
