@@ -30,12 +30,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jobloom.llm.common import dealt, frugal, planes, trimmed, unplanes
-from jobloom.llm.tokens import Encoder, byte_letters, encoder
+from jobloom.llm.tokens import byte_letters, encoder, release, units
 
 #: Text of a group, and what a scan task gathers before it sends blocks.
-GROUP_BYTES, HELD_BYTES = 16 << 20, 24 << 20
+GROUP_BYTES, HELD_BYTES = 8 << 20, 16 << 20
 #: Buckets of words: so many times the root of the number of groups.
 SPREAD = 4
+#: Of compression, and words that a bucket encodes at a time.
+LEVEL, AT_ONCE = 5, 5000
 #: Stands between words and texts in a block: no UTF-8 has this byte.
 _SEP = b"\xff"
 #: Pieces of the largest vocabulary that decode() takes.
@@ -45,18 +47,20 @@ _BLOCK = "pid int, ids binary, no_id binary, times binary, texts binary"
 
 
 def _squeeze(raw: bytes) -> bytes:
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd", LEVEL).compress(raw, asbytes=True)
 
 
 def _expand(blob: bytes) -> bytes:
     return pa.decompress(blob[8:], decompressed_size=int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True)
 
 
-def words(own: Encoder, text: str) -> list[str]:
+def words(raw: bytes, drops: bool) -> list[bytes]:
     """A text as words that encode by themselves; in a row they are the text, but
     for white space that the file drops."""
-    units = own.units(text)
-    return units if own.drops else units[:1] + [u if u[:1] == "\n" else " " + u for u in units[1:]]
+    if drops:
+        return raw.replace(b"\n", b" ").split(b" ")
+    first, *more = units(raw.decode("utf-8", "surrogatepass"), False)
+    return [x.encode("utf-8", "surrogatepass") for x in [first, *(u if u[:1] == "\n" else " " + u for u in more)]]
 
 
 def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -81,18 +85,17 @@ def _block(item: tuple[int, dict]) -> pd.DataFrame:
     return pd.DataFrame([(pid, *rows, _squeeze(texts))], columns=["pid", "ids", "no_id", "times", "texts"])
 
 
-def _texts(blob: bytes) -> list[str]:
-    return [t.decode("utf-8", "surrogatepass") for t in _expand(blob).split(_SEP)]
+def _texts(blob: bytes) -> list[bytes]:
+    return _expand(blob).split(_SEP)
 
 
-def _asked(own: Encoder, blobs: list[bytes], buckets: int) -> list[list[bytes]]:
+def _asked(blobs: list[bytes], drops: bool, buckets: int) -> list[list[bytes]]:
     """The distinct words of a group's blocks, in order, by bucket."""
-    distinct = set()
+    distinct, found = set(), [[] for _ in range(buckets)]
     for blob in blobs:
         for text in _texts(blob):
-            distinct.update(words(own, text))
-    found = [[] for _ in range(buckets)]
-    for raw in sorted(w.encode("utf-8", "surrogatepass") for w in distinct):
+            distinct.update(words(text, drops))
+    for raw in sorted(distinct):
         found[zlib.crc32(raw) % buckets].append(raw)
     return found
 
@@ -109,20 +112,24 @@ def encode(docs: DataFrame, path: str, special: bool = True, group_bytes: int =
     rows, n_groups = dealt(docs, group_bytes)
     buckets = math.ceil(SPREAD * math.sqrt(n_groups))
     groups = rows.mapInPandas(_blocks, _BLOCK).groupBy("pid")
+    drops = encoder(path, special).drops
 
     @trimmed
     def ask(key: tuple, table: pa.Table) -> pa.Table:
-        asked = _asked(encoder(path, special), table["texts"].to_pylist(), buckets)
+        release()
+        asked = _asked(table["texts"].to_pylist(), drops, buckets)
         some = [b for b in range(buckets) if asked[b]]
         return pa.table({"bucket": pa.array(some, pa.int32()), "pid": pa.array([key[0].as_py()] * len(some), pa.int32()), "asked": pa.array([_squeeze(_SEP.join(asked[b])) for b in some], pa.binary())})
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, known = encoder(path, special), {}
+        own, known = encoder(path, special, 10 * AT_ONCE), {}
         for batch in batches:
             for pid, bucket, blob in zip(batch["pid"].to_pylist(), batch["bucket"].to_pylist(), batch["asked"].to_pylist(), strict=True):
                 asked = _expand(blob).split(_SEP)
                 new = [w for w in asked if w not in known]
-                known.update(zip(new, own.encode([w.decode("utf-8", "surrogatepass") for w in new]), strict=True))
+                for at in range(0, len(new), AT_ONCE):
+                    part = new[at : at + AT_ONCE]
+                    known.update(zip(part, own.encode([w.decode("utf-8", "surrogatepass") for w in part]), strict=True))
                 ids = [known[w] for w in asked]
                 sizes = np.array([len(x) // 4 for x in ids], "<u4")
                 told = _squeeze(planes(sizes) + planes(np.frombuffer(b"".join(ids), "<u4")))
@@ -130,15 +137,16 @@ def encode(docs: DataFrame, path: str, special: bool = True, group_bytes: int =
 
     @trimmed
     def use(key: tuple, table: pa.Table, told: pa.Table) -> pa.Table:
-        own, blobs = encoder(path, special), table["texts"].to_pylist()
-        asked, known = _asked(own, blobs, buckets), {}
+        release()
+        blobs, known = table["texts"].to_pylist(), {}
+        asked = _asked(blobs, drops, buckets)
         for bucket, n, blob in zip(told["bucket"].to_pylist(), told["n"].to_pylist(), told["told"].to_pylist(), strict=True):
             raw = _expand(blob)
             ends = 4 * np.cumsum(unplanes(raw[: 4 * n], "<u4"), dtype=np.int64)
             ids = unplanes(raw[4 * n :], "<u4").tobytes()
             known.update(zip(asked[bucket], (ids[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)), strict=True))
-        known = {w.decode("utf-8", "surrogatepass"): x for w, x in known.items()}
-        found = [b"".join(map(known.__getitem__, words(own, t))) for blob in blobs for t in _texts(blob)]
+            asked[bucket] = None
+        found = [b"".join(map(known.__getitem__, words(t, drops))) for blob in blobs for t in _texts(blob)]
         ends = np.concatenate(([0], np.cumsum([len(x) // 4 for x in found])))
         ids = pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(np.frombuffer(b"".join(found), "<i4"))).cast(pa.list_(pa.int32()))
         return pa.table({

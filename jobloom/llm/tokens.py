@@ -46,6 +46,18 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
+def units(text: str, drops: bool) -> list[str]:
+    """A text cut where no token can span; drops: of a file that drops white space.
+    Of a file that keeps it, every unit but the first has a space before it, unless
+    it begins with a line end."""
+    if drops:
+        return text.replace("\n", " ").split(" ")
+    if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[:1] in " \n" or text[-1:] in " \n" or any(c in text for c in _BLANKS):
+        return _SINGLE.split(text)
+    # a line end between two other characters is a token of its own
+    return text.replace("\n", " \n").split(" ")
+
+
 class Encoder:
     """Bytes of the ids of texts, 4 a token.
 
@@ -75,16 +87,6 @@ class Encoder:
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def units(self, text: str) -> list[str]:
-        """Of a file that keeps white space, every unit but the first has a space
-        before it, unless it begins with a line end."""
-        if self.drops:
-            return text.replace("\n", " ").split(" ")
-        if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[:1] in " \n" or text[-1:] in " \n" or any(c in text for c in _BLANKS):
-            return _SINGLE.split(text)
-        # a line end between two other characters is a token of its own
-        return text.replace("\n", " \n").split(" ")
-
     def _bpe(self, piece: str) -> bytes:
         """Of one piece of the file's pattern."""
         return self._ranked(piece.encode().decode("latin-1").translate(self.letters))
@@ -121,10 +123,10 @@ class Encoder:
         return b"".join([self.four[i] for i in self._ids(space + unit)])
 
     def _one(self, text: str) -> bytes:
-        units = self.units(text)
+        parts = units(text, self.drops)
         if self.drops:
-            return b"".join(map(self.memo.__getitem__, units))
-        return self._raw(units[0], "") + b"".join(map(self.memo.__getitem__, units[1:]))
+            return b"".join(map(self.memo.__getitem__, parts))
+        return self._raw(parts[0], "") + b"".join(map(self.memo.__getitem__, parts[1:]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.memo) > self.size:
@@ -142,9 +144,9 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str, special: bool = True) -> Encoder:
+def encoder(path: str, special: bool = True, memo: int = MEMO) -> Encoder:
     """One for each file and worker process."""
-    return Encoder(path, special=special)
+    return Encoder(path, memo, special)
 
 
 def release() -> None:
