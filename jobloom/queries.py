@@ -34,7 +34,7 @@ def _sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {s: rows.filter(F.col("source") == s).select([c for c in (*schemas.SOURCES[s], "year", "month") if c in rows.columns]) for s in schemas.SOURCES}
 
 
-_WHEN = """CASE WHEN regexp_matches(pst_strt_raw, '^\\d{4}\\.\\d{2}\\.\\d{2}\\([\\p{L}\\p{N}_]+\\)$') THEN CAST(try_strptime(substring(pst_strt_raw, 1, 10), '%Y.%m.%d') AS TIMESTAMP)
+WHEN = """CASE WHEN regexp_matches(pst_strt_raw, '^\\d{4}\\.\\d{2}\\.\\d{2}\\([\\p{L}\\p{N}_]+\\)$') THEN CAST(try_strptime(substring(pst_strt_raw, 1, 10), '%Y.%m.%d') AS TIMESTAMP)
  WHEN regexp_matches(pst_strt_raw, '^\\d{4}\\.\\d{2}\\.\\d{2} \\d{2}:\\d{2}$') THEN CAST(try_strptime(pst_strt_raw, '%Y.%m.%d %H:%M') AS TIMESTAMP) END"""
 
 
@@ -42,7 +42,7 @@ _WHEN = """CASE WHEN regexp_matches(pst_strt_raw, '^\\d{4}\\.\\d{2}\\.\\d{2}\\([
     fx.with_(fx.POSTINGS)
     + f"""
 SELECT pst_id, source, year, month, CASE WHEN source <> 'jkhd' THEN '공고' END AS pst_title, pst_detail, CAST(NULL AS VARCHAR) AS co_nm,
- CASE WHEN source <> 'jkhd' THEN strftime({_WHEN}, '%Y-%m-%d %H:%M:%S') END AS pst_strt FROM v1 WHERE length(pst_detail) > 10"""
+ CASE WHEN source <> 'jkhd' THEN strftime({WHEN}, '%Y-%m-%d %H:%M:%S') END AS pst_strt FROM v1 WHERE length(pst_detail) > 10"""
 )
 def merge_align_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = merge.merge(_sources(spark, sf_dir))
@@ -52,7 +52,7 @@ def merge_align_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     fx.with_(fx.POSTINGS)
     + f"""
-SELECT pst_id, strftime({_WHEN}, '%Y-%m-%d %H:%M:%S') AS pst_strt, TRY_CAST(nullif(regexp_extract(pst_strt_raw, '(\\d{{4}})\\.\\d{{2}}\\.\\d{{2}}', 1), '') AS INT) AS year,
+SELECT pst_id, strftime({WHEN}, '%Y-%m-%d %H:%M:%S') AS pst_strt, TRY_CAST(nullif(regexp_extract(pst_strt_raw, '(\\d{{4}})\\.\\d{{2}}\\.\\d{{2}}', 1), '') AS INT) AS year,
  TRY_CAST(nullif(regexp_extract(pst_strt_raw, '\\d{{4}}\\.(\\d{{2}})\\.\\d{{2}}', 1), '') AS INT) AS month FROM v1"""
 )
 def parse_posting_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -399,24 +399,24 @@ for _i, _p in enumerate(match.POLICIES):
     _STEPS.append(_policy_sql(_p, "po" if not _i else f"l{_i}", str(_i)))
     _STEPS.append(f" l{_i + 1} AS (SELECT * FROM {'po' if not _i else f'l{_i}'} WHERE pst_id NOT IN (SELECT pst_id FROM m{_i}))")
 _ALL = " UNION ALL ".join(f"SELECT *, {i} AS matching_attempt FROM m{i}" for i in range(3))
-_PROGRESSIVE = fx.with_(fx.COMPANIES, fx.MENTIONS, _MATCH, *_STEPS, f" r AS ({_ALL})")
+PROGRESSIVE = fx.with_(fx.COMPANIES, fx.MENTIONS, _MATCH, *_STEPS, f" r AS ({_ALL})")
 
 
 def _progressive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return match.match_progressively(*_prepared(spark, sf_dir), by_text=False)
 
 
-@query(_PROGRESSIVE + " SELECT * FROM r")
+@query(PROGRESSIVE + " SELECT * FROM r")
 def company_match_progressive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _progressive(spark, sf_dir).select(*_MATCHED, "matching_attempt").withColumn("confidence", F.round("confidence", 6))
 
 
-@query(_PROGRESSIVE + " SELECT pst_id, r.bzno, ksic, ksic9 FROM r LEFT JOIN v2 ON v2.bzno = r.bzno")
+@query(PROGRESSIVE + " SELECT pst_id, r.bzno, ksic, ksic9 FROM r LEFT JOIN v2 ON v2.bzno = r.bzno")
 def company_industry_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return match.with_industry(_progressive(spark, sf_dir), fx.companies(spark, sf_dir)).select("pst_id", "bzno", "ksic", "ksic9")
 
 
-@query(_PROGRESSIVE + " SELECT match_type, count(*) AS n, round(avg(confidence), 4) AS mean_confidence FROM r GROUP BY match_type")
+@query(PROGRESSIVE + " SELECT match_type, count(*) AS n, round(avg(confidence), 4) AS mean_confidence FROM r GROUP BY match_type")
 def match_type_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return match.match_statistics(_progressive(spark, sf_dir)).withColumn("mean_confidence", F.round("mean_confidence", 4))
 
