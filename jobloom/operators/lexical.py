@@ -107,19 +107,26 @@ def index_top(index: TokenIndex, queries: DataFrame, key: str, query_key: str, q
 
 def phrase_matches(names: DataFrame, titles: DataFrame, name: str, title: str) -> DataFrame:
     """names x titles whose tokens hold the name's tokens in a row. They meet by the
-    name's first token."""
-    left = names.withColumn("_line", token_line(name)).withColumn("_token", F.try_element_at(tokens(name, False), F.lit(1))).filter("_token is not null")
+    name's token that the fewest titles have; a name with one that none has meets no title."""
     right = titles.withColumn("_in", token_line(title)).withColumn("_word", F.explode(F.array_distinct(tokens(title, False))))
-    return left.join(right, (F.col("_token") == F.col("_word")) & F.contains("_in", "_line")).drop("_line", "_token", "_in", "_word")
+    df = right.groupBy("_word").agg(F.count(F.lit(1)).alias("_df"))
+    words = F.array_distinct(tokens(name, False))
+    each = names.select(name).distinct().select(F.col(name).alias("_name"), F.size(words).alias("_size"), F.explode(words).alias("_token"))
+    known = each.join(df, F.col("_token") == F.col("_word")).groupBy("_name", "_size").agg(F.min_by("_token", F.struct("_df", "_token")).alias("_token"), F.count(F.lit(1)).alias("_n"))
+    left = names.join(known.filter("_n = _size").select("_name", "_token"), F.col(name) == F.col("_name")).withColumn("_line", token_line(name))
+    return left.join(right, (F.col("_token") == F.col("_word")) & F.contains("_in", "_line")).drop("_line", "_token", "_in", "_word", "_name")
 
 
 def prefix_matches(names: DataFrame, titles: DataFrame, name: str, title: str) -> DataFrame:
-    """names x titles with a token that begins with the whole name, as it is. They
-    meet by the first two characters, or by one of a name of one."""
+    """names x titles with a token that begins with the whole name, as it is. Names
+    meet the beginnings of the distinct tokens, then the titles by the token."""
     right = titles.withColumn("_word", F.explode(F.array_distinct(tokens(title, False))))
-    right = right.withColumn("_key", F.explode(F.array_distinct(F.array(F.substring("_word", 1, 1), F.substring("_word", 1, 2)))))
-    left = names.filter(F.length(name) > 0).withColumn("_start", F.substring(name, 1, 2))
-    found = left.join(right, (F.col("_start") == F.col("_key")) & F.startswith("_word", name)).drop("_start", "_key", "_word")
+    wanted = names.select(F.col(name).alias("_name")).filter(F.length(name) > 0).distinct()
+    longest = F.broadcast(wanted.agg(F.coalesce(F.max(F.length("_name")), F.lit(1)).alias("_longest")))  # one row
+    start = F.explode(F.transform(F.sequence(F.lit(1), F.least(F.length("_word"), F.col("_longest"))), lambda n: F.substring(F.col("_word"), F.lit(1), n)))
+    starts = right.select("_word").distinct().crossJoin(longest).select(F.col("_word").alias("_token"), start.alias("_start"))
+    pairs = wanted.join(starts, F.col("_name") == F.col("_start")).select("_name", "_token")
+    found = names.join(pairs, F.col(name) == F.col("_name")).join(right, F.col("_token") == F.col("_word")).drop("_name", "_token", "_word")
     return found.distinct()
 
 
@@ -137,17 +144,23 @@ def _shorter(texts: Column, empty: Column) -> Column:
     return F.flatten(F.transform(texts, lambda t: F.when(F.length(t) > 0, cut(t)).otherwise(empty)))
 
 
+def deletions(token: Column, edits: Column, most: int) -> Column:
+    """The token and what is left of it when up to `edits` characters, `most` at most, are left out."""
+    empty = F.array().cast("array<string>")
+    found, last = F.array(token), F.array(token)
+    for k in range(1, most + 1):
+        last = _shorter(last, empty)
+        found = F.concat(found, F.when(edits >= k, last).otherwise(empty))
+    return found
+
+
 def _neighbours(token: Column, edits: Column, most: int, prefix: int) -> Column:
     """Keys by which tokens a few edits apart meet: their first characters with what
     is left when up to `edits` characters are left out. Very long tokens meet by
     their first characters alone."""
     empty = F.array().cast("array<string>")
     start = F.substring(token, 1, prefix)
-    found, last = F.array(token), F.array(token)
-    for k in range(1, most + 1):
-        last = _shorter(last, empty)
-        found = F.concat(found, F.when(edits >= k, last).otherwise(empty))
-    short = F.transform(F.array_distinct(found), lambda t: F.concat(start, F.lit("/"), t))
+    short = F.transform(F.array_distinct(deletions(token, edits, most)), lambda t: F.concat(start, F.lit("/"), t))
     size = F.length(token)
     return F.concat(F.when(size <= LONG_TOKEN, short).otherwise(empty), F.when(size > LONG_TOKEN - most, F.array(start)).otherwise(empty))
 

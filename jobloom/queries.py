@@ -12,7 +12,7 @@ from jobloom import schemas
 from jobloom.functions import text
 from jobloom.functions.lineage import cut_lineage, shared_folder
 from jobloom.functions.similarity import name_similarity, partial_ratio
-from jobloom.operators import classify, dedup, lexical, match, merge, skills
+from jobloom.operators import classify, dedup, lexical, match, merge, skills, text_index
 from jobloom.plans import fixtures as fx
 from jobloom.sources import tables
 
@@ -345,6 +345,70 @@ def stored_index_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("item_id", "doc_id", F.round("score", 4).alias("score"), "rank")
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query(ORACLE_SQL["bm25_topk"].replace("FROM documents", "FROM documents WHERE doc_id % 7 <> 5"))
+def index_updates_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """BM25 after a second batch with new, changed, repeated and deleted texts, and
+    after a third that deletes what the second brought."""
+    docs = fx.table(spark, sf_dir, "documents").select("doc_id", "text", F.lit(1).alias("turn"))
+    index = text_index.TextIndex(_folder(spark, "index"), "doc_id", "long", 16)
+    changed, new = F.col("doc_id") % 4 == 0, F.col("doc_id") % 10 == 3
+    other = lambda rows: rows.withColumns({"text": F.concat(F.reverse("text"), F.lit(" the former text")), "turn": F.lit(0)})
+    first = docs.filter(~new)
+    text_index.add_batch(other(first.filter(changed)).unionByName(first.filter(~changed)), index, "text", "turn")
+    text_index.add_batch(other(docs.filter(changed | new)).unionByName(docs.filter(changed | new)), index, "text", "turn", docs.filter("doc_id % 7 = 5 and doc_id % 10 <> 3 and doc_id % 4 <> 0"))
+    text_index.add_batch(docs.limit(0), index, "text", "turn", docs.filter("doc_id % 7 = 5"))
+    found = text_index.bm25(spark, index, fx.table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("q")), "item_id", "q", 10)
+    return found.select("item_id", "doc_id", F.round("score", 4).alias("score"), "rank")
+
+
+_LINE = "' ' || array_to_string(regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}_]+'), ' ') || ' '"
+
+
+@query(
+    f"""WITH d AS (SELECT doc_id, {_LINE} AS line FROM documents), b AS (SELECT item_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+') AS w FROM benchmark),
+q AS (SELECT item_id, k AS words, array_to_string(list_slice(w, 3, 2 + k), ' ') AS phrase FROM b, (SELECT unnest([1, 2, 3, 8]) AS k) WHERE len(w) >= 2 + k)
+SELECT item_id, words, doc_id FROM q JOIN d ON contains(line, ' ' || phrase || ' ')"""
+)
+def phrases_in_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with one, two, three and eight words of each benchmark text in a row, from
+    stored positions."""
+    index = text_index.TextIndex(_folder(spark, "index"), "doc_id", "long")
+    text_index.add_batch(fx.table(spark, sf_dir, "documents"), index, "text")
+    words = lexical.tokens("text", stop=False)
+    each = fx.table(spark, sf_dir, "benchmark").select("item_id", words.alias("w"), F.explode(F.array(*[F.lit(k) for k in (1, 2, 3, 8)])).alias("words")).filter(F.size("w") >= 2 + F.col("words"))
+    asked = each.select(F.struct("item_id", "words").alias("q"), F.array_join(F.slice("w", F.lit(3), F.col("words")), " ").alias("phrase"))
+    return text_index.phrases(spark, index, asked, "q", "phrase").select("q.item_id", "q.words", "doc_id")
+
+
+def _titles_index(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, text_index.TextIndex]:
+    names, titles = _names_and_titles(spark, sf_dir)
+    index = text_index.TextIndex(_folder(spark, "titles"), "bzno")
+    text_index.add_batch(titles, index, "processed_title")
+    return names, index
+
+
+@query(ORACLE_SQL["phrase_search"])
+def stored_phrase_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names, index = _titles_index(spark, sf_dir)
+    return text_index.phrases(spark, index, names.withColumn("q", F.col("name")), "name", "q").select("name", "bzno")
+
+
+@query(ORACLE_SQL["prefix_search"])
+def stored_prefix_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names, index = _titles_index(spark, sf_dir)
+    return text_index.prefixes(spark, index, names, "name")
+
+
+@query(ORACLE_SQL["fuzzy_search"])
+def stored_fuzzy_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names, index = _titles_index(spark, sf_dir)
+    return text_index.fuzzy(spark, index, names, "name", 1, 1)
+
+
 @query(
     fx.with_(fx.POSTINGS)
     + """ SELECT pst_id FROM v1 WHERE month IN (1, 2, 3) AND source <> 'jk' AND (CASE WHEN length(pst_detail) > 500 THEN 1 ELSE 0 END + CASE WHEN contains(pst_detail, 'the') THEN 1 ELSE 0 END) >= 1"""
