@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -49,6 +50,10 @@ def name_similarity(a: Column | str, b: Column | str) -> Column:
     return let(F.struct(name_parts(a).alias("x"), name_parts(b).alias("y")), lambda p: parts_similarity(p["x"], p["y"]))
 
 
+#: Longest text whose characters are bits of one machine word.
+WORD_BITS = 62
+
+
 def _common(short: str, window: str) -> int:
     """Length of the longest common subsequence, a bit for each character of short."""
     at = {}
@@ -62,15 +67,46 @@ def _common(short: str, window: str) -> int:
     return len(short) - row.bit_count()
 
 
-def best_window_ratio(a: str, b: str) -> float:
+def codes_of(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+
+
+def _all_windows(short: str, codes: np.ndarray, least: float) -> float:
+    """The best ratio of short, of WORD_BITS characters at most, with the windows of
+    a text that is no shorter: all windows take a step at once, a bit for each
+    character of short. Windows that have too few of its characters are left out."""
+    m, n = len(short), len(codes)
+    masks = np.zeros(n + 2 * (m - 1), np.uint64)
+    inner = masks[m - 1 : m - 1 + n]
+    for c in set(short):
+        inner[codes == ord(c)] = sum(1 << i for i, x in enumerate(short) if x == c)
+    ends = np.arange(1, n + m)
+    size = np.minimum(ends, n) - np.maximum(0, ends - m)
+    known = np.concatenate(([0], np.cumsum(masks != 0)))
+    most = 200.0 * (known[m:] - known[:-m]) / (m + size)
+    at = np.flatnonzero((most >= least) & (most > 0))
+    if not len(at):
+        return 0.0
+    ones = np.uint64((1 << m) - 1)
+    row = np.full(len(at), ones, np.uint64)
+    for k in range(m):
+        hit = row & masks[at + k]
+        row = ((row + hit) | (row - hit)) & ones
+    return float((200.0 * (m - np.bitwise_count(row).astype(np.int64)) / (m + size[at])).max())
+
+
+def best_window_ratio(a: str, b: str, least: float = 0.0, codes: np.ndarray | None = None) -> float:
     """0 to 100: the most that the shorter text has in common with a part of the
-    longer one that is no longer, parts at both ends included."""
+    longer one that is no longer, parts at both ends included. A ratio below `least`
+    may be given as 0. codes: of b, if it is there already."""
     short, long = sorted((a, b), key=len)
     if not short:
         return 100.0 if not long else 0.0
     if short in long:
         return 100.0
     m, best = len(short), 0.0
+    if m <= WORD_BITS:
+        return _all_windows(short, codes if codes is not None and long is b else codes_of(long), least)
     known = set(short)
     for end in range(1, len(long) + m):
         part = long[max(0, end - m) : min(end, len(long))]

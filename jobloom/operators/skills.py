@@ -6,7 +6,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 try:
@@ -15,7 +15,7 @@ except ImportError:
     ahocorasick = None
 
 from jobloom import schemas
-from jobloom.functions.similarity import best_window_ratio
+from jobloom.functions.similarity import best_window_ratio, codes_of
 from jobloom.functions.text import preprocess_description
 
 TOP, LEAST = 20, 70.0
@@ -113,8 +113,9 @@ def compiled(skills: DataFrame) -> list[tuple[str, str, Literal]]:
 def tag(text: str, skills: Dictionary, top: int = TOP, least: float = LEAST) -> list[tuple[str, float]]:
     """The `top` most similar skills whose pattern is in the text, ties by code."""
     lower, found = text.lower(), []
+    codes = codes_of(lower)
     for code, name, _ in skills.found(text, lower):
-        if (ratio := best_window_ratio(name, lower)) >= least:
+        if (ratio := best_window_ratio(name, lower, least, codes)) >= least:
             found.append((-ratio, code))
     return [(code, -ratio) for ratio, code in sorted(found)[:top]]
 
@@ -152,6 +153,12 @@ def expand(postings: DataFrame, skills: DataFrame) -> DataFrame:
     return rows.join(skills.select([c for c in schemas.SKILL if c != "ext_key"]), "skill_code", "left").select(*[F.col(c).cast("string") for c in schemas.EXPORT])
 
 
+def shard_of(key: str, shards: int) -> Column:
+    """The number of a row's shard: the first 32 bits of the key's MD5, so that other
+    engines deal alike. Null keys are in shard 0."""
+    return F.coalesce(F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("long") % shards, F.lit(0)).cast("int")
+
+
 def shard(rows: DataFrame, shards: int, number: int, key: str = "pst_id") -> DataFrame:
     """The rows of one of several shards by hash."""
-    return rows.filter(F.pmod(F.xxhash64(key), F.lit(shards)) == number)
+    return rows.filter(shard_of(key, shards) == number)

@@ -108,5 +108,17 @@ v4 AS (SELECT concat(CASE WHEN rnk % 2 = 0 THEN 'A1' ELSE 'B2' END, lpad(CAST(rn
  WHERE rnk <= 40)"""
 
 
+def misspelt_skills(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """skills() with the same patterns and other names: the word as it is, without a
+    letter, with another letter, three of its letters behind two others, or with more behind it."""
+    rows = skills(spark, sf_dir).withColumnRenamed("skill_name", "w")
+    kind = F.substring("skill_code", -1, 1).cast("int") % 5
+    name = (
+        F.when(kind == 1, F.concat(F.substring("w", 1, 2), F.expr("substring(w, 4)"))).when(kind == 2, F.concat(F.substring("w", 1, 2), F.lit("q"), F.expr("substring(w, 4)")))
+        .when(kind == 3, F.concat(F.lit("zq"), F.substring("w", 1, 3))).when(kind == 4, F.concat("w", F.lit(" qz"))).otherwise(F.col("w"))
+    )
+    return rows.select("skill_code", name.alias("skill_name"), "ext_key", "softskill")
+
+
 def with_(*views: str) -> str:
     return "WITH " + ",".join(views)

@@ -202,11 +202,40 @@ def fuzzy_pairs_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.similar_texts(_near_copies(spark, sf_dir), "month").withColumn("similarity", F.round("similarity", 6))
 
 
-@query()
+def _walk_sql(views: str) -> str:
+    """The postings that stay of v1 when each month is walked by rank: one goes if one that stayed is similar."""
+    return (
+        "WITH RECURSIVE " + views.removeprefix("WITH ").replace(" SELECT sc AS month", ", q AS (SELECT sc AS month", 1)
+        + """), mo AS (SELECT month, CASE WHEN bool_or(source = 'srm') THEN 'srm' ELSE min(source) END AS top FROM v1 GROUP BY month),
+ ra AS (SELECT pst_id, v1.source, v1.month, md5(pst_detail) AS id, row_number() OVER (PARTITION BY v1.month ORDER BY v1.source <> top, v1.source, pst_id) AS rn FROM v1 JOIN mo ON mo.month = v1.month),
+ he AS (SELECT month, id, min(rn) AS rn FROM ra GROUP BY month, id),
+ ed AS (SELECT month, a, b FROM q UNION ALL SELECT month, b, a FROM q),
+ nb AS (SELECT he.month, he.rn, list(o.rn) AS near FROM ed JOIN he ON he.month = ed.month AND he.id = ed.a JOIN he o ON o.month = ed.month AND o.id = ed.b GROUP BY he.month, he.rn),
+ nk AS (SELECT *, row_number() OVER (PARTITION BY month ORDER BY rn) AS k FROM nb),
+ wa AS (SELECT DISTINCT month, CAST(0 AS BIGINT) AS k, CAST([] AS BIGINT[]) AS stay, CAST([] AS BIGINT[]) AS gone FROM nk
+  UNION ALL SELECT wa.month, nk.k, CASE WHEN list_has_any(stay, near) THEN stay ELSE list_append(stay, nk.rn) END, CASE WHEN list_has_any(stay, near) THEN list_append(gone, nk.rn) ELSE gone END
+  FROM wa JOIN nk ON nk.month = wa.month AND nk.k = wa.k + 1),
+ fin AS (SELECT month, gone FROM wa QUALIFY row_number() OVER (PARTITION BY month ORDER BY k DESC) = 1),
+ go AS (SELECT month, unnest(gone) AS rn FROM fin)
+SELECT ra.pst_id, ra.source, ra.month FROM ra JOIN he ON he.month = ra.month AND he.rn = ra.rn WHERE NOT EXISTS (SELECT 1 FROM go WHERE go.month = ra.month AND go.rn = ra.rn)"""
+    )
+
+
+def _of_v0(*views: str) -> str:
+    """The pairs of a month where v1 is made of v0, the postings, by further views."""
+    return _pairs_sql("month").replace(fx.POSTINGS, ",".join((fx.POSTINGS.replace("v1 AS", "v0 AS", 1), *views)))
+
+
+@query(_walk_sql(_of_v0(_C1.replace("v1", "v0"), _c2("c1"), " v1 AS (SELECT * FROM c2)")))
 def fuzzy_dedup_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.fuzzy_dedup_month(cut_lineage(dedup.exact_dedup(fx.postings(spark, sf_dir)))).select("pst_id", "source", "month")
 
 
+@query(_walk_sql(_of_v0(_NEAR_COPIES)))
+def fuzzy_dedup_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.fuzzy_dedup_month(cut_lineage(_near_copies(spark, sf_dir))).select("pst_id", "source", "month")
+
+
 @query(
     _pairs_sql("source").replace(" SELECT sc AS source", ", q AS (SELECT sc AS source", 1)
     + """), o AS (SELECT source, a AS id, b AS other FROM q UNION ALL SELECT source, b, a FROM q UNION ALL SELECT DISTINCT source, md5(pst_detail), md5(pst_detail) FROM v1),
@@ -578,20 +607,46 @@ def classify_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify.HashedLogistic().fit(known, "text", "quality").predict(docs, "doc_id", "text")
 
 
-@query()
+def _ratio_sql(rows: str) -> str:
+    """Of rows (..., a, b): with `ratio`, the best common subsequence of the shorter
+    text with the windows of the longer one, a bit for each of its characters."""
+    bits = "list_sum(list_transform(range(1, m + 1), lambda i: CASE WHEN substring(s, i, 1) = c THEN CAST(1 AS BIGINT) << CAST(i - 1 AS INT) ELSE 0 END))"
+    row = "(((r + (r & x)) | (r - (r & x))) & ones)"
+    window = "list_slice(masks, greatest(1, e - m + 1), least(e, n))"
+    common = f"m - bit_count(list_reduce({window}, lambda r, x: {row}, ones))"
+    size = "(least(e, n) - greatest(0, e - m))"
+    return f"""
+ rs AS (SELECT *, CASE WHEN length(a) <= length(b) THEN a ELSE b END AS s, CASE WHEN length(a) <= length(b) THEN b ELSE a END AS l FROM {rows}),
+ rm AS (SELECT *, CAST(length(s) AS BIGINT) AS m, CAST(length(l) AS BIGINT) AS n, (CAST(1 AS BIGINT) << CAST(length(s) AS INT)) - 1 AS ones FROM rs),
+ rc AS (SELECT *, list_transform(string_split(l, ''), lambda c: CAST(coalesce({bits}, 0) AS BIGINT)) AS masks FROM rm),
+ rated AS (SELECT * EXCLUDE (s, l, m, n, ones, masks), CASE WHEN m = 0 THEN CASE WHEN n = 0 THEN 100.0 ELSE 0.0 END WHEN contains(l, s) THEN 100.0
+  ELSE list_max(list_transform(range(1, n + m), lambda e: CAST(200.0 AS DOUBLE) * ({common}) / (m + {size}))) END AS ratio FROM rc)"""
+
+
+@query(
+    fx.with_(fx.SKILLS, " x AS (SELECT item_id, skill_code, lower(skill_name) AS a, lower(text) AS b FROM benchmark, v4)", _ratio_sql("x"))
+    + " SELECT item_id, skill_code, round(ratio, 6) AS ratio FROM rated"
+)
 def partial_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = F.broadcast(fx.skills(spark, sf_dir).select("skill_code", F.col("skill_name").alias("name")))  # 40 rows
     items = fx.table(spark, sf_dir, "benchmark").select("item_id", "text")
     return items.crossJoin(known).select("item_id", "skill_code", F.round(partial_ratio("name", "text"), 6).alias("ratio"))
 
 
+@query()  # SQL compares every window of every text with every name: too slow
+def skill_match_misspelt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Similarities below 100: names that differ from what their patterns find."""
+    tagged = skills.match_skills(fx.postings(spark, sf_dir), cut_lineage(fx.misspelt_skills(spark, sf_dir)))
+    each = tagged.select("pst_id", F.posexplode("skills").alias("at", "s"))
+    return each.select("pst_id", "s.skill_code", F.round("s.similarity", 6).alias("similarity"), (F.col("at") + 1).alias("place"))
+
+
 @query("SELECT CASE WHEN length(c) >= 2 THEN substring(c, 1, 2) ELSE '00' END AS category, count(*) AS n FROM (SELECT substring(p_brand, 1, CAST(p_partkey % 4 AS INT)) AS c FROM part) GROUP BY 1")
 def skill_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     code = F.substring(F.col("p_brand"), F.lit(1), (F.col("p_partkey") % 4).cast("int"))
     return fx.table(spark, sf_dir, "part").select(text.skill_category(code).alias("category")).groupBy("category").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+@query(fx.with_(fx.POSTINGS) + " SELECT pst_id, CAST(CAST('0x' || substring(md5(pst_id), 1, 8) AS BIGINT) % 8 AS INT) AS shard FROM v1")
 def hash_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = fx.postings(spark, sf_dir).select("pst_id")
-    return reduce(DataFrame.unionByName, [skills.shard(rows, 8, k).withColumn("shard", F.lit(k)) for k in range(8)])
+    return fx.postings(spark, sf_dir).select("pst_id", skills.shard_of("pst_id", 8).alias("shard"))

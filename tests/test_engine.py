@@ -1,6 +1,7 @@
 import datetime
 import hashlib
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from jobloom import schemas
 from jobloom.operators import classify, dedup, lexical, match, merge, skills
 from jobloom.plans import fixtures, run
+from tests.test_text import brute_ratio
 from jobloom.queries import QUERIES
 from jobloom.sources import tables
 from jobloom.streaming import ingest
@@ -354,3 +356,23 @@ def test_sample_reload_and_pending(spark, tmp_path):
 def test_names_are_matched_in_all_postings(spark, small_dir):
     orders = spark.read.parquet(f"{small_dir}/orders.parquet").count()
     assert fixtures.mentions(spark, small_dir).count() == orders
+
+
+def test_similarities_below_100(spark, small_dir):
+    """Every posting and skill: the pattern's word in the text, then all windows."""
+    known = [(r.skill_code, r.skill_name, r.ext_key) for r in fixtures.misspelt_skills(spark, small_dir).collect()]
+    want, ratios = {}, set()
+    for r in fixtures.postings(spark, small_dir).filter("length(pst_detail) < 500").collect():
+        text, found = " ".join(r.pst_detail.split()), []
+        for code, name, key in known:
+            word, fold = re.search("([a-z]+)'?$", key).group(1), "(?i)" in key
+            if word in (text.lower() if fold else text):
+                ratio = brute_ratio(name, text.lower())
+                if ratio >= 70:
+                    found.append((-ratio, code))
+        for place, (ratio, code) in enumerate(sorted(found)[:20], 1):
+            want[r.pst_id, code] = (pytest.approx(-ratio, abs=1e-6), place)
+            ratios.add(round(-ratio))
+    got = {(r.pst_id, r.skill_code): (r.similarity, r.place) for r in QUERIES["skill_match_misspelt"](spark, small_dir).collect()}
+    shorter = {r.pst_id for r in fixtures.postings(spark, small_dir).filter("length(pst_detail) < 500").collect()}
+    assert {k: v for k, v in got.items() if k[0] in shorter} == want and len(ratios) > 4 and min(ratios) < 90
