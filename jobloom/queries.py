@@ -473,12 +473,12 @@ _MATCH = (
     f" po AS (SELECT pst_id, {_NAME % 'co_nm'} AS name, {_region(chr(34) + 'loc' + chr(34))} AS region_m, {_address('corp_addr')} AS address_m FROM v3),"
     f" co AS (SELECT bzno, title, {_NAME % 'title'} AS processed_title, {_region('address')} AS c_region, {_address('address')} AS c_address FROM v2)"
 )
-_MATCHED = ("pst_id", "matched_company_name", "bzno", "confidence", "match_type", "matching_policy")
+MATCHED = ("pst_id", "matched_company_name", "bzno", "confidence", "match_type", "matching_policy")
 
 
 def _one_policy(policy: match.Policy):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return match.match_by_name(*_prepared(spark, sf_dir), policy).select(*_MATCHED).withColumn("confidence", F.round("confidence", 6))
+        return match.match_by_name(*_prepared(spark, sf_dir), policy).select(*MATCHED).withColumn("confidence", F.round("confidence", 6))
 
     run.__name__ = f"company_match_{policy.name}"
     query(fx.with_(fx.COMPANIES, fx.MENTIONS, _MATCH, _policy_sql(policy, "po", "")) + " SELECT * FROM m")(run)
@@ -501,7 +501,7 @@ def _progressive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(PROGRESSIVE + " SELECT * FROM r")
 def company_match_progressive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _progressive(spark, sf_dir).select(*_MATCHED, "matching_attempt").withColumn("confidence", F.round("confidence", 6))
+    return _progressive(spark, sf_dir).select(*MATCHED, "matching_attempt").withColumn("confidence", F.round("confidence", 6))
 
 
 @query(PROGRESSIVE + " SELECT pst_id, r.bzno, ksic, ksic9 FROM r LEFT JOIN v2 ON v2.bzno = r.bzno")
@@ -519,22 +519,111 @@ def company_name_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return match.name_presence(fx.mentions(spark, sf_dir))
 
 
-def _detailed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Mentions without a company name of their own whose text names the company."""
+_MARKED = " || ".join(f"regexp_extract_all(x, '{p}', 1)" for p in match.MARKED_NAMES)
+_BLOCKED = ", ".join(f"'{w}'" for w in match.BLOCKED)
+
+
+def _text_sql(rows: str) -> str:
+    """Of rows (..., pst_title, pst_detail): tx with `text`, what is left of title and detail for names."""
+    space = "[\\s\\p{Z}\\x1c-\\x1f\\x85]"
+    squeezed = lambda x: f"trim(regexp_replace({x}, '{space}+', ' ', 'g'))"
+    whole = squeezed("regexp_replace(coalesce(pst_title || ' ', '') || coalesce(pst_detail, ''), '<[^>]+>', ' ', 'g')")
+    steps = [f" k0 AS (SELECT *, substring(w, 1, CAST(least(length(w) // 3, 200) AS INT)) AS x FROM (SELECT *, {whole} AS w FROM {rows}))"]
+    for i, k in enumerate(text.CUT_KEYWORDS):
+        steps.append(f" k{i + 1} AS (SELECT * EXCLUDE (x), CASE WHEN strpos(x, '{k}') > 51 THEN substring(x, 1, strpos(x, '{k}') - 1) ELSE x END AS x FROM k{i})")
+    cleaned = "x"
+    for p in text.BOILERPLATE:
+        cleaned = f"regexp_replace({cleaned}, '{p.replace(chr(92) + 's', space)}', ' ', 'g')"
+    return ",".join(steps) + f", tx AS (SELECT * EXCLUDE (x, w), {squeezed(cleaned)} AS text FROM k{len(text.CUT_KEYWORDS)})"
+
+
+def _potential_sql(of: str, marked: float) -> str:
+    """List of (name, c) of the names that a text may hold."""
+    marks = " || ".join(f"regexp_extract_all({of}, '{p}', 1)" for p in match.MARKED_NAMES)
+    words = f"list_filter(regexp_split_to_array(trim(regexp_extract({of}, '^([^.!?]+)[.!?]', 1)), '[\\s\\p{{Z}}]+'), lambda w: w <> '')"
+    first = f"CASE WHEN len({words}) >= 1 AND length({words}[1]) >= 2 AND lower({words}[1]) NOT IN ({_BLOCKED}) THEN {words}[1] END"
+    several = [f"CASE WHEN len({words}) >= {n} AND length(array_to_string({words}[1:{n}], ' ')) > {n} THEN array_to_string({words}[1:{n}], ' ') END" for n in (2, 3)]
+    plain = f"list_transform(list_filter([{first}, {', '.join(several)}], lambda z: z IS NOT NULL), lambda z: {{'name': z, 'c': CAST({match.PLAIN_CONFIDENCE} AS DOUBLE)}})"
+    beside = f"list_transform(list_filter({marks}, lambda z: length(z) >= 2 AND lower(z) NOT IN ({_BLOCKED})), lambda z: {{'name': z, 'c': CAST({marked} AS DOUBLE)}})"
+    return f"({plain} || {beside})"
+
+
+def _detail_sql(p: match.Policy, left: str) -> str:
+    """md: the matches by text of left (pst_id, region_m, address_m, pst_title, pst_detail) with the companies co."""
+    each = "regexp_extract_all(lower(coalesce(%s, '')), '[\\p{L}\\p{N}_]+')"
+    line = f"' ' || array_to_string({each}, ' ') || ' '"
+    listed = lambda words: ", ".join(f"'{w}'" for w in words)
+    known = f"list_filter(string_split(processed_title, ' '), lambda w: length(w) >= 3 AND lower(w) NOT IN ({_BLOCKED}))"
+    held = lambda where: f"len(list_filter({known}, lambda w: contains({where}, w))) > 0"
+    same = "(region_m <> '' AND region_m = c_region) AS same_region, (address_m <> '' AND address_m = c_address) AS same_address"
+    bonus = f"CASE WHEN same_region THEN {p.detail_region} ELSE 0.0 END + CASE WHEN same_address THEN {p.detail_address} ELSE 0.0 END"
+    return f"""{_text_sql(left)},
+ rg AS (SELECT {_TOKENS % 'processed_title'} AS t FROM co), st AS (SELECT count(*) AS n, avg(len(t)) AS av FROM rg),
+ dfs AS (SELECT token, count(*) AS df FROM (SELECT unnest(list_distinct(t)) AS token FROM rg) GROUP BY token),
+ tl AS (SELECT bzno, x, {line % 'x'} AS ln, {_TOKENS % 'x'} AS t FROM (SELECT bzno, title AS x FROM co UNION SELECT bzno, processed_title FROM co)),
+ en AS (SELECT pst_id, region_m, address_m, {_potential_sql('text', match.MARKED_CONFIDENCE)} || {_potential_sql("coalesce(pst_title, '')", match.TITLE_CONFIDENCE)} AS e FROM tx WHERE text <> ''),
+ nd AS (SELECT pst_id, region_m, address_m, turn, e[turn].name AS name, e[turn].c AS c FROM (SELECT *, unnest(range(1, len(e) + 1)) AS turn FROM en)
+  WHERE length(e[turn].name) > 2 OR lower(e[turn].name) IN ({listed(match.SHORT_NAMES)})),
+ nm AS (SELECT name, {line % 'name'} AS nl, list_distinct({_TOKENS % 'name'}) AS q FROM (SELECT name FROM nd UNION SELECT text FROM tx WHERE text <> '') WHERE len({each % 'name'}) > 0),
+ hi AS (SELECT name, bzno, x, t, unnest(q) AS token FROM nm JOIN tl ON contains(ln, nl)),
+ hf AS (SELECT hi.*, len(list_filter(t, lambda w: w = token)) AS tf FROM hi),
+ re AS (SELECT name, bzno, max(r) AS relevance FROM (SELECT name, bzno, x, sum(ln(1 + (n - coalesce(df, 0) + 0.5) / (coalesce(df, 0) + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(t) / greatest(av, 1.0)))) AS r
+  FROM hf LEFT JOIN dfs USING (token), st GROUP BY name, bzno, x) GROUP BY name, bzno),
+ r5 AS (SELECT re.*, title, processed_title, c_region, c_address FROM re JOIN co USING (bzno) WHERE name IN (SELECT name FROM nd) QUALIFY row_number() OVER (PARTITION BY name ORDER BY relevance DESC, bzno) <= 5),
+ bn AS (SELECT *, {same} FROM nd JOIN r5 USING (name) QUALIFY row_number() OVER (PARTITION BY pst_id, bzno ORDER BY turn) = 1),
+ bf AS (SELECT pst_id, text, re.*, title, processed_title, c_region, c_address, substring(text, 1, 200) AS head, {same} FROM tx JOIN re ON re.name = tx.text JOIN co USING (bzno)
+  WHERE coalesce(title, '') <> '' AND processed_title <> '' AND lower(processed_title) NOT IN ({_BLOCKED}) AND title NOT IN ({listed(match.EXCLUDED_TITLES)})),
+ bt AS (SELECT *, CASE WHEN contains(head, title) THEN 10.0 WHEN contains(text, title) THEN 8.0 WHEN contains(head, processed_title) THEN 7.0 WHEN contains(text, processed_title) THEN 5.0
+   WHEN length(processed_title) >= 3 AND {held('head')} THEN 4.0 WHEN length(processed_title) >= 3 AND {held('text')} THEN 3.0 ELSE 0.0 END
+   * CASE WHEN regexp_matches(title, '{match.LEGAL_MARK}') THEN 1.2 ELSE 1.0 END + least(relevance / 20.0, 1.0) AS score FROM bf
+  WHERE (length(processed_title) > 2 OR lower(processed_title) IN ({listed(match.SHORT_IN_TEXT)}) OR same_region OR same_address)
+  QUALIFY score > 0 AND row_number() OVER (PARTITION BY pst_id ORDER BY score DESC, bzno) <= {match.TEXT_CANDIDATES}),
+ al AS (SELECT pst_id, bzno, title, same_region, same_address, 0 AS rk, relevance AS score, c * relevance / 10.0 + {bonus} AS adjusted FROM bn
+  UNION ALL SELECT pst_id, bzno, title, same_region, same_address, 1, score, score / 15.0 + {bonus} FROM bt),
+ on1 AS (SELECT * FROM al QUALIFY row_number() OVER (PARTITION BY pst_id, bzno ORDER BY rk) = 1),
+ be AS (SELECT * FROM on1 QUALIFY row_number() OVER (PARTITION BY pst_id ORDER BY adjusted DESC, bzno) = 1),
+ md AS (SELECT pst_id, title AS matched_company_name, bzno, round(adjusted, 6) AS confidence,
+  'detail_' || CASE WHEN same_region AND same_address THEN 'region_address' WHEN same_region THEN 'region' WHEN same_address THEN 'address' ELSE 'only' END || '_match' AS match_type, '{p.name}' AS matching_policy
+  FROM be WHERE adjusted >= {p.detail_least})"""
+
+
+def _detailed(spark: SparkSession, sf_dir: str, named: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Mentions whose text names the company: in a sentence, or as all that is left of it; named:
+    of every third one, the company's name or another stands in its field too."""
     titles = fx.companies(spark, sf_dir).select(F.col("bzno").alias("true_bzno"), "title")
     rows = fx.mentions(spark, sf_dir).join(titles, "true_bzno")
+    key = F.col("pst_id").cast("long")
     body = F.concat(F.col("title"), F.lit(" 에서 경력 개발자를 모집합니다. "), F.repeat(F.lit("성실한 분을 찾습니다 "), 20))
-    rows = rows.select("pst_id", F.lit(None).cast("string").alias("co_nm"), "loc", "corp_addr", F.lit("개발자 모집").alias("pst_title"), body.alias("pst_detail"))
+    alone = F.concat("title", F.lit(" "), F.expr("repeat('z', 2 * length(title) - 1)"))
+    name = F.when(key % 3 == 0, F.when(key % 2 == 0, F.col("title")).otherwise("다른 이름")) if named else F.lit(None).cast("string")
+    kind = key % 7 < 4
+    rows = rows.select("pst_id", name.alias("co_nm"), "loc", "corp_addr", F.when(kind, "개발자 모집").alias("pst_title"), F.when(kind, body).otherwise(alone).alias("pst_detail"))
     return match.prepare_postings(rows), match.prepare_companies(fx.companies(spark, sf_dir).withColumn("_o", F.col("bzno").cast("long")), "_o")
 
 
-@query()
+def _detailed_sql(named: bool) -> str:
+    name = "CASE WHEN k % 3 = 0 THEN CASE WHEN k % 2 = 0 THEN title ELSE '다른 이름' END END" if named else "CAST(NULL AS VARCHAR)"
+    return (
+        f" dm AS (SELECT pst_id, {name} AS co_nm, loc, corp_addr, CASE WHEN k % 7 < 4 THEN '개발자 모집' END AS pst_title,"
+        " CASE WHEN k % 7 < 4 THEN title || ' 에서 경력 개발자를 모집합니다. ' || repeat('성실한 분을 찾습니다 ', 20) ELSE title || ' ' || repeat('z', 2 * length(title) - 1) END AS pst_detail"
+        " FROM (SELECT v3.*, title, CAST(pst_id AS BIGINT) AS k FROM v3 JOIN v2 ON v2.bzno = true_bzno)),"
+        f" po AS (SELECT pst_id, {_NAME % 'co_nm'} AS name, {_region(chr(34) + 'loc' + chr(34))} AS region_m, {_address('corp_addr')} AS address_m, pst_title, pst_detail FROM dm),"
+        f" co AS (SELECT bzno, title, {_NAME % 'title'} AS processed_title, {_region('address')} AS c_region, {_address('address')} AS c_address FROM v2)"
+    )
+
+
+@query(fx.with_(fx.COMPANIES, fx.MENTIONS, _detailed_sql(False), _detail_sql(match.RELAXED, "po")) + " SELECT * FROM md")
 def company_match_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return match.match(*_detailed(spark, sf_dir), match.RELAXED)
+    return match.match(*_detailed(spark, sf_dir), match.RELAXED).select(*MATCHED).withColumn("confidence", F.round("confidence", 6))
 
 
-_MARKED = " || ".join(f"regexp_extract_all(x, '{p}', 1)" for p in match.MARKED_NAMES)
-_BLOCKED = ", ".join(f"'{w}'" for w in match.BLOCKED)
+@query(
+    fx.with_(fx.COMPANIES, fx.MENTIONS, _detailed_sql(True), _policy_sql(match.STRICT, "po", ""), " le AS (SELECT * FROM po WHERE pst_id NOT IN (SELECT pst_id FROM m))", _detail_sql(match.STRICT, "le"))
+    + " SELECT * FROM m UNION ALL SELECT * FROM md"
+)
+def company_match_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By name where there is one that matches, else by text."""
+    return match.match(*_detailed(spark, sf_dir, True), match.STRICT).select(*MATCHED).withColumn("confidence", F.round("confidence", 6))
 
 
 @query(
