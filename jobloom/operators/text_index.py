@@ -2,42 +2,49 @@
 
 In the index's folder, each table in folders by batch:
 
-* `words`: (key, dl, words) of each text; dl counts the words that aren't stop words
-* `postings`: (token, key, dl, positions), in folders by hash of the token
+* `postings`: (token, key, dl, positions), in folders by hash of the token. dl counts
+  the text's words that aren't stop words. Every text has one row with the token ''
 * `terms`: (token) in folders by hash of its first character
-* `shorter`: (short, token): what is left of a token when up to EDITS characters are
-  left out, in folders by hash of it
+* `shorter`: (short, token): what is left of a token when up to `edits` characters are
+  left out, in folders by hash of it; none for an index without fuzzy search
 * `replaced`: (key, old, dl): texts of earlier batches whose key came again or was deleted
 * `batches`: what the batch holds. Written last: a batch without it is not there
 
 A batch is written once and never changed; writing a batch again that failed half-way
 replaces its own folders. Readers take the texts that no later batch replaced, so
 searches answer as an index built anew would. Searches read the folders of the
-tokens that they ask for and no others.
+tokens that they ask for and no others. Texts cross the network once, to find the
+last row of a key, and their postings once.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from jobloom.operators.lexical import B, K1, LONG_TOKEN, STOP_WORDS, allowed_edits, deletions, tokens
 from jobloom.sources.keyed import read_or_empty
 
-#: Folders of a batch, characters that may be left out, and postings of a file.
-BUCKETS, EDITS, FILE_ROWS = 64, 2, 4_000_000
+#: Folders of a batch, the most edits that fuzzy searches allow, and text of a file of postings.
+BUCKETS, EDITS, FILE_BYTES = 64, 2, 32 << 20
+#: Texts whose words a task holds at a time.
+TEXTS = 256
 
 
 class TextIndex(NamedTuple):
     """path: its folder; key: the texts' key and its type; buckets: folders of each
-    table, the same for all batches."""
+    table; edits: of fuzzy searches, for which a term of L characters is stored up to
+    L * L / 2 times, so that large vocabularies may do without. The same for all batches."""
 
     path: str
     key: str
     kind: str = "string"
     buckets: int = BUCKETS
+    edits: int = 0
 
 
 def _bucket(index: TextIndex, value: Column) -> Column:
@@ -45,7 +52,6 @@ def _bucket(index: TextIndex, value: Column) -> Column:
 
 
 _FIELDS = {
-    "words": "{key} {kind}, dl int, words array<string>, batch int",
     "postings": "token string, {key} {kind}, dl int, positions array<int>, batch int, bucket int",
     "terms": "token string, batch int, bucket int",
     "shorter": "short string, token string, batch int, bucket int",
@@ -75,45 +81,87 @@ def _live(spark: SparkSession, index: TextIndex, rows: DataFrame, known: list[in
     return rows.join(gone, F.col(index.key).eqNullSafe(F.col("_gone")) & (F.col("batch") == F.col("_old")), "left_anti")
 
 
+def _grouped(key: str):
+    """Texts (key, dl, words) as postings; a text is one row, so its words are grouped in place."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b.slice(at, TEXTS) for b in batches for at in range(0, len(b), TEXTS)):
+            found, rows, sizes, flat = [], [], [], []
+            for row, words in enumerate(batch["words"].to_pylist()):
+                at = {"": []}
+                for pos, word in enumerate(words):
+                    at.setdefault(word, []).append(pos)
+                found += at
+                rows += [row] * len(at)
+                for places in at.values():
+                    sizes.append(len(flat))
+                    flat += places
+            rows = pa.array(rows, pa.int64())
+            positions = pa.ListArray.from_arrays(pa.array([*sizes, len(flat)], pa.int32()), pa.array(flat, pa.int32()))
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), batch[key].take(rows), batch["dl"].take(rows), positions], ["token", key, "dl", "positions"])
+
+    return run
+
+
+def _put(spark: SparkSession, index: TextIndex, rows: DataFrame, name: str, number: int, files: int = 0) -> DataFrame:
+    """Writes a table of a batch; with files, in folders of that many files each."""
+    path = f"{index.path}/{name}/batch={number}"
+    if files:
+        spread = F.pmod(F.xxhash64(*rows.columns[:2]), F.lit(files))
+        rows.repartition("bucket", spread).sortWithinPartitions("bucket", rows.columns[0]).write.mode("overwrite").partitionBy("bucket").parquet(path)
+    else:
+        rows.write.mode("overwrite").parquet(path)
+    return _table(spark, index, name, [number])
+
+
+def _texts(spark: SparkSession, index: TextIndex, known: list[int]) -> DataFrame:
+    """(key, batch, dl) of all texts of some batches, replaced ones too."""
+    bucket = _folders(index, spark.createDataFrame([("",)], "token string"))
+    return _table(spark, index, "postings", known, bucket).filter("token = ''").select(index.key, "batch", "dl")
+
+
+def _finish(spark: SparkSession, index: TextIndex, posted: DataFrame, number: int, files: int, again: DataFrame) -> int:
+    """The tables of a batch whose postings are there; again: keys of earlier texts that go."""
+    known = [n for n in batches(spark, index) if n != number]
+    terms = _put(spark, index, posted.select("token").filter("token <> ''").distinct().withColumn("bucket", _bucket(index, F.substring("token", 1, 1))), "terms", number, 1)
+    if index.edits:
+        left = F.explode(F.array_distinct(deletions(F.col("token"), F.lit(index.edits), index.edits)))
+        _put(spark, index, terms.filter(F.length("token") <= LONG_TOKEN).select(left.alias("short"), "token").withColumn("bucket", _bucket(index, F.col("short"))), "shorter", number, files)
+    before = _live(spark, index, _texts(spark, index, known), known)
+    gone = before.join(again.select(F.col(index.key).alias("_k")), F.col(index.key).eqNullSafe(F.col("_k")), "left_semi")
+    gone = _put(spark, index, gone.select(index.key, F.col("batch").alias("old"), "dl"), "replaced", number)
+    count = lambda rows: rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("dl"), F.lit(0)).alias("w")).first()
+    more, less = count(_texts(spark, index, [number])), count(gone)
+    spark.createDataFrame([(more["n"], more["w"], less["n"], less["w"])], _FIELDS["batches"].rsplit(", ", 1)[0]).coalesce(1).write.mode("overwrite").parquet(f"{index.path}/batches/batch={number}")
+    return number
+
+
 def add_batch(docs: DataFrame, index: TextIndex, text: str, order: str | None = None, deleted: DataFrame | None = None) -> int:
     """Adds docs (key, text, ...) to the index; of rows that repeat a key the last by
     `order` counts, or the greatest text without it. deleted: (key, ...) that are to
     go; a key in both stays with its new text. The number of the batch."""
-    spark = docs.sparkSession
+    spark, key = docs.sparkSession, index.key
     known = batches(spark, index)
-    number, key = (known[-1] + 1 if known else 0), index.key
-
-    def put(rows: DataFrame, name: str, *by: str, files: int = 1) -> DataFrame:
-        if by:
-            spread = F.pmod(F.xxhash64(rows.columns[0], rows.columns[1] if len(rows.columns) > 2 else rows.columns[0]), F.lit(files))
-            rows = rows.repartition(*by, spread).sortWithinPartitions(*by, rows.columns[0])
-        rows.write.mode("overwrite").partitionBy(*by).parquet(f"{index.path}/{name}/batch={number}")
-        return _table(spark, index, name, [number])
-
+    number = known[-1] + 1 if known else 0
+    size = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("b")).first()["b"]
+    files = 1 + size // (FILE_BYTES * index.buckets)
     last = F.struct(F.col(order) if order else F.lit(0), F.col(text))
-    one = docs.groupBy(key).agg(F.max_by(text, last).alias("_text"))
-    every = tokens("_text", stop=False)
-    own = put(one.select(F.col(key).cast(index.kind).alias(key), every.alias("words")).select(key, F.size(F.filter("words", lambda t: ~t.isin(STOP_WORDS))).alias("dl"), "words"), "words")
-    size = own.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("dl"), F.lit(0)).alias("w"), F.coalesce(F.sum(F.size("words")), F.lit(0)).alias("all")).first()
-    at = own.select(key, "dl", F.posexplode("words").alias("pos", "token")).groupBy(key, "token").agg(F.min("dl").alias("dl"), F.array_sort(F.collect_list("pos")).alias("positions"))
-    posted = put(at.select("token", key, "dl", "positions", _bucket(index, F.col("token")).alias("bucket")), "postings", "bucket", files=1 + size["all"] // (FILE_ROWS * index.buckets))
-    terms = put(posted.select("token").distinct().withColumn("bucket", _bucket(index, F.substring("token", 1, 1))), "terms", "bucket")
-    left = F.explode(F.array_distinct(deletions(F.col("token"), F.lit(EDITS), EDITS)))
-    put(terms.filter(F.length("token") <= LONG_TOKEN).select(left.alias("short"), "token").withColumn("bucket", _bucket(index, F.col("short"))), "shorter", "bucket")
-    again = own.select(key) if deleted is None else own.select(key).unionByName(deleted.select(F.col(key).cast(index.kind).alias(key))).distinct()
-    before = _live(spark, index, _table(spark, index, "words", known).select(key, "batch", "dl"), known)
-    gone = put(before.join(again.withColumnRenamed(key, "_k"), F.col(key).eqNullSafe(F.col("_k")), "left_semi").select(key, F.col("batch").alias("old"), "dl"), "replaced")
-    less = gone.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("dl"), F.lit(0)).alias("w")).first()
-    spark.createDataFrame([(size["n"], size["w"], less["n"], less["w"])], _FIELDS["batches"].rsplit(", ", 1)[0]).coalesce(1).write.mode("overwrite").parquet(f"{index.path}/batches/batch={number}")
-    return number
+    one = docs.groupBy(key).agg(F.max_by(text, last).alias("_text")).select(F.col(key).cast(index.kind).alias(key), tokens("_text", stop=False).alias("words"))
+    own = one.select(key, F.size(F.filter("words", lambda t: ~t.isin(STOP_WORDS))).alias("dl"), "words")
+    posted = own.mapInArrow(_grouped(key), f"token string, {key} {index.kind}, dl int, positions array<int>").withColumn("bucket", _bucket(index, F.col("token")))
+    posted = _put(spark, index, posted, "postings", number, files)
+    again = _texts(spark, index, [number]).select(key)
+    if deleted is not None:
+        again = again.unionByName(deleted.select(F.col(key).cast(index.kind).alias(key))).distinct()
+    return _finish(spark, index, posted, number, files, again)
 
 
 def rewrite(spark: SparkSession, index: TextIndex, path: str) -> TextIndex:
     """The live texts of all batches as the first batch of a new index at path."""
-    known = batches(spark, index)
-    live = _live(spark, index, _table(spark, index, "words", known), known)
-    new = index._replace(path=path)
-    add_batch(live.select(index.key, F.array_join("words", " ").alias("_words")), new, "_words")
+    known, new = batches(spark, index), index._replace(path=path)
+    live = _live(spark, index, _table(spark, index, "postings", known), known).drop("batch")
+    posted = _put(spark, new, live, "postings", 0, len(known))
+    _finish(spark, new, posted, 0, 1, posted.select(index.key).limit(0))
     return new
 
 
@@ -181,17 +229,17 @@ def prefixes(spark: SparkSession, index: TextIndex, names: DataFrame, name: str)
 
 
 def fuzzy(spark: SparkSession, index: TextIndex, names: DataFrame, name: str, fuzziness: int | str, prefix: int) -> DataFrame:
-    """(name, key): texts with a word a few edits (EDITS at most) from a word of the
+    """(name, key): texts with a word a few edits (those of the index at most) from a word of the
     name that is no stop word, with the same first `prefix` characters. Words meet
     the terms by what is left when characters are left out; very long ones, whose
     terms are not stored so, by the terms of their first character."""
-    if not isinstance(fuzziness, str) and fuzziness > EDITS:
-        raise ValueError(f"more than {EDITS} edits")
+    if index.edits < (EDITS if isinstance(fuzziness, str) else fuzziness):
+        raise ValueError(f"an index for {index.edits} edits")
     known = batches(spark, index)
     asked = names.select(name, F.explode(F.array_distinct(tokens(name))).alias("_word")).distinct()
     edits = allowed_edits(F.col("_word"), fuzziness)
     words = asked.select("_word").distinct()
-    keys = words.filter(F.length("_word") <= LONG_TOKEN + EDITS).select("_word", F.explode(F.array_distinct(deletions(F.col("_word"), edits, EDITS))).alias("short"))
+    keys = words.filter(F.length("_word") <= LONG_TOKEN + EDITS).select("_word", F.explode(F.array_distinct(deletions(F.col("_word"), edits, index.edits))).alias("short"))
     stored = _table(spark, index, "shorter", known, _folders(index, keys.select("short"))).select("short", "token")
     pairs = keys.join(stored, "short").select("_word", "token")
     far = words.filter(F.length("_word") > LONG_TOKEN - EDITS)

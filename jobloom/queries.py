@@ -415,7 +415,7 @@ def phrases_in_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _titles_index(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, text_index.TextIndex]:
     names, titles = _names_and_titles(spark, sf_dir)
-    index = text_index.TextIndex(_folder(spark, "titles"), "bzno")
+    index = text_index.TextIndex(_folder(spark, "titles"), "bzno", edits=1)
     text_index.add_batch(titles, index, "processed_title")
     return names, index
 

@@ -25,7 +25,7 @@ def files_of(path):
 @pytest.fixture(scope="module")
 def built(spark, tmp_path_factory):
     """An index of three batches and the texts that it should hold."""
-    index = text_index.TextIndex(str(tmp_path_factory.mktemp("index")), "id", "long", 8)
+    index = text_index.TextIndex(str(tmp_path_factory.mktemp("index")), "id", "long", 8, 2)
     rng, vocabulary = random.Random(2), ["the", "alpha", "beta", "gamma", "감사", "gammas", "한국", "a", "x" * 30, "x" * 29 + "y"]
     make = lambda: " ".join(rng.choice(vocabulary) for _ in range(rng.randrange(14)))
     held = {}
@@ -126,7 +126,7 @@ def test_searches_read_the_folders_of_their_words_only(spark, built, tmp_path):
 
 
 def test_a_batch_that_failed_is_written_again(spark, tmp_path, monkeypatch):
-    index = text_index.TextIndex(str(tmp_path), "id", "long", 4)
+    index = text_index.TextIndex(str(tmp_path), "id", "long", 4, 1)
     make = lambda rows: spark.createDataFrame(rows, SCHEMA)
     text_index.add_batch(make([(1, "alpha", 0), (2, "beta", 0)]), index, "text")
     live = text_index._live
@@ -141,7 +141,7 @@ def test_a_batch_that_failed_is_written_again(spark, tmp_path, monkeypatch):
 
 
 def test_an_empty_index_answers(spark, tmp_path):
-    index = text_index.TextIndex(str(tmp_path), "id", "long", 4)
+    index = text_index.TextIndex(str(tmp_path), "id", "long", 4, 1)
     queries = spark.createDataFrame([(1, "alpha")], "q long, name string")
     for turn in range(2):
         assert text_index.bm25(spark, index, queries, "q", "name").count() == 0 and text_index.phrases(spark, index, queries, "q", "name").count() == 0
