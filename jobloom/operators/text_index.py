@@ -14,7 +14,7 @@ A batch is written once and never changed; writing a batch again that failed hal
 replaces its own folders. Readers take the texts that no later batch replaced, so
 searches answer as an index built anew would. Searches read the folders of the
 tokens that they ask for and no others. Only texts whose key repeats cross the
-network; postings do once, those of some texts together.
+network; postings do once.
 """
 
 from __future__ import annotations
@@ -22,7 +22,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 from typing import NamedTuple
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -33,7 +32,7 @@ from jobloom.sources.keyed import read_or_empty
 #: Folders of a batch, the most edits that fuzzy searches allow, and text of a file of postings.
 BUCKETS, EDITS, FILE_BYTES = 64, 2, 32 << 20
 #: Texts whose words a task holds at a time.
-TEXTS = 1024
+TEXTS = 256
 
 
 class TextIndex(NamedTuple):
@@ -83,26 +82,23 @@ def _live(spark: SparkSession, index: TextIndex, rows: DataFrame, known: list[in
 
 
 def _grouped(key: str):
-    """Texts (key, dl, words) as (token, of): of some texts those that hold the token, with its places."""
+    """Texts (key, dl, words) as postings; a text is one row, so its words are grouped in place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(at, TEXTS) for b in batches for at in range(0, len(b), TEXTS)):
-            at = {"": [(row, []) for row in range(len(batch))]}
+            found, rows, sizes, flat = [], [], [], []
             for row, words in enumerate(batch["words"].to_pylist()):
+                at = {"": []}
                 for pos, word in enumerate(words):
-                    held = at.get(word)
-                    if held is None:
-                        at[word] = [(row, [pos])]
-                    elif held[-1][0] == row:
-                        held[-1][1].append(pos)
-                    else:
-                        held.append((row, [pos]))
-            ends = lambda sizes: pa.array(np.concatenate(([0], np.cumsum(sizes, dtype=np.int64))), pa.int32())
-            rows = pa.array([row for held in at.values() for row, _ in held], pa.int64())
-            places = [places for held in at.values() for _, places in held]
-            positions = pa.ListArray.from_arrays(ends([len(x) for x in places]), pa.array([pos for x in places for pos in x], pa.int32()))
-            of = pa.StructArray.from_arrays([batch[key].take(rows), batch["dl"].take(rows), positions], [key, "dl", "positions"])
-            yield pa.RecordBatch.from_arrays([pa.array(list(at), pa.string()), pa.ListArray.from_arrays(ends([len(x) for x in at.values()]), of)], ["token", "of"])
+                    at.setdefault(word, []).append(pos)
+                found += at
+                rows += [row] * len(at)
+                for places in at.values():
+                    sizes.append(len(flat))
+                    flat += places
+            rows = pa.array(rows, pa.int64())
+            positions = pa.ListArray.from_arrays(pa.array([*sizes, len(flat)], pa.int32()), pa.array(flat, pa.int32()))
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), batch[key].take(rows), batch["dl"].take(rows), positions], ["token", key, "dl", "positions"])
 
     return run
 
@@ -112,9 +108,7 @@ def _put(spark: SparkSession, index: TextIndex, rows: DataFrame, name: str, numb
     path = f"{index.path}/{name}/batch={number}"
     if files:
         spread = F.pmod(F.xxhash64(*rows.columns[:2]), F.lit(files))
-        rows = rows.repartition("bucket", spread)
-        rows = rows.select("token", F.inline("of"), "bucket") if "of" in rows.columns else rows
-        rows.sortWithinPartitions("bucket", rows.columns[0]).write.mode("overwrite").partitionBy("bucket").parquet(path)
+        rows.repartition("bucket", spread).sortWithinPartitions("bucket", rows.columns[0]).write.mode("overwrite").partitionBy("bucket").parquet(path)
     else:
         rows.write.mode("overwrite").parquet(path)
     return _table(spark, index, name, [number])
@@ -158,7 +152,7 @@ def add_batch(docs: DataFrame, index: TextIndex, text: str, order: str | None =
     one = docs.join(repeated, same, "left_anti").select(key, F.col(text).alias("_text")).unionByName(several)
     one = one.select(F.col(key).cast(index.kind).alias(key), tokens("_text", stop=False).alias("words"))
     own = one.select(key, F.size(F.filter("words", lambda t: ~t.isin(STOP_WORDS))).alias("dl"), "words")
-    posted = own.mapInArrow(_grouped(key), f"token string, of array<struct<{key}:{index.kind},dl:int,positions:array<int>>>").withColumn("bucket", _bucket(index, F.col("token")))
+    posted = own.mapInArrow(_grouped(key), f"token string, {key} {index.kind}, dl int, positions array<int>").withColumn("bucket", _bucket(index, F.col("token")))
     posted = _put(spark, index, posted, "postings", number, files)
     again = _texts(spark, index, [number]).select(key)
     if deleted is not None:
