@@ -4,8 +4,9 @@ Only DataFrame functions. Every source is cut into permuted blocks of documents
 (by a seeded hash). A source whose target is r times its size gives every
 document floor(r) times and, of a further pass, a permuted prefix of blocks; the
 block where that prefix ends is drawn by document, and what is still missing is
-drawn in further rounds among documents that fit, so that a long document can't
-keep a source from its target.
+drawn in further rounds among documents that fit, until none does, so that a long
+document can't keep a source from its target. If the smallest document that is left then
+comes nearer to the target by crossing it, it is taken too.
 
 The blocks of all passes are the balls of an urn whose colours are the sources.
 The tree halves the output shards again and again; at each node the blocks that
@@ -27,8 +28,8 @@ CAP = 3
 SEED = 20_240_607
 #: Blocks a source is cut into: a document's block is its seeded hash modulo this.
 BLOCKS = 1024
-ROUNDS = 6
-SHARDS = 16
+#: Output shards: SHARDS at least, and of a larger mix one for each SHARD_WORDS words.
+SHARDS, SHARD_WORDS = 16, 1 << 26
 
 
 def n_words(column: str = "text"):
@@ -92,6 +93,23 @@ def _prefix(units: DataFrame, gaps: DataFrame) -> DataFrame:
     return rest.unionByName(at_edge)
 
 
+def _nearest(units: DataFrame, gaps: DataFrame) -> DataFrame:
+    """units of which none fits any more, with one more drawn of each source that it
+    brings nearer to its target: the smallest, by key among equals."""
+    gaps = written(gaps, "gaps")
+    left = units.filter(~F.col("drawn") & (F.col("mass") > 0)).join(small(gaps), F.col("source").eqNullSafe(F.col("_source")))
+    first = left.filter(F.col("mass") < 2 * F.col("gap")).groupBy("source").agg(F.min(F.struct("mass", "key", "doc_id", "size")).alias("_first"))
+    first = written(first.select(F.col("source").alias("_s"), "_first"), "nearest")
+    told = units.join(small(first), F.col("source").eqNullSafe(F.col("_s")), "left")
+    return told.withColumn("drawn", F.col("drawn") | F.coalesce(F.struct("mass", "key", "doc_id", "size").eqNullSafe(F.col("_first")), F.lit(False))).select(units.columns)
+
+
+def shards_of(drawn: DataFrame) -> int:
+    """Output shards for what is drawn: a power of two, for the tree halves."""
+    words = drawn.agg(F.sum(F.col("size") * F.col("rows") * F.col("copies"))).first()[0] or 0
+    return max(SHARDS, 1 << max(0, -(-int(words) // SHARD_WORDS) - 1).bit_length())
+
+
 def draws(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: int = SEED) -> DataFrame:
     """(doc_id, source, size, rows, source_size, target, copies, block): how often
     the mix takes each unit. A written table."""
@@ -101,12 +119,19 @@ def draws(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, s
     whole = F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(cap)).cast("long")
     goal = goal.withColumn("whole", F.when(F.col("source_size") > 0, whole).otherwise(F.lit(0)))
     goal = goal.withColumn("left", F.col("target") - F.col("whole") * F.col("source_size"))
-    now = units.withColumn("drawn", F.lit(False))
-    for _ in range(ROUNDS):
+    now, before = units.withColumn("drawn", F.lit(False)), None
+
+    def gaps() -> DataFrame:
         got = now.groupBy("source").agg(F.sum(F.when(F.col("drawn"), F.col("mass")).otherwise(0)).alias("got"))
-        gaps = goal.filter("whole < %d" % cap).join(got, F.col("_source").eqNullSafe(F.col("source"))).select("_source", (F.col("left") - F.col("got")).alias("gap"))
-        older, now = now, written(_prefix(now, gaps), "drawn")
+        return goal.filter("whole < %d" % cap).join(got, F.col("_source").eqNullSafe(F.col("source"))).select("_source", (F.col("left") - F.col("got")).alias("gap"))
+
+    while True:  # a round draws at least one unit wherever one fits
+        done = now.agg(F.sum(F.when(F.col("drawn"), F.col("mass")))).first()[0] or 0
+        if done == before:
+            break
+        before, older, now = done, now, written(_prefix(now, gaps()), "drawn")
         forget(older)
+    now = _nearest(now, gaps())
     out = now.join(small(goal), F.col("source").eqNullSafe(F.col("_source")))
     copies = F.col("whole") + F.col("drawn").cast("long")
     out = out.select("doc_id", "source", "size", "rows", "source_size", "target", copies.alias("copies"), "block")
@@ -132,7 +157,7 @@ def shard_quotas(blocks: DataFrame, shards: int = SHARDS, seed: int = SEED) -> D
     return level.withColumn("before", before)
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: int = SEED, shards: int = SHARDS) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: int = SEED, shards: int | None = None) -> DataFrame:
     """The rows of docs, each as often as the mix takes it, with two more columns at
     the end: _shard, and _place, by which the rows of a shard are in random order.
     Where docs has a column of such a name, the new one has another underscore.
@@ -144,7 +169,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, see
     taken together. The same rows and seed give the same mix, in any partitioning.
     A table without rows gives none.
     """
-    return _mix(docs, written(draws(docs, weights, cap, seed).filter("copies > 0"), "draws"), seed, shards)
+    drawn = written(draws(docs, weights, cap, seed).filter("copies > 0"), "draws")
+    return _mix(docs, drawn, seed, shards or shards_of(drawn))
 
 
 def _mix(docs: DataFrame, drawn: DataFrame, seed: int, shards: int) -> DataFrame:
@@ -166,20 +192,30 @@ def _mix(docs: DataFrame, drawn: DataFrame, seed: int, shards: int) -> DataFrame
     return rows.withColumn(place, F.xxhash64(F.lit(seed), shard, "doc_id", copy)).select(*docs.columns, shard, place)
 
 
-def shuffled(mixed: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """The rows of mix(), each shard a partition of its own and in order of place."""
+def shuffled(mixed: DataFrame, shards: int | None = None) -> DataFrame:
+    """The rows of mix(), each shard a partition of its own and in order of place.
+    shards: their number, or more; by default the greatest that there is."""
     shard, place = mixed.columns[-2:]
+    shards = shards or (mixed.agg(F.max(shard)).first()[0] or 0) + 1
     return mixed.repartitionById(shards, F.col(shard).cast("int")).sortWithinPartitions(place)
 
 
+def mixed_shards(docs: DataFrame) -> DataFrame:
+    """mix() shuffled: the columns of docs, a partition a shard."""
+    drawn = written(draws(docs).filter("copies > 0"), "draws")
+    shards = shards_of(drawn)
+    return shuffled(_mix(docs, drawn, SEED, shards), shards).select(docs.columns)
+
+
 def mix_report(docs: DataFrame) -> DataFrame:
     """One row per row of docs: doc_id, size, source_size, target, taken.
 
     taken is counted in the rows of the mix, written shard by shard; documents
     that it doesn't hold are taken 0 times."""
-    drawn = draws(docs)
-    emitted = written(_mix(docs, drawn.filter("copies > 0"), SEED, SHARDS), "emitted")  # frees the join's shuffle before the next
-    mixed = written(shuffled(emitted), "mixed")
+    drawn = written(draws(docs), "draws")
+    shards = shards_of(drawn)
+    emitted = written(_mix(docs, drawn.filter("copies > 0"), SEED, shards), "emitted")  # frees the join's shuffle before the next
+    mixed = written(shuffled(emitted, shards), "mixed")
     forget(emitted)
     out = mixed.groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), n_words().alias("_size")).agg(F.count(F.lit(1)).alias("emitted"))
     on = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("size") == F.col("_size"))

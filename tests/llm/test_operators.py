@@ -441,6 +441,37 @@ def test_mix_comes_near_targets(spark):
     assert len(got) == 7 and all(abs(r.n - r.t) <= 0.01 * r.t + 5 for r in got)
 
 
+def test_mix_comes_as_near_as_single_documents_allow(spark):
+    """No document that is left brings its source nearer, however odd the sizes are."""
+    rng, rows = random.Random(12), []
+    shapes = {"a": [1000], "b": [900] * 3, "c": [7, 7, 5000], "d": [1] * 40 + [3000], "e": [600, 601, 602, 5], "f": [0, 0, 50], None: [333] * 4}
+    for source, sizes in shapes.items():
+        for size in sizes:
+            rows.append((len(rows), " ".join(["w"] * size), source))
+    for turn in range(2):
+        rng.shuffle(rows)
+        drawn = mixing.draws(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+        for source in shapes:
+            own = [r for r in drawn if r.source == source and r.size]
+            gap = own[0].target - sum(r.size * r.rows * r.copies for r in own)
+            whole = min(r.copies for r in own)
+            left = [r.size * r.rows for r in own if r.copies == whole < 3]
+            assert all(r.copies <= 3 for r in own) and all(abs(gap - x) >= abs(gap) - 1e-6 for x in left), source
+        found = sorted((r.doc_id, r.copies) for r in drawn)
+        assert not turn or found == before  # noqa: F821
+        before = found  # noqa: F841
+
+
+def test_shards_grow_with_the_mix(spark, monkeypatch):
+    make = lambda n: spark.createDataFrame([(n, 1, 2)], "size long, rows long, copies long")
+    monkeypatch.setattr(mixing, "SHARD_WORDS", 100)
+    assert [mixing.shards_of(make(n)) for n in (1, 800, 801, 3000)] == [16, 16, 32, 64]
+    monkeypatch.setattr(mixing, "SHARD_WORDS", 50)
+    docs = spark.createDataFrame([(i, "w " * 40, "s") for i in range(60)], "doc_id long, text string, source string")
+    at = mixing.mixed_shards(docs).select("doc_id", F.spark_partition_id().alias("part")).collect()
+    assert len(at) == 60 and len({r.part for r in at}) > 16
+
+
 def test_splitting_tree_is_exact(spark):
     blocks = spark.createDataFrame([("a", 500), ("b", 37), (None, 12)], "source string, n long")
     rows = mixing.shard_quotas(blocks, 8).collect()
