@@ -51,7 +51,7 @@ def stage_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A null source is a source of its own. Texts without words come with whole passes
     over their source only. Rows that agree in doc_id, source and number of words are
     taken together. No rows give none."""
-    return mixing.shuffled(mixing.mix(docs)).select(docs.columns)
+    return mixing.mixed_shards(docs)
 
 
 def stage_pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
