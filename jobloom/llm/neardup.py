@@ -13,16 +13,16 @@ no posting, and a class with fewer than MATCHES shared values leaves at once.
 
 Merging goes in two turns, so that a large group of near copies never becomes
 all its pairs. First each list links its members to its hub, the one whose values
-are the most frequent, which in a group of near copies is like the original; pairs that
-agree in the sketch and could be similar by size are confirmed on the full shingle
-sets, and components formed. Then only lists that still hold several components are
+are the most frequent, which in a group of near copies is like the original. Of each
+pair the coordinates that agree are counted; pairs with MATCHES or more that could be
+similar by size are confirmed on the full shingle sets, and components formed. Then only lists that still hold several components are
 merged, in blocks of members, and only members of different components are
 compared: pairs within a component could add nothing.
 
-The posted coordinates that a pair shares are not counted: MATCHES sets the length
-of the prefix and what a class needs to stay. The sketch, of further coordinates,
-takes the place of that count; it misses a similarity of exactly 0.75 with a
-probability of some 4e-6, beside the prefix's some 5e-6.
+Pairs of a similarity of 0.5 have MATCHES as often as not, so before full sets are
+fetched, pairs that are kept must also agree in a sketch of further coordinates. It
+misses a similarity of exactly 0.75 with a probability of some 4e-6, beside the
+threshold's some 5e-6.
 """
 
 from __future__ import annotations
@@ -119,8 +119,8 @@ def _posted(raw: bytes) -> np.ndarray:
 
 
 def _survivors(classes: DataFrame, n_classes: int) -> DataFrame:
-    """(node, k1, k2, n, doc_id, weight, slots, keys): classes that share MATCHES values or
-    more with others; keys: their prefix of posted keys; slots: 32 bits of the
+    """(node, k1, k2, n, doc_id, weight, signature, slots, keys): classes that share MATCHES
+    values or more with others; keys: their prefix of posted keys; slots: 32 bits of the
     posted key of each coordinate, 0 where none is posted; weight: postings of all
     its values."""
     groups = max(1, -(-n_classes // CLASSES))
@@ -164,12 +164,12 @@ def _survivors(classes: DataFrame, n_classes: int) -> DataFrame:
             first = first[count[first] > 1]
             slots = np.zeros(COORDINATES, U4)
             slots[first] = keys[first].astype(U4) | U4(1)
-            found.append((row.k1, row.k2, row.n, row.doc_id, int(count.sum()), slots.tobytes(), [{"key": k, "slot": s} for k, s in zip(keys[first].view(np.int64).tolist(), first.tolist(), strict=True)]))
-        return pd.DataFrame(found, columns=["k1", "k2", "n", "doc_id", "weight", "slots", "keys"])
+            found.append((row.k1, row.k2, row.n, row.doc_id, int(count.sum()), row.signature, slots.tobytes(), [{"key": k, "slot": s} for k, s in zip(keys[first].view(np.int64).tolist(), first.tolist(), strict=True)]))
+        return pd.DataFrame(found, columns=["k1", "k2", "n", "doc_id", "weight", "signature", "slots", "keys"])
 
     asked = rows.applyInPandas(ask, "bucket int, pid int, keys binary, counts binary")
     told = asked.groupBy("bucket").applyInPandas(answer, "pid int, keys binary, counts binary")
-    found = rows.cogroup(told.groupBy("pid")).applyInPandas(prefix, "k1 long, k2 long, n long, doc_id long, weight long, slots binary, keys array<struct<key:long,slot:int>>")
+    found = rows.cogroup(told.groupBy("pid")).applyInPandas(prefix, "k1 long, k2 long, n long, doc_id long, weight long, signature binary, slots binary, keys array<struct<key:long,slot:int>>")
     return written(found.withColumn("node", F.monotonically_increasing_id()), "survivors")
 
 
@@ -193,15 +193,27 @@ def _met(pairs: DataFrame, sets: DataFrame, columns: dict[str, str]) -> DataFram
     return pairs
 
 
+def _collide(a: np.ndarray, b: np.ndarray, mark_a: np.ndarray, mark_b: np.ndarray) -> np.ndarray:
+    """Which pairs of rows of signatures agree in MATCHES coordinates or more, and of
+    those, in AGREE of the sketch."""
+    found = (a == b).sum(axis=1) >= MATCHES
+    found[found] = (mark_a[found] == mark_b[found]).sum(axis=1) >= AGREE
+    return found
+
+
+def _columns(raw: pd.Series, kind: type, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(raw), kind).reshape(-1, width)
+
+
 def _agreeing(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that agree in the sketch and could be similar by size."""
-    rows = _met(pairs, sets, {"m": "sketch", "n": "n"}).filter(f"100 * least(na, nb) >= {PERCENT} * greatest(na, nb)")
+    """The pairs (a, b) above the match threshold that could be similar by size."""
+    rows = _met(pairs, sets, {"c": "signature", "m": "sketch", "n": "n"}).filter(f"100 * least(na, nb) >= {PERCENT} * greatest(na, nb)")
 
     def agree(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             if len(part):
-                x, y = (np.frombuffer(b"".join(part[c]), np.uint8).reshape(-1, SKETCH) for c in ("ma", "mb"))
-                yield part.loc[(x == y).sum(axis=1) >= AGREE, ["a", "b"]]
+                marks = [_columns(part[c], U4, COORDINATES) for c in ("ca", "cb")] + [_columns(part[c], np.uint8, SKETCH) for c in ("ma", "mb")]
+                yield part.loc[_collide(*marks), ["a", "b"]]
 
     return rows.mapInPandas(agree, "a long, b long")
 
@@ -225,8 +237,8 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, n, set, sketch) of the survivors, from their whole texts."""
-    rows = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", empty_text().alias("text")).join(nodes.select("doc_id", "node", "k1", "k2"), "doc_id")
+    """(node, n, set, signature, sketch) of the survivors, from their whole texts."""
+    rows = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", empty_text().alias("text")).join(nodes.select("doc_id", "node", "k1", "k2", "signature"), "doc_id")
 
     def own(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
@@ -234,16 +246,16 @@ def _full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                 some = part.iloc[at : at + 256]
                 sets = shingle_sets(some["text"].tolist())
                 same = [_class_key(x) == (a, b) for x, a, b in zip(sets, some["k1"], some["k2"], strict=True)]
-                found = [(node, len(x), x.tobytes(), _sketch(x)) for node, x, ok in zip(some["node"], sets, same, strict=True) if ok]
-                yield pd.DataFrame(found, columns=["node", "n", "set", "sketch"])
+                found = [(node, len(x), x.tobytes(), marks, _sketch(x)) for node, x, marks, ok in zip(some["node"], sets, some["signature"], same, strict=True) if ok]
+                yield pd.DataFrame(found, columns=["node", "n", "set", "signature", "sketch"])
             trim()
 
-    return written(rows.mapInPandas(own, "node long, n long, set binary, sketch binary").dropDuplicates(["node"]), "sets")
+    return written(rows.mapInPandas(own, "node long, n long, set binary, signature binary, sketch binary").dropDuplicates(["node"]), "sets")
 
 
 def _cross_pairs(posts: DataFrame, labels: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b): members of one list, of different components, that agree in the
-    sketch. Long lists are compared block by block, and a pair only in the list of
+    """(a, b): members of one list, of different components, that agree in MATCHES
+    coordinates and in the sketch. Long lists are compared block by block, and a pair only in the list of
     the first coordinate that both have posted alike."""
     rows = posts.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     mixed = rows.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("g")).filter("lo <> hi").select("key", "g")
@@ -253,7 +265,7 @@ def _cross_pairs(posts: DataFrame, labels: DataFrame, nodes: DataFrame, sets: Da
     own = F.pmod(F.xxhash64("node"), F.col("c")).cast("int")
     rows = rows.withColumn("c", blocks).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("c") - 1)))
     rows = rows.select("node", "label", "key", "slot", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    rows = rows.join(nodes.select("node", "slots"), "node").join(sets.select("node", "n", "sketch"), "node")
+    rows = rows.join(nodes.select("node", "slots"), "node").join(sets.select("node", "n", "signature", "sketch"), "node")
     rows = rows.withColumn("task", F.pmod(F.xxhash64("key", "i", "j"), F.lit(max(1, total // (4 * BLOCK)))))
 
     @trimmed
@@ -261,8 +273,8 @@ def _cross_pairs(posts: DataFrame, labels: DataFrame, nodes: DataFrame, sets: Da
         found = []
         for (_, i, j), own in part.groupby(["key", "i", "j"], sort=False):
             node, label, n = (own[c].to_numpy(np.int64) for c in ("node", "label", "n"))
-            mark = np.frombuffer(b"".join(own["sketch"]), np.uint8).reshape(-1, SKETCH)
-            slots, slot = np.frombuffer(b"".join(own["slots"]), U4).reshape(-1, COORDINATES), int(own["slot"].iloc[0])
+            values, mark = _columns(own["signature"], U4, COORDINATES), _columns(own["sketch"], np.uint8, SKETCH)
+            slots, slot = _columns(own["slots"], U4, COORDINATES), int(own["slot"].iloc[0])
             block = own["own"].to_numpy()
             left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
             for at in range(0, len(left), 64):
@@ -276,7 +288,7 @@ def _cross_pairs(posts: DataFrame, labels: DataFrame, nodes: DataFrame, sets: Da
                     a, b = p[k : k + 8192], q[k : k + 8192]
                     here = ((slots[a] == slots[b]) & (slots[a] > 0)).argmax(axis=1) == slot
                     a, b = a[here], b[here]
-                    same = (mark[a] == mark[b]).sum(axis=1) >= AGREE
+                    same = _collide(values[a], values[b], mark[a], mark[b])
                     a, b = node[a[same]], node[b[same]]
                     found.append(np.stack((np.minimum(a, b), np.maximum(a, b)), axis=1))
         every = np.concatenate(found) if found else np.empty((0, 2), np.int64)

@@ -635,3 +635,13 @@ def test_columns_of_clashing_names(spark, docs):
         got = out.collect()
         assert collections.Counter(tuple(r)[:4] for r in got) == plain
         assert all(r[c] == c + (r.source or "") for r in got for c in own)
+
+
+def test_collisions_are_counted():
+    a = np.arange(4 * neardup.COORDINATES, dtype=np.uint32).reshape(4, -1)
+    b, mark = a.copy(), np.zeros((4, neardup.SKETCH), np.uint8)
+    b[1, : neardup.COORDINATES - neardup.MATCHES] ^= np.uint32(1 << 31)  # MATCHES agree
+    b[2, : neardup.COORDINATES - neardup.MATCHES + 1] ^= np.uint32(1 << 31)  # one fewer
+    other = mark.copy()
+    other[3, : neardup.SKETCH - neardup.AGREE + 1] = 1
+    assert neardup._collide(a, b, mark, other).tolist() == [True, True, False, False]
