@@ -12,7 +12,7 @@ from jobloom import schemas
 from jobloom.functions import text
 from jobloom.functions.lineage import cut_lineage, shared_folder
 from jobloom.functions.similarity import name_similarity, partial_ratio
-from jobloom.operators import classify, dedup, lexical, match, merge, skills, text_index
+from jobloom.operators import classify, dedup, lexical, match, merge, skills, stored_model, text_index
 from jobloom.plans import fixtures as fx
 from jobloom.sources import tables
 
@@ -696,6 +696,31 @@ def classify_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify.HashedLogistic().fit(known, "text", "quality").predict(docs, "doc_id", "text")
 
 
+_WORD_FEATURES = f"list_transform(regexp_extract_all(lower(substring(coalesce(text, ''), 1, {classify.INPUT})), '[\\p{{L}}\\p{{N}}_]+'), lambda w: CAST(CAST('0x' || substring(md5(w), 1, 8) AS BIGINT) % {stored_model.FEATURES} AS INT))"
+_LANGUAGES = ("de", "en", "es", "fr")
+_LABEL = f"quality + 2 * toxic + 4 * CASE lang {' '.join(f"WHEN '{x}' THEN {i}" for i, x in enumerate(_LANGUAGES))} END"
+_LABELS = 4 * len(_LANGUAGES)
+
+
+@query(
+    f"""WITH d AS (SELECT doc_id, lang, {_WORD_FEATURES} AS f FROM documents), k AS (SELECT {_LABEL} AS c, f FROM d JOIN labels USING (doc_id)),
+c AS (SELECT CAST(range AS INT) AS c FROM range({_LABELS})), n AS (SELECT c, f, count(*) AS n FROM (SELECT c, unnest(f) AS f FROM k WHERE c IS NOT NULL) GROUP BY 1, 2),
+s AS (SELECT c.c, coalesce(sum(n), 0) AS s FROM c LEFT JOIN n ON n.c = c.c GROUP BY 1),
+b AS (SELECT c.c, ln((count(k.c) + 1) / ((SELECT count(*) FROM k WHERE c IS NOT NULL) + {_LABELS})) AS b FROM c LEFT JOIN k ON k.c = c.c GROUP BY 1),
+w AS (SELECT doc_id, f, count(*) AS t FROM (SELECT doc_id, unnest(f) AS f FROM d) GROUP BY 1, 2),
+x AS (SELECT w.doc_id, s.c, sum(w.t * ln((coalesce(n.n, 0) + 1) / (s.s + {stored_model.FEATURES}))) AS x FROM w CROSS JOIN s LEFT JOIN n ON n.c = s.c AND n.f = w.f GROUP BY 1, 2),
+y AS (SELECT doc_id, b.c, round(coalesce(x, 0) + b, 6) AS y FROM d CROSS JOIN b LEFT JOIN x USING (doc_id, c))
+SELECT doc_id, CAST(c AS INT) AS predicted_occupation, round(y, 4) AS score FROM y QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY y DESC, c) = 1"""
+)
+def classify_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages and labels of all documents by weights that are learnt, stored and loaded."""
+    docs, path = fx.table(spark, sf_dir, "documents"), _folder(spark, "model")
+    known = docs.join(fx.table(spark, sf_dir, "labels"), "doc_id").withColumn("label", F.expr(_LABEL))
+    stored_model.save(stored_model.train(known, "text", "label", _LABELS), path)
+    model = stored_model.load(spark, path, stored_model.initial(_LABELS))
+    return stored_model.predict(docs, model, "doc_id", "text").withColumn("score", F.round("score", 4))
+
+
 def _ratio_sql(rows: str) -> str:
     """Of rows (..., a, b): with `ratio`, the best common subsequence of the shorter
     text with the windows of the longer one, a bit for each of its characters."""
