@@ -715,7 +715,8 @@ SELECT doc_id, CAST(c AS INT) AS predicted_occupation, round(y, 4) AS score FROM
 def classify_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Languages and labels of all documents by weights that are learnt, stored and loaded."""
     docs, path = fx.table(spark, sf_dir, "documents"), _folder(spark, "model")
-    known = docs.join(fx.table(spark, sf_dir, "labels"), "doc_id").withColumn("label", F.expr(_LABEL))
+    read = docs.select("doc_id", "lang", classify.classifier_input("text").alias("text"))  # no more of a text is joined
+    known = read.join(fx.table(spark, sf_dir, "labels"), "doc_id").withColumn("label", F.expr(_LABEL))
     stored_model.save(stored_model.train(known, "text", "label", _LABELS), path)
     model = stored_model.load(spark, path, stored_model.initial(_LABELS))
     return stored_model.predict(docs, model, "doc_id", "text").withColumn("score", F.round("score", 4))
