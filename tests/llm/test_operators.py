@@ -645,3 +645,26 @@ def test_collisions_are_counted():
     other = mark.copy()
     other[3, : neardup.SKETCH - neardup.AGREE + 1] = 1
     assert neardup._collide(a, b, mark, other).tolist() == [True, True, False, False]
+
+
+def test_index_excludes_where_vectors_cluster(spark, monkeypatch):
+    """Of vectors in clusters the annuli leave most blocks out; the result is whole."""
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(20, 8))
+    v = centres[np.arange(2000) % 20] / np.linalg.norm(centres, axis=1)[np.arange(2000) % 20, None] + rng.normal(scale=0.01, size=(2000, 8))
+    v = np.floor(256 * v / np.linalg.norm(v, axis=1)[:, None]).astype(int)
+    vectors = spark.createDataFrame([(i, x) for i, x in enumerate(v.tolist())], "vec_id long, v array<long>")
+    asked, scored = [], vector_search._scored
+
+    def counted(index, queries, wanted, k):
+        asked.append((wanted.count(), queries.count() * index.select("block").distinct().count()))
+        return scored(index, queries, wanted, k)
+
+    monkeypatch.setattr(vector_search, "_scored", counted)
+    got = vector_search.top_k(vectors, vectors.filter("vec_id % 20 = 3").select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")), 5, 64, 64)
+    found = {(r.query_id, r.rank): (r.vec_id, r.score) for r in got.collect()}
+    for q in range(3, 2000, 20):
+        scores = v @ v[q]
+        best = sorted((-int(s), i) for i, s in enumerate(scores) if i != q)[:5]
+        assert [found[q, r + 1] for r in range(5)] == [(i, -s) for s, i in best]
+    assert 4 * sum(n for n, _ in asked) < asked[0][1]
