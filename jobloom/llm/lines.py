@@ -1,15 +1,16 @@
 """Line deduplication over levelled sorted runs of line hashes.
 
 Documents come in BATCHES batches of ascending doc_id, of like numbers of rows. The
-keys of a batch's lines are merge-anti-joined with the runs so far, which are sorted
-by hash: a key that is there has its smallest document already, any other is added
-by a new run of level 0. FANOUT runs of one level are compacted into one of the
+keys of a batch's lines are merge-joined with the runs so far, which lie sorted in
+buckets of the hash: a key that is there has its smallest document already, any other is
+added by a new run of level 0. FANOUT runs of one level are compacted into one of the
 next. A hash has 128 bits; runs hold 24 bytes a key, never text. A store with a root
 of its own outlives the call, and documents that come later are held against it.
 """
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from collections.abc import Iterator
 from functools import reduce
@@ -23,6 +24,8 @@ from jobloom.llm.common import LOWER, UPPER, empty_text, forget, scratch_path, w
 BATCHES = 4
 FANOUT = 3
 LEAST = 10
+#: Keys of a bucket of a new store.
+BUCKET_KEYS = 4_000_000
 RUN = "h1 long, h2 long, first long"
 _ENDS = " \t\n\x0b\x0c\r"
 
@@ -40,10 +43,49 @@ def _lines(docs: DataFrame, least: int) -> DataFrame:
     return lines.filter(F.char_length("key") >= least).select("doc_id", "body", "place", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(7), "key").alias("h2"))
 
 
+@contextlib.contextmanager
+def _sorted_buckets(spark: SparkSession) -> Iterator[None]:
+    """Scans of bucketed tables keep their buckets and, with a file a bucket, their order."""
+    wanted = {"spark.sql.sources.bucketing.autoBucketedScan.enabled": "false", "spark.sql.legacy.bucketedTableScan.outputOrdering": "true"}
+    before = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def _write_sorted(keys: DataFrame, path: str, buckets: int) -> None:
+    """keys as a table sorted in buckets of (h1, h2). Its name is for this write only: the folder stays."""
+    name = f"jobloom_{uuid.uuid4().hex}"
+    keys.write.bucketBy(buckets, "h1", "h2").sortBy("h1", "h2").option("path", path).format("parquet").saveAsTable(name)
+    keys.sparkSession.sql(f"DROP TABLE {name}")
+
+
+@contextlib.contextmanager
+def _read_sorted(spark: SparkSession, paths: list[str], buckets: int, schema: str = RUN) -> Iterator[list[DataFrame]]:
+    """The tables that _write_sorted wrote, bucketed, until the block ends."""
+    names = [f"jobloom_{uuid.uuid4().hex}" for _ in paths]
+    try:
+        with _sorted_buckets(spark):
+            for name, path in zip(names, paths, strict=True):
+                spark.sql(f"CREATE TABLE {name} ({schema}) USING parquet CLUSTERED BY (h1, h2) SORTED BY (h1, h2) INTO {buckets} BUCKETS LOCATION '{path}'")
+            yield [spark.table(name) for name in names]
+    finally:
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 class RunStore:
-    """Sorted runs of (h1, h2, first) by level, a folder each under root. A run counts
-    once it is written whole, so a store that was left in the middle of an addition
-    is as it was before, and may be opened again: by its root, with what it holds."""
+    """Runs of (h1, h2, first) by level, a folder each under root, sorted in buckets of
+    the key; all runs of a store have the same buckets, so that a batch meets them as
+    they lie, without a shuffle or a sort of what is stored. A run counts once it is
+    written whole, so a store that was left in the middle of an addition is as it was
+    before, and may be opened again: by its root, with what it holds. A new store has
+    the session's shuffle partitions as buckets, doubled until one holds about
+    BUCKET_KEYS keys of the first addition or fewer."""
 
     def __init__(self, spark: SparkSession, root: str | None = None, fanout: int = FANOUT) -> None:
         self.spark, self.fanout = spark, fanout
@@ -63,24 +105,46 @@ class RunStore:
             found[int(name.split("-")[1])].append(f"{self.root}/{name}")
         return found
 
+    def paths(self) -> list[str]:
+        """The folders of all runs; a key may be in two of them."""
+        return [p for level in self.levels() for p in level]
+
+    def buckets(self, keys: int = 0) -> int:
+        """Buckets of the runs; of a store without any, those for so many keys."""
+        for path in self.paths():
+            return int(path.rsplit("/", 1)[1].split("-")[2])
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        while buckets * BUCKET_KEYS < keys:
+            buckets *= 2
+        return buckets
+
+    def marked(self, keys: DataFrame, runs: list[DataFrame]) -> DataFrame:
+        """keys with a boolean column older: whether one of the runs holds them."""
+        for i, run in enumerate(runs):
+            keys = keys.join(run.select("h1", "h2", F.lit(True).alias(f"_in{i}")).hint("merge"), ["h1", "h2"], "left")
+        older = F.coalesce(*[F.col(f"_in{i}") for i in range(len(runs))], F.lit(False))
+        return keys.withColumn("older", older).drop(*[f"_in{i}" for i in range(len(runs))])
+
     def union(self) -> DataFrame | None:
         """The keys of all runs; a key may be there twice."""
-        paths = [p for level in self.levels() for p in level]
+        paths = self.paths()
         return self.spark.read.schema(RUN).parquet(*paths) if paths else None
 
-    def add(self, keys: DataFrame) -> None:
-        """A new run of level 0; the runs of a level that is full become one of the next."""
-        self._write(keys, 0)
+    def add(self, keys: DataFrame, buckets: int | None = None) -> None:
+        """A new run of level 0; the runs of a level that is full become one of the next.
+        Keys that don't come by bucket make several files a bucket, which are then sorted when read."""
+        buckets = buckets or self.buckets()
+        self._write(keys, 0, buckets)
         level = 0
         while level < len(levels := self.levels()):
             full = levels[level]
             if len(full) >= self.fanout:
-                self._write(self.spark.read.schema(RUN).parquet(*full).repartition("h1", "h2"), level + 1)
+                self._write(self.spark.read.schema(RUN).parquet(*full).repartition(buckets, "h1", "h2"), level + 1, buckets)
                 self._delete(full)
             level += 1
 
-    def _write(self, keys: DataFrame, level: int) -> None:
-        keys.select("h1", "h2", "first").sortWithinPartitions("h1", "h2").write.parquet(f"{self.root}/run-{level}-{uuid.uuid4().hex}")
+    def _write(self, keys: DataFrame, level: int, buckets: int) -> None:
+        _write_sorted(keys.select("h1", "h2", "first"), f"{self.root}/run-{level}-{buckets}-{uuid.uuid4().hex}", buckets)
 
     def _delete(self, paths: list[str]) -> None:
         for path in paths:
@@ -112,22 +176,20 @@ def shared_lines(docs: DataFrame, least: int = LEAST, batches: int = BATCHES, st
     batch = sum(((F.col("doc_id") > F.lit(q)).cast("int") for q in edges or ()), F.lit(0))
     lines = written(_lines(docs, least).withColumn("batch", batch), "lines", "batch")
     own_store, gone = store or RunStore(docs.sparkSession), []
+    buckets = own_store.buckets(lines.count())
     for b in range(batches):
         rows = lines.filter(F.col("batch") == b).drop("batch")
-        own = written(rows.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("n")), "batchkeys")
-        older = own_store.union()
-        if older is None:
-            fresh, known = own, None
-        else:
-            fresh, known = own.join(older, ["h1", "h2"], "left_anti"), own.join(older, ["h1", "h2"], "left_semi")
-        # a document of the batch loses the line if an older batch or, in this one, a smaller document holds it
-        hits = fresh.filter("last > first").select("h1", "h2", "n", "first")
-        if known is not None:
-            hits = hits.unionByName(known.select("h1", "h2", "n", F.lit(None).cast("long").alias("first")))
-        lost = _joined(rows, hits, own.agg(F.sum("n")).first()[0] or 0).filter("first is null or doc_id > first").select("doc_id", "body", "place")
-        gone.append(written(lost, "lost"))
-        own_store.add(fresh)
-        forget(own)
+        own = rows.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("n"))
+        path = scratch_path(docs.sparkSession, "batchkeys")
+        with _read_sorted(docs.sparkSession, own_store.paths(), buckets) as runs:
+            _write_sorted(own_store.marked(own, runs), path, buckets)
+        with _read_sorted(docs.sparkSession, [path], buckets, RUN + ", last long, n long, older boolean") as (own,):
+            # a document of the batch loses the line if an older batch or, in this one, a smaller document holds it
+            hits = own.filter("older or last > first").select("h1", "h2", "n", F.when(~F.col("older"), F.col("first")).alias("first"))
+            lost = _joined(rows, hits, own.agg(F.sum("n")).first()[0] or 0).filter("first is null or doc_id > first").select("doc_id", "body", "place")
+            gone.append(written(lost, "lost"))
+            own_store.add(own.filter("not older"), buckets)
+        own_store._delete([path])
     forget(lines)
     if store is None:
         own_store.drop()

@@ -342,6 +342,25 @@ def test_line_runs_are_compacted(spark):
     assert store.union() is None
 
 
+def test_line_runs_meet_a_batch_as_they_lie(spark):
+    store = lines.RunStore(spark, fanout=3)
+    text = F.concat_ws("\n", *[F.concat(F.lit(f"long line {k} of "), F.col("doc_id")) for k in range(8)], F.lit("the line of all documents"))
+    for k in range(3):  # two batches each: the third run makes one of level 1, in the second call
+        got = lines.dedup_lines(spark.range(k * 50, k * 50 + 50).withColumnRenamed("id", "doc_id").withColumn("text", text), batches=2, store=store)
+        assert got.agg(F.sum("n_dropped")).first()[0] == (49 if k == 0 else 50)
+    assert store.union().count() == 150 * 8 + 1 and [len(x) for x in store.levels()] == [0, 2]
+    buckets = store.buckets()
+    for path in store.paths():
+        assert len(spark.read.parquet(path).inputFiles()) <= buckets  # a file a bucket
+    own = spark.range(1000).select(F.col("id").alias("h1"), F.col("id").alias("h2"), F.lit(1).alias("n")).groupBy("h1", "h2").agg(F.sum("n").alias("n"))
+    with lines._read_sorted(spark, store.paths(), buckets) as runs:
+        plan = store.marked(own, runs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 2 and plan.count("Exchange") == 1 and plan.count("Sort [") == 1, plan
+    tables = [t.name for t in spark.catalog.listTables() if t.name.startswith("jobloom_")]
+    assert tables == [] and spark.conf.get("spark.sql.sources.bucketing.autoBucketedScan.enabled") == "true"
+    store.drop()
+
+
 def test_lines_of_later_documents(spark):
     root, line = scratch_path(spark, "store"), "a line that is long enough"
     first = spark.createDataFrame([(5, line)], "doc_id long, text string")
