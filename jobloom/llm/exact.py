@@ -125,8 +125,9 @@ def drop_exact(docs: DataFrame) -> DataFrame:
     whatever their names.
 
     The rows that are dropped, and they alone, leave by an anti-join on doc_id
-    and digest. Of rows that repeat a doc_id and its text, one stays."""
-    digest, gone_id, gone_digest = free_names(docs.columns, "_digest", "_gone_id", "_gone")
+    and digest. Of rows that repeat a doc_id and its text, one stays: the first
+    by its columns written as JSON, in the order of the columns."""
+    digest, gone_id, gone_digest, first = free_names(docs.columns, "_digest", "_gone_id", "_gone", "_first")
     groups = exact_groups(docs).filter(~F.col("kept"))
     named = groups.select(F.col("doc_id").alias(gone_id), F.col("digest").alias(gone_digest), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("_same"))
     gone, twice = named.filter("not _same").drop("_same"), named.filter("_same").drop("_same").distinct()
@@ -135,8 +136,9 @@ def drop_exact(docs: DataFrame) -> DataFrame:
     left = marked.join(gone, on, "left_anti")
     if (twice := written(twice, "twice")).isEmpty():
         return left.drop(digest)
-    again = left.join(twice, on, "left_semi").dropDuplicates([digest, "doc_id"])
-    return left.join(twice, on, "left_anti").unionByName(again).drop(digest)
+    row = F.struct(*["`" + c.replace("`", "``") + "`" for c in docs.columns])
+    again = left.join(twice, on, "left_semi").groupBy(digest, "doc_id").agg(F.min_by(row, F.to_json(row)).alias(first)).select(f"{first}.*")
+    return left.join(twice, on, "left_anti").drop(digest).unionByName(again)
 
 
 __all__ = ["build_index", "drop_exact", "exact_groups", "hit_filter", "normalised", "probed", "scratch_dir"]

@@ -307,6 +307,15 @@ def test_exact_duplicates(docs, rows, none):
     assert exact.exact_groups(none).count() == 0 and exact.drop_exact(none).count() == 0
 
 
+def test_of_rows_that_repeat_an_id_the_same_one_stays(spark):
+    rows = [(1, "a b", "x"), (1, "a  b", "y"), (1, "a b", None), (2, "a b", "w"), (None, "c", "q"), (None, "c", "p"), (3, "d", None)]
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string, `no.te` string").repartition(3)
+        left = exact.drop_exact(docs)
+        assert left.columns == docs.columns
+        assert collections.Counter(map(tuple, left.collect())) == collections.Counter([(1, "a  b", "y"), (None, "c", "p"), (3, "d", None)])
+
+
 def test_exact_filter_rejects_only_absent(spark):
     rows = spark.range(5000).select(F.sha2(F.col("id").cast("string"), 256).alias("digest"), F.col("id").alias("doc_id"), F.col("id").alias("tag"))
     index = exact.build_index(rows.unionByName(rows.filter("doc_id < 50")))
