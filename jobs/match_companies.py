@@ -31,14 +31,14 @@ _KNOWN = {p.name: p for p in (*match.POLICIES, match.VERY_RELAXED)}
 def pending(postings: DataFrame, outcomes: DataFrame, attempt: int, generation: int) -> DataFrame:
     """Postings that this attempt has still to take."""
     matched, taken = F.col("bzno").isNotNull(), (F.col("matching_attempt") == attempt) & (F.col("generation") >= generation)
-    return postings.join(outcomes.filter(matched | taken).select("pst_id"), "pst_id", "left_anti")
+    return postings.join(outcomes.filter(matched | taken).select("pst_id").hint("merge"), "pst_id", "left_anti")
 
 
 def run(spark: SparkSession, source: str, output: str, config: dict) -> DataFrame:
     """Reads the tables of config in the folder source; returns the matches."""
     tables = {k: table(spark, source, v, config["format"]) for k, v in config["tables"].items()}
     companies = spark.sql(config["sql"]["companies"], **tables)
-    postings = spark.sql(config["sql"]["postings"], companies=companies, **{k: v for k, v in tables.items() if f"{{{k}}}" in config["sql"]["postings"]})
+    postings = spark.sql(config["sql"]["postings"], companies=companies.hint("merge"), **{k: v for k, v in tables.items() if f"{{{k}}}" in config["sql"]["postings"]})
     register = cut_lineage(match.prepare_companies(companies, "loaded"))
     rows = cut_lineage(match.prepare_postings(postings))
     LOG.info("read %d postings and %d companies from %s", rows.count(), register.count(), source)
@@ -51,7 +51,7 @@ def run(spark: SparkSession, source: str, output: str, config: dict) -> DataFram
             continue
         policy = _KNOWN[name]
         found = match.match(left, register, policy) if config["by_text"] else match.match_by_name(left, register, policy)
-        taken = left.select("pst_id").distinct().join(found.drop("ksic", "ksic9"), "pst_id", "left")
+        taken = left.select("pst_id").distinct().join(found.drop("ksic", "ksic9").hint("merge"), "pst_id", "left")
         taken = taken.withColumns({"generation": F.lit(generation), "matching_attempt": F.lit(attempt)})
         _append(taken.select([c.split()[0] for c in OUTCOME.split(", ")]), f"{output}/outcomes")
         done = read_or_empty(spark, f"{output}/outcomes", OUTCOME).filter(F.col("matching_attempt") == attempt).agg(F.count(F.lit(1)).alias("n"), F.count("bzno").alias("m")).first()
