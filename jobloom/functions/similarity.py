@@ -44,6 +44,37 @@ def parts_similarity(x: Column, y: Column) -> Column:
     return F.when((a == "") | (b == ""), 0.0).when(a == b, 1.0).when(prefix, by_prefix).otherwise(mixed)
 
 
+def _bits(items: Column) -> Column:
+    """A bit of 64 for each item, by its hash."""
+    bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(x), F.lit(64)).cast("int"))
+    return F.aggregate(items, F.lit(0).cast("long"), lambda bits, x: bits.bitwiseOR(bit(x)))
+
+
+def name_outline(column: Column | str) -> Column:
+    """What may_reach compares of a name: (t: lower case, l: its length, and of its
+    characters and bigrams n: how many, b: their bits, o: how many more than bits)."""
+
+    def outline(p: Column) -> Column:
+        return F.struct(p["t"].alias("t"), F.length(p["t"]).alias("l"), *[c for k in (1, 2) for c in (F.size(p[f"g{k}"]).alias(f"n{k}"), p[f"b{k}"].alias(f"b{k}"), (F.size(p[f"g{k}"]) - F.bit_count(p[f"b{k}"])).alias(f"o{k}"))])
+
+    with_bits = let(name_parts(column), lambda p: F.struct(p["t"].alias("t"), p["g1"].alias("g1"), p["g2"].alias("g2"), _bits(p["g1"]).alias("b1"), _bits(p["g2"]).alias("b2")))
+    return let(with_bits, outline)
+
+
+def may_reach(x: Column, y: Column, least: float) -> Column:
+    """False only if name_similarity of two columns of name_outline is below least: no
+    more items are common than bits are, and those of x that share a bit."""
+
+    def most(k: int) -> Column:
+        n, m = x[f"n{k}"], y[f"n{k}"]
+        both = F.least(F.bit_count(x[f"b{k}"].bitwiseAND(y[f"b{k}"])) + x[f"o{k}"], n, m)
+        return both / F.greatest(n + m - both, F.lit(1))
+
+    ratio = F.least(x["l"], y["l"]) / F.greatest(x["l"], y["l"], F.lit(1))
+    mixed = CHAR_WEIGHT * most(1) + BIGRAM_WEIGHT * most(2) + LENGTH_WEIGHT * ratio
+    return (mixed >= least - 1e-9) | F.startswith(x["t"], y["t"]) | F.startswith(y["t"], x["t"])
+
+
 def name_similarity(a: Column | str, b: Column | str) -> Column:
     """From 0 to 1: equal names 1, a name that begins with the other by their
     lengths, else by common characters, bigrams and lengths."""

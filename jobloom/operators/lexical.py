@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from jobloom.functions.similarity import may_reach, name_outline
+
 # English stop words of the standard analyser, and BM25's parameters.
 STOP_WORDS = (
     "a an and are as at be but by for if in into is it no not of on or such that the their then there these they this to was will with"
@@ -112,9 +114,9 @@ def phrase_matches(names: DataFrame, titles: DataFrame, name: str, title: str) -
     df = right.groupBy("_word").agg(F.count(F.lit(1)).alias("_df"))
     words = F.array_distinct(tokens(name, False))
     each = names.select(name).distinct().select(F.col(name).alias("_name"), F.size(words).alias("_size"), F.explode(words).alias("_token"))
-    known = each.join(df, F.col("_token") == F.col("_word")).groupBy("_name", "_size").agg(F.min_by("_token", F.struct("_df", "_token")).alias("_token"), F.count(F.lit(1)).alias("_n"))
-    left = names.join(known.filter("_n = _size").select("_name", "_token"), F.col(name) == F.col("_name")).withColumn("_line", token_line(name))
-    return left.join(right, (F.col("_token") == F.col("_word")) & F.contains("_in", "_line")).drop("_line", "_token", "_in", "_word", "_name")
+    known = each.join(df.hint("merge"), F.col("_token") == F.col("_word")).groupBy("_name", "_size").agg(F.min_by("_token", F.struct("_df", "_token")).alias("_token"), F.count(F.lit(1)).alias("_n"))
+    left = names.join(known.filter("_n = _size").select("_name", "_token").hint("merge"), F.col(name) == F.col("_name")).withColumn("_line", token_line(name))
+    return left.join(right.hint("merge"), (F.col("_token") == F.col("_word")) & F.contains("_in", "_line")).drop("_line", "_token", "_in", "_word", "_name")
 
 
 def prefix_matches(names: DataFrame, titles: DataFrame, name: str, title: str) -> DataFrame:
@@ -125,8 +127,8 @@ def prefix_matches(names: DataFrame, titles: DataFrame, name: str, title: str) -
     longest = F.broadcast(wanted.agg(F.coalesce(F.max(F.length("_name")), F.lit(1)).alias("_longest")))  # one row
     start = F.explode(F.transform(F.sequence(F.lit(1), F.least(F.length("_word"), F.col("_longest"))), lambda n: F.substring(F.col("_word"), F.lit(1), n)))
     starts = right.select("_word").distinct().crossJoin(longest).select(F.col("_word").alias("_token"), start.alias("_start"))
-    pairs = wanted.join(starts, F.col("_name") == F.col("_start")).select("_name", "_token")
-    found = names.join(pairs, F.col(name) == F.col("_name")).join(right, F.col("_token") == F.col("_word")).drop("_name", "_token", "_word")
+    pairs = wanted.join(starts.hint("merge"), F.col("_name") == F.col("_start")).select("_name", "_token")
+    found = names.join(pairs.hint("merge"), F.col(name) == F.col("_name")).join(right.hint("merge"), F.col("_token") == F.col("_word")).drop("_name", "_token", "_word")
     return found.distinct()
 
 
@@ -165,20 +167,29 @@ def _neighbours(token: Column, edits: Column, most: int, prefix: int) -> Column:
     return F.concat(F.when(size <= LONG_TOKEN, short).otherwise(empty), F.when(size > LONG_TOKEN - most, F.array(start)).otherwise(empty))
 
 
-def fuzzy_matches(names: DataFrame, titles: DataFrame, name: str, title: str, fuzziness: int | str, prefix: int) -> DataFrame:
+def fuzzy_matches(names: DataFrame, titles: DataFrame, name: str, title: str, fuzziness: int | str, prefix: int, least: float = 0.0) -> DataFrame:
     """names x titles with tokens that are a few edits apart and agree in their first
     `prefix` characters. Any token of the name will do. Distinct tokens meet first, by
-    deletion neighbourhoods."""
+    deletion neighbourhoods; no side is broadcast, for small files may hold many tokens.
+
+    least: pairs whose name_similarity is below it may be left out. Tokens that are
+    all of their names and titles are held against it where they meet, by a bound from
+    bits first."""
     most = 2 if isinstance(fuzziness, str) else int(fuzziness)
     left = names.withColumn("_token", F.explode(F.array_distinct(tokens(name))))
     right = titles.withColumn("_word", F.explode(F.array_distinct(tokens(title))))
     edits = allowed_edits(F.col("_token"), fuzziness)
-    asked = left.select("_token").distinct().withColumn("_key", F.explode(_neighbours(F.col("_token"), edits, most, prefix)))
-    known = right.select("_word").distinct().withColumn("_at", F.explode(_neighbours(F.col("_word"), F.lit(most), most, prefix)))
-    near = (F.col("_key") == F.col("_at")) & (F.abs(F.length("_token") - F.length("_word")) <= edits) & (F.levenshtein("_token", "_word") <= edits)
-    near &= F.substring("_token", 1, prefix) == F.substring("_word", 1, prefix)
-    pairs = asked.join(known, near).select(F.col("_token").alias("_t"), F.col("_word").alias("_w")).distinct()
-    found = left.join(pairs, F.col("_token") == F.col("_t")).join(right, F.col("_w") == F.col("_word"))
+    asked = left.groupBy("_token").agg(F.max(F.lower(name) != F.col("_token")).alias("_more")).withColumn("_key", F.explode(_neighbours(F.col("_token"), edits, most, prefix)))
+    known = right.groupBy("_word").agg(F.max(F.lower(title) != F.col("_word")).alias("_other")).withColumn("_at", F.explode(_neighbours(F.col("_word"), F.lit(most), most, prefix)))
+    close = F.levenshtein("_token", "_word") <= edits
+    if least > 0:
+        asked, known = asked.withColumn("_x", name_outline("_token")), known.withColumn("_y", name_outline("_word"))
+        part = F.col("_more") | F.col("_other")
+        close = F.when(part | may_reach(F.col("_x"), F.col("_y"), least), close).otherwise(False)
+    near = (F.col("_key") == F.col("_at")) & (F.substring("_token", 1, prefix) == F.substring("_word", 1, prefix))
+    near &= F.when(F.abs(F.length("_token") - F.length("_word")) <= edits, close).otherwise(False)
+    pairs = asked.join(known.hint("merge"), near).select(F.col("_token").alias("_t"), F.col("_word").alias("_w")).distinct()
+    found = left.join(pairs.hint("merge"), F.col("_token") == F.col("_t")).join(right.hint("merge"), F.col("_w") == F.col("_word"))
     return found.drop("_token", "_word", "_t", "_w").distinct()
 
 

@@ -113,31 +113,39 @@ def _blocked(name: Column) -> Column:
     return F.lower(name).isin(*BLOCKED)
 
 
-def _best(rows: DataFrame, by: list[str], score: str, k: int) -> DataFrame:
-    order = Window.partitionBy(*by).orderBy(F.col(score).desc(), "c_bzno")
+def _best(rows: DataFrame, by: list[str], score: str, k: int, tie: str = "c_bzno") -> DataFrame:
+    order = Window.partitionBy(*by).orderBy(F.col(score).desc(), tie)
     return rows.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= k).drop("_n")
 
 
 def name_candidates(postings: DataFrame, companies: DataFrame, policy: Policy) -> DataFrame:
     """(processed_co_nm, c_..., similarity): of each distinct name the companies found
     by phrase and, if it isn't short, by prefix and by fuzzy tokens, that pass the
-    similarity threshold; the NAME_CANDIDATES most similar, ties to smaller bzno."""
-    names = postings.select("processed_co_nm").filter("processed_co_nm <> ''").distinct()
-    side = _company_side(companies)
-    titles = side.select("c_bzno", "c_processed_title")
+    similarity threshold; the NAME_CANDIDATES most similar, ties to smaller bzno.
+
+    Names meet distinct titles; of the companies of one title only the first
+    NAME_CANDIDATES can be among a name's best, and of the titles those that are best
+    with their first company."""
+    names = cut_lineage(postings.select("processed_co_nm").filter("processed_co_nm <> ''").distinct())
+    of_title = Window.partitionBy("c_processed_title").orderBy("c_bzno")
+    side = cut_lineage(_company_side(companies).drop("c_parts").withColumn("_k", F.row_number().over(of_title)).filter(F.col("_k") <= NAME_CANDIDATES))
+    first = side.filter("_k = 1 and c_processed_title <> ''").select("c_processed_title", F.col("c_bzno").alias("_first"))
+    titles = first.select("c_processed_title")
     short = F.length("processed_co_nm") <= policy.short
     long_names = names.filter(~short)
     found = [
         lexical.phrase_matches(names, titles, "processed_co_nm", "c_processed_title"),
         lexical.prefix_matches(long_names, titles, "processed_co_nm", "c_processed_title"),
-        lexical.fuzzy_matches(long_names, titles, "processed_co_nm", "c_processed_title", policy.fuzziness, policy.prefix),
+        lexical.fuzzy_matches(long_names, titles, "processed_co_nm", "c_processed_title", policy.fuzziness, policy.prefix, policy.similarity),
     ]
     # pairs by their keys, then the parts of each name, computed once
-    pairs = reduce(DataFrame.unionByName, [d.select("processed_co_nm", "c_bzno") for d in found]).distinct()
-    every = pairs.join(cut_lineage(names.withColumn("_x", name_parts("processed_co_nm"))), "processed_co_nm").join(side, "c_bzno")
-    every = every.withColumn("similarity", parts_similarity(F.col("_x"), F.col("c_parts"))).drop("_x", "c_parts")
+    pairs = reduce(DataFrame.unionByName, [d.select("processed_co_nm", "c_processed_title") for d in found]).distinct()
+    every = pairs.join(names.withColumn("_x", name_parts("processed_co_nm")).hint("merge"), "processed_co_nm")
+    every = every.join(first.withColumn("_y", name_parts("c_processed_title")).hint("merge"), "c_processed_title")
+    every = every.withColumn("similarity", parts_similarity(F.col("_x"), F.col("_y"))).drop("_x", "_y")
     every = every.filter(F.col("similarity") >= F.when(short, policy.similarity_short).otherwise(policy.similarity))
-    return _best(every, ["processed_co_nm"], "similarity", NAME_CANDIDATES)
+    best = _best(every, ["processed_co_nm"], "similarity", NAME_CANDIDATES, "_first").drop("_first")
+    return _best(best.join(side.drop("_k").hint("merge"), "c_processed_title"), ["processed_co_nm"], "similarity", NAME_CANDIDATES)
 
 
 def _agreements(rows: DataFrame) -> DataFrame:
@@ -168,7 +176,7 @@ def match_by_name(postings: DataFrame, companies: DataFrame, policy: Policy) ->
     """At most one match a posting, scored by name, region and address. Candidates
     are found once for each distinct name."""
     named = postings.filter("processed_co_nm <> '' and coalesce(co_nm, '') <> ''").select("pst_id", "processed_co_nm", "region_m", "address_m")
-    rows = _agreements(named.join(name_candidates(named, companies, policy), "processed_co_nm"))
+    rows = _agreements(named.join(name_candidates(named, companies, policy).hint("merge"), "processed_co_nm"))
     size = F.length("processed_co_nm")
     if policy.name == "strict":
         rows = rows.filter((size > policy.very_short) | F.col("same_region") | F.col("same_address"))
@@ -270,7 +278,7 @@ def match(postings: DataFrame, companies: DataFrame, policy: Policy) -> DataFram
     """By name first; what has no name or no match, by text."""
     companies = cut_lineage(companies)
     by_name = cut_lineage(match_by_name(postings, companies, policy))
-    rest = postings.join(by_name.select("pst_id"), "pst_id", "left_anti")
+    rest = postings.join(by_name.select("pst_id").hint("merge"), "pst_id", "left_anti")
     return by_name.unionByName(match_by_detail(rest, companies, policy))
 
 
@@ -284,7 +292,7 @@ def match_progressively(postings: DataFrame, companies: DataFrame, policies: tup
         got = match(left, companies, policy) if by_text else match_by_name(left, companies, policy)
         got = cut_lineage(got.withColumn("matching_attempt", F.lit(attempt)))
         found.append(got)
-        left = left.join(got.select("pst_id"), "pst_id", "left_anti")
+        left = left.join(got.select("pst_id").hint("merge"), "pst_id", "left_anti")
     return reduce(DataFrame.unionByName, found)
 
 
@@ -301,7 +309,7 @@ def reset_attempts(rows: DataFrame, every: bool = False) -> DataFrame:
 def with_industry(matched: DataFrame, companies: DataFrame) -> DataFrame:
     """ksic and ksic9 of the register, one row a bzno: the last loaded."""
     one = first_wins(companies.withColumn("_order", F.monotonically_increasing_id()), ["bzno"], F.col("_order").desc())
-    return matched.drop("ksic", "ksic9").join(one.select("bzno", "ksic", "ksic9"), "bzno", "left")
+    return matched.drop("ksic", "ksic9").join(one.select("bzno", "ksic", "ksic9").hint("merge"), "bzno", "left")
 
 
 def match_statistics(matched: DataFrame) -> DataFrame:

@@ -66,7 +66,7 @@ def mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(pst_id, co_nm, loc, corp_addr, true_bzno) of all orders: company names as
     postings spell them."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("bzno"))
-    rows = orders.join(companies(spark, sf_dir), "bzno")
+    rows = orders.join(companies(spark, sf_dir).hint("merge"), "bzno")  # a small file may hold millions of names
     form = F.col("o_orderkey") % 5
     shorter = F.substring(F.col("nm"), F.lit(1), F.length("nm") - 1)
     return rows.select(
