@@ -4,10 +4,10 @@ model of trusted text, against language-specific quantiles.
 The model's symbols are the bytes of words and an end of word; a word that
 repeats the one before it is one symbol of its own. Contexts stay within a word; so
 a document's probability is a sum over its words, and a group of documents scores
-each distinct word once. The model is fitted on a bounded
-sample of the documents labelled good and not toxic: about TRUSTED a language,
-by hash of doc_id, whole texts. Half of them give the counts, all other documents
-labelled so the means and quantiles.
+each distinct word once. The model is fitted on all
+documents labelled good and not toxic, whole texts: one half, by hash of doc_id,
+gives the counts, the other half the means and quantiles, for a text is likelier
+under a model that has counted it.
 
 The n-gram counts are DataFrames, joined and aggregated by key. For scoring they
 lie in shards; a group of documents asks the shards for its distinct n-grams and
@@ -29,10 +29,10 @@ from jobloom.llm.textvec import _slices
 from jobloom.llm.tokens import release
 
 ORDER = 4
-TRUSTED = 4000
-#: Shards of the model, whose size the sample bounds, and groups that ask one copy of
-#: a shard: a task's questions stay as many however large the corpus is.
-SHARDS, GROUPS_A_COPY = 16, 512
+#: Least shards of the model, n-grams of a shard, and groups that ask one copy of one
+#: of SHARDS; more shards take fewer copies. So a task's n-grams and questions stay as
+#: many however large the corpus and the model are.
+SHARDS, SHARD_GRAMS, GROUPS_A_COPY = 16, 1 << 19, 512
 GROUP_BYTES = 2 << 20
 #: Symbols that every document has besides its own, at its language's mean.
 PRIOR = 60
@@ -138,7 +138,8 @@ def score(docs: DataFrame, model: DataFrame) -> DataFrame:
     symbols and their log10 probability. body: hash of the text."""
     frugal(docs.sparkSession)
     rows, n_groups = dealt(docs, GROUP_BYTES, ("lang",))
-    copies = -(-n_groups // GROUPS_A_COPY)
+    shards = max(SHARDS, -(-model.count() // SHARD_GRAMS))
+    copies = -(-n_groups * SHARDS // (GROUPS_A_COPY * shards))
     rows = rows.withColumn("body", F.xxhash64("text"))
     groups = rows.groupBy("pid")
 
@@ -155,8 +156,8 @@ def score(docs: DataFrame, model: DataFrame) -> DataFrame:
     @trimmed
     def ask(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         every = asked(part["text"].tolist())[-1]
-        shard = _shard(every)
-        return pd.DataFrame([(s, int(key[0]) % copies, int(key[0]), planes(every[shard == s])) for s in range(SHARDS)], columns=["shard", "copy", "pid", "keys"])
+        shard = _shard(every, shards)
+        return pd.DataFrame([(s, int(key[0]) % copies, int(key[0]), planes(every[shard == s])) for s in range(shards)], columns=["shard", "copy", "pid", "keys"])
 
     @trimmed
     def answer(key: tuple, part: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
@@ -189,7 +190,7 @@ def score(docs: DataFrame, model: DataFrame) -> DataFrame:
         n, logs = (x[first[1:]] - x[first[:-1]] for x in sums)
         return pd.DataFrame({"doc_id": part["doc_id"], "no_id": part["no_id"], "body": part["body"], "lang": part["lang"], "symbols": n.astype(np.int64), "log10": logs.astype(np.float64)})
 
-    shard = F.pmod(F.shiftright("key", 3).bitwiseXOR(F.col("key")), F.lit(SHARDS)).cast("int")
+    shard = F.pmod(F.shiftright("key", 3).bitwiseXOR(F.col("key")), F.lit(shards)).cast("int")
     stored = model.withColumn("shard", shard).withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
     questions = groups.applyInPandas(ask, "shard int, copy int, pid int, keys binary")
     told = questions.groupBy("shard", "copy").cogroup(stored.groupBy("shard", "copy")).applyInPandas(answer, "pid int, keys binary, alpha binary, gamma binary")
@@ -197,20 +198,26 @@ def score(docs: DataFrame, model: DataFrame) -> DataFrame:
     return out.withColumn("doc_id", F.when(~F.col("no_id"), F.col("doc_id"))).drop("no_id")
 
 
-def _shard(keys: np.ndarray) -> np.ndarray:
-    return ((keys >> 3) ^ keys) % SHARDS
+def _shard(keys: np.ndarray, shards: int) -> np.ndarray:
+    return ((keys >> 3) ^ keys) % shards
 
 
-def trusted_sample(docs: DataFrame, labels: DataFrame, trusted: int = TRUSTED) -> DataFrame:
-    """(doc_id, held) of all labelled good documents; not held: half of a draw of
-    about `trusted` a language."""
+def _other_half():
+    return F.pmod(F.xxhash64(F.lit(12), "doc_id"), F.lit(2)) == 1
+
+
+def trusted_sample(docs: DataFrame, labels: DataFrame, trusted: int | None = None) -> DataFrame:
+    """(doc_id, held) of all labelled good documents; not held: half of them, or half
+    of a draw of about `trusted` a language."""
     good = labels.groupBy("doc_id").agg(F.min("quality").alias("q"), F.max(F.coalesce("toxic", F.lit(0))).alias("t")).filter("q = 1 and t = 0")
+    if trusted is None:
+        return written(docs.select("doc_id").join(good.select("doc_id"), "doc_id").groupBy("doc_id").agg(F.max(_other_half()).alias("held")), "trusted")
     known = written(docs.select("doc_id", "lang").join(good.select("doc_id"), "doc_id"), "labelled")
     share = known.groupBy("lang").agg((trusted / F.count(F.lit(1))).alias("share"))
     share = written(share.withColumnRenamed("lang", "_lang"), "shares")
     draw = F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(1 << 20))
     rows = known.join(small(share), F.col("lang").eqNullSafe(F.col("_lang")))
-    held = (draw >= F.col("share") * (1 << 20)) | (F.pmod(F.xxhash64(F.lit(12), "doc_id"), F.lit(2)) == 1)
+    held = (draw >= F.col("share") * (1 << 20)) | _other_half()
     return written(rows.groupBy("doc_id").agg(F.min(held).alias("held")), "trusted")
 
 
@@ -228,7 +235,8 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     without trusted documents.
     """
     sample = trusted_sample(docs, labels)
-    texts = docs.select("doc_id", "text").join(small(sample.filter("not held")), "doc_id").select("text")
+    # filtered by the hash too: where there are too many to be broadcast, fewer texts are shuffled
+    texts = docs.select("doc_id", "text").filter(~_other_half()).join(small(sample.filter("not held")), "doc_id").select("text")
     model = train(texts)
     scored = written(score(docs, model), "scored")
     base = scored.join(small(sample.filter("held")), "doc_id").filter("symbols > 0")
