@@ -46,7 +46,8 @@ def exact_dedup_source(rows: DataFrame) -> DataFrame:
     the earliest month, null last, then by id."""
     sources = rows.groupBy("source").agg(F.min("month").alias("lo"), F.max("month").alias("hi"))
     facts = sources.filter("lo <> hi").select("source", F.lit(True).alias("_several"))
-    wide = rows.join(facts, "source", "left")
+    # one row a source: joined by key, a source's texts would all be read by one task
+    wide = rows.join(F.broadcast(facts), "source", "left")
     rank = F.struct(F.col("month").isNull().cast("int"), F.coalesce("month", F.lit(0)), F.col("pst_id"))
     return _keep_first(wide, ["source"], rank, F.col("_several")).select(rows.columns)
 
