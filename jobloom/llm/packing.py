@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jobloom.llm.common import empty_text, forget, free_names, frugal, small, trim, written
-from jobloom.llm.tokens import encoder
+from jobloom.llm.tokens import encoder, release
 
 CAPACITY = 2048
 END_ID = 0
@@ -133,6 +133,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, numbers: tuple[str, str] |
     ranked = ranked.select(*[f.name for f in fields], rank_)
 
     def put(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        release()  # no tokenizer is needed any more, and idle workers would keep it
+        trim()
         for part in parts:
             length, rank = part["length"].to_numpy(np.int64), part.pop(rank_).to_numpy(np.int64)
             i = np.searchsorted(places["key"], (length << 44) + rank, "right") - 1

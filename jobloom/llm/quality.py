@@ -96,6 +96,25 @@ def _tagged(gram, k: int):
     return gram + (k << 56)
 
 
+def asked(texts: list[str]):
+    """(symbols, places with a symbol, last, places, first, grams, every): every is the
+    distinct tagged n-grams and contexts of the texts. Those of one order are an
+    array of their own only until they are distinct, for a worker holds few arrays."""
+    symbols, last, places, first = distinct_words(texts)
+    ok, each = np.flatnonzero(symbols), grams(symbols)
+    every = _unlike(np.concatenate([_unlike(of(each, ok, k)) for k in range(1, ORDER + 1) for of in (_own, _before)]))
+    return symbols, ok, last, places, first, each, every
+
+
+def _own(each: list[np.ndarray], ok: np.ndarray, k: int) -> np.ndarray:
+    return _tagged(each[k][ok], k)
+
+
+def _before(each: list[np.ndarray], ok: np.ndarray, k: int) -> np.ndarray:
+    """The contexts of _own."""
+    return _tagged(each[k - 1][ok - 1], k - 1)
+
+
 def train(texts: DataFrame) -> DataFrame:
     """(key, alpha, gamma) of texts (text): alpha of an n-gram after its context,
     gamma of a context. Without text the table is empty, and every symbol has the
@@ -143,16 +162,6 @@ def score(docs: DataFrame, model: DataFrame) -> DataFrame:
     rows = rows.withColumn("body", F.xxhash64("text"))
     groups = rows.groupBy("pid")
 
-    def asked(texts: list[str]):
-        symbols, last, places, first = distinct_words(texts)
-        ok = np.flatnonzero(symbols)
-        each = grams(symbols)
-        keys = [_tagged(each[k][ok], k) for k in range(1, ORDER + 1)]
-        contexts = [_tagged(each[k][ok - 1], k) for k in range(ORDER)]
-        # each by itself first, so that no array of all of them is needed
-        every = _unlike(np.concatenate([_unlike(x) for x in keys + contexts]))
-        return symbols, ok, last, places, first, keys, contexts, every
-
     @trimmed
     def ask(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         every = asked(part["text"].tolist())[-1]
@@ -173,15 +182,15 @@ def score(docs: DataFrame, model: DataFrame) -> DataFrame:
 
     @trimmed
     def use(key: tuple, part: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
-        symbols, ok, last, places, first, keys, contexts, every = asked(part["text"].tolist())
+        symbols, ok, last, places, first, each, every = asked(part["text"].tolist())
         table = np.concatenate([np.empty(0, np.int64), *(unplanes(x, np.int64) for x in told["keys"])])
         alpha, gamma = (np.concatenate([np.empty(0), *(np.frombuffer(x, "<f8") for x in told[c])]) for c in ("alpha", "gamma"))
         at = np.searchsorted(every, table)
         full_a, full_g = np.zeros(len(every)), np.ones(len(every))
         full_a[at], full_g[at] = np.nan_to_num(alpha), np.where(np.isnan(gamma), 1.0, gamma)
         p = np.full(len(ok), 1.0 / _END)
-        for own, before in zip(keys, contexts, strict=True):
-            p = full_a[np.searchsorted(every, own)] + full_g[np.searchsorted(every, before)] * p
+        for k in range(1, ORDER + 1):
+            p = full_a[np.searchsorted(every, _own(each, ok, k))] + full_g[np.searchsorted(every, _before(each, ok, k))] * p
         flat = np.zeros(len(symbols))
         flat[ok] = np.log10(p)
         total = np.diff(np.concatenate(([0.0], np.cumsum(flat)[last]))) if len(last) else np.empty(0)

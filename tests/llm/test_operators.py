@@ -696,3 +696,29 @@ def test_index_excludes_where_vectors_cluster(spark, monkeypatch):
         best = sorted((-int(s), i) for i, s in enumerate(scores) if i != q)[:5]
         assert [found[q, r + 1] for r in range(5)] == [(i, -s) for s, i in best]
     assert 4 * sum(n for n, _ in asked) < asked[0][1]
+
+
+def test_packing_lets_go_of_the_tokenizer(spark, tmp_path, monkeypatch):
+    """Workers that put pieces in their places are those that cut them before."""
+    seen = str(tmp_path / "released")
+    monkeypatch.setattr(packing, "release", lambda: open(seen, "w").close(), raising=False)
+    docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
+    pieces = packing.token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    assert packing.pack(pieces, numbers=packing.NUMBERS).count() == 1
+    packing.pack(pieces, numbers=packing.NUMBERS).collect()
+    assert (tmp_path / "released").exists()
+
+
+def test_quality_holds_few_arrays():
+    """Of a group's n-grams: those of one order at a time, besides the packed ones of all."""
+    import tracemalloc
+
+    draw = random.Random(3)
+    texts = ["".join(draw.choices("abcdefghij", k=7)) + " " + "".join(draw.choices("klmnopq", k=9)) for _ in range(30_000)]
+    tracemalloc.start()
+    symbols, ok, *_, each, every = quality.asked(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 13 * symbols.nbytes
+    tagged = [quality._tagged(each[k][ok], k) for k in range(1, quality.ORDER + 1)] + [quality._tagged(each[k][ok - 1], k) for k in range(quality.ORDER)]
+    assert np.array_equal(every, np.unique(np.concatenate(tagged)))
