@@ -47,3 +47,20 @@ def test_candidates_of_titles_that_companies_share(spark):
         for r in match.name_candidates(names, companies, policy).collect():
             got.setdefault(r.processed_co_nm, []).append((-round(r.similarity, 9), r.c_bzno))
         assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v)[: match.NAME_CANDIDATES] for k, v in want.items()}
+
+
+def test_detail_reads_each_text_once(spark):
+    """Preparing texts costs most of matching by text, so it isn't repeated for each of its uses."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def prepared(text: str) -> str:
+        seen.add(1)
+        return text
+
+    companies = match.prepare_companies(spark.createDataFrame([("1", "(주)가나다라", "", None, None)], "bzno string, title string, address string, ksic string, ksic9 string"))
+    texts = [(str(i), f"(주)가나다라 {i} 에서 경력 개발자를 모집합니다.") for i in range(5)]
+    rows = spark.createDataFrame(texts, "pst_id string, pst_detail string").select("pst_id", F.lit(None).cast("string").alias("pst_title"), "pst_detail", F.lit("").alias("region_m"), F.lit("").alias("address_m"))
+    rows = rows.withColumn("processed_pst_detail", F.udf(prepared)("pst_detail"))
+    found = match.match_by_detail(rows, companies, match.VERY_RELAXED).collect()
+    assert {r.bzno for r in found} <= {"1"}
+    assert seen.value == len(texts)
