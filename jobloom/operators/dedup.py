@@ -81,18 +81,19 @@ def text_preview(column: str, most: int = 2000) -> Column:
 
 def shingles(column: str, width: int = SHINGLE) -> Column:
     """Distinct word shingles; of texts with fewer words, character shingles, or the
-    text itself. Hashed."""
+    text itself. Hashed; those of words by the hashes of their words, so that no
+    shingle is built as a string."""
     text = F.lower(F.trim(F.regexp_replace(F.coalesce(F.col(column), F.lit("")), r"\s+", " ")))
     at = lambda n: F.sequence(F.lit(1), n - (width - 1))
 
     def cut(x: Column) -> Column:
         word, text = x["word"], x["text"]
-        by_word = F.transform(at(F.size(word)), lambda i: F.array_join(F.slice(word, i, width), " "))
+        run = lambda h, i: F.xxhash64(*[F.element_at(h, i + k) for k in range(width)])
+        by_word = let(F.transform(word, lambda w: F.xxhash64(w)), lambda h: F.transform(at(F.size(h)), lambda i: run(h, i)))
         by_char = F.transform(at(F.length(text)), lambda i: F.substring(text, i, F.lit(width)))
-        return F.when(F.size(word) >= width, by_word).when(F.length(text) >= width, by_char).otherwise(F.array(text))
+        return F.when(F.size(word) >= width, by_word).when(F.length(text) >= width, F.transform(by_char, lambda c: F.xxhash64(c))).otherwise(F.array(F.xxhash64(text)))
 
-    found = let(F.struct(text.alias("text"), F.split(text, " ").alias("word")), cut)
-    return F.array_distinct(F.transform(found, lambda x: F.xxhash64(x)))
+    return F.array_distinct(let(F.struct(text.alias("text"), F.split(text, " ").alias("word")), cut))
 
 
 def similar_texts(rows: DataFrame, scope: str, least: float = SIMILAR) -> DataFrame:
@@ -107,7 +108,7 @@ def similar_texts(rows: DataFrame, scope: str, least: float = SIMILAR) -> DataFr
     texts = rows.filter(F.col(scope).isNotNull() & F.col("pst_detail").isNotNull()).withColumn("id", F.md5("pst_detail"))
     heads = texts.groupBy(scope, "id").agg(F.min("pst_detail").alias("pst_detail"))
     prefix = (F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1).cast("int")
-    sets = cut_lineage(heads.select(scope, "id", F.array_sort(shingles("pst_detail")).alias("s")).withColumn("n", F.size("s")))
+    sets = cut_lineage(heads.select(scope, "id", F.sort_array(shingles("pst_detail")).alias("s")).withColumn("n", F.size("s")))
     first = sets.select(F.explode(F.slice("s", F.lit(1), prefix)).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("c"))
     often = [r.h for r in first.filter(F.col("c") > RARE).orderBy(F.col("c").desc(), "h").limit(FREQUENT).collect()]
     if often:
