@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from jobloom.functions.lineage import cut_lineage
 from jobloom.functions.similarity import may_reach, name_outline
 
 # English stop words of the standard analyser, and BM25's parameters.
@@ -85,7 +86,16 @@ def read_index(spark: SparkSession, path: str) -> TokenIndex:
 
 
 def bm25_top(docs: DataFrame, queries: DataFrame, key: str, text: str, query_key: str, query_text: str, k: int = 10) -> DataFrame:
-    return index_top(token_index(docs, key, text), queries, key, query_key, query_text, k)
+    """index_top without an index: each text is cut into tokens once, and has a row
+    with the token '' beside those of the queries' tokens, from which the sizes come."""
+    asked = queries.select(F.explode(F.array_append(tokens(query_text), F.lit(""))).alias("token")).distinct()
+    own = docs.select(key, tokens(text).alias("t"))
+    # explode_outer, for no filter on its array is then put before it, which would cut the text again
+    words = own.select(key, F.explode_outer(F.array_append("t", F.lit(""))).alias("token"), F.size("t").alias("dl"))
+    found = words.join(asked, "token", "left_semi").groupBy(key, "token").agg(F.count(F.lit(1)).alias("tf"), F.min("dl").alias("dl"), F.sum("dl").alias("all"))
+    found = cut_lineage(found)
+    sizes = found.filter("token = ''").agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("n"), (F.sum("all") / F.sum("tf")).alias("avg_dl"))
+    return index_top(TokenIndex(found.filter("token <> ''").drop("all"), sizes), queries, key, query_key, query_text, k)
 
 
 def index_top(index: TokenIndex, queries: DataFrame, key: str, query_key: str, query_text: str, k: int = 10) -> DataFrame:

@@ -64,3 +64,20 @@ def test_detail_reads_each_text_once(spark):
     found = match.match_by_detail(rows, companies, match.VERY_RELAXED).collect()
     assert {r.bzno for r in found} <= {"1"}
     assert seen.value == len(texts)
+
+
+def test_bm25_cuts_each_text_once(spark):
+    """Scores, frequencies and sizes come from one pass; repeated keys count as texts of their own."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def read(text: str) -> str:
+        seen.add(1)
+        return text
+
+    texts = [(1, "red fox"), (2, "red red hen and"), (3, None), (3, "a green hen"), (4, "")]
+    plain = spark.createDataFrame(texts, "k int, t string")
+    queries = spark.createDataFrame([("q", "red hen"), ("none", "and"), ("other", "blue")], "q string, w string")
+    got = sorted(map(tuple, lexical.bm25_top(plain.withColumn("t", F.udf(read)("t")), queries, "k", "t", "q", "w").collect()))
+    assert seen.value == len(texts)
+    assert got == sorted(map(tuple, lexical.index_top(lexical.token_index(plain, "k", "t"), queries, "k", "q", "w").collect()))
+    assert {r[1] for r in got} == {1, 2, 3}
