@@ -2,8 +2,9 @@
 
 In the index's folder, each table in folders by batch:
 
-* `postings`: (token, key, dl, positions), in folders by hash of the token. dl counts
-  the text's words that aren't stop words. Every text has one row with the token ''
+* `postings`: (token, keys, dls, positions), in folders by hash of the token: a row holds
+  the texts with a token of those that a task took together, its lists in step. dl
+  counts a text's words that aren't stop words. Every text is in one row of the token ''
 * `terms`: (token) in folders by hash of its first character
 * `shorter`: (short, token): what is left of a token when up to `edits` characters are
   left out, in folders by hash of it; none for an index without fuzzy search
@@ -22,17 +23,21 @@ from __future__ import annotations
 from collections.abc import Iterator
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from jobloom.functions.lineage import cut_lineage
 from jobloom.operators.lexical import B, K1, LONG_TOKEN, STOP_WORDS, allowed_edits, deletions, tokens
 from jobloom.sources.keyed import read_or_empty
 
 #: Folders of a batch, the most edits that fuzzy searches allow, and text of a file of postings.
 BUCKETS, EDITS, FILE_BYTES = 64, 2, 32 << 20
-#: Texts whose words a task holds at a time.
-TEXTS = 256
+#: Words of the texts that a task takes together, unless one text has more.
+WORDS = 1 << 18
+#: Words of queries that are sent to every executor at most; more are joined by a shuffle.
+SMALL = 100_000
 
 
 class TextIndex(NamedTuple):
@@ -52,7 +57,7 @@ def _bucket(index: TextIndex, value: Column) -> Column:
 
 
 _FIELDS = {
-    "postings": "token string, {key} {kind}, dl int, positions array<int>, batch int, bucket int",
+    "postings": "token string, keys array<{kind}>, dls array<int>, positions array<array<int>>, batch int, bucket int",
     "terms": "token string, batch int, bucket int",
     "shorter": "short string, token string, batch int, bucket int",
     "replaced": "{key} {kind}, old int, dl int, batch int",
@@ -81,24 +86,46 @@ def _live(spark: SparkSession, index: TextIndex, rows: DataFrame, known: list[in
     return rows.join(gone, F.col(index.key).eqNullSafe(F.col("_gone")) & (F.col("batch") == F.col("_old")), "left_anti")
 
 
+def _listed(offsets: np.ndarray, values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.append(offsets, len(values)), pa.int32()), values)
+
+
 def _grouped(key: str):
-    """Texts (key, dl, words) as postings; a text is one row, so its words are grouped in place."""
+    """Texts (key, words) as rows of postings: the words of some texts are sorted
+    by their numbers in the texts' common dictionary, which keeps texts and places in order."""
+
+    def group(batch: pa.RecordBatch) -> pa.RecordBatch:
+        words = batch["words"]
+        encoded = words.flatten().dictionary_encode()
+        codes, size = encoded.indices.to_numpy(), words.value_lengths().to_numpy()
+        text = np.repeat(np.arange(len(batch), dtype=np.int32), size)
+        place = np.arange(len(codes), dtype=np.int32) - np.repeat((np.cumsum(size) - size).astype(np.int32), size)
+        worth = ~np.isin(encoded.dictionary.to_numpy(zero_copy_only=False), STOP_WORDS)
+        counted = np.bincount(text[worth[codes]], minlength=len(batch))
+        short = codes.astype(np.uint16) if len(encoded.dictionary) <= 1 << 16 else codes
+        order = np.argsort(short, kind="stable")  # of two bytes, a radix sort
+        codes, text, place = codes[order], text[order], place[order]
+        first = np.ones(len(codes), bool)
+        first[1:] = (codes[1:] != codes[:-1]) | (text[1:] != text[:-1])
+        at = np.flatnonzero(first)  # where a word of a text begins
+        codes, text = codes[at], text[at]
+        new = np.flatnonzero(np.append(True, codes[1:] != codes[:-1])[: len(codes)])  # and where a word does
+        # the row of the token '' comes last
+        token = pa.concat_arrays([encoded.dictionary.take(pa.array(codes[new])).cast(pa.string()), pa.array([""], pa.string())])
+        of = np.append(text, np.arange(len(batch)))
+        keys, dls = batch[key].take(pa.array(of)), pa.array(counted[of], pa.int32())
+        positions = _listed(np.append(at, np.full(len(batch), len(place))), pa.array(place, pa.int32()))
+        lists = np.append(new, len(codes))
+        return pa.RecordBatch.from_arrays([token, *[_listed(lists, c) for c in (keys, dls, positions)]], ["token", "keys", "dls", "positions"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (b.slice(at, TEXTS) for b in batches for at in range(0, len(b), TEXTS)):
-            found, rows, sizes, flat = [], [], [], []
-            for row, words in enumerate(batch["words"].to_pylist()):
-                at = {"": []}
-                for pos, word in enumerate(words):
-                    at.setdefault(word, []).append(pos)
-                found += at
-                rows += [row] * len(at)
-                for places in at.values():
-                    sizes.append(len(flat))
-                    flat += places
-            rows = pa.array(rows, pa.int64())
-            positions = pa.ListArray.from_arrays(pa.array([*sizes, len(flat)], pa.int32()), pa.array(flat, pa.int32()))
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), batch[key].take(rows), batch["dl"].take(rows), positions], ["token", key, "dl", "positions"])
+        for batch in batches:
+            ends, at = np.cumsum(batch["words"].value_lengths().to_numpy(), dtype=np.int64), 0
+            while at < len(batch):
+                before = ends[at - 1] if at else 0
+                end = max(at + 1, int(np.searchsorted(ends, before + WORDS, "right")))
+                yield group(batch.slice(at, end - at))
+                at = end
 
     return run
 
@@ -114,10 +141,22 @@ def _put(spark: SparkSession, index: TextIndex, rows: DataFrame, name: str, numb
     return _table(spark, index, name, [number])
 
 
+#: What single postings have beside their keys, and the lists that it comes from.
+_LISTS = {"dl": "dls", "tf": "transform(positions, p -> size(p))", "positions": "positions"}
+
+
+def _each(index: TextIndex, rows: DataFrame, names: tuple[str, ...], *by: str) -> DataFrame:
+    """Rows of postings as rows (by..., key, names...) of single texts; lists that
+    aren't needed aren't read."""
+    lists = rows.select(*by, F.col("keys").alias(index.key), *[F.expr(_LISTS[n]).alias(f"_{n}") for n in names])
+    each = lists.select(*by, F.inline(F.arrays_zip(index.key, *[f"_{n}" for n in names])))
+    return each.withColumnsRenamed({f"_{n}": n for n in names})
+
+
 def _texts(spark: SparkSession, index: TextIndex, known: list[int]) -> DataFrame:
     """(key, batch, dl) of all texts of some batches, replaced ones too."""
     bucket = _folders(index, spark.createDataFrame([("",)], "token string"))
-    return _table(spark, index, "postings", known, bucket).filter("token = ''").select(index.key, "batch", "dl")
+    return _each(index, _table(spark, index, "postings", known, bucket).filter("token = ''"), ("dl",), "batch")
 
 
 def _finish(spark: SparkSession, index: TextIndex, posted: DataFrame, number: int, files: int, again: DataFrame) -> int:
@@ -150,9 +189,8 @@ def add_batch(docs: DataFrame, index: TextIndex, text: str, order: str | None =
     same = F.col(key).eqNullSafe(F.col("_k"))
     several = docs.join(repeated, same, "left_semi").groupBy(key).agg(F.max_by(text, last).alias("_text"))
     one = docs.join(repeated, same, "left_anti").select(key, F.col(text).alias("_text")).unionByName(several)
-    one = one.select(F.col(key).cast(index.kind).alias(key), tokens("_text", stop=False).alias("words"))
-    own = one.select(key, F.size(F.filter("words", lambda t: ~t.isin(STOP_WORDS))).alias("dl"), "words")
-    posted = own.mapInArrow(_grouped(key), f"token string, {key} {index.kind}, dl int, positions array<int>").withColumn("bucket", _bucket(index, F.col("token")))
+    own = one.select(F.col(key).cast(index.kind).alias(key), tokens("_text", stop=False).alias("words"))
+    posted = own.mapInArrow(_grouped(key), _FIELDS["postings"].format(kind=index.kind).rsplit(", ", 2)[0]).withColumn("bucket", _bucket(index, F.col("token")))
     posted = _put(spark, index, posted, "postings", number, files)
     again = _texts(spark, index, [number]).select(key)
     if deleted is not None:
@@ -163,29 +201,38 @@ def add_batch(docs: DataFrame, index: TextIndex, text: str, order: str | None =
 def rewrite(spark: SparkSession, index: TextIndex, path: str) -> TextIndex:
     """The live texts of all batches as the first batch of a new index at path."""
     known, new = batches(spark, index), index._replace(path=path)
-    live = _live(spark, index, _table(spark, index, "postings", known), known).drop("batch")
-    posted = _put(spark, new, live, "postings", 0, len(known))
-    _finish(spark, new, posted, 0, 1, posted.select(index.key).limit(0))
+    rows = _table(spark, index, "postings", known).withColumn("_row", F.monotonically_increasing_id())
+    live = _live(spark, index, _each(index, rows, ("dl", "positions"), "token", "batch", "bucket", "_row"), known)
+    row = live.groupBy("_row", "token", "bucket").agg(F.collect_list(F.struct(index.key, "dl", "positions")).alias("_l"))
+    posted = _put(spark, new, row.select("token", F.col(f"_l.{index.key}").alias("keys"), F.col("_l.dl").alias("dls"), "_l.positions", "bucket"), "postings", 0, len(known))
+    _finish(spark, new, posted, 0, 1, _texts(spark, new, [0]).select(index.key).limit(0))
     return new
 
 
+def _found(spark: SparkSession, index: TextIndex, asked: DataFrame, *names: str, small: bool = False) -> DataFrame:
+    """(token, key, names..., batch) of the live texts that hold a token of asked
+    (token), of which there may be several rows. names: of dl, tf (how many
+    positions) and positions. small: asked goes to every executor."""
+    known, once = batches(spark, index), asked.select("token").distinct()
+    rows = _table(spark, index, "postings", known, _folders(index, once)).join(F.broadcast(once) if small else once, "token", "left_semi")
+    return _live(spark, index, _each(index, rows, names, "token", "batch"), known)
+
+
 def postings_of(spark: SparkSession, index: TextIndex, asked: DataFrame) -> DataFrame:
     """(token, key, dl, positions) of the live texts that hold a token of asked
     (token), of which there may be several rows."""
-    known, once = batches(spark, index), asked.select("token").distinct()
-    rows = _table(spark, index, "postings", known, _folders(index, once)).join(once, "token", "left_semi")
-    return _live(spark, index, rows, known).drop("batch", "bucket")
+    return _found(spark, index, asked, "dl", "positions").drop("batch")
 
 
 def bm25(spark: SparkSession, index: TextIndex, queries: DataFrame, query_key: str, text: str, k: int = 10) -> DataFrame:
     """(query_key, key, score, rank): the k best of each query, ties to the smaller
     key. Any common word that is no stop word is a match."""
     asked = queries.select(query_key, F.explode(F.array_distinct(tokens(text))).alias("token"))
-    rows = postings_of(spark, index, asked).select("token", index.key, "dl", F.size("positions").alias("tf"))
+    rows = _found(spark, index, asked, "dl", "tf")
     of = read_or_empty(spark, f"{index.path}/batches", _FIELDS["batches"])
     size = of.agg(F.sum(F.col("n_docs") - F.col("n_replaced")).alias("n"), F.sum(F.col("n_words") - F.col("n_words_replaced")).alias("w")).first()
     n, average = float(size["n"] or 0), (size["w"] or 0) / max(1, size["n"] or 0)
-    df = rows.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    df = _found(spark, index, asked).groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log(1 + (F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weight = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.lit(average)))
     weighed = rows.join(df, "token").select("token", index.key, weight.alias("w"))
@@ -197,28 +244,52 @@ def bm25(spark: SparkSession, index: TextIndex, queries: DataFrame, query_key: s
 def phrases(spark: SparkSession, index: TextIndex, queries: DataFrame, query_key: str, text: str) -> DataFrame:
     """(query_key, key, n): texts that hold all words of a query in a row, and how often. A query
     starts from its rarest word: the places of that word, less its place in the
-    query, are where the phrase may begin, and each further word is looked for there.
-    Queries without words, and with words that no text holds, find nothing."""
+    query, are where the phrase may begin. There its next rarest word is looked for,
+    and the others where that one is, too. Queries without words, and with words
+    that no text holds, find nothing."""
     words = tokens(text, stop=False)
-    asked = queries.select(query_key, F.size(words).alias("_size"), F.posexplode(words).alias("_at", "token")).distinct()
-    rows = postings_of(spark, index, asked).select("token", F.col(index.key).alias("_doc"), "positions")
-    df = rows.groupBy("token").agg(F.count(F.lit(1)).alias("_df"))
-    known = asked.join(df, "token")
-    rare = known.groupBy(F.col(query_key).alias("_q")).agg(F.min_by(F.struct("token", "_at", "_size"), F.struct("_df", "_at")).alias("_r"), F.count(F.lit(1)).alias("_n"))
-    rare = rare.filter(F.col("_n") == F.col("_r._size")).select("_q", F.col("_r.token").alias("token"), F.col("_r._at").alias("_first"), F.col("_r._size").alias("_size"))
-    starts = rare.join(rows, "token").select("_q", "_doc", "_first", "_size", F.explode("positions").alias("_p")).select("_q", "_doc", "_first", "_size", (F.col("_p") - F.col("_first")).alias("_start")).filter("_start >= 0")
-    rest = asked.select(F.col(query_key).alias("_o"), F.col("_at"), F.col("token").alias("_t"))
-    more = starts.join(rest, (F.col("_q") == F.col("_o")) & (F.col("_at") != F.col("_first")))
-    held = rows.select(F.col("token").alias("_w"), F.col("_doc").alias("_d"), "positions")
-    found = more.join(held, (F.col("_t") == F.col("_w")) & F.col("_doc").eqNullSafe(F.col("_d")) & F.array_contains("positions", F.col("_start") + F.col("_at")))
-    whole = found.groupBy("_q", "_doc", "_start", "_size").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") == F.col("_size") - 1)
-    every = whole.select("_q", "_doc").unionByName(starts.filter("_size = 1").select("_q", "_doc"))
-    return every.groupBy(F.col("_q").alias(query_key), F.col("_doc").alias(index.key)).agg(F.count(F.lit(1)).alias("n"))
+    asked = queries.select(F.col(query_key).alias("_q"), F.size(words).alias("_size"), F.posexplode(words).alias("_at", "token")).distinct()
+    df = _found(spark, index, asked).groupBy("token").agg(F.count(F.lit(1)).alias("_df"))
+    # the words of a query by how rare they are
+    ranked = asked.join(df, "token").groupBy("_q", "_size").agg(F.sort_array(F.collect_list(F.struct("_df", "_at", "token"))).alias("_w"))
+    ranked = cut_lineage(ranked.filter(F.size("_w") == F.col("_size")))
+    # few queries go to every executor; the size of rows that were cut off isn't known to the planner
+    small = (ranked.agg(F.sum("_size")).first()[0] or 0) <= SMALL
+    sent = F.broadcast if small else (lambda rows: rows)
+
+    def held(rows: DataFrame) -> DataFrame:
+        """(_word, ...) of rows with the texts that hold the word, _doc, and where the query
+        would begin in them, _here."""
+        found = _found(spark, index, rows.select(F.col("_word.token").alias("token")), "positions", small=small)
+        met = found.join(sent(rows), F.col("_word.token") == F.col("token")).withColumnRenamed(index.key, "_doc")
+        begin = F.filter(F.transform("positions", lambda p: p - F.col("_word._at")), lambda p: p >= 0)
+        return met.select("_q", "_size", "_doc", begin.alias("_here")).filter(F.size("_here") > 0)
+
+    def also(starts: DataFrame, rows: DataFrame) -> DataFrame:
+        """starts (_q, _size, _doc, _here) at which a further word of the query, of rows, is, too."""
+        further = sent(rows.select(F.col("_q").alias("_o"), F.col("_word.token").alias("_t"), F.col("_word._at").alias("_at")))
+        each = starts.join(further, F.col("_q") == F.col("_o"))
+        found = _found(spark, index, rows.select(F.col("_word.token").alias("token")), "positions", small=small).select("token", F.col(index.key).alias("_d"), "positions")
+        met = each.join(found, (F.col("_t") == F.col("token")) & F.col("_doc").eqNullSafe(F.col("_d")))
+        there = F.transform("positions", lambda p: p - F.col("_at"))
+        return met.select("_q", "_size", "_doc", F.array_intersect("_here", there).alias("_here")).filter(F.size("_here") > 0)
+
+    nth = lambda rows, n: rows.select("_q", "_size", F.col("_w")[n].alias("_word"))
+    single, several = ranked.filter("_size = 1"), ranked.filter("_size > 1")
+    pairs = cut_lineage(also(held(nth(several, 0)), nth(several, 1)))
+    rest = several.filter("_size > 2").select("_q", "_size", F.explode(F.slice("_w", F.lit(3), F.col("_size"))).alias("_word"))
+    more = also(pairs.filter("_size > 2"), rest).select("_q", "_size", "_doc", F.explode("_here").alias("_start"))
+    whole = more.groupBy("_q", "_doc", "_size", "_start").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") == F.col("_size") - 2)
+    whole = whole.groupBy("_q", "_doc").agg(F.count(F.lit(1)).alias("n"))
+    two = pairs.filter("_size = 2").select("_q", "_doc", F.size("_here").cast("long").alias("n"))
+    word = nth(single, 0).select("_q", F.col("_word.token").alias("token"))
+    one = _found(spark, index, word, "tf", small=small).join(sent(word), "token").select("_q", F.col(index.key).alias("_doc"), F.col("tf").cast("long").alias("n"))
+    return one.unionByName(two).unionByName(whole).select(F.col("_q").alias(query_key), F.col("_doc").alias(index.key), "n")
 
 
 def _keys_of(spark: SparkSession, index: TextIndex, found: DataFrame) -> DataFrame:
     """(name, key) of found (name, token)."""
-    return found.join(postings_of(spark, index, found).select("token", index.key), "token").select(found.columns[0], index.key).distinct()
+    return found.join(_found(spark, index, found), "token").select(found.columns[0], index.key).distinct()
 
 
 def prefixes(spark: SparkSession, index: TextIndex, names: DataFrame, name: str) -> DataFrame:

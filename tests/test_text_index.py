@@ -148,3 +148,39 @@ def test_an_empty_index_answers(spark, tmp_path):
         assert text_index.prefixes(spark, index, queries, "name").count() == 0 and text_index.fuzzy(spark, index, queries, "name", 1, 0).count() == 0
         if not turn:
             text_index.add_batch(spark.createDataFrame([], SCHEMA), index, "text")
+
+
+def test_texts_of_a_task_share_rows_of_postings(spark, tmp_path):
+    """A word has a row for the texts that a task took together, not one for each text."""
+    index = text_index.TextIndex(str(tmp_path), "id", "long", 4)
+    text_index.add_batch(spark.createDataFrame([(i, f"the alpha beta alpha w{i}", 0) for i in range(40)] + [(90, None, 0)], SCHEMA).coalesce(1), index, "text")
+    rows = {}
+    for r in spark.read.parquet(f"{tmp_path}/postings").collect():
+        rows.setdefault(r.token, []).append(r)
+    assert len(rows["alpha"]) < 40 and {tuple(p) for r in rows["alpha"] for p in r.positions} == {(1, 3)}
+    assert sorted(k for r in rows["alpha"] for k in r["keys"]) == list(range(40))
+    sizes = {k: n for r in rows[""] for k, n in zip(r["keys"], r.dls, strict=True)}
+    assert sizes == {i: 4 for i in range(40)} | {90: 0}
+
+
+def test_texts_are_taken_together_by_their_words():
+    import pyarrow as pa
+
+    words = [["x", "b", "x"], [], ["c"] * text_index.WORDS, ["x"], []]
+    batch = pa.RecordBatch.from_pydict({"id": pa.array([1, 2, 3, 4, None]), "words": pa.array(words, pa.list_(pa.string()))})
+    out = list(text_index._grouped("id")([batch.slice(0, 0), batch]))
+    assert [len(b) for b in out] == [3, 2, 2]
+    assert out[0].to_pylist() == [
+        {"token": "x", "keys": [1], "dls": [3], "positions": [[0, 2]]}, {"token": "b", "keys": [1], "dls": [3], "positions": [[1]]},
+        {"token": "", "keys": [1, 2], "dls": [3, 0], "positions": [[], []]},
+    ]
+    assert out[2].to_pylist()[1] == {"token": "", "keys": [4, None], "dls": [1, 0], "positions": [[], []]}
+
+
+def test_phrases_of_many_queries_are_joined_by_a_shuffle(spark, built, monkeypatch):
+    index, _ = built
+    queries = spark.createDataFrame(list(enumerate(["alpha", "alpha beta", "alpha alpha alpha", "the alpha of the alpha", "unknown alpha"])), "q int, words string")
+    find = lambda: sorted(map(str, text_index.phrases(spark, index, queries, "q", "words").collect()))
+    want = find()
+    monkeypatch.setattr(text_index, "SMALL", -1)
+    assert find() == want and want
