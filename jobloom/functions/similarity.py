@@ -108,9 +108,11 @@ def _all_windows(short: str, codes: np.ndarray, least: float) -> float:
     character of short. Windows that have too few of its characters are left out."""
     m, n = len(short), len(codes)
     masks = np.zeros(n + 2 * (m - 1), np.uint64)
-    inner = masks[m - 1 : m - 1 + n]
-    for c in set(short):
-        inner[codes == ord(c)] = sum(1 << i for i, x in enumerate(short) if x == c)
+    top = max(map(ord, short)) + 1
+    bits = np.zeros(top + 1, np.uint64)
+    for i, c in enumerate(short):
+        bits[ord(c)] |= np.uint64(1 << i)
+    masks[m - 1 : m - 1 + n] = bits[np.minimum(codes, top)]
     ends = np.arange(1, n + m)
     size = np.minimum(ends, n) - np.maximum(0, ends - m)
     known = np.concatenate(([0], np.cumsum(masks != 0)))
