@@ -24,6 +24,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -169,34 +170,37 @@ def write(docs: DataFrame, tokenizer: str, root: str, end_id: int = END_ID, widt
     parts = max(1, math.ceil((size["b"] or 0) / shard_bytes))
     by = (F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
     ordered = rows.repartitionByRange(parts, *by).sortWithinPartitions(*by, "text").withColumn("doc_id", F.col("doc_id").cast("string"))
-    end, kind = int(end_id).to_bytes(4, "little"), np.dtype(f"<u{width}")
+    kind = np.dtype(f"<u{width}")
+    columns = "doc_id string, nth long, shard long, name string, at long, n long"
 
-    def shard(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId()
         name, at, last, nth = f"shard-{number:06d}-{uuid.uuid4().hex}.bin", 0, object(), 0
-        encode = encoder(tokenizer, special).encode
+        encode = encoder(tokenizer, special).encode_arrays
         store, path = _store(root)
         store.create_dir(path, recursive=True)
         out = None
         for batch in batches:
-            for i in range(0, len(batch), 256):
-                own, found = batch.iloc[i : i + 256], []
-                if out is None:
-                    out = store.open_output_stream(f"{path}/{name}")
-                    out.write(struct.pack(_HEADER, MAGIC, width, 0, number))
-                for doc_id, raw in zip(own["doc_id"], encode(own["text"].tolist()), strict=True):
-                    nth = nth + 1 if doc_id == last else 0
-                    last, ids = doc_id, np.frombuffer(raw + end, "<u4")
-                    if len(ids) and ids.max() > np.iinfo(kind).max:
-                        raise ValueError(f"ids of this tokenizer need more than {width} bytes")
-                    out.write(ids.astype(kind).tobytes())
-                    found.append((doc_id, nth, number, name, at, len(ids)))
-                    at += len(ids)
-                yield pd.DataFrame(found, columns=["doc_id", "nth", "shard", "name", "at", "n"])
+            if out is None:
+                out = store.open_output_stream(f"{path}/{name}")
+                out.write(struct.pack(_HEADER, MAGIC, width, 0, number))
+            ids, size = encode(batch["text"], end_id)
+            if len(ids) and ids.max() > np.iinfo(kind).max:
+                raise ValueError(f"ids of this tokenizer need more than {width} bytes")
+            out.write(ids.astype(kind).tobytes())
+            turns = []
+            for doc_id in batch["doc_id"].to_pylist():
+                nth = nth + 1 if doc_id == last else 0
+                last = doc_id
+                turns.append(nth)
+            start = at + np.cumsum(size) - size
+            at += len(ids)
+            k = len(turns)
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], *map(pa.array, (turns, [number] * k, [name] * k, start, size))], columns.replace(" string", "").replace(" long", "").split(", "))
         if out is not None:
             out.close()
 
-    placed = written(ordered.mapInPandas(shard, "doc_id string, nth long, shard long, name string, at long, n long"), "placed")
+    placed = written(ordered.mapInArrow(shard, columns), "placed")
     placed = _counted_on(placed)
     shards = placed.groupBy("shard", "name").agg(F.sum("n").alias("ids"))
     base = F.coalesce(F.sum("ids").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

@@ -17,6 +17,10 @@ import re
 import unicodedata
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 #: Units that a worker's memo holds before it is put aside for a new one; what is
 #: met again comes over from the older one.
 MEMO = 300_000
@@ -58,6 +62,40 @@ def units(text: str, drops: bool) -> list[str]:
     return text.replace("\n", " \n").split(" ")
 
 
+def picked(values: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """values[start : start + size] of each start and size, one behind the other."""
+    ends = np.cumsum(size, dtype=np.int64)
+    return values[np.repeat(start - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
+
+
+class _Words:
+    """Ids of words, in arrays: a batch's words are looked up at once. Holds `size` words
+    at most; when there are more, those not met again since the last time are put aside."""
+
+    def __init__(self, size: int) -> None:
+        self.size = size
+        self.words, self.ids, self.first, self.met = pa.array([], pa.string()), np.empty(0, "<u4"), np.zeros(1, np.int64), np.empty(0, bool)
+
+    def look_up(self, words: pa.StringArray, find) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, start, size) of distinct words; find: bytes of the ids of one."""
+        if len(self.words) > self.size:
+            keep = np.flatnonzero(self.met)[-(self.size // 2) :]
+            size = np.diff(self.first)[keep]
+            self.ids, self.words = picked(self.ids, self.first[keep], size), self.words.take(pa.array(keep))
+            self.first, self.met = np.concatenate(([0], np.cumsum(size))), np.zeros(len(keep), bool)
+        at = pc.index_in(words, value_set=self.words)
+        known, place = at.is_valid().to_numpy(zero_copy_only=False), at.fill_null(0).to_numpy().astype(np.int64)
+        self.met[place[known]] = True
+        new = words.filter(pa.array(~known))
+        place[~known] = len(self.words) + np.arange(len(new))
+        raw = [find(w) for w in new.to_pylist()]
+        size = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+        self.ids = np.concatenate((self.ids, np.frombuffer(b"".join(raw), "<u4")))
+        self.first = np.concatenate((self.first, self.first[-1] + np.cumsum(size)))
+        self.words, self.met = pa.concat_arrays([self.words, new]), np.concatenate((self.met, np.zeros(len(new), bool)))
+        return self.ids, self.first[place], self.first[place + 1] - self.first[place]
+
+
 class Encoder:
     """Bytes of the ids of texts, 4 a token.
 
@@ -83,6 +121,7 @@ class Encoder:
             top = max(json.load(f)["model"]["vocab"].values())
         self.four = [i.to_bytes(4, "little") for i in range(top + 1)]
         self.memo, self.older, self.pieces, self.size = _Memo(self._find), {}, _Memo(self._bpe), memo
+        self.words = _Words(memo)
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -128,11 +167,75 @@ class Encoder:
             return b"".join(map(self.memo.__getitem__, parts))
         return self._raw(parts[0], "") + b"".join(map(self.memo.__getitem__, parts[1:]))
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def _make_room(self) -> None:
         if len(self.memo) > self.size:
             self.older, self.memo = self.memo, _Memo(self._find)
         if len(self.pieces) > self.size:
             self.pieces.clear()
+
+    def encode_arrays(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, size) of texts without nulls: the ids of all, each text's with an end id
+        behind them, and how many they are. Of a file that drops white space, each
+        distinct unit of the texts is looked at once, and its word by arrays."""
+        last = np.array([end], "<u4")
+        texts = texts.cast(pa.string())
+        whole = np.full(len(texts), not self.drops)
+        for token in self.added:
+            whole |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        if whole.any():
+            parts = [np.append(np.frombuffer(raw, "<u4"), last) for raw in self.encode(texts.filter(pa.array(whole)).to_pylist())]
+            size = np.empty(len(texts), np.int64)
+            size[whole] = [len(x) for x in parts]
+            if whole.all():
+                return np.concatenate(parts), size
+            # the texts of both kinds in their order
+            ids, size[~whole] = self.encode_arrays(texts.filter(pa.array(~whole)), end)
+            values, start = np.concatenate((ids, *parts)), np.empty(len(texts), np.int64)
+            for own, behind in ((~whole, 0), (whole, len(ids))):
+                start[own] = behind + np.cumsum(size[own]) - size[own]
+            return picked(values, start, size), size
+        self._make_room()
+        units = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        encoded = units.flatten().dictionary_encode()
+        ids, start, size = self._of_units(encoded.dictionary)
+        each, ends = encoded.indices.to_numpy(), np.cumsum(units.value_lengths().to_numpy(), dtype=np.int64)
+        each = np.insert(each, ends, len(start))
+        ids, start, size = np.append(ids, last), np.append(start, len(ids)), np.append(size, 1)
+        before = np.append(0, np.cumsum(size[each]))
+        ends += np.arange(1, len(ends) + 1)
+        return picked(ids, start[each], size[each]), np.diff(before[ends], prepend=0)
+
+    def _of_units(self, units: pa.StringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, start, size) of distinct units of a file that drops white space."""
+        word = pc.utf8_rtrim(units, _MARKS)
+        # characters up to U+023F but for U+0130 are composed and have a lower case of their own
+        odd = pc.match_substring_regex(units, r"[^\x00-\x{023F}]|\x{0130}")
+        plain = pc.and_not(pc.utf8_is_alpha(word), odd).to_numpy(zero_copy_only=False)
+        rest = [self.memo[u] for u in units.filter(pa.array(~plain)).to_pylist()]
+        units, word = units.filter(pa.array(plain)), word.filter(pa.array(plain))
+        begin, left = np.frombuffer(units.buffers()[1], np.int32)[units.offset : units.offset + len(units) + 1].astype(np.int64), pc.binary_length(word).to_numpy().astype(np.int64)
+        size = np.diff(begin) - left
+        marks = picked(np.frombuffer(units.buffers()[2] or b"", np.uint8), begin[:-1] + left, size)
+        ends = np.append(0, np.cumsum(size)).astype(np.int32)
+        marks = pa.StringArray.from_buffers(len(units), pa.py_buffer(ends), pa.py_buffer(marks)).dictionary_encode()
+        word = pc.utf8_lower(word).dictionary_encode()
+        ids, first, size = self.words.look_up(word.dictionary, lambda w: self._word(w, ""))
+        tails = [self.pieces[m] if m else b"" for m in marks.dictionary.to_pylist()]
+        tail_size = np.array([len(t) // 4 for t in tails], np.int64)
+        tail_first = len(ids) + np.cumsum(tail_size) - tail_size
+        values = np.concatenate((ids, np.frombuffer(b"".join(tails), "<u4")))
+        w, m = word.indices.to_numpy(), marks.indices.to_numpy()
+        two = np.stack((size[w], tail_size[m]), 1)
+        own = picked(values, np.stack((first[w], tail_first[m]), 1).ravel(), two.ravel())
+        out = np.empty(len(plain), np.int64)
+        out[plain], out[~plain] = two.sum(1), [len(x) // 4 for x in rest]
+        start = np.empty(len(plain), np.int64)
+        start[plain] = np.cumsum(out[plain]) - out[plain]
+        start[~plain] = len(own) + np.cumsum(out[~plain]) - out[~plain]
+        return np.concatenate((own, np.frombuffer(b"".join(rest), "<u4"))), start, out
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        self._make_room()
         found = []
         for text in texts:
             if self.cuts is None or not self.cuts.search(text):

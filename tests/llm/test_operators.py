@@ -722,3 +722,27 @@ def test_quality_holds_few_arrays():
     assert peak < 13 * symbols.nbytes
     tagged = [quality._tagged(each[k][ok], k) for k in range(1, quality.ORDER + 1)] + [quality._tagged(each[k][ok - 1], k) for k in range(quality.ORDER)]
     assert np.array_equal(every, np.unique(np.concatenate(tagged)))
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_encoding_by_arrays(name, rows):
+    """Ids are those of encode; of a file that drops white space each distinct word of a batch is met once."""
+    import pyarrow as pa
+
+    path, rng = public_tokenizers.path(name), random.Random(4)
+    alphabet = [*" \n\t abAB'sSé̈漢한1.!|\x1c　\xa0\x85İıßẞ²ǅΣςȺȿɀªº_", "<|endoftext|>", "H̱"]
+    texts = [t for _, t in rows] + ["".join(rng.choice(alphabet) for _ in range(rng.randrange(40))) for _ in range(2000)] + ["a <|endoftext|> b"]
+    for special in (True, False):
+        own, plain = Encoder(path, memo=60, special=special), Encoder(path, special=special)
+        for i in range(0, len(texts), 300):
+            part = texts[i : i + 300]
+            ids, size = own.encode_arrays(pa.array(part, pa.string()), 7)
+            want = [np.frombuffer(x, "<u4").tolist() + [7] for x in plain.encode(part)]
+            assert size.tolist() == list(map(len, want)) and ids.tolist() == [k for x in want for k in x]
+    if name == "word_bpe_49k.json":
+        seen, own = [], Encoder(path)
+        own._word = lambda word, space, find=own._word: (seen.append(word), find(word, space))[1]
+        own.encode_arrays(pa.array(["Tiger, tiger!  burning", "bright tiger.\nBurning;"]), 1)
+        assert sorted(seen) == ["bright", "burning", "tiger"]
+    ids, size = Encoder(path).encode_arrays(pa.array([], pa.string()), 1)
+    assert len(ids) == len(size) == 0
