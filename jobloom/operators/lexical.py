@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from jobloom.functions.let import let
 from jobloom.functions.lineage import cut_lineage
 from jobloom.functions.similarity import may_reach, name_outline
 
@@ -120,10 +121,11 @@ def index_top(index: TokenIndex, queries: DataFrame, key: str, query_key: str, q
 def phrase_matches(names: DataFrame, titles: DataFrame, name: str, title: str) -> DataFrame:
     """names x titles whose tokens hold the name's tokens in a row. They meet by the
     name's token that the fewest titles have; a name with one that none has meets no title."""
-    right = titles.withColumn("_in", token_line(title)).withColumn("_word", F.explode(F.array_distinct(tokens(title, False))))
+    # explode_outer, for no filter on its array is then put before it, which would cut the title again
+    right = titles.withColumn("_in", token_line(title)).withColumn("_word", F.explode_outer(F.array_distinct(tokens(title, False))))
     df = right.groupBy("_word").agg(F.count(F.lit(1)).alias("_df"))
     words = F.array_distinct(tokens(name, False))
-    each = names.select(name).distinct().select(F.col(name).alias("_name"), F.size(words).alias("_size"), F.explode(words).alias("_token"))
+    each = names.select(name).distinct().select(F.col(name).alias("_name"), F.size(words).alias("_size"), F.explode_outer(words).alias("_token"))
     known = each.join(df.hint("merge"), F.col("_token") == F.col("_word")).groupBy("_name", "_size").agg(F.min_by("_token", F.struct("_df", "_token")).alias("_token"), F.count(F.lit(1)).alias("_n"))
     left = names.join(known.filter("_n = _size").select("_name", "_token").hint("merge"), F.col(name) == F.col("_name")).withColumn("_line", token_line(name))
     return left.join(right.hint("merge"), (F.col("_token") == F.col("_word")) & F.contains("_in", "_line")).drop("_line", "_token", "_in", "_word", "_name")
@@ -132,10 +134,10 @@ def phrase_matches(names: DataFrame, titles: DataFrame, name: str, title: str) -
 def prefix_matches(names: DataFrame, titles: DataFrame, name: str, title: str) -> DataFrame:
     """names x titles with a token that begins with the whole name, as it is. Names
     meet the beginnings of the distinct tokens, then the titles by the token."""
-    right = titles.withColumn("_word", F.explode(F.array_distinct(tokens(title, False))))
+    right = titles.withColumn("_word", F.explode_outer(F.array_distinct(tokens(title, False))))
     wanted = names.select(F.col(name).alias("_name")).filter(F.length(name) > 0).distinct()
     longest = F.broadcast(wanted.agg(F.coalesce(F.max(F.length("_name")), F.lit(1)).alias("_longest")))  # one row
-    start = F.explode(F.transform(F.sequence(F.lit(1), F.least(F.length("_word"), F.col("_longest"))), lambda n: F.substring(F.col("_word"), F.lit(1), n)))
+    start = F.explode_outer(F.transform(F.sequence(F.lit(1), F.least(F.length("_word"), F.col("_longest"))), lambda n: F.substring(F.col("_word"), F.lit(1), n)))
     starts = right.select("_word").distinct().crossJoin(longest).select(F.col("_word").alias("_token"), start.alias("_start"))
     pairs = wanted.join(starts.hint("merge"), F.col("_name") == F.col("_start")).select("_name", "_token")
     found = names.join(pairs.hint("merge"), F.col(name) == F.col("_name")).join(right.hint("merge"), F.col("_token") == F.col("_word")).drop("_name", "_token", "_word")
@@ -177,30 +179,69 @@ def _neighbours(token: Column, edits: Column, most: int, prefix: int) -> Column:
     return F.concat(F.when(size <= LONG_TOKEN, short).otherwise(empty), F.when(size > LONG_TOKEN - most, F.array(start)).otherwise(empty))
 
 
+def _one_edit_keys(token: Column, prefix: int, known: bool) -> Column:
+    """Keys by which each two tokens one edit apart or equal, with the same first characters,
+    meet once: what is left without a character, of the longer one only; and of two of
+    one length what is left with the place of the character."""
+    start, size = F.substring(token, 1, prefix), F.length(token)
+    kind = lambda k, texts: F.transform(texts, lambda t: F.concat(F.lit(k), start, F.lit("/"), t))
+    own, less = F.array(token), F.array_distinct(_shorter(F.array(token), F.array().cast("array<string>")))
+    longer = [kind("a", F.concat(own, less)), kind("b", own)] if known else [kind("a", own), kind("b", less)]
+    places = F.when(size > prefix, F.sequence(F.lit(prefix + 1), size)).otherwise(F.array().cast("array<int>"))
+    same = F.transform(places, lambda i: F.concat(F.lit("c"), i.cast("string"), F.lit("/"), F.substring(token, F.lit(1), i - 1), F.substring(token, i + 1, size)))
+    short = F.when(size <= LONG_TOKEN, F.concat(*longer, same)).otherwise(F.array().cast("array<string>"))
+    return F.concat(short, F.when(size >= LONG_TOKEN, F.array(F.concat(F.lit("d"), start))).otherwise(F.array().cast("array<string>")))
+
+
+def spread(rows: DataFrame, by: str) -> DataFrame:
+    """rows dealt by a column to tasks that are not made fewer for how small it is: each row
+    of it costs more than its size tells."""
+    return rows.repartition(4 * rows.sparkSession.sparkContext.defaultParallelism, by)
+
+
 def fuzzy_matches(names: DataFrame, titles: DataFrame, name: str, title: str, fuzziness: int | str, prefix: int, least: float = 0.0) -> DataFrame:
     """names x titles with tokens that are a few edits apart and agree in their first
     `prefix` characters. Any token of the name will do. Distinct tokens meet first, by
-    deletion neighbourhoods; no side is broadcast, for small files may hold many tokens.
+    deletion neighbourhoods, those one edit apart only once; no side is broadcast, for small
+    files may hold many tokens.
 
     least: pairs whose name_similarity is below it may be left out. Tokens that are
     all of their names and titles are held against it where they meet, by a bound from
     bits first."""
     most = 2 if isinstance(fuzziness, str) else int(fuzziness)
-    left = names.withColumn("_token", F.explode(F.array_distinct(tokens(name))))
-    right = titles.withColumn("_word", F.explode(F.array_distinct(tokens(title))))
+    left = names.distinct().withColumn("_all", F.array_distinct(tokens(name))).select(*names.columns, F.explode_outer("_all").alias("_token"), (F.size("_all") > 1).alias("_several")).filter("_token is not null")
+    right = titles.distinct().withColumn("_all", F.array_distinct(tokens(title))).select(*titles.columns, F.explode_outer("_all").alias("_word"), (F.size("_all") > 1).alias("_many")).filter("_word is not null")
     edits = allowed_edits(F.col("_token"), fuzziness)
-    asked = left.groupBy("_token").agg(F.max(F.lower(name) != F.col("_token")).alias("_more")).withColumn("_key", F.explode(_neighbours(F.col("_token"), edits, most, prefix)))
-    known = right.groupBy("_word").agg(F.max(F.lower(title) != F.col("_word")).alias("_other")).withColumn("_at", F.explode(_neighbours(F.col("_word"), F.lit(most), most, prefix)))
+    # with a bound few pairs are left to be told apart, and fewer keys cost less
+    once = most == 1 and not isinstance(fuzziness, str) and least == 0
+    asked = spread(left.select("_token", (F.lower(name) != F.col("_token")).alias("_more")), "_token").groupBy("_token").agg(F.max("_more").alias("_more"))
+    known = spread(right.select("_word", (F.lower(title) != F.col("_word")).alias("_other")), "_word").groupBy("_word").agg(F.max("_other").alias("_other"))
     close = F.levenshtein("_token", "_word") <= edits
+    if once:
+        long = F.greatest(F.length("_token"), F.length("_word")) > LONG_TOKEN
+        close = F.when(F.startswith("_key", F.lit("c")), F.col("_token") != F.col("_word")).otherwise(~F.startswith("_key", F.lit("d")) | (long & close))
     if least > 0:
         asked, known = asked.withColumn("_x", name_outline("_token")), known.withColumn("_y", name_outline("_word"))
         part = F.col("_more") | F.col("_other")
         close = F.when(part | may_reach(F.col("_x"), F.col("_y"), least), close).otherwise(False)
+    # explode_outer, for no filter on its array is then put before it, which would make the keys again
+    asked = asked.withColumn("_key", F.explode_outer(_one_edit_keys(F.col("_token"), prefix, False) if once else _neighbours(F.col("_token"), edits, most, prefix)))
+    known = known.withColumn("_at", F.explode_outer(_one_edit_keys(F.col("_word"), prefix, True) if once else _neighbours(F.col("_word"), F.lit(most), most, prefix)))
     near = (F.col("_key") == F.col("_at")) & (F.substring("_token", 1, prefix) == F.substring("_word", 1, prefix))
     near &= F.when(F.abs(F.length("_token") - F.length("_word")) <= edits, close).otherwise(False)
-    pairs = asked.join(known.hint("merge"), near).select(F.col("_token").alias("_t"), F.col("_word").alias("_w")).distinct()
+    pairs = asked.join(known.hint("merge"), near).select(F.col("_token").alias("_t"), F.col("_word").alias("_w"))
+    pairs = pairs if once else pairs.distinct()
     found = left.join(pairs.hint("merge"), F.col("_token") == F.col("_t")).join(right.hint("merge"), F.col("_w") == F.col("_word"))
-    return found.drop("_token", "_word", "_t", "_w").distinct()
+    # of the tokens by which a name and a title meet, the first counts; so no row has to be told from all others
+    def first(x: Column) -> Column:
+        t, w = x["t"], x["w"]
+        close = lambda a, b: (F.levenshtein(a, b) <= allowed_edits(a, fuzziness)) & (F.substring(a, 1, prefix) == F.substring(b, 1, prefix))
+        before = lambda texts, own: F.slice(texts, F.lit(1), F.array_position(texts, own).cast("int") - 1)
+        other = F.exists(before(t, F.col("_token")), lambda a: F.exists(w, lambda b: close(a, b)))
+        return ~(other | F.exists(before(w, F.col("_word")), lambda b: close(F.col("_token"), b)))
+
+    both = F.struct(F.array_distinct(tokens(name)).alias("t"), F.array_distinct(tokens(title)).alias("w"))
+    return found.filter(F.when(F.col("_several") | F.col("_many"), let(both, first)).otherwise(True)).select(*names.columns, *titles.columns)
 
 
 def search(rows: DataFrame, must: list[Column] = (), must_not: list[Column] = (), should: list[Column] = (), least: int = 0) -> DataFrame:

@@ -81,3 +81,32 @@ def test_bm25_cuts_each_text_once(spark):
     assert seen.value == len(texts)
     assert got == sorted(map(tuple, lexical.index_top(lexical.token_index(plain, "k", "t"), queries, "k", "q", "w").collect()))
     assert {r[1] for r in got} == {1, 2, 3}
+
+
+def test_fuzzy_pairs_meet_once_without_being_told_apart(spark):
+    """Names and titles of several tokens, repeated rows, long tokens and any prefix; no aggregation of what was found."""
+    draw = random.Random(8)
+    word = lambda: "".join(draw.choice("ab가𝄞") for _ in range(draw.randint(1, 5)))
+    words = ["x" * n + "y" * k for n in (22, 23, 24) for k in (0, 1, 2)]
+    rows = sorted({" ".join(draw.choice([word(), draw.choice(words)]) for _ in range(draw.randint(1, 3))) for _ in range(24)})
+    names = spark.createDataFrame([(n,) for n in [*rows, rows[0], "", None]], "name string")
+    titles = spark.createDataFrame([(str(i % 20), t) for i, t in enumerate([*rows, "Aba aba", None])] * 2, "k string, title string")
+
+    def edits(a, b):
+        last = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row = [i]
+            for j, y in enumerate(b, 1):
+                row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+            last = row
+        return last[-1]
+
+    left = {r["name"]: r.t for r in names.withColumn("t", lexical.tokens("name")).collect()}
+    right = {(r.k, r.title): r.t for r in titles.withColumn("t", lexical.tokens("title")).collect()}
+    for prefix in (0, 2):
+        found = lexical.fuzzy_matches(names, titles, "name", "title", 1, prefix)
+        want = {(n, *k) for n, a in left.items() for k, b in right.items() if any(x[:prefix] == y[:prefix] and abs(len(x) - len(y)) < 2 and edits(x, y) <= 1 for x in a for y in b)}
+        got = [tuple(r) for r in found.collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert not plan.startswith("Aggregate") and "Aggregate" not in plan.split("Join")[0]
