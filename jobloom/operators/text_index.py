@@ -311,7 +311,7 @@ def fuzzy(spark: SparkSession, index: TextIndex, names: DataFrame, name: str, fu
     if index.edits < (EDITS if isinstance(fuzziness, str) else fuzziness):
         raise ValueError(f"an index for {index.edits} edits")
     known = batches(spark, index)
-    asked = names.select(name, F.explode(F.array_distinct(tokens(name))).alias("_word")).distinct()
+    asked = cut_lineage(names.select(name, F.explode(F.array_distinct(tokens(name))).alias("_word")).distinct())  # read several times
     edits = allowed_edits(F.col("_word"), fuzziness)
     words = asked.select("_word").distinct()
     keys = words.filter(F.length("_word") <= LONG_TOKEN + EDITS).select("_word", F.explode(F.array_distinct(deletions(F.col("_word"), edits, index.edits))).alias("short"))
@@ -327,7 +327,7 @@ def fuzzy(spark: SparkSession, index: TextIndex, names: DataFrame, name: str, fu
         long = far.join(_table(spark, index, "terms", known).filter(F.length("token") > LONG_TOKEN).select("token"), (F.length("_word") - F.length("token")).between(-EDITS, EDITS))
     near = (F.levenshtein("_word", "token") <= edits) & (F.substring("_word", 1, prefix) == F.substring("token", 1, prefix))
     found = pairs.unionByName(long.select("_word", "token")).filter(near).distinct()
-    return _keys_of(spark, index, asked.join(found, "_word").select(name, "token"))
+    return _keys_of(spark, index, cut_lineage(asked.join(found, "_word").select(name, "token")))
 
 
 __all__ = ["TextIndex", "add_batch", "batches", "bm25", "fuzzy", "phrases", "postings_of", "prefixes", "rewrite"]

@@ -321,7 +321,8 @@ def name_similarities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _names_and_titles(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    names = fx.mentions(spark, sf_dir).select(text.normalize_company_name("co_nm").alias("name")).filter("name <> ''").distinct()
+    spelt = cut_lineage(fx.mentions(spark, sf_dir).select("co_nm").distinct())  # each spelling is put into its normal form, not each mention
+    names = spelt.select(text.normalize_company_name("co_nm").alias("name")).filter("name <> ''").distinct()
     return names, fx.companies(spark, sf_dir).select("bzno", text.normalize_company_name("title").alias("processed_title"))
 
 

@@ -184,3 +184,18 @@ def test_phrases_of_many_queries_are_joined_by_a_shuffle(spark, built, monkeypat
     want = find()
     monkeypatch.setattr(text_index, "SMALL", -1)
     assert find() == want and want
+
+
+def test_fuzzy_reads_its_names_once(spark, tmp_path):
+    """Making names may cost more than the search, so it isn't repeated for each of its uses."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def made(name: str) -> str:
+        seen.add(1)
+        return name
+
+    index = text_index.TextIndex(str(tmp_path), "id", "long", 4, 1)
+    text_index.add_batch(spark.createDataFrame([(1, "alpha", 0), (2, "beta gamma", 0)], SCHEMA), index, "text")
+    names = spark.createDataFrame([("alpa",), ("gamma",), ("omega",)], "name string").withColumn("name", F.udf(made)("name"))
+    assert {(r.name, r.id) for r in text_index.fuzzy(spark, index, names, "name", 1, 0).collect()} == {("alpa", 1), ("gamma", 2)}
+    assert seen.value <= 6  # once, and once more where Spark evaluates a name for its words
