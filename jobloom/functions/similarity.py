@@ -28,6 +28,18 @@ def name_parts(column: Column | str) -> Column:
     return let(text, lambda t: F.struct(t.alias("t"), _grams(t, 1).alias("g1"), _grams(t, 2).alias("g2")))
 
 
+def _by_prefix(a: Column, b: Column) -> Column:
+    """The similarity of names in lower case of which one is empty or begins with the other, else null."""
+    short, long = F.least(F.length(a), F.length(b)), F.greatest(F.length(a), F.length(b))
+    ratio = short / long * F.when(short < SHORT_PREFIX, SHORT_PREFIX_FACTOR).otherwise(PREFIX_FACTOR)
+    return F.when((a == "") | (b == ""), 0.0).when(a == b, 1.0).when(F.startswith(a, b) | F.startswith(b, a), ratio)
+
+
+def prefix_similarity(a: str, b: str) -> Column:
+    """name_similarity where a name begins with the other, from their lengths alone; else null."""
+    return _by_prefix(F.lower(a), F.lower(b))
+
+
 def parts_similarity(x: Column, y: Column) -> Column:
     """name_similarity of two columns of name_parts."""
     a, b = x["t"], y["t"]
@@ -38,10 +50,8 @@ def parts_similarity(x: Column, y: Column) -> Column:
         union = F.size(x[k]) + F.size(y[k]) - both
         return F.when(union == 0, 0.0).otherwise(both / union)
 
-    by_prefix = short / long * F.when(short < SHORT_PREFIX, SHORT_PREFIX_FACTOR).otherwise(PREFIX_FACTOR)
     mixed = CHAR_WEIGHT * jaccard("g1") + BIGRAM_WEIGHT * jaccard("g2") + LENGTH_WEIGHT * (short / long)
-    prefix = F.startswith(a, b) | F.startswith(b, a)
-    return F.when((a == "") | (b == ""), 0.0).when(a == b, 1.0).when(prefix, by_prefix).otherwise(mixed)
+    return F.coalesce(_by_prefix(a, b), mixed)
 
 
 def _bits(items: Column) -> Column:

@@ -5,6 +5,8 @@ Python's \\w and \\s cover Unicode, Java's do not; so classes are spelt out.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -83,16 +85,19 @@ def clean_field(column: Column | str) -> Column:
 
 def normalize_company_name(column: Column | str) -> Column:
     """Without legal forms and without anything but letters, digits, _ and spaces."""
-    text = F.regexp_replace(text_of(column), "|".join(LEGAL_FORMS), "")
+    text = text_of(column)
+    # each form holds one of these
+    marked = reduce(Column.__or__, [F.contains(text, F.lit(m)) for m in ("(", "회사", "법인", "㈜", "㈔", "[본사]")])
+    text = F.when(marked, F.regexp_replace(text, "|".join(LEGAL_FORMS), "")).otherwise(text)
     return squeeze(F.regexp_replace(text, r"[^\p{L}\p{N}_\s\p{Z}\x1c-\x1f\x85]", ""))
 
 
 def normalize_region(column: Column | str) -> Column:
     """Province or city of a place name, '' if none is in it."""
-    spelt = [*REGION_SPELLINGS, *((r, r) for r in REGIONS)]
-    known = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(v).alias("v")) for k, v in spelt])
-    first = lambda text: F.filter(known, lambda s: F.contains(text, s["k"]))
-    return F.coalesce(F.try_element_at(first(text_of(column)), F.lit(1))["v"], F.lit(""))
+    text, found = text_of(column), F
+    for spelling, region in [*REGION_SPELLINGS, *((r, r) for r in REGIONS)]:  # the first that is met ends the search
+        found = found.when(F.contains(text, F.lit(spelling)), F.lit(region))
+    return found.otherwise("")
 
 
 def extract_address(column: Column | str) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from jobloom.functions.let import let
 from jobloom.functions.lineage import cut_lineage
-from jobloom.functions.similarity import name_parts, parts_similarity
+from jobloom.functions.similarity import name_parts, parts_similarity, prefix_similarity
 from jobloom.functions.text import BLANK, extract_address, normalize_company_name, normalize_region, preprocess_text, text_of, title_and_detail
 from jobloom.operators import lexical
 from jobloom.sources.tables import first_wins
@@ -145,11 +145,13 @@ def name_candidates(postings: DataFrame, companies: DataFrame, policy: Policy) -
         lexical.fuzzy_matches(long_names, titles, "processed_co_nm", "c_processed_title", policy.fuzziness, policy.prefix, policy.similarity),
     ]
     # pairs by their keys, then the parts of each name, computed once
-    pairs = reduce(DataFrame.unionByName, [d.select("processed_co_nm", "c_processed_title") for d in found]).distinct()
+    least = F.when(short, policy.similarity_short).otherwise(policy.similarity)
+    pairs = reduce(DataFrame.unionByName, [d.select("processed_co_nm", "c_processed_title") for d in found])
+    pairs = pairs.filter(F.coalesce(prefix_similarity("processed_co_nm", "c_processed_title"), F.lit(1.0)) >= least).distinct()
     every = pairs.join(names.withColumn("_x", name_parts("processed_co_nm")).hint("merge"), "processed_co_nm")
     every = every.join(first.withColumn("_y", name_parts("c_processed_title")).hint("merge"), "c_processed_title")
     every = every.withColumn("similarity", parts_similarity(F.col("_x"), F.col("_y"))).drop("_x", "_y")
-    every = every.filter(F.col("similarity") >= F.when(short, policy.similarity_short).otherwise(policy.similarity))
+    every = every.filter(F.col("similarity") >= least)
     best = _best(every, ["processed_co_nm"], "similarity", NAME_CANDIDATES, "_first").drop("_first")
     return _best(best.join(side.drop("_k").hint("merge"), "c_processed_title"), ["processed_co_nm"], "similarity", NAME_CANDIDATES)
 
@@ -181,7 +183,8 @@ def _result(rows: DataFrame, kind: str, score: str, confidence: str, policy: Pol
 def match_by_name(postings: DataFrame, companies: DataFrame, policy: Policy) -> DataFrame:
     """At most one match a posting, scored by name, region and address. Candidates
     are found once for each distinct name."""
-    named = postings.filter("processed_co_nm <> '' and coalesce(co_nm, '') <> ''").select("pst_id", "processed_co_nm", "region_m", "address_m")
+    named = postings.filter("coalesce(co_nm, '') <> ''").select("pst_id", "processed_co_nm", "region_m", "address_m")
+    named = cut_lineage(named).filter("processed_co_nm <> ''")  # its names are read beside it
     rows = _agreements(named.join(name_candidates(named, companies, policy).hint("merge"), "processed_co_nm"))
     size = F.length("processed_co_nm")
     if policy.name == "strict":
