@@ -225,8 +225,10 @@ def fuzzy_matches(names: DataFrame, titles: DataFrame, name: str, title: str, fu
         part = F.col("_more") | F.col("_other")
         close = F.when(part | may_reach(F.col("_x"), F.col("_y"), least), close).otherwise(False)
     # explode_outer, for no filter on its array is then put before it, which would make the keys again
-    asked = asked.withColumn("_key", F.explode_outer(_one_edit_keys(F.col("_token"), prefix, False) if once else _neighbours(F.col("_token"), edits, most, prefix)))
-    known = known.withColumn("_at", F.explode_outer(_one_edit_keys(F.col("_word"), prefix, True) if once else _neighbours(F.col("_word"), F.lit(most), most, prefix)))
+    # keys that say nothing beyond being equal move as their hashes: tokens that meet are compared anyway
+    hashed = lambda keys: F.transform(keys, lambda k: F.xxhash64(k))
+    asked = asked.withColumn("_key", F.explode_outer(_one_edit_keys(F.col("_token"), prefix, False) if once else hashed(_neighbours(F.col("_token"), edits, most, prefix))))
+    known = known.withColumn("_at", F.explode_outer(_one_edit_keys(F.col("_word"), prefix, True) if once else hashed(_neighbours(F.col("_word"), F.lit(most), most, prefix))))
     near = (F.col("_key") == F.col("_at")) & (F.substring("_token", 1, prefix) == F.substring("_word", 1, prefix))
     near &= F.when(F.abs(F.length("_token") - F.length("_word")) <= edits, close).otherwise(False)
     pairs = asked.join(known.hint("merge"), near).select(F.col("_token").alias("_t"), F.col("_word").alias("_w"))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobloom.functions.let import let
-from jobloom.functions.lineage import cut_lineage
+from jobloom.functions.lineage import forget, stored
 from jobloom.functions.similarity import name_parts, parts_similarity, prefix_similarity
 from jobloom.functions.text import BLANK, extract_address, normalize_company_name, normalize_region, preprocess_text, text_of, title_and_detail
 from jobloom.operators import lexical
@@ -77,6 +77,8 @@ MARKED_NAMES = (
 LEGAL_MARK = r"(\([주유]\)|주식회사|유한회사|[㈜㈔])"
 MARKED_CONFIDENCE, TITLE_CONFIDENCE, PLAIN_CONFIDENCE = 0.9, 0.95, 0.7
 NAME_CANDIDATES, TEXT_CANDIDATES = 5, 10
+#: What matching by name reads of a prepared posting.
+NAMED = ("pst_id", "processed_co_nm", "region_m", "address_m")
 
 
 def prepare_postings(rows: DataFrame) -> DataFrame:
@@ -92,17 +94,15 @@ def prepare_postings(rows: DataFrame) -> DataFrame:
 
 
 def prepare_companies(rows: DataFrame, order: str | None = None) -> DataFrame:
-    """One row a bzno, the last loaded, with processed_title, region_m, address_m and
-    the parts of the title that names are compared by."""
+    """One row a bzno, the last loaded, with processed_title, region_m and address_m."""
     rows = rows if order else rows.withColumn("_order", F.monotonically_increasing_id())
     rows = first_wins(rows, ["bzno"], F.col(order or "_order").desc())
     rows = rows.drop("_order") if not order else rows
-    rows = rows.withColumns({"processed_title": normalize_company_name("title"), "region_m": normalize_region("address"), "address_m": extract_address("address")})
-    return rows.withColumn("parts", name_parts("processed_title"))
+    return rows.withColumns({"processed_title": normalize_company_name("title"), "region_m": normalize_region("address"), "address_m": extract_address("address")})
 
 
 def _company_side(companies: DataFrame) -> DataFrame:
-    names = ["bzno", "title", "processed_title", "region_m", "address_m", "ksic", "ksic9", "parts"]
+    names = ["bzno", "title", "processed_title", "region_m", "address_m", "ksic", "ksic9"]
     return companies.select(*[F.col(c).alias(f"c_{c}") for c in names])
 
 
@@ -124,17 +124,26 @@ def _best(rows: DataFrame, by: list[str], score: str, k: int, tie: str = "c_bzno
     return rows.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= k).drop("_n")
 
 
+def _register(companies: DataFrame) -> DataFrame:
+    """The companies among which names are searched: of one title only the first
+    NAME_CANDIDATES can be among a name's best; _k numbers them."""
+    of_title = Window.partitionBy("c_processed_title").orderBy("c_bzno")
+    return stored(_company_side(companies).withColumn("_k", F.row_number().over(of_title)).filter(F.col("_k") <= NAME_CANDIDATES))
+
+
 def name_candidates(postings: DataFrame, companies: DataFrame, policy: Policy) -> DataFrame:
     """(processed_co_nm, c_..., similarity): of each distinct name the companies found
     by phrase and, if it isn't short, by prefix and by fuzzy tokens, that pass the
     similarity threshold; the NAME_CANDIDATES most similar, ties to smaller bzno.
 
-    Names meet distinct titles; of the companies of one title only the first
-    NAME_CANDIDATES can be among a name's best, and of the titles those that are best
-    with their first company."""
-    names = cut_lineage(postings.select("processed_co_nm").filter("processed_co_nm <> ''").distinct())
-    of_title = Window.partitionBy("c_processed_title").orderBy("c_bzno")
-    side = cut_lineage(_company_side(companies).drop("c_parts").withColumn("_k", F.row_number().over(of_title)).filter(F.col("_k") <= NAME_CANDIDATES))
+    Names meet distinct titles; of the titles those count that are best with their
+    first company."""
+    return _candidates(postings, _register(companies), policy)
+
+
+def _candidates(postings: DataFrame, side: DataFrame, policy: Policy) -> DataFrame:
+    """name_candidates among the companies of _register."""
+    names = stored(postings.select("processed_co_nm").filter("processed_co_nm <> ''").distinct())
     first = side.filter("_k = 1 and c_processed_title <> ''").select("c_processed_title", F.col("c_bzno").alias("_first"))
     titles = first.select("c_processed_title")
     short = F.length("processed_co_nm") <= policy.short
@@ -147,7 +156,7 @@ def name_candidates(postings: DataFrame, companies: DataFrame, policy: Policy) -
     # pairs by their keys, then the parts of each name, computed once
     least = F.when(short, policy.similarity_short).otherwise(policy.similarity)
     pairs = reduce(DataFrame.unionByName, [d.select("processed_co_nm", "c_processed_title") for d in found])
-    pairs = pairs.filter(F.coalesce(prefix_similarity("processed_co_nm", "c_processed_title"), F.lit(1.0)) >= least).distinct()
+    pairs = stored(pairs.filter(F.coalesce(prefix_similarity("processed_co_nm", "c_processed_title"), F.lit(1.0)) >= least).distinct())
     every = pairs.join(names.withColumn("_x", name_parts("processed_co_nm")).hint("merge"), "processed_co_nm")
     every = every.join(first.withColumn("_y", name_parts("c_processed_title")).hint("merge"), "c_processed_title")
     every = every.withColumn("similarity", parts_similarity(F.col("_x"), F.col("_y"))).drop("_x", "_y")
@@ -180,23 +189,53 @@ def _result(rows: DataFrame, kind: str, score: str, confidence: str, policy: Pol
     )
 
 
+def _named(postings: DataFrame) -> DataFrame:
+    """What matching by name reads of postings; their names are read beside it."""
+    return stored(postings.filter("coalesce(co_nm, '') <> ''").select(*NAMED)).filter("processed_co_nm <> ''")
+
+
+def _by_name(named: DataFrame, side: DataFrame, policy: Policy, left: bool = False) -> DataFrame:
+    """named, each posting with its best match or none: `matched` marks the match of a
+    pst_id, `left` (where asked for) the postings of those without any. A name's few
+    candidates come to its postings as an array, so no row is made for each of them."""
+    of_name = ["c_bzno", "c_title", "c_region_m", "c_address_m", "c_ksic", "c_ksic9"]
+    candidates = _candidates(named, side, policy).groupBy("processed_co_nm")
+    candidates = stored(candidates.agg(F.collect_list(F.struct("similarity", *of_name)).alias("found")))  # NAME_CANDIDATES at most
+    size = F.length("processed_co_nm")
+    same = lambda c, k: (F.coalesce(F.col(k), F.lit("")) != "") & F.coalesce(F.col(k) == c[f"c_{k}"], F.lit(False))
+    bonus = lambda c, w: F.when(c, w).otherwise(0.0)
+    least = F.when(size <= policy.short, policy.score_short - policy.discount).otherwise(policy.score - policy.discount)
+
+    def scored(c: Column) -> Column:
+        region, address = same(c, "region_m"), same(c, "address_m")
+        score = c["similarity"] * policy.name_weight + bonus(region, policy.region_weight) + bonus(address, policy.address_weight)
+        # rounded, so that a score that equals the threshold on paper passes; the least struct is the best candidate
+        order = (-F.round(score, 9)).alias("unfit"), (-c["similarity"]).alias("unlike"), c["c_bzno"].alias("c_bzno")
+        return F.struct(*order, region.alias("same_region"), address.alias("same_address"), *[c[k].alias(k) for k in ("c_title", "c_ksic", "c_ksic9")])
+
+    def passes(c: Column) -> Column:
+        enough = -c["unfit"] >= F.round(least, 9)
+        return enough & ((size > policy.very_short) | c["same_region"] | c["same_address"]) if policy.name == "strict" else enough
+
+    best = F.array_min(F.filter(F.transform("found", scored), passes)).alias("best")
+    rows = named.join(candidates.hint("merge"), "processed_co_nm", "left" if left else "inner").select(*NAMED, best)
+    rows = rows if left else rows.filter("best is not null")
+    order = Window.partitionBy("pst_id").orderBy(F.col("best").asc_nulls_last())
+    rows = rows.withColumns({"_n": F.row_number().over(order), "_top": F.first("best").over(order)})
+    rows = rows.withColumns({"matched": (F.col("_n") == 1) & F.col("best").isNotNull(), "left": F.col("_top").isNull() | F.col("pst_id").isNull()})
+    kept = {k: F.when(F.col("left"), F.col(k)) for k in NAMED[1:]} | {"best": F.when(F.col("matched"), F.col("best"))}
+    return rows.filter("matched or left").drop("_n", "_top").withColumns(kept)
+
+
+def _named_result(rows: DataFrame, policy: Policy) -> DataFrame:
+    matched = rows.filter("matched").select("pst_id", "best.*").withColumn("score", -F.col("unfit"))
+    return _result(matched, "name", "score", "score", policy)
+
+
 def match_by_name(postings: DataFrame, companies: DataFrame, policy: Policy) -> DataFrame:
     """At most one match a posting, scored by name, region and address. Candidates
     are found once for each distinct name."""
-    named = postings.filter("coalesce(co_nm, '') <> ''").select("pst_id", "processed_co_nm", "region_m", "address_m")
-    named = cut_lineage(named).filter("processed_co_nm <> ''")  # its names are read beside it
-    rows = _agreements(named.join(name_candidates(named, companies, policy).hint("merge"), "processed_co_nm"))
-    size = F.length("processed_co_nm")
-    if policy.name == "strict":
-        rows = rows.filter((size > policy.very_short) | F.col("same_region") | F.col("same_address"))
-    bonus = lambda c, w: F.when(F.col(c), w).otherwise(0.0)
-    score = F.col("similarity") * policy.name_weight + bonus("same_region", policy.region_weight) + bonus("same_address", policy.address_weight)
-    least = F.when(size <= policy.short, policy.score_short - policy.discount).otherwise(policy.score - policy.discount)
-    # rounded, so that a score that equals the threshold on paper passes
-    rows = rows.withColumn("score", F.round(score, 9)).filter(F.col("score") >= F.round(least, 9))
-    order = Window.partitionBy("pst_id").orderBy(F.col("score").desc(), F.col("similarity").desc(), "c_bzno")
-    rows = rows.withColumn("_n", F.row_number().over(order)).filter("_n = 1")
-    return _result(rows, "name", "score", "score", policy)
+    return _named_result(_by_name(_named(postings), _register(companies), policy), policy)
 
 
 def potential_names(text: Column, marked: float = MARKED_CONFIDENCE) -> Column:
@@ -235,7 +274,7 @@ def match_by_detail(postings: DataFrame, companies: DataFrame, policy: Policy) -
         return F.when(text != "", F.struct(F.when(F.length(lexical.token_line(text)) <= longest, text).alias("text"), found.alias("found")))
 
     # a text is read once; what is left of it is small
-    rows = cut_lineage(postings.select("pst_id", "region_m", "address_m", let(text, read).alias("read"))).select("pst_id", "region_m", "address_m", "read.*")
+    rows = stored(postings.select("pst_id", "region_m", "address_m", let(text, read).alias("read"))).select("pst_id", "region_m", "address_m", "read.*")
     named = rows.select("pst_id", "region_m", "address_m", F.posexplode("found").alias("turn", "entry")).select("pst_id", "region_m", "address_m", "turn", "entry.name", "entry.confidence")
     rows = rows.filter("text is not null").drop("found")
     side = _company_side(companies)
@@ -243,7 +282,6 @@ def match_by_detail(postings: DataFrame, companies: DataFrame, policy: Policy) -
     phrases = [lexical.phrase_matches(keys, side, "name", c).withColumn("_title", F.col(c)) for c in ("c_title", "c_processed_title")]
     hits = reduce(DataFrame.unionByName, phrases)
     hits = _relevance(hits, companies).groupBy("name", "c_bzno").agg(F.max("relevance").alias("relevance"))
-    side = side.drop("c_parts")
     top = Window.partitionBy("name").orderBy(F.col("relevance").desc(), "c_bzno")
     hits = hits.withColumn("_n", F.row_number().over(top)).filter("_n <= 5").drop("_n").join(side, "c_bzno")
     by_name = _agreements(named.join(hits, "name"))
@@ -277,7 +315,7 @@ def _relevance(hits: DataFrame, companies: DataFrame) -> DataFrame:
 def search_in_detail(rows: DataFrame, companies: DataFrame) -> DataFrame:
     """Companies whose title holds the posting's whole text as a phrase, with points
     for how the title is met in the text; the TEXT_CANDIDATES best of each posting."""
-    side = _company_side(companies).drop("c_parts").filter("coalesce(c_title, '') <> '' and c_processed_title <> ''")
+    side = _company_side(companies).filter("coalesce(c_title, '') <> '' and c_processed_title <> ''")
     texts = rows.select("pst_id", "region_m", "address_m", "text")
     keys = texts.select(F.col("text").alias("name")).distinct()
     hits = reduce(DataFrame.unionByName, [lexical.phrase_matches(keys, side, "name", c).withColumn("_title", F.col(c)) for c in ("c_title", "c_processed_title")])
@@ -300,8 +338,7 @@ def search_in_detail(rows: DataFrame, companies: DataFrame) -> DataFrame:
 
 def match(postings: DataFrame, companies: DataFrame, policy: Policy) -> DataFrame:
     """By name first; what has no name or no match, by text."""
-    companies = cut_lineage(companies)
-    by_name = cut_lineage(match_by_name(postings, companies, policy))
+    by_name = stored(match_by_name(postings, companies, policy))
     rest = postings.join(by_name.select("pst_id").hint("merge"), "pst_id", "left_anti")
     return by_name.unionByName(match_by_detail(rest, companies, policy))
 
@@ -309,17 +346,31 @@ def match(postings: DataFrame, companies: DataFrame, policy: Policy) -> DataFram
 def match_progressively(postings: DataFrame, companies: DataFrame, policies: tuple[Policy, ...] = POLICIES, by_text: bool = True) -> DataFrame:
     """Policies in turn, each over what is left; with matching_attempt, from 0. The
     register is prepared once for all of them."""
+    if not by_text:
+        return _names_progressively(postings, companies, policies)
     left, found = postings, []
-    companies = cut_lineage(companies)
+    companies = stored(companies)
     for attempt, policy in enumerate(policies):
-        left = cut_lineage(left) if attempt else left
-        got = match(left, companies, policy) if by_text else match_by_name(left, companies, policy)
-        got = cut_lineage(got.withColumn("matching_attempt", F.lit(attempt)))
+        left = stored(left) if attempt else left
+        got = stored(match(left, companies, policy).withColumn("matching_attempt", F.lit(attempt)))
         found.append(got)
         left = left.join(got.select("pst_id").hint("merge"), "pst_id", "left_anti")
     return reduce(DataFrame.unionByName, found)
 
 
+def _names_progressively(postings: DataFrame, companies: DataFrame, policies: tuple[Policy, ...]) -> DataFrame:
+    """match_progressively by names alone. An attempt's matches and what it leaves are one
+    table; of a posting nothing is read that names don't need."""
+    side, left, found = _register(companies), _named(postings), []
+    for attempt, policy in enumerate(policies):
+        rows = stored(_by_name(left, side, policy, left=attempt + 1 < len(policies)))
+        if not attempt:
+            forget(left)
+        found.append(_named_result(rows, policy).withColumn("matching_attempt", F.lit(attempt)))
+        left = rows.filter("left").select(*NAMED)
+    return reduce(DataFrame.unionByName, found)
+
+
 def policy_of_attempt(attempt: int) -> Policy:
     return POLICIES[min(attempt, len(POLICIES) - 1)]
 
