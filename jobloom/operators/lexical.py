@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jobloom.functions.let import let
-from jobloom.functions.lineage import cut_lineage
+from jobloom.functions.lineage import cut_lineage, stored
 from jobloom.functions.similarity import may_reach, name_outline
 
 # English stop words of the standard analyser, and BM25's parameters.
@@ -232,7 +232,8 @@ def fuzzy_matches(names: DataFrame, titles: DataFrame, name: str, title: str, fu
     near = (F.col("_key") == F.col("_at")) & (F.substring("_token", 1, prefix) == F.substring("_word", 1, prefix))
     near &= F.when(F.abs(F.length("_token") - F.length("_word")) <= edits, close).otherwise(False)
     pairs = asked.join(known.hint("merge"), near).select(F.col("_token").alias("_t"), F.col("_word").alias("_w"))
-    pairs = pairs if once else pairs.distinct()
+    # with a bound names meet by many keys: those are gone before the pairs move on
+    pairs = pairs if once else stored(pairs.distinct()) if least > 0 else pairs.distinct()
     found = left.join(pairs.hint("merge"), F.col("_token") == F.col("_t")).join(right.hint("merge"), F.col("_w") == F.col("_word"))
     # of the tokens by which a name and a title meet, the first counts; so no row has to be told from all others
     def first(x: Column) -> Column:

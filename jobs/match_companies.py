@@ -18,7 +18,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobloom.functions.lineage import cut_lineage
+from jobloom.functions.lineage import forget, freed, stored
 from jobloom.operators import match
 from jobloom.sources.keyed import read_or_empty
 from jobs.common import configuration, logger, session, show_log, table
@@ -39,13 +39,14 @@ def run(spark: SparkSession, source: str, output: str, config: dict) -> DataFram
     tables = {k: table(spark, source, v, config["format"]) for k, v in config["tables"].items()}
     companies = spark.sql(config["sql"]["companies"], **tables)
     postings = spark.sql(config["sql"]["postings"], companies=companies.hint("merge"), **{k: v for k, v in tables.items() if f"{{{k}}}" in config["sql"]["postings"]})
-    register = cut_lineage(match.prepare_companies(companies, "loaded"))
-    rows = cut_lineage(match.prepare_postings(postings))
+    register = stored(match.prepare_companies(companies, "loaded"))
+    rows = match.prepare_postings(postings)
+    rows = stored(rows if config["by_text"] else rows.select("co_nm", *match.NAMED))  # without texts that nothing reads
     LOG.info("read %d postings and %d companies from %s", rows.count(), register.count(), source)
     generation = config["generation"]
     for attempt, name in enumerate(config["policies"]):
         outcomes = read_or_empty(spark, f"{output}/outcomes", OUTCOME)
-        left = cut_lineage(pending(rows, outcomes, attempt, generation))
+        left = stored(pending(rows, outcomes, attempt, generation))
         if left.isEmpty():
             LOG.info("attempt %d (%s): nothing pending", attempt, name)
             continue
@@ -54,18 +55,20 @@ def run(spark: SparkSession, source: str, output: str, config: dict) -> DataFram
         taken = left.select("pst_id").distinct().join(found.drop("ksic", "ksic9").hint("merge"), "pst_id", "left")
         taken = taken.withColumns({"generation": F.lit(generation), "matching_attempt": F.lit(attempt)})
         _append(taken.select([c.split()[0] for c in OUTCOME.split(", ")]), f"{output}/outcomes")
+        forget(left)
         done = read_or_empty(spark, f"{output}/outcomes", OUTCOME).filter(F.col("matching_attempt") == attempt).agg(F.count(F.lit(1)).alias("n"), F.count("bzno").alias("m")).first()
         LOG.info("attempt %d (%s): took %d, matched %d in all", attempt, name, done["n"], done["m"])
     matched = read_or_empty(spark, f"{output}/outcomes", OUTCOME).filter("bzno is not null")
     out = match.with_industry(matched, register.select("bzno", "ksic", "ksic9")).drop("generation")
-    out.write.mode("overwrite").partitionBy("matching_policy").parquet(f"{output}/matches")
+    freed(out.write.mode("overwrite").partitionBy("matching_policy"), f"{output}/matches")
+    forget(rows, register)
     back = spark.read.schema(out.schema).parquet(f"{output}/matches")
     LOG.info("wrote %d matches to %s", back.count(), output)
     return back
 
 
 def _append(taken: DataFrame, path: str) -> None:
-    taken.write.mode("append").partitionBy("matching_attempt").parquet(path)
+    freed(taken.write.mode("append").partitionBy("matching_attempt"), path)
 
 
 def main(arguments: list[str] | None = None) -> None:

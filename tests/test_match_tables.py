@@ -1,11 +1,14 @@
 """What matching by names reads, keeps and frees."""
 
 import glob
+import os
 
 from pyspark.sql import functions as F
 
-from jobloom.functions.lineage import forget, stored
+from jobloom.functions.lineage import forget, shared_folder, stored
 from jobloom.operators import match
+from jobs import match_companies
+from jobs.common import configuration
 
 FIRMS = "bzno string, title string, address string, ksic string, ksic9 string"
 
@@ -58,3 +61,20 @@ def test_a_name_meets_its_candidates_without_a_row_for_each(spark):
     got = out.collect()
     assert len(got) == 40 and {r.bzno for r in got} == {"3"} and {r.match_type for r in got} == {"name_region_address_match"}
     assert "array_min" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_the_job_keeps_no_shuffle_files_and_no_tables_of_its_own(spark, tmp_path):
+    source, output = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.createDataFrame([(i, i % 6, "M") for i in range(9)], "c_custkey long, c_nationkey long, c_mktsegment string").write.parquet(f"{source}/customer.parquet")
+    spark.createDataFrame([(i, i % 9) for i in range(40)], "o_orderkey long, o_custkey long").write.parquet(f"{source}/orders.parquet")
+    config = configuration(None, "match_companies.toml") | {"policies": ["relaxed"]}
+    shared = shared_folder(spark).removeprefix("file:")
+    before, tables = shuffle_files(spark), set(glob.glob(f"{shared}/stored-*/*.parquet"))
+    found = match_companies.run(spark, source, output, config)
+    left = [os.path.getsize(f) for f in shuffle_files(spark) - before if f.endswith(".data")]
+    assert sum(left) < 2000, left  # of counts
+    # what is left holds names and candidates, no prepared postings or companies
+    kept = {f.rsplit("/", 1)[0] for f in set(glob.glob(f"{shared}/stored-*/*.parquet")) - tables}
+    assert not any({"c_custkey", "co_nm", "title"} & set(spark.read.parquet(k).columns) for k in kept)
+    again = sorted(map(tuple, found.collect()), key=str)
+    assert again and again == sorted(map(tuple, match_companies.run(spark, source, output, config).collect()), key=str)
