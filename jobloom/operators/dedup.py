@@ -12,14 +12,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobloom.functions.let import let
-from jobloom.functions.lineage import cut_lineage
+from jobloom.functions.lineage import forget, stored
+from jobloom.functions.outline import bucket_keys, compared, outlined
 
 #: The source whose copy stays, where a month has it.
 PRIORITY = "srm"
 SIMILAR = 0.95
 SHINGLE = 5
-#: Shingles that come last in every text, and texts that a shingle not among them may begin.
-FREQUENT, RARE = 1000, 50
+#: Texts that are counted again: so many are told by every task, more by a shuffle of all.
+KNOWN = 200_000
+#: Nothing reads it: texts meet by buckets of shingles, and need no list of frequent ones.
+RARE = 50
 
 
 def _keep_first(rows: DataFrame, group: list[str], rank: Column, eligible: Column) -> DataFrame:
@@ -98,28 +101,44 @@ def shingles(column: str, width: int = SHINGLE) -> Column:
 
 def similar_texts(rows: DataFrame, scope: str, least: float = SIMILAR) -> DataFrame:
     """(scope, a, b, similarity): pairs a < b of different texts (by MD5) of one scope
-    whose shingle sets have a Jaccard similarity of at least `least`.
-
-    A prefix filter proposes pairs: with shingles in one order, two such sets of
-    n and m share one of the first n - ceil(least * n) + 1 and m - ceil(...) + 1. Any
-    order will do; this one has the FREQUENT shingles that most texts begin with by
-    hash, as boilerplate has them, behind all others, so that they propose no pairs.
-    Copies of a text are one member of their scope, so no group of copies pairs up."""
-    texts = rows.filter(F.col(scope).isNotNull() & F.col("pst_detail").isNotNull()).withColumn("id", F.md5("pst_detail"))
-    heads = texts.groupBy(scope, "id").agg(F.min("pst_detail").alias("pst_detail"))
-    prefix = (F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1).cast("int")
-    sets = cut_lineage(heads.select(scope, "id", F.sort_array(shingles("pst_detail")).alias("s")).withColumn("n", F.size("s")))
-    first = sets.select(F.explode(F.slice("s", F.lit(1), prefix)).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("c"))
-    often = [r.h for r in first.filter(F.col("c") > RARE).orderBy(F.col("c").desc(), "h").limit(FREQUENT).collect()]
-    if often:
-        late = lambda x: x.isin(often)
-        sets = sets.withColumn("s", F.concat(F.filter("s", lambda x: ~late(x)), F.filter("s", late)))
-    posted = sets.select(scope, "id", "n", F.explode(F.slice("s", F.lit(1), prefix)).alias("h"))
-    other = posted.select(F.col(scope).alias("_scope"), F.col("id").alias("b"), F.col("n").alias("m"), F.col("h").alias("_h"))
-    near = (F.col(scope) == F.col("_scope")) & (F.col("h") == F.col("_h")) & (F.col("id") < F.col("b"))
-    near &= F.least("n", "m") >= F.greatest("n", "m") * least - 1e-9
-    pairs = posted.join(other, near).select(scope, F.col("id").alias("a"), "b").distinct()
-    side = lambda k: sets.select(scope, F.col("id").alias(k), F.col("s").alias(f"s_{k}"))
+    whose shingle sets have a Jaccard similarity of at least `least`, which is above 0.5.
+
+    Sets are divided into buckets by their hashes' values, into more than two such sets
+    differ by in shingles; so one bucket is alike in both, and texts meet by buckets. What
+    moves is an outline of each set, from which the similarity follows where buckets differ
+    in one shingle each; only the other pairs are counted from texts again. Copies of a
+    text are one member of their scope, so no group of copies pairs up."""
+    if not 0.5 < least <= 1:
+        raise ValueError("least: above 0.5 and 1 at most")
+    texts = rows.filter(F.col(scope).isNotNull() & F.col("pst_detail").isNotNull()).select(scope, F.md5("pst_detail").alias("id"), "pst_detail")
+    kind = texts.schema[scope].dataType.simpleString()
+    sets = texts.select(scope, "id", F.sort_array(shingles("pst_detail")).alias("s"))
+    outlines = sets.mapInArrow(outlined(least), f"`{scope}` {kind}, id string, n int, level int, own binary, upper binary")
+    one = outlines.groupBy(scope, "id").agg(*[F.any_value(c).alias(c) for c in ("n", "level", "own", "upper")])
+    one = stored(one.withColumn("doc", F.monotonically_increasing_id()))
+    posted = one.select(scope, "doc", "n", "level", "own", "upper").mapInArrow(bucket_keys, f"`{scope}` {kind}, doc long, n int, key long")
+    posted = posted.select("doc", "n", F.xxhash64(scope, "key").alias("h"))
+    other = posted.select(F.col("doc").alias("with"), F.col("n").alias("m"), F.col("h").alias("_h"))
+    near = (F.col("h") == F.col("_h")) & (F.col("doc") < F.col("with")) & (F.least("n", "m") >= F.greatest("n", "m") * least - 1e-9)
+    pairs = stored(posted.join(other.hint("merge"), near).select("doc", "with").distinct())
+    side = lambda k: one.select(F.col("doc").alias(k), F.struct(scope, "id", "n", "level", "own", "upper").alias(f"{k}_")).hint("merge")
+    both = pairs.join(side("doc"), "doc").join(side("with"), "with").select(F.col("doc_").alias("x"), F.col("with_").alias("y")).filter(F.col(f"x.{scope}") == F.col(f"y.{scope}"))
+    at = lambda c, o: F.when(F.col(f"{c}.level") < F.col(f"{o}.level"), F.col(f"{c}.upper")).otherwise(F.col(f"{c}.own"))
+    both = both.select(F.col(f"x.{scope}").alias(scope), F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"), F.col("x.n").alias("n"), F.col("y.n").alias("m"), at("x", "y").alias("x"), at("y", "x").alias("y"))
+    found = stored(both.mapInArrow(compared(least), f"`{scope}` {kind}, a string, b string, similarity double"))
+    forget(one, pairs)
+    left = found.filter("similarity is null").drop("similarity")
+    told = found.filter("similarity is not null")
+    return told if left.isEmpty() else told.unionByName(_counted(texts, left, scope, least))
+
+
+def _counted(texts: DataFrame, pairs: DataFrame, scope: str, least: float) -> DataFrame:
+    """pairs (scope, a, b) with their similarity, from the shingles of their texts."""
+    wanted = stored(reduce(DataFrame.unionByName, [pairs.select(scope, F.col(k).alias("id")) for k in "ab"]).distinct())
+    few = wanted.count() <= KNOWN
+    heads = texts.join(F.broadcast(wanted) if few else wanted.hint("merge"), [scope, "id"], "left_semi").groupBy(scope, "id").agg(F.min("pst_detail").alias("pst_detail"))
+    sets = stored(heads.select(scope, "id", shingles("pst_detail").alias("s")))
+    side = lambda k: sets.select(scope, F.col("id").alias(k), F.col("s").alias(f"s_{k}")).hint("merge")
     both = pairs.join(side("a"), [scope, "a"]).join(side("b"), [scope, "b"])
     common = F.size(F.array_intersect("s_a", "s_b"))
     similarity = common / (F.size("s_a") + F.size("s_b") - common)
@@ -129,13 +148,13 @@ def similar_texts(rows: DataFrame, scope: str, least: float = SIMILAR) -> DataFr
 def _outranked(edges: DataFrame) -> DataFrame:
     """(node) that go, of edges (node, above): one goes if one that stays is above it.
     Round by round: what has nothing above it stays, and what it is above of goes."""
-    left, gone = cut_lineage(edges.distinct()), []
+    left, gone = stored(edges.distinct()), []
     while not left.isEmpty():
         stay = left.select("above").distinct().join(left.select(F.col("node").alias("above")).distinct(), "above", "left_anti")
-        now = cut_lineage(left.join(stay, "above", "left_semi").select("node").distinct())
+        now = stored(left.join(stay, "above", "left_semi").select("node").distinct())
         gone.append(now)
         rest = left.join(now, "node", "left_anti").join(now.withColumnRenamed("node", "above"), "above", "left_anti")
-        left = cut_lineage(rest.select("node", "above"))
+        left = stored(rest.select("node", "above"))
     return reduce(DataFrame.unionByName, gone, edges.select("node").limit(0))
 
 
