@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from jobloom import schemas
 from jobloom.functions import text
-from jobloom.functions.lineage import cut_lineage, shared_folder
+from jobloom.functions.lineage import cut_lineage, shared_folder, stored
 from jobloom.functions.similarity import name_similarity, partial_ratio
 from jobloom.operators import classify, dedup, lexical, match, merge, skills, stored_model, text_index
 from jobloom.plans import fixtures as fx
@@ -228,12 +228,12 @@ def _of_v0(*views: str) -> str:
 
 @query(_walk_sql(_of_v0(_C1.replace("v1", "v0"), _c2("c1"), " v1 AS (SELECT * FROM c2)")))
 def fuzzy_dedup_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.fuzzy_dedup_month(cut_lineage(dedup.exact_dedup(fx.postings(spark, sf_dir)))).select("pst_id", "source", "month")
+    return dedup.fuzzy_dedup_month(stored(dedup.exact_dedup(fx.postings(spark, sf_dir)))).select("pst_id", "source", "month")
 
 
 @query(_walk_sql(_of_v0(_NEAR_COPIES)))
 def fuzzy_dedup_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.fuzzy_dedup_month(cut_lineage(_near_copies(spark, sf_dir))).select("pst_id", "source", "month")
+    return dedup.fuzzy_dedup_month(_near_copies(spark, sf_dir)).select("pst_id", "source", "month")
 
 
 @query(
