@@ -5,6 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from jobloom.functions import text
 from jobloom.functions.lineage import forget, shared_folder, stored
 from jobloom.operators import match
 from jobs import match_companies
@@ -78,3 +79,20 @@ def test_the_job_keeps_no_shuffle_files_and_no_tables_of_its_own(spark, tmp_path
     assert not any({"c_custkey", "co_nm", "title"} & set(spark.read.parquet(k).columns) for k in kept)
     again = sorted(map(tuple, found.collect()), key=str)
     assert again and again == sorted(map(tuple, match_companies.run(spark, source, output, config).collect()), key=str)
+
+
+def test_patterns_run_on_texts_with_their_mark_only(spark):
+    texts = ["[채용] 가나 채용안내 다라", "☞ 여기 바로가기 ☜ 강남점 채용", "또는 개인 양식 이력서 접수 가능 마바", "인턴 기간 3개월 법정 임금 준수", "<b>가나</b> 채용제목 입력주세요", "없음", "", None]
+    rows = spark.createDataFrame([(t and t + "가 나 다 라 " * 20,) for t in texts], "t string")
+    head = text.cut_at_keywords(text.head_of_text("t"))
+    plain = head
+    for pattern in text.BOILERPLATE:
+        plain = F.regexp_replace(plain, text._java(pattern), " ")
+    out = rows.select(text.preprocess_text("t").alias("a"), text.squeeze(plain).alias("b"))
+    assert all(r.a == r.b for r in out.collect())
+    guarded = rows.select(text.preprocess_text("t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert all(f", {m})" in guarded for m in text.BOILERPLATE_MARKS)
+    names = [f"{a}{sep}{b}" for a in ("가나", "") for b in ("(주)", "㈜", "주식회사 다라") for sep in ("", " ", "　", "\n")]
+    found = spark.createDataFrame([(n,) for n in names], "t string").select("t", match.potential_names(F.col("t")).alias("n")).collect()
+    by = {r.t: [x.name for x in r.n] for r in found}
+    assert all(by[f"가나{sep}㈜"] == ["가나"] for sep in ("", " ", "　", "\n")) and by["가나　주식회사 다라"] == ["가나", "다라"]
